@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, sharding, simhash, topk
+from . import decontam, line_dedup, pii, quality, sharding, simhash, topk
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,14 @@ def op1_decontamination(spark, sf_dir):
     return decontam.scan(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op4_personal_data(spark, sf_dir):
+    return pii.find(_t(spark, sf_dir, "documents"))
+
+
+def op5_quality(spark, sf_dir):
+    return quality.assess(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
@@ -89,6 +97,8 @@ WHERE rank <= 20
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op4_personal_data": op4_personal_data,
+    "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_simhash": op8_simhash,
