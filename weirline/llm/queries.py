@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, pii, quality, sharding, simhash, topk
+from . import (
+    decontam,
+    line_dedup,
+    pii,
+    quality,
+    secret_scan,
+    sentence_pieces,
+    sharding,
+    simhash,
+    token_files,
+    topk,
+)
+from .common import shared_dir
+
+#: Where the public tokenizers' vocabulary files lie.
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +34,15 @@ def op1_decontamination(spark, sf_dir):
     return decontam.scan(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op2_sentence_pieces(spark, sf_dir, model=f"{TOKENIZERS}/piece_bpe_32k.model"):
+    return sentence_pieces.round_trip(_t(spark, sf_dir, "documents"), model, dropout=0.1, seed=1)
+
+
+def op3_secret_scan(spark, sf_dir):
+    found = secret_scan.scan(_t(spark, sf_dir, "documents"))
+    return found.select("doc_id", "word", F.sha2("candidate", 256).alias("candidate_sha256"), "probability")
+
+
 def op4_personal_data(spark, sf_dir):
     return pii.find(_t(spark, sf_dir, "documents"))
 
@@ -53,6 +80,14 @@ def op9_sharding(spark, sf_dir):
     )
 
 
+def op10_token_files(spark, sf_dir, vocabulary=f"{TOKENIZERS}/word_bpe_49k.json"):
+    path = f"{shared_dir(spark)}/weirline/tokens-{uuid.uuid4().hex}"
+    token_files.write(_t(spark, sf_dir, "documents"), vocabulary, path)
+    files = spark.read.schema(token_files.FILE).parquet(path)
+    rows = token_files.digests(files).join(F.broadcast(token_files.starts(files)), ["part", "chunk"])
+    return rows.select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -97,12 +132,15 @@ WHERE rank <= 20
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_sentence_pieces": op2_sentence_pieces,
+    "op3_secret_scan": op3_secret_scan,
     "op4_personal_data": op4_personal_data,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op7_exact_top_k": op7_exact_top_k,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_token_files": op10_token_files,
 }
 
 ORACLE_SQL = {
