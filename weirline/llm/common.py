@@ -52,3 +52,24 @@ def blocks_of(batches, names, most_rows: int, most_bytes: int):
         while start < len(batch):
             yield [c.slice(start, step).to_pylist() for c in columns]
             start += step
+
+
+#: A key with more than this share of the rows is hot; fewer than HOT_SHARE keys can be.
+HOT_SHARE = 256
+
+
+def attach(rows: DataFrame, groups: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, which has one row for each key and the number of its rows in ``count``.
+
+    Keys that hold more than 1 / HOT_SHARE of all rows are fewer than HOT_SHARE whatever the data, so
+    they are broadcast and their rows stay where they are; the others are joined by a shuffle in which
+    no key is large. Both tables should be written ones, as they are read twice.
+    """
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    limit = max(1000, total // HOT_SHARE)
+    hot = groups.filter(F.col(count) > limit).drop(count)
+    if hot.isEmpty():
+        return rows.join(groups.drop(count), keys)
+    cold_rows = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    cold = cold_rows.join(groups.filter(F.col(count) <= limit).drop(count), keys)
+    return cold.unionByName(rows.join(F.broadcast(hot), keys))

@@ -9,15 +9,17 @@ link is lost and no bucket gives more than a bounded number of rows for each mem
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import attach, saved
 
 CHUNK = 1 << 16
 #: Members of a bucket up to which its pairs are verified one by one.
@@ -139,14 +141,147 @@ def near_duplicates(
     fingerprint 0 and link like any other. An empty table gives an empty result.
     """
     fps = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "reps")
-    roots = components(links(reps, distance))
+    reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "reps")
+    return _with_components(fps, reps, links(reps, distance)).select("doc_id", "fp", "component_id")
+
+
+def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
+    """``fps`` with component_id, the smallest first_id of all representatives that ``edges`` connect."""
+    roots = components(edges)
     joined = roots.join(reps, "fp")
     named = joined.join(joined.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
-    groups = reps.join(named.select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "first_id").alias("component_id")
+    groups = saved(
+        reps.join(named.select("fp", "component_id"), "fp", "left").select(
+            "fp", "n", F.coalesce("component_id", "first_id").alias("component_id")
+        ),
+        "groups",
+    )
+    return fps.join(groups.drop("n"), "fp")
+
+
+#: The wide fingerprint of near_copies(): blocks of bits, any one of which two near copies share.
+BLOCKS, BLOCK_BITS = 32, 20
+WIDE = BLOCKS * BLOCK_BITS
+#: Members of a block's bucket up to which all meet; larger buckets go by leaders, so many members at a time.
+LED, TOGETHER = 48, 1000
+
+
+def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
+    """WIDE majority bits (bool) over the word shingles, WIDE / 64 mixed hashes of each; all False without words."""
+    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    ones, total = np.zeros(WIDE, np.int64), 0
+    digest, lanes = xxhash.xxh64_digest, np.arange(1, WIDE // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for at in range(0, max(1, len(words) - shingle + 1) if words else 0, CHUNK):
+        part = words[at : at + CHUNK + shingle - 1]
+        grams = zip(*(part[k:] for k in range(shingle))) if len(part) >= shingle else [part]
+        h = np.frombuffer(b"".join([digest(b" ".join(g)) for g in grams]), np.uint64)
+        for k in range(0, len(h), 255):
+            with np.errstate(over="ignore"):
+                x = h[k : k + 255, None] + lanes
+                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                x ^= x >> np.uint64(31)
+            bits = np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1)
+            ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
+        total += len(h)
+    return 2 * ones > total
+
+
+def furthest(similarity: float) -> int:
+    """Differing bits out of WIDE expected at a Jaccard similarity: the angle of cosine 2s / (1 + s)."""
+    return round(WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def _differ(a, b):
+    """Differing bits of two wide fingerprints held as arrays of longs."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+
+def _leaders(most: int, emit_leaders: bool):
+    """Leader clustering of one part of a bucket: a member joins the first leader within ``most`` bits or leads itself."""
+
+    def run(frame):
+        frame = frame.sort_values("fp")
+        ids = frame["fp"].to_numpy(np.int64)
+        raw = np.array(frame["wide"].tolist(), np.int64).view(np.uint64)
+        led, lead = [], []
+        for k in range(len(ids)):
+            if lead:
+                near = np.flatnonzero(np.bitwise_count(raw[lead] ^ raw[k]).sum(axis=1) <= most)
+                if len(near):
+                    led.append((ids[lead[near[0]]], ids[k]))
+                    continue
+            lead.append(k)
+        out = pd.DataFrame(led, columns=["a", "b"]).assign(key=frame["key"].iloc[0])
+        if emit_leaders:
+            own = ids[lead]
+            out = pd.concat([out, pd.DataFrame({"a": own, "b": own, "key": frame["key"].iloc[0]})])
+        return out[["key", "a", "b"]].astype("int64")
+
+    return run
+
+
+def near_copies(
+    docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, component_id) for every row of ``docs``: groups of texts that share most word shingles.
+
+    Two wide fingerprints meet if they agree on one of BLOCKS blocks, are compared on their first 64 bits
+    and then on all, and link at no more differing bits than ``similarity`` (Jaccard, of shingles)
+    gives on average. A block's bucket with many members isn't paired up: its members, a bounded
+    number at a time, follow leaders within that distance, and the leaders are led in turn. Shared
+    blocks find a pair at 0.8 in about 7 of 10 cases, at 0.9 in 49 of 50, copies always. Nulls,
+    repeats and empty tables as in near_duplicates().
+    """
+    most = furthest(similarity)
+    powers = 1 << np.arange(BLOCK_BITS - 1, -1, -1)
+
+    def run(batches):
+        for b in batches:
+            bits = [wide_fingerprint(t, shingle) for t in b.column(1).to_pylist()]
+            wide = [np.packbits(x).view(">i8").tolist() for x in bits]
+            keys = [((np.arange(BLOCKS) << BLOCK_BITS) + x.reshape(BLOCKS, -1) @ powers).tolist() for x in bits]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(wide, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
+                names=["doc_id", "wide", "keys"],
+            )
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    wide = source.mapInArrow(run, "doc_id long, wide array<long>, keys array<long>")
+    fps = saved(wide.withColumn("fp", F.xxhash64("wide")), "wide")
+    reps = saved(
+        fps.groupBy("fp").agg(
+            F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("wide").alias("wide"), F.first("keys").alias("keys")
+        ),
+        "reps",
+    )
+    rows = reps.select("fp", F.get("wide", F.lit(0)).alias("head"), F.explode("keys").alias("key"))
+    sizes = saved(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "sizes")
+    small = rows.join(sizes.filter(F.col("m") <= LED), "key").select("key", "fp", "head")
+    a = small.select("key", F.col("fp").alias("a"), F.col("head").alias("ha"))
+    b = small.select("key", F.col("fp").alias("b"), F.col("head").alias("hb"))
+    # a third of the bits of the first word: what random texts almost never keep under, near copies almost always
+    met = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= 20))
+    pairs = saved(met.select("a", "b").distinct(), "pairs")
+    full = reps.select("fp", "wide")
+    both = pairs.join(full.toDF("a", "wa"), "a").join(full.toDF("b", "wb"), "b")
+    near = both.filter(_differ("wa", "wb") <= most).select("a", "b")
+    crowded = attach_size(rows, sizes.filter(F.col("m") > LED))
+    held = saved(crowded.select("key", "fp", "m").join(full, "fp"), "crowded")
+    part = F.pmod(F.xxhash64("fp", "key"), F.ceil(F.col("m") / TOGETHER))
+    schema = "key long, a long, b long"
+    led = saved(held.groupBy("key", part.alias("part")).applyInPandas(_leaders(most, True), schema), "led")
+    leaders = led.filter("a = b").select("key", F.col("a").alias("fp")).join(full, "fp")
+    again = leaders.groupBy("key").applyInPandas(_leaders(most, False), schema)
+    edges = near.unionByName(led.filter("a != b").select("a", "b")).unionByName(again.select("a", "b")).distinct()
+    return _with_components(fps.select("doc_id", "fp"), reps.select("fp", "first_id", "n"), edges).select(
+        "doc_id", "component_id"
     )
-    return fps.join(groups, "fp").select("doc_id", "fp", "component_id")
+
+
+def attach_size(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of the crowded keys. Such a key holds more than LED rows, and its rows are split by the next grouping."""
+    return attach(rows, sizes.withColumn("n", F.col("m")), ["key"])
 
 
 def hex16(c):
