@@ -1 +1 @@
-
+"""Scalar functions: each takes and returns Columns."""

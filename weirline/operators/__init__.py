@@ -1 +1 @@
-
+"""Operators on DataFrames: columns, routing, merging, aggregating, reshaping, schemas."""

@@ -1 +1 @@
-
+"""Named operators, SQL over named tables, and the registered queries."""

@@ -1 +1 @@
-
+"""Log streams with Structured Streaming."""
