@@ -41,17 +41,11 @@ def ascii_lower(c):
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, upper, upper.lower()))
 
 
-def blocks_of(batches, names, most_rows: int, most_bytes: int):
-    """Lists of the named columns from Arrow batches, cut so that a block stays within rows and text bytes."""
-    for batch in batches:
-        columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
-        start, held = 0, 0
-        sizes = columns[-1].nbytes / max(1, len(batch))
-        step = max(1, min(most_rows, int(most_bytes / max(1.0, sizes))))
-        del held
-        while start < len(batch):
-            yield [c.slice(start, step).to_pylist() for c in columns]
-            start += step
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with a _ before it for as long as a column has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name = f"_{name}"
+    return name
 
 
 #: A key with more than this share of the rows is hot; fewer than HOT_SHARE keys can be.

@@ -244,4 +244,4 @@ def _scan_by_join(docs: DataFrame, bench: DataFrame, n: int, id_col: str, text_c
 def remove(docs: DataFrame, scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that ``scanned`` calls contaminated. A null id is never removed."""
     bad = scanned.filter("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col) == F.col("_bad"), "left_anti")
+    return docs.join(bad, docs[id_col] == bad["_bad"], "left_anti")

@@ -92,8 +92,8 @@ def _gram(rows: DataFrame, dim: int) -> np.ndarray:
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int, floor_: np.ndarray):
-    """(query row, candidate column) of up to k best of each row, ties to the smaller id, none below floor_."""
-    rows, cols = np.nonzero(scores >= floor_[:, None])
+    """(query row, candidate column) of up to k best of each row, ties to the smaller id, none below floor_ or a query itself."""
+    rows, cols = np.nonzero((scores >= floor_[:, None]) & (scores > -np.inf))
     if not len(rows):
         return rows, cols
     order = np.lexsort((ids[cols], -scores[rows, cols], rows))
