@@ -55,7 +55,7 @@ def planned(df: DataFrame, ops: list[Op], dialect: str = "lenient", clamp: bool
         return a.over(window) if window is not None else a
 
     pairs = [(o.op, c) for o in ops if o.op not in ("count", "keep") for c in chosen(df, o.columns)]
-    often = [c for _, c in pairs]
+    often = [c for _, c in pairs] + [c for o in ops if o.op == "keep" for c in chosen(df, o.columns)]
     out = [
         (c if often.count(c) == 1 else f"{op}_{c}", _value(op, F.col(f"`{c}`"), dialect, clamp, of)) for op, c in pairs
     ]
