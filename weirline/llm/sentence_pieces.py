@@ -24,7 +24,7 @@ LONGEST = 48  # characters of a word that goes through the matrices; longer ones
 WORDS = 1 << 15
 NONE = np.iinfo(np.int32).max
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-BLOCK_ROWS, BLOCK_BYTES = 500, 2 << 20
+BLOCK_ROWS, BLOCK_BYTES = 1000, 4 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -43,7 +43,7 @@ class Pieces:
         names = [self.model.id_to_piece(i) for i in range(n)]
         normal = [not (self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_byte(i)) for i in range(n)]
         self.id = {p: i for i, p in enumerate(names) if normal[i]}
-        self.byte = [self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        self.byte = np.array([self.model.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
         # symbols that are no pieces (single characters outside the vocabulary) come after the pieces
         self.size, self.extra, self.extra_names = n, {}, []
         rank = {i: r for r, i in enumerate(sorted(self.id.values(), key=lambda i: (-self.model.get_score(i), i)))}
@@ -246,11 +246,19 @@ def encode_batch(pieces: Pieces, texts: list, keys: list[int], dropout: float) -
             out[cells] = np.where(np.arange(w)[None] < n[:, None], final, -1)
     used = np.flatnonzero(out >= 0)
     ids, of = out[used], np.repeat(np.arange(len(texts)), sizes)[used]
-    strange = ids >= pieces.size
-    if strange.any():  # bytes of characters outside the vocabulary
-        spelled = [[i] if i < pieces.size else [pieces.byte[b] for b in chr(i - pieces.size).encode("utf-8", "surrogatepass")] for i in ids.tolist()]
-        of = np.repeat(of, [len(x) for x in spelled])
-        ids = np.array([i for x in spelled for i in x], np.int64)
+    strange = np.flatnonzero(ids >= pieces.size)
+    if len(strange):  # bytes of characters outside the vocabulary
+        points = ids[strange] - pieces.size
+        length = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        counts = np.ones(len(ids), np.int64)
+        counts[strange] = length
+        first = (np.cumsum(counts) - counts)[strange]
+        ids, of = np.repeat(ids, counts), np.repeat(of, counts)
+        lead = np.array([0, 0x00, 0xC0, 0xE0, 0xF0])
+        for k in range(4):  # UTF-8's k-th byte: a lead byte with the top bits, then six bits each
+            there = length > k
+            value = points[there] >> (6 * (length[there] - 1 - k))
+            ids[first[there] + k] = pieces.byte[lead[length[there]] | value if k == 0 else 0x80 | value & 0x3F]
     at = np.searchsorted(of, np.arange(len(texts) + 1))
     return [ids[a:b].astype(np.int32) for a, b in zip(at, at[1:])]
 
