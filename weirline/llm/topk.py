@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .common import saved
 
 ROWS, QUERIES = 4096, 1024
+#: Different dimensions up to which the longest block of each is broadcast.
+DIMENSIONS = 8
 
 
 def quantised(table: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -164,9 +166,10 @@ def top_k(
     q_blocks = saved(_blocks(asked, "q_block", QUERIES).withColumnsRenamed({"ids": "q_ids", "m": "q_m"}), "queries")
     q_blocks = q_blocks.drop("longest")
     # a first threshold from the longest block of each dimension: bounded rows, one pass
-    first = blocks.groupBy("dim").agg(F.max_by("block", F.struct("longest", "block")).alias("block"))
-    seeds = blocks.join(F.broadcast(first), ["dim", "block"], "left_semi")
-    asked_first = q_blocks.join(F.broadcast(seeds), "dim")
+    first = saved(blocks.groupBy("dim").agg(F.max_by("block", F.struct("longest", "block")).alias("block")), "first")
+    few = first.count() <= DIMENSIONS  # then the longest blocks are few enough to broadcast
+    seeds = blocks.join(F.broadcast(first) if few else first, ["dim", "block"], "left_semi")
+    asked_first = q_blocks.join(F.broadcast(seeds) if few else seeds, "dim")
     least = saved(asked_first.mapInPandas(_thresholds(k), "q_block long, least binary, reach double"), "thresholds")
     with_least = q_blocks.join(least, "q_block")
     # which blocks can still matter to which query blocks, by length alone, from numbers only
