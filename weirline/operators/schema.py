@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -127,16 +128,18 @@ def flat_names(schema: T.StructType) -> dict[str, str]:
             depth[k] += 1
 
 
-def discover_xml_schema(df: DataFrame, xml: str) -> T.StructType:
-    """The nested schema of all XML documents of a column: each document's own, merged over the distinct ones."""
-    from functools import reduce
+def discover_xml_schema(df: DataFrame, xml: str, most_shapes: int = 1000) -> T.StructType:
+    """The nested schema of all XML documents of a column.
 
-    # documents of one kind have few distinct shapes; each is described by an expression
-    sample = df.select(xml, F.expr(f"regexp_replace(`{xml}`, '>[^<]*<', '><')").alias("shape"))
-    one = sample.groupBy("shape").agg(F.min(xml).alias(xml)).select(xml)
-    found = [df.sparkSession.range(1).select(F.schema_of_xml(F.lit(r[0]))).first()[0] for r in one.limit(1000).collect()]
-    kinds = [T.StructType.fromDDL(f[len("STRUCT<") : -1]) for f in found]
-    return reduce(_merged, kinds)
+    Documents that differ in their texts alone have one shape; the schemas of the distinct shapes are
+    merged. More than ``most_shapes`` of them is an error, as the column then holds no one kind of document.
+    """
+    shape = F.regexp_replace(F.col(xml), ">[^<]*<", "><")
+    one = df.groupBy(shape.alias("shape")).agg(F.min(xml).alias(xml)).select(xml).limit(most_shapes + 1).collect()
+    if len(one) > most_shapes:
+        raise ValueError(f"more than {most_shapes} shapes of document")
+    found = [df.sparkSession.range(1).select(F.schema_of_xml(F.lit(r[0]))).first()[0] for r in one]
+    return reduce(_merged, [T.StructType.fromDDL(f[len("STRUCT<") : -1]) for f in found])
 
 
 def _merged(a, b):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates
-from ..operators import reshape, routing, schema
+from ..operators import columns, reshape, routing, schema
 from ..sources import files, sinks
 from ..streaming import logs
 from .queries_tables import t, timed
@@ -241,6 +241,14 @@ def file_head_tail(spark, d):
     )
 
 
+@query("SELECT n_nationkey, 'nation' AS kind FROM nation")
+def fn_first_line_values(spark, d):
+    path = scratch_path(spark, "first")
+    t(spark, d, "region").agg(F.concat(F.lit("nation,"), F.count(F.lit(1)).cast("string")).alias("value")).write.text(path)
+    values = files.first_line_values(spark, path).select(F.col("values")[0])
+    return columns.with_globals(t(spark, d, "nation").select("n_nationkey"), {"kind": values})
+
+
 @query("SELECT count(*) AS n, true AS fits FROM nation")
 def generate_rows(spark, d):
     """As many rows as the nations, for their schema."""

@@ -202,6 +202,12 @@ def file_head_tail(spark: SparkSession, path, head: int, tail: int) -> DataFrame
     )
 
 
+def first_line_values(spark: SparkSession, path, delimiter: str = ",") -> DataFrame:
+    """(values): the fields of a file's first line, one row that can be broadcast to every other."""
+    first = spark.read.text(path).limit(1)
+    return first.select(F.split("value", re.escape(delimiter)).alias("values"))
+
+
 def jdbc_extract(spark: SparkSession, url: str, queries: dict[str, str], fetchsize: int = 1000, **options) -> dict[str, DataFrame]:
     """The result of each SELECT on a JDBC source, by name."""
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize).options(**options)
