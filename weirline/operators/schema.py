@@ -131,11 +131,20 @@ def flat_names(schema: T.StructType) -> dict[str, str]:
 def discover_xml_schema(df: DataFrame, xml: str, most_shapes: int = 1000) -> T.StructType:
     """The nested schema of all XML documents of a column.
 
-    Documents that differ in their texts alone have one shape; the schemas of the distinct shapes are
-    merged. More than ``most_shapes`` of them is an error, as the column then holds no one kind of document.
+    A document's shape is the document with each value replaced by one of its kind (a whole number, a
+    number, a text) and repeats of equal siblings left out. Shapes are found in one distributed
+    pass; the schemas of the distinct ones are merged. More than ``most_shapes`` is an error, as
+    the column then holds no one kind of document.
     """
-    shape = F.regexp_replace(F.col(xml), ">[^<]*<", "><")
-    one = df.groupBy(shape.alias("shape")).agg(F.min(xml).alias(xml)).select(xml).limit(most_shapes + 1).collect()
+    shape = F.col(xml)
+    for before, after in ((">", "<"), ('="', '"'), ("='", "'")):
+        end = after[0]
+        for value, kind in ((r"\s*-?[0-9]{1,18}\s*", "1"), (r"\s*-?[0-9]*[.][0-9]+\s*", "1.5"), (rf"[^<{end}]*[^<{end}\s][^<{end}]*", "x")):
+            # a value already replaced is no text
+            plain = rf"(?!1{end}|1[.]5{end}|x{end})" if kind == "x" else ""
+            shape = F.regexp_replace(shape, f"{before}{plain}{value}{after}", f"{before}{kind}{after}")
+    shape = F.regexp_replace(shape, r"(?s)(<(\w+)\b[^>]*>(?:(?!</?\2\b).)*</\2>)(\s*\1)+", "$1$1")
+    one = df.select(shape.alias("shape")).distinct().limit(most_shapes + 1).collect()
     if len(one) > most_shapes:
         raise ValueError(f"more than {most_shapes} shapes of document")
     found = [df.sparkSession.range(1).select(F.schema_of_xml(F.lit(r[0]))).first()[0] for r in one]
