@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, saved
+from .common import ascii_lower, attach, saved, unused
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -28,7 +28,7 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def common_lines(lines: DataFrame, min_docs: int) -> DataFrame:
-    """(h1, h2, keep_doc) of each line hash found in at least ``min_docs`` distinct documents."""
+    """(h1, h2, n_docs, keep_doc) of each line hash found in at least ``min_docs`` distinct documents."""
     spread = lines.select("h1", "h2", "doc_id", "pos").repartitionByRange("h1", "h2", "doc_id")
     streamed = spread.sortWithinPartitions("h1", "h2", "doc_id", "pos")
     # the first occurrence in each document; then what each partition saw of the line, then their sum
@@ -37,7 +37,6 @@ def common_lines(lines: DataFrame, min_docs: int) -> DataFrame:
         firsts.groupBy("h1", "h2")
         .agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keep_doc"))
         .filter(F.col("n_docs") >= min_docs)
-        .select("h1", "h2", "keep_doc")
     )
 
 
@@ -66,8 +65,8 @@ def keep_bitmaps(
         "doc_id", "text_hash", "pos", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2")
     )
     lines = saved(hashed, "lines")
-    common = common_lines(lines, min_docs)
-    lost = lines.join(common, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))
+    common = saved(common_lines(lines, min_docs), "common")
+    lost = attach(lines, common, ["h1", "h2"], "n_docs").filter(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))
     per_doc = lost.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     edges = per_doc.withColumns(
         {
@@ -81,27 +80,28 @@ def keep_bitmaps(
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped`` added; the other columns stay as they are."""
+    id_, hash_, gaps, dropped, lines = (unused(docs, n) for n in ("bm_id", "bm_hash", "bm_gaps", "bm_dropped", "bm_lines"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     marks = bitmaps.select(
-        F.col("doc_id").alias("_bm_id"), F.col("text_hash").alias("_bm_hash"), "dropped", F.col("gaps").alias("_bm_gaps")
+        F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("dropped").alias(dropped), F.col("gaps").alias(gaps)
     )
     joined = docs.join(
-        marks, F.col(id_col).eqNullSafe(F.col("_bm_id")) & (F.xxhash64(text) == F.col("_bm_hash")), "left"
-    ).withColumn("_bm_lines", _lines(F.col(text_col)))
+        marks, F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_)), "left"
+    ).withColumn(lines, _lines(F.col(text_col)))
     # the stretch of lines before each gap, and after the last one
     stretches = F.expr(
-        """
-        flatten(transform(sequence(0, size(_bm_gaps)), k -> slice(_bm_lines,
-          coalesce(get(_bm_gaps, k - 1).start + get(_bm_gaps, k - 1).length, 0) + 1,
-          coalesce(get(_bm_gaps, k).start, size(_bm_lines))
-            - coalesce(get(_bm_gaps, k - 1).start + get(_bm_gaps, k - 1).length, 0))))
+        f"""
+        flatten(transform(sequence(0, size({gaps})), k -> slice({lines},
+          coalesce(get({gaps}, k - 1).start + get({gaps}, k - 1).length, 0) + 1,
+          coalesce(get({gaps}, k).start, size({lines}))
+            - coalesce(get({gaps}, k - 1).start + get({gaps}, k - 1).length, 0))))
         """
     )
     return (
-        joined.withColumn("kept_text", F.when(F.col("_bm_gaps").isNull(), text).otherwise(F.array_join(stretches, "\n")))
-        .withColumn("n_lines", F.size("_bm_lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce("dropped", F.lit(0).cast("long")))
-        .drop("_bm_id", "_bm_hash", "_bm_gaps", "_bm_lines", "dropped")
+        joined.withColumn("kept_text", F.when(F.col(gaps).isNull(), text).otherwise(F.array_join(stretches, "\n")))
+        .withColumn("n_lines", F.size(lines).cast("long"))
+        .withColumn("n_dropped", F.coalesce(dropped, F.lit(0).cast("long")))
+        .drop(id_, hash_, gaps, dropped, lines)
     )
 
 
