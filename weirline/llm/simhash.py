@@ -156,7 +156,7 @@ def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame) -> DataF
         ),
         "groups",
     )
-    return fps.join(groups.drop("n"), "fp")
+    return attach(fps, groups, ["fp"])
 
 
 #: The wide fingerprint of near_copies(): blocks of bits, any one of which two near copies share.
