@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import attach, saved
 
 #: Units in a shard; what is packed on the driver is at most about twice this for each shard and one for each task.
 UNITS = 256
@@ -106,7 +106,7 @@ def _unit_packer(capacity: int):
         bins, opened, task = Bins(), 0, None
         for b in batches:
             out = []
-            task = b.column(3)[0].as_py() if task is None and len(b) else task
+            task = b.column(4)[0].as_py() if task is None and len(b) else task
             for size in b.column(2).to_pylist():
                 found = bins.take(size)
                 if found is None:
@@ -115,7 +115,8 @@ def _unit_packer(capacity: int):
                     bins.put(found[0] - size, found[1])
                 out.append(f"{task}-{found[1]}")
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(out, pa.string())], names=["h1", "h2", "bytes", "unit"]
+                [b.column(0), b.column(1), b.column(2), b.column(3), pa.array(out, pa.string())],
+                names=["h1", "h2", "bytes", "n", "unit"],
             )
 
     return run
@@ -139,7 +140,7 @@ def assign(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col:
         ),
         "rows",
     )
-    groups = saved(rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes")), "groups")
+    groups = saved(rows.groupBy("h1", "h2").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")), "groups")
     total = groups.agg(F.sum("bytes")).first()[0] or 0
     capacity = max(1, total // (shards * UNITS))
     large = groups.filter(F.col("bytes") > capacity).withColumn("unit", F.concat_ws("_", "h1", "h2"))
@@ -148,14 +149,14 @@ def assign(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col:
         .repartition("h1")
         .sortWithinPartitions(F.desc("bytes"), "h1", "h2")
         .withColumn("task", F.spark_partition_id())
-        .mapInArrow(_unit_packer(capacity), "h1 long, h2 long, bytes long, unit string")
+        .mapInArrow(_unit_packer(capacity), "h1 long, h2 long, bytes long, n long, unit string")
     )
     packed = saved(large.unionByName(small), "units")
     # at most shards * UNITS * 2 units over half full, and one more for each task
     units = [(r[1], r[0]) for r in packed.groupBy("unit").agg(F.sum("bytes")).collect()]
     place = docs.sparkSession.createDataFrame(list(pack(units, shards).items()), "unit string, shard int")
-    placed = packed.join(F.broadcast(place), "unit").select("h1", "h2", "shard")
-    dealt = rows.join(placed, ["h1", "h2"]).select("doc_id", "size", "text_crc32", "shard")
+    placed = saved(packed.join(F.broadcast(place), "unit").select("h1", "h2", "n", "shard"), "placed")
+    dealt = attach(rows, placed, ["h1", "h2"]).select("doc_id", "size", "text_crc32", "shard")
     return number(dealt)
 
 
