@@ -101,14 +101,14 @@ def skip_header(spark, d):
     return files.skip_header(spark, [with_, without], ["k", "name"], lambda p: "headed" in p)
 
 
-@query("SELECT DISTINCT conv_id, turn AS pos FROM conversations WHERE conv_id IN (SELECT conv_id FROM conversations GROUP BY 1)")
+@query("SELECT DISTINCT conv_id, turn AS pos FROM conversations")
 def scan_whole_file(spark, d):
     path = scratch_path(spark, "whole")
     lines = F.transform(
         F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: F.concat_ws(" ", x["turn"].cast("string"), x["role"])
     )
     by = t(spark, d, "conversations").dropDuplicates(["conv_id", "turn"]).groupBy("conv_id").agg(F.array_join(lines, "\n").alias("value"))
-    bucket = by.groupBy(F.pmod("conv_id", F.lit(64)).alias("b")).agg(
+    bucket = by.groupBy(F.floor(F.col("conv_id") / 200).alias("b")).agg(
         F.array_join(F.collect_list(F.concat(F.lit("#"), F.col("conv_id").cast("string"), F.lit("\n"), "value")), "\n").alias("value")
     )
     bucket.repartition(16, "b").select("value", "b").write.partitionBy("b").text(path)
@@ -145,9 +145,9 @@ def _xml_orders(spark, d):
 
 
 def _xml_batches(spark, d):
-    """The orders' documents in a few files, each with one root."""
+    """The orders' documents in files of a bounded number each, with one root."""
     path = scratch_path(spark, "batches")
-    rows = _xml_orders(spark, d).withColumn("b", F.col("l_orderkey") % 8)
+    rows = _xml_orders(spark, d).withColumn("b", F.floor(F.col("l_orderkey") / 4000))
     body = rows.groupBy("b").agg(F.array_join(F.collect_list("xml"), "\n").alias("body"))
     whole = F.concat(F.lit('<batch name="b'), F.col("b").cast("string"), F.lit('">\n'), "body", F.lit("\n</batch>"))
     body.select("b", whole.alias("value")).write.partitionBy("b").text(path)
@@ -160,7 +160,7 @@ def scan_xml_elements(spark, d):
     return found.select(F.col("_no").alias("no"), "part", "flag")
 
 
-@query("SELECT l_linenumber AS no, l_partkey AS part, l_returnflag AS flag, 'b' || l_orderkey % 8 AS batch FROM lineitem")
+@query("SELECT l_linenumber AS no, l_partkey AS part, l_returnflag AS flag, 'b' || l_orderkey // 4000 AS batch FROM lineitem")
 def scan_xml_rows(spark, d):
     found = files.scan_xml_rows(spark, _xml_batches(spark, d), "item", "batch", ["name"], ITEM)
     return found.select(F.col("_no").alias("no"), "part", "flag", F.col("name").alias("batch"))
@@ -215,6 +215,7 @@ def unpack_archives(spark, d):
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey > 0")
 def jdbc_extract(spark, d):
+    """Here the database is Derby in the driver's JVM, so this one runs in local mode only; elsewhere the URL names a server."""
     url = "jdbc:derby:memory:weirline;create=true"
     t(spark, d, "nation").write.format("jdbc").options(url=url, dbtable="nation_copy", createTableColumnTypes="n_name varchar(40)").mode("overwrite").save()
     select = "SELECT n_nationkey, n_name FROM nation_copy WHERE n_regionkey > 0"
