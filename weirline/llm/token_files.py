@@ -23,168 +23,203 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BLOCK = 4096  # ids in a block
-LANES = 2048  # blocks coded side by side
+LANES = 4096  # blocks coded side by side
 CHUNK_IDS = 1 << 23  # ids after which a chunk ends with its document
 SLOTS = 11  # bits of a prediction table's index
-STATES = 8  # confidence of a prediction
-RENEW = 32  # steps between renewals of the order-0 sums
+TRUST = 4  # bits of the confidence in a prediction
+RENEW, GAIN = 32, 12  # steps between renewals of the order-0 sums, and what an id adds to them
 U = np.uint64
-TOP, WORD = U(1 << 32), U(16)
+TOP, WORD, LOW32 = U(1 << 32), U(16), U(0xFFFFFFFF)
 HEAD = np.dtype([("n", "<u4"), ("crc", "<u4"), ("words", "<u4")])
 
-SQUASH = np.array([min(4094, max(1, round(4096 / (1 + math.exp(-d / 256))))) for d in range(-2048, 2048)], np.int64)
-STRETCH = np.clip(
-    np.array([round(256 * math.log((p + 0.5) / (4095.5 - p))) for p in range(4096)], np.int64), -2047, 2047
-)
+#: A logistic in fixed point, out of 4096, for -2048 to 2047 in units of 1/256.
+SQUASH = np.array([min(4094, max(1, round(4096 / (1 + math.exp(-d / 256))))) for d in range(-2048, 2048)], np.int32)
+#: What a confidence says for its prediction: its logistic input, and a frequency out of 2**16.
+FOR = np.array([round(256 * (-2.5 + 5.5 * k / 15)) if k else -2000 for k in range(16)], np.int32)
+SHARE = np.array([round(65536 / (1 + math.exp(-f / 256))) if f > -2000 else 64 for f in FOR.tolist()], np.int32)
 
 
 class Model:
-    """The adaptive state of all lanes; encoder and decoder drive it alike."""
+    """The adaptive state of all lanes; encoder and decoder drive it alike.
+
+    A table's entry is an id and the confidence in it. The order-2 and order-1 confidences, the latter
+    against the former unless they name the same id, and a constant are mixed with weights that
+    follow the error.
+    """
 
     def __init__(self, lanes: int, low_bits: int):
-        self.lane = np.arange(lanes)
-        self.low_bits = low_bits
+        self.lanes, self.low_bits, self.t = lanes, low_bits, 0
+        self.row = np.arange(lanes, dtype=np.int64) << SLOTS
         self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.guess = [np.full(lanes << SLOTS, -1, np.int32) for _ in range(2)]
-        self.trust = [np.zeros(lanes << SLOTS, np.uint8) for _ in range(2)]
-        self.hit = [np.full(lanes * STATES, 1 << 14, np.int64) for _ in range(2)]
-        self.weight = np.full((2, lanes * 2), 40_000, np.int64)
-        self.counts = np.ones((lanes, 256), np.int64)
-        self.t = 0
+        self.tables = [np.full(lanes << SLOTS, -16, np.int32) for _ in range(2)]
+        self.weights = np.tile(np.array([[45_000], [30_000], [0]], np.int32), (1, lanes))
+        self.counts = np.ones(lanes * 256, np.int32)
+        self.group_row = np.arange(lanes, dtype=np.int64) << 8
 
     def predict(self):
-        """Candidates of order 2 and 1 with their frequencies out of 2**16; the rest is the escape's."""
-        self.at = [
-            (self.lane << SLOTS) + ((self.one * 0x2F0B4C47 + self.two * 0x1D8AF067) >> 13 & (1 << SLOTS) - 1),
-            (self.lane << SLOTS) + ((self.one * 0x2F0B4C47) >> 11 & (1 << SLOTS) - 1),
-        ]
-        self.a, self.b = self.guess[0][self.at[0]], self.guess[1][self.at[1]]
-        self.state = [self.lane * STATES + self.trust[k][self.at[k]] for k in range(2)]
-        pa_, self.pb = self.hit[0][self.state[0]], self.hit[1][self.state[1]]
+        """Frequencies out of 2**16 of the ids that order 2 and order 1 predict; the rest is the escape's."""
+        one = self.one * 0x2F0B4C47
+        self.at = (
+            self.row + ((one + self.two * 0x1D8AF067) >> 13 & (1 << SLOTS) - 1),
+            self.row + (one >> 11 & (1 << SLOTS) - 1),
+        )
+        x, y = self.entries = self.tables[0].take(self.at[0]), self.tables[1].take(self.at[1])
+        self.a, self.b = x >> TRUST, y >> TRUST
         self.agree = self.a == self.b
-        self.s0, s1 = STRETCH[pa_ >> 4], STRETCH[self.pb >> 4]
+        v = y & 15
+        self.s0, s1 = FOR.take(x & 15), FOR.take(v)
         self.s1 = np.where(self.agree, s1, -s1)
-        self.set = self.lane * 2 + self.agree
-        dot = (self.weight[0][self.set] * self.s0 + self.weight[1][self.set] * self.s1) >> 16
-        self.p = SQUASH[np.minimum(np.maximum(dot, -2048), 2047) + 2048]
-        fa = self.p << 4
-        fb = np.where(self.agree, 0, np.maximum(1, ((1 << 16) - fa) * self.pb >> 16))
-        fb = np.minimum(fb, (1 << 16) - fa - 1)
+        w = self.weights
+        dot = (w[0] * self.s0.astype(np.int64) + w[1] * self.s1.astype(np.int64)) >> 16
+        self.p = SQUASH.take(np.minimum(np.maximum(dot + (w[2] >> 8), -2048), 2047) + 2048)
+        fa = self.p.astype(np.int64) << 4
+        rest = 65536 - fa
+        fb = (rest - 2) * SHARE.take(v) >> 16
+        fb += fb == 0
+        fb[self.agree] = 0
         return fa, fb
 
-    def groups(self):
-        """Cumulative order-0 counts of the groups of ids, renewed now and then."""
+    def groups(self) -> tuple[np.ndarray, int]:
+        """Cumulative order-0 counts of the groups of ids, a row for each lane, and their total, which is the same in all."""
         if self.t % RENEW == 0:
-            heavy = self.counts.sum(axis=1) > 60_000
-            if heavy.any():
-                self.counts[heavy] = (self.counts[heavy] + 1) >> 1
-            self.sums = np.zeros((len(self.lane), 257), np.int64)
-            np.cumsum(self.counts, axis=1, out=self.sums[:, 1:])
-        return self.sums
+            self.sums = np.zeros((self.lanes, 257), np.int64)
+            np.cumsum(self.counts.reshape(self.lanes, 256), axis=1, out=self.sums[:, 1:])
+            self.flat, self.total = self.sums.ravel(), 256 + GAIN * self.t
+        return self.flat, self.total
 
     def update(self, ids: np.ndarray):
-        hits = (self.a == ids, self.b == ids)
-        error = (hits[0].astype(np.int64) << 12) - self.p
-        self.weight[0][self.set] += self.s0 * error >> 10
-        self.weight[1][self.set] += self.s1 * error >> 10
-        for k in range(2):
-            own, at = self.state[k], self.at[k]
-            p = self.hit[k][own]
-            self.hit[k][own] = np.minimum(np.maximum(p + ((hits[k].astype(np.int64) << 16) - p >> 5), 64), 65_000)
-            trust = self.trust[k][at]
-            new = np.where(hits[k], np.minimum(trust + 1, STATES - 1), trust >> 1).astype(np.uint8)
-            lost = ~hits[k] & (new == 0)
-            self.guess[k][at] = np.where(lost, ids, self.guess[k][at])
-            self.trust[k][at] = new
-        self.counts[self.lane, ids >> self.low_bits] += 24
+        small = ids.astype(np.int32)
+        hit = self.a == small
+        error = (hit.astype(np.int32) << 12) - self.p
+        w = self.weights
+        w[0] += self.s0 * error >> 10
+        w[1] += self.s1 * error >> 10
+        w[2] += error * 2
+        for table, at, entry, right in zip(self.tables, self.at, self.entries, (hit, self.b == small)):
+            trust = entry & 15
+            # right: more confidence; wrong: half of it, and without any the id that came instead
+            wrong = np.where(trust < 2, small << TRUST | 1, entry - trust + (trust >> 1))
+            table[at] = np.where(right, entry + (trust < 15), wrong)
+        self.counts[self.group_row + (ids >> self.low_bits)] += GAIN
         self.two, self.one = self.one, ids
         self.t += 1
 
 
 class Encoder:
+    """A range coder of 48 bits for each lane, 16-bit words out; carries are added in at the end."""
+
     def __init__(self, lanes: int, most: int):
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, 1 << 48, U)
-        self.out, self.n = np.zeros((lanes, 3 * most + 4), np.uint32), np.zeros(lanes, np.int64)
-
-    def put(self, lane, start, freq, total):
-        r = self.range[lane] // total
-        low, range_ = self.low[lane] + start.astype(U) * r, freq.astype(U) * r
-        small = np.flatnonzero(range_ < TOP)
-        while len(small):
-            due, l = lane[small], low[small]
-            at = self.n[due]
-            self.out[due, at] = l >> U(32)  # 17 bits: the top one is a carry
-            self.n[due] = at + 1
-            low[small] = (l & U(0xFFFFFFFF)) << WORD
-            range_[small] <<= WORD
-            small = small[range_[small] < TOP]
-        self.low[lane], self.range[lane] = low, range_
+        self.width = 3 * most + 4
+        self.out, self.n = np.zeros(lanes * self.width, np.uint32), np.arange(lanes, dtype=np.int64) * self.width
+
+    def put_all(self, start, freq):
+        """A symbol out of 2**16 in every lane."""
+        r = self.range >> WORD
+        self.low += start.astype(U) * r
+        self.range = freq.astype(U) * r
+        self._emit(np.flatnonzero(self.range < TOP))
+
+    def put(self, lane, start, freq, total: int):
+        r = self.range[lane] // U(total)
+        self.low[lane] += start.astype(U) * r
+        self.range[lane] = freq.astype(U) * r
+        self._emit(lane)
+
+    def _emit(self, lane):
+        while True:
+            now = self.range[lane]
+            due = now < TOP
+            if not due.any():
+                return
+            lane, now = lane[due], now[due]
+            low, at = self.low[lane], self.n[lane]
+            self.out[at] = low >> U(32)  # 17 bits: the top one is a carry
+            self.n[lane] = at + 1
+            self.low[lane] = (low & LOW32) << WORD
+            self.range[lane] = now << WORD
 
     def finish(self) -> list[bytes]:
-        lane = np.arange(len(self.n))
         for shift in (32, 16, 0):
-            self.out[lane, self.n] = ((self.low >> U(shift)) & U(0x1FFFF if shift == 32 else 0xFFFF)).astype(np.uint32)
+            self.out[self.n] = (self.low >> U(shift)) & U(0x1FFFF if shift == 32 else 0xFFFF)
             self.n += 1
-        carry = np.zeros(len(self.n), np.uint32)
-        for k in range(int(self.n.max()) - 1, -1, -1):
-            v = self.out[:, k] + carry
-            carry, self.out[:, k] = v >> 16, v & 0xFFFF
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.out, self.n)]
+        out = self.out.reshape(-1, self.width)
+        sizes = self.n - np.arange(len(self.n)) * self.width
+        out = out[:, : int(sizes.max())]
+        while (out >> 16).any():  # a carry runs on only through words that are full
+            carry = out >> 16
+            out &= 0xFFFF
+            out[:, :-1] += carry[:, 1:]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, sizes)]
 
 
 class Decoder:
     def __init__(self, words: list[np.ndarray]):
-        most = max(len(w) for w in words) + 4
-        self.words = np.zeros((len(words), most), np.uint16)
+        width = max(len(w) for w in words) + 4
+        held = np.zeros((len(words), width), np.uint16)
         for k, w in enumerate(words):
-            self.words[k, : len(w)] = w
-        w = self.words[:, :3].astype(U)
-        self.code = w[:, 0] << U(32) | w[:, 1] << U(16) | w[:, 2]
-        self.range, self.n = np.full(len(words), 1 << 48, U), np.full(len(words), 3, np.int64)
-
-    def slot(self, lane, total):
-        self.r = self.range[lane] // total
-        return np.minimum(self.code[lane] // self.r, total - U(1)).astype(np.int64)
+            held[k, : len(w)] = w
+        first = held[:, :3].astype(U)
+        self.code = first[:, 0] << U(32) | first[:, 1] << U(16) | first[:, 2]
+        self.words, self.range = held.ravel(), np.full(len(words), 1 << 48, U)
+        self.n = np.arange(len(words), dtype=np.int64) * width + 3
+        self.last = self.n + (width - 4)
+
+    def slot_all(self):
+        self.r = self.range >> WORD
+        return np.minimum(self.code // self.r, U(0xFFFF)).astype(np.int64)
+
+    def take_all(self, start, freq):
+        self.code -= start.astype(U) * self.r
+        self.range = freq.astype(U) * self.r
+        self._fill(np.flatnonzero(self.range < TOP))
+
+    def slot(self, lane, total: int):
+        self.r = self.range[lane] // U(total)
+        return np.minimum(self.code[lane] // self.r, U(total - 1)).astype(np.int64)
 
     def take(self, lane, start, freq):
-        code, range_ = self.code[lane] - start.astype(U) * self.r, freq.astype(U) * self.r
-        small = np.flatnonzero(range_ < TOP)
-        while len(small):
-            due = lane[small]
-            at = self.n[due]
-            code[small] = code[small] << WORD | self.words[due, np.minimum(at, self.words.shape[1] - 1)]
-            self.n[due] = at + 1
-            range_[small] <<= WORD
-            small = small[range_[small] < TOP]
-        self.code[lane], self.range[lane] = code, range_
-
-
-FULL = U(1 << 16)
+        self.code[lane] -= start.astype(U) * self.r
+        self.range[lane] = freq.astype(U) * self.r
+        self._fill(lane)
+
+    def _fill(self, lane):
+        while True:
+            now = self.range[lane]
+            due = now < TOP
+            if not due.any():
+                return
+            lane, now = lane[due], now[due]
+            at = self.n[lane]
+            self.code[lane] = self.code[lane] << WORD | self.words[np.minimum(at, self.last[lane])]
+            self.n[lane] = at + 1
+            self.range[lane] = now << WORD
 
 
 def _encode_lanes(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
     most = max(len(b) for b in blocks)
-    ids = np.zeros((len(blocks), most), np.int64)
+    ids = np.zeros((most, len(blocks)), np.int64)
     for k, b in enumerate(blocks):
-        ids[k, : len(b)] = b
+        ids[: len(b), k] = b
     model, coder = Model(len(blocks), low_bits), Encoder(len(blocks), most)
-    for t in range(most):
-        now = ids[:, t]
+    for now in ids:
         fa, fb = model.predict()
-        sums = model.groups()
-        is_a, is_b = model.a == now, (model.b == now) & ~model.agree & (fb > 0)
-        start = np.where(is_a, 0, np.where(is_b, fa, fa + fb))
-        freq = np.where(is_a, fa, np.where(is_b, fb, (1 << 16) - fa - fb))
-        coder.put(model.lane, start, freq, FULL)
-        rest = np.flatnonzero(~is_a & ~is_b)
+        sums, total = model.groups()
+        is_a = model.a == now
+        is_b = (model.b == now) & ~is_a
+        start = np.where(is_a, 0, fa)
+        freq = np.where(is_a, fa, fb)
+        rest = np.flatnonzero(~(is_a | is_b))
+        start[rest] += fb[rest]
+        freq[rest] = 65536 - start[rest]
+        coder.put_all(start, freq)
         if len(rest):
-            value = now[rest]
-            group = value >> low_bits
-            first = sums[rest, group]
             # the group by its count, and within it every id alike
-            start = first << low_bits
-            each = sums[rest, group + 1] - first
-            coder.put(rest, start + (value & (1 << low_bits) - 1) * each, each, (sums[rest, 256] << low_bits).astype(U))
+            value = now[rest]
+            at = rest * 257 + (value >> low_bits)
+            first = sums[at]
+            each = sums[at + 1] - first
+            coder.put(rest, (first << low_bits) + (value & (1 << low_bits) - 1) * each, each, total << low_bits)
         model.update(now)
     return coder.finish()
 
@@ -192,31 +227,35 @@ def _encode_lanes(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
 def _decode_lanes(words: list[np.ndarray], lengths: list[int], low_bits: int) -> list[np.ndarray]:
     most = max(lengths)
     model, coder = Model(len(words), low_bits), Decoder(words)
-    out = np.zeros((len(words), most), np.int64)
+    out = np.zeros((most, len(words)), np.int64)
     for t in range(most):
         fa, fb = model.predict()
-        sums = model.groups()
-        slot = coder.slot(model.lane, FULL)
+        sums, total = model.groups()
+        slot = coder.slot_all()
         is_a = slot < fa
-        is_b = ~is_a & (slot < fa + fb)
-        start = np.where(is_a, 0, np.where(is_b, fa, fa + fb))
-        freq = np.where(is_a, fa, np.where(is_b, fb, (1 << 16) - fa - fb))
-        coder.take(model.lane, start, freq)
+        both = fa + fb
+        in_rest = slot >= both
+        start = np.where(is_a, 0, fa)
+        freq = np.where(is_a, fa, fb)
+        rest = np.flatnonzero(in_rest)
+        start[rest] = both[rest]
+        freq[rest] = 65536 - both[rest]
+        coder.take_all(start, freq)
         now = np.where(is_a, model.a, model.b).astype(np.int64)
-        rest = np.flatnonzero(~is_a & ~is_b)
         if len(rest):
-            slot = coder.slot(rest, (sums[rest, 256] << low_bits).astype(U))
-            group = np.zeros(len(rest), np.int64)
+            slot = coder.slot(rest, total << low_bits)
+            row = rest * 257
+            at, want = row.copy(), slot >> low_bits
             for step in (128, 64, 32, 16, 8, 4, 2, 1):
-                group += step * (sums[rest, group + step] << low_bits <= slot)
-            first = sums[rest, group]
-            each = sums[rest, group + 1] - first
+                at += step * (sums[at + step] <= want)
+            first = sums[at]
+            each = sums[at + 1] - first
             low = (slot - (first << low_bits)) // each
             coder.take(rest, (first << low_bits) + low * each, each)
-            now[rest] = group << low_bits | low
-        out[:, t] = now
+            now[rest] = (at - row) << low_bits | low
+        out[t] = now
         model.update(now)
-    return [row[:n] for row, n in zip(out, lengths)]
+    return [out[:n, k] for k, n in enumerate(lengths)]
 
 
 def encode_ids(ids: np.ndarray, id_bits: int = 16) -> bytes:
