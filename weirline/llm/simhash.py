@@ -164,6 +164,8 @@ BLOCKS, BLOCK_BITS = 32, 20
 WIDE = BLOCKS * BLOCK_BITS
 #: Members of a block's bucket up to which all meet; larger buckets go by leaders, so many members at a time.
 LED, TOGETHER = 48, 1000
+#: Crowded buckets up to which their keys are broadcast.
+CROWDED = 500_000
 
 
 def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
@@ -256,8 +258,9 @@ def near_copies(
         "reps",
     )
     rows = reps.select("fp", F.get("wide", F.lit(0)).alias("head"), F.explode("keys").alias("key"))
-    sizes = saved(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "sizes")
-    small = rows.join(sizes.filter(F.col("m") <= LED), "key").select("key", "fp", "head")
+    sizes = saved(rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > LED), "sizes")
+    keys = F.broadcast(sizes.select("key")) if sizes.count() <= CROWDED else sizes.select("key")
+    small = rows.join(keys, "key", "left_anti")
     a = small.select("key", F.col("fp").alias("a"), F.col("head").alias("ha"))
     b = small.select("key", F.col("fp").alias("b"), F.col("head").alias("hb"))
     # a third of the bits of the first word: what random texts almost never keep under, near copies almost always
@@ -266,7 +269,7 @@ def near_copies(
     full = reps.select("fp", "wide")
     both = pairs.join(full.toDF("a", "wa"), "a").join(full.toDF("b", "wb"), "b")
     near = both.filter(_differ("wa", "wb") <= most).select("a", "b")
-    crowded = attach_size(rows, sizes.filter(F.col("m") > LED))
+    crowded = attach(rows, sizes.withColumn("n", F.col("m")), ["key"])
     held = saved(crowded.select("key", "fp", "m").join(full, "fp"), "crowded")
     part = F.pmod(F.xxhash64("fp", "key"), F.ceil(F.col("m") / TOGETHER))
     schema = "key long, a long, b long"
@@ -279,10 +282,5 @@ def near_copies(
     )
 
 
-def attach_size(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows of the crowded keys. Such a key holds more than LED rows, and its rows are split by the next grouping."""
-    return attach(rows, sizes.withColumn("n", F.col("m")), ["key"])
-
-
 def hex16(c):
     return F.lower(F.lpad(F.hex(c), 16, "0"))
