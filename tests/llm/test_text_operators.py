@@ -177,6 +177,46 @@ def test_near_copies(spark):
     assert sorted((r.doc_id, r.component_id) for r in nasty) == [(k, 0 if k < 3 else k) for k in range(len(NASTY))]
 
 
+def near_copy_groups(texts, limit=0.8, n=5):
+    """Components of all pairs whose sets of shingles are similar enough, by brute force; the first text names its group."""
+    sets = []
+    for t in texts:
+        w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").split()
+        sets.append({" ".join(w[k : k + n]) for k in range(max(1, len(w) - n + 1))} if w else set())
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for b, y in enumerate(sets):
+        for a, x in enumerate(sets[:b]):
+            if 5 * len(x & y) >= 4 * len(x | y):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(k) for k in range(len(texts))]
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for at in rng.sample(range(len(out)), edits):
+        out[at] = f"edit{rng.randrange(10**9)}"
+    return " ".join(out)
+
+
+def test_near_copies_are_exact_around_the_limit(spark):
+    import random
+
+    rng = random.Random(3)
+    texts = []
+    for k in range(60):  # similarities of 0.7 to 0.9, most on either side of 0.8
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [" ".join(words), *(edited(rng, words, e) for e in range(3, 8))]
+    want = near_copy_groups(texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(documents(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == want and len(set(want)) > 60
+
+
 def test_sharding(spark):
     import random
 

@@ -13,9 +13,9 @@ import math
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -159,124 +159,94 @@ def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame) -> DataF
     return attach(fps, groups, ["fp"])
 
 
-#: The wide fingerprint of near_copies(): blocks of bits, any one of which two near copies share.
-BLOCKS, BLOCK_BITS = 32, 20
-WIDE = BLOCKS * BLOCK_BITS
-#: Members of a block's bucket up to which all meet; larger buckets go by leaders, so many members at a time.
-LED, TOGETHER = 48, 1000
-#: Crowded buckets up to which their keys are broadcast.
-CROWDED = 500_000
+#: Needed texts up to which their keys are broadcast.
+NEEDED = 500_000
+#: One text of so many is sampled for frequent shingles; of these so many, at most, go last in every prefix.
+SAMPLED, FREQUENT, MOST_FREQUENT = 8, 4, 1_000_000
+SLACK = 1e-6
 
 
-def wide_fingerprint(text: str | None, shingle: int = 5) -> np.ndarray:
-    """WIDE majority bits (bool) over the word shingles, WIDE / 64 mixed hashes of each; all False without words."""
+def gram_set(text: str | None, shingle: int = 5) -> np.ndarray:
+    """The distinct word shingles of a text as sorted 64-bit hashes; words as in fingerprint(), none without words."""
     words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    ones, total = np.zeros(WIDE, np.int64), 0
-    digest, lanes = xxhash.xxh64_digest, np.arange(1, WIDE // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    digest, parts = xxhash.xxh64_digest, []
     for at in range(0, max(1, len(words) - shingle + 1) if words else 0, CHUNK):
         part = words[at : at + CHUNK + shingle - 1]
         grams = zip(*(part[k:] for k in range(shingle))) if len(part) >= shingle else [part]
-        h = np.frombuffer(b"".join([digest(b" ".join(g)) for g in grams]), np.uint64)
-        for k in range(0, len(h), 255):
-            with np.errstate(over="ignore"):
-                x = h[k : k + 255, None] + lanes
-                x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-                x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-                x ^= x >> np.uint64(31)
-            bits = np.unpackbits(x.view(np.uint8).reshape(len(x), -1), axis=1)
-            ones += np.add.reduce(bits, axis=0, dtype=np.uint8)
-        total += len(h)
-    return 2 * ones > total
-
-
-def furthest(similarity: float) -> int:
-    """Differing bits out of WIDE expected at a Jaccard similarity: the angle of cosine 2s / (1 + s)."""
-    return round(WIDE * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def _differ(a, b):
-    """Differing bits of two wide fingerprints held as arrays of longs."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-
-
-def _leaders(most: int, emit_leaders: bool):
-    """Leader clustering of one part of a bucket: a member joins the first leader within ``most`` bits or leads itself."""
-
-    def run(frame):
-        frame = frame.sort_values("fp")
-        ids = frame["fp"].to_numpy(np.int64)
-        raw = np.array(frame["wide"].tolist(), np.int64).view(np.uint64)
-        led, lead = [], []
-        for k in range(len(ids)):
-            if lead:
-                near = np.flatnonzero(np.bitwise_count(raw[lead] ^ raw[k]).sum(axis=1) <= most)
-                if len(near):
-                    led.append((ids[lead[near[0]]], ids[k]))
-                    continue
-            lead.append(k)
-        out = pd.DataFrame(led, columns=["a", "b"]).assign(key=frame["key"].iloc[0])
-        if emit_leaders:
-            own = ids[lead]
-            out = pd.concat([out, pd.DataFrame({"a": own, "b": own, "key": frame["key"].iloc[0]})])
-        return out[["key", "a", "b"]].astype("int64")
-
-    return run
+        parts.append(np.frombuffer(b"".join([digest(b" ".join(g)) for g in grams]), np.int64))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+
+def _prefix(grams: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in one order for all sets: two sets that are similar enough share one of them."""
+    length = len(grams) - math.ceil(similarity * len(grams) - SLACK) + 1 if len(grams) else 0
+    if not len(frequent) or not length:
+        return grams[:length]
+    last = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
+    return np.concatenate([grams[~last], grams[last]])[:length]
 
 
 def near_copies(
     docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, component_id) for every row of ``docs``: groups of texts that share most word shingles.
-
-    Two wide fingerprints meet if they agree on one of BLOCKS blocks, are compared on their first 64 bits
-    and then on all, and link at no more differing bits than ``similarity`` (Jaccard, of shingles)
-    gives on average. A block's bucket with many members isn't paired up: its members, a bounded
-    number at a time, follow leaders within that distance, and the leaders are led in turn. Shared
-    blocks find a pair at 0.8 in about 7 of 10 cases, at 0.9 in 49 of 50, copies always. Nulls,
-    repeats and empty tables as in near_duplicates().
+    """(doc_id, component_id) for every row of ``docs``: components of the pairs whose sets of word shingles have a Jaccard
+    similarity of at least ``similarity``. Exact, but for collisions of 64-bit hashes.
+
+    In any one order of all shingles, two such sets share one of their first ``n - ceil(similarity * n)
+    + 1`` (prefix filter). The order is by hash, shingles that a sample shows as frequent last. Sets
+    that share a prefix shingle are compared whole. Nulls, repeats and empty tables as in near_duplicates().
     """
-    most = furthest(similarity)
-    powers = 1 << np.arange(BLOCK_BITS - 1, -1, -1)
+    spark = docs.sparkSession
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+
+    def sample(batches):
+        for b in batches:
+            sets = [gram_set(t, shingle) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))], names=["token"])
+
+    sampled = source.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").mapInArrow(sample, "token long")
+    often = sampled.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
+    top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()  # bounded
+    frequent = spark.sparkContext.broadcast(np.sort(top["token"].to_numpy(np.int64)))
 
     def run(batches):
+        task, row, longs = TaskContext.get().partitionId() << 33, 0, pa.list_(pa.int64())
         for b in batches:
-            bits = [wide_fingerprint(t, shingle) for t in b.column(1).to_pylist()]
-            wide = [np.packbits(x).view(">i8").tolist() for x in bits]
-            keys = [((np.arange(BLOCKS) << BLOCK_BITS) + x.reshape(BLOCKS, -1) @ powers).tolist() for x in bits]
+            sets = [gram_set(t, shingle) for t in b.column(1).to_pylist()]
+            fps = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
+            prefixes = [_prefix(s, frequent.value, similarity) for s in sets]
+            rows = np.arange(row, row + len(b)) + task
+            row += len(b)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(wide, pa.list_(pa.int64())), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "wide", "keys"],
+                [b.column(0), pa.array(rows), pa.array(fps, pa.int64()), pa.array(sets, longs), pa.array(prefixes, longs)],
+                names=["doc_id", "row", "fp", "grams", "prefix"],
             )
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    wide = source.mapInArrow(run, "doc_id long, wide array<long>, keys array<long>")
-    fps = saved(wide.withColumn("fp", F.xxhash64("wide")), "wide")
-    reps = saved(
-        fps.groupBy("fp").agg(
-            F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.first("wide").alias("wide"), F.first("keys").alias("keys")
-        ),
-        "reps",
-    )
-    rows = reps.select("fp", F.get("wide", F.lit(0)).alias("head"), F.explode("keys").alias("key"))
-    sizes = saved(rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > LED), "sizes")
-    keys = F.broadcast(sizes.select("key")) if sizes.count() <= CROWDED else sizes.select("key")
-    small = rows.join(keys, "key", "left_anti")
-    a = small.select("key", F.col("fp").alias("a"), F.col("head").alias("ha"))
-    b = small.select("key", F.col("fp").alias("b"), F.col("head").alias("hb"))
-    # a third of the bits of the first word: what random texts almost never keep under, near copies almost always
-    met = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("ha").bitwiseXOR(F.col("hb"))) <= 20))
-    pairs = saved(met.select("a", "b").distinct(), "pairs")
-    full = reps.select("fp", "wide")
-    both = pairs.join(full.toDF("a", "wa"), "a").join(full.toDF("b", "wb"), "b")
-    near = both.filter(_differ("wa", "wb") <= most).select("a", "b")
-    crowded = attach(rows, sizes.withColumn("n", F.col("m")), ["key"])
-    held = saved(crowded.select("key", "fp", "m").join(full, "fp"), "crowded")
-    part = F.pmod(F.xxhash64("fp", "key"), F.ceil(F.col("m") / TOGETHER))
-    schema = "key long, a long, b long"
-    led = saved(held.groupBy("key", part.alias("part")).applyInPandas(_leaders(most, True), schema), "led")
-    leaders = led.filter("a = b").select("key", F.col("a").alias("fp")).join(full, "fp")
-    again = leaders.groupBy("key").applyInPandas(_leaders(most, False), schema)
-    edges = near.unionByName(led.filter("a != b").select("a", "b")).unionByName(again.select("a", "b")).distinct()
+    fps = saved(source.mapInArrow(run, "doc_id long, row long, fp long, grams array<long>, prefix array<long>"), "sets")
+    firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.min("row").alias("row"))
+    reps = saved(firsts, "reps")
+    some = reps.select("row")
+    some = fps.select("row", "fp", F.size("grams").alias("size"), "prefix").join(some, "row", "left_semi")
+    rows = some.select("fp", "size", F.explode("prefix").alias("token"))
+    buckets = rows.groupBy("token").agg(F.count("*").alias("m"), F.sum("size").alias("total")).filter("m > 1")
+    shared = saved(rows.join(saved(buckets, "buckets"), "token"), "shared")
+
+    a, b = (shared.select("token", F.col("fp").alias(x), F.col("size").alias(f"n{x}")) for x in "ab")
+    fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - SLACK
+    met = a.join(b, "token").filter((F.col("a") < F.col("b")) & fits)
+    # what two sets share beyond their prefixes is at most the rest of one
+    enough = similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - SLACK
+    rest = F.ceil(similarity * F.greatest("na", "nb") - SLACK) - 1
+    counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+    pairs = saved(counted.filter(F.col("common") + rest >= enough).drop("common"), "pairs")
+
+    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    needed = saved(needed.join(reps, "fp").select("row"), "needed")
+    needed = F.broadcast(needed) if needed.count() <= NEEDED else needed
+    held = saved(fps.select("row", "fp", "grams").join(needed, "row", "left_semi").drop("row"), "held")
+
+    both = pairs.join(held.toDF("a", "ga"), "a").join(held.toDF("b", "gb"), "b")
+    edges = saved(both.filter(F.size(F.array_intersect("ga", "gb")) >= enough).select("a", "b"), "near")
     return _with_components(fps.select("doc_id", "fp"), reps.select("fp", "first_id", "n"), edges).select(
         "doc_id", "component_id"
     )
