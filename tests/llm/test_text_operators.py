@@ -217,6 +217,20 @@ def test_near_copies_are_exact_around_the_limit(spark):
     assert [got[k] for k in range(len(texts))] == want and len(set(want)) > 60
 
 
+def test_near_copies_of_one_text_keep_every_link(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(simhash, "TOGETHER", 40)
+    rng = random.Random(4)
+    texts = []
+    for _ in range(2):  # edits of one text, similar to it and seldom to one another
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        texts += [edited(rng, words, 3 + k % 3) for k in range(150)] + [" ".join(words)]
+    want = near_copy_groups(texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(documents(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+
+
 def test_sharding(spark):
     import random
 

@@ -13,6 +13,7 @@ import math
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -159,6 +160,10 @@ def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame) -> DataF
     return attach(fps, groups, ["fp"])
 
 
+#: Members of a token's bucket up to which all pairs are compared one by one; larger buckets go to tasks, so many members of a part.
+PAIRED_SETS, TOGETHER = 48, 400
+#: Shingles that a part of a bucket holds at most on average, and columns of its matrix of shingles at a time.
+PART_GRAMS, COLUMNS = 1 << 20, 2048
 #: Needed texts up to which their keys are broadcast.
 NEEDED = 500_000
 #: One text of so many is sampled for frequent shingles; of these so many, at most, go last in every prefix.
@@ -186,6 +191,41 @@ def _prefix(grams: np.ndarray, frequent: np.ndarray, similarity: float) -> np.nd
     return np.concatenate([grams[~last], grams[last]])[:length]
 
 
+def _forest(similarity: float):
+    """Links (a, b) that connect what all similar pairs of the sets of a frame connect, one fewer than members each."""
+
+    def run(frame):
+        ids = frame["fp"].to_numpy(np.int64)
+        sets = frame["grams"].tolist()
+        n = np.array([len(s) for s in sets], np.int64)
+        vocabulary, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        kept = counts[column] > 1
+        owner, column = np.repeat(np.arange(len(ids)), n)[kept], (np.cumsum(counts > 1) - 1)[column[kept]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        both = np.zeros((len(ids), len(ids)), np.float32)
+        for base in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            lo, hi = np.searchsorted(column, (base, base + COLUMNS))
+            dense = np.zeros((len(ids), COLUMNS), np.float32)
+            dense[owner[lo:hi], column[lo:hi] - base] = 1
+            both += dense @ dense.T
+        near = both >= similarity / (1 + similarity) * (n[:, None] + n[None, :]) - SLACK
+        new, a, b = np.ones(len(ids), bool), [], []
+        for start in range(len(ids)):
+            todo = [start] if new[start] else []
+            new[start] = False
+            while todo:
+                at = todo.pop()
+                found = np.flatnonzero(near[at] & new)
+                new[found] = False
+                todo += found.tolist()
+                a += [ids[at]] * len(found)
+                b += ids[found].tolist()
+        return pd.DataFrame({"a": a, "b": b}).astype("int64")
+
+    return run
+
+
 def near_copies(
     docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -194,7 +234,10 @@ def near_copies(
 
     In any one order of all shingles, two such sets share one of their first ``n - ceil(similarity * n)
     + 1`` (prefix filter). The order is by hash, shingles that a sample shows as frequent last. Sets
-    that share a prefix shingle are compared whole. Nulls, repeats and empty tables as in near_duplicates().
+    that share a prefix shingle are compared whole: pair by pair in small buckets. A large bucket is cut into parts
+    and every two parts meet in a task, which returns a spanning forest of its similar pairs. First,
+    its parts alone link what they can; buckets that are of one component by then are done. Nulls,
+    repeats and empty tables as in near_duplicates().
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -231,26 +274,54 @@ def near_copies(
     buckets = rows.groupBy("token").agg(F.count("*").alias("m"), F.sum("size").alias("total")).filter("m > 1")
     shared = saved(rows.join(saved(buckets, "buckets"), "token"), "shared")
 
-    a, b = (shared.select("token", F.col("fp").alias(x), F.col("size").alias(f"n{x}")) for x in "ab")
+    small = shared.filter(F.col("m") <= PAIRED_SETS)
+    a, b = (small.select("token", F.col("fp").alias(x), F.col("size").alias(f"n{x}")) for x in "ab")
     fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - SLACK
     met = a.join(b, "token").filter((F.col("a") < F.col("b")) & fits)
-    # what two sets share beyond their prefixes is at most the rest of one
+    # what two sets share beyond their prefixes is at most the rest of one; what shares a crowded bucket is met there anyway
     enough = similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - SLACK
     rest = F.ceil(similarity * F.greatest("na", "nb") - SLACK) - 1
     counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
     pairs = saved(counted.filter(F.col("common") + rest >= enough).drop("common"), "pairs")
+    crowded = shared.filter(F.col("m") > PAIRED_SETS)
 
-    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+    needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowded.select("fp")).distinct()
     needed = saved(needed.join(reps, "fp").select("row"), "needed")
     needed = F.broadcast(needed) if needed.count() <= NEEDED else needed
     held = saved(fps.select("row", "fp", "grams").join(needed, "row", "left_semi").drop("row"), "held")
 
     both = pairs.join(held.toDF("a", "ga"), "a").join(held.toDF("b", "gb"), "b")
     edges = saved(both.filter(F.size(F.array_intersect("ga", "gb")) >= enough).select("a", "b"), "near")
+    if not crowded.isEmpty():
+        edges = edges.unionByName(_crowded_links(crowded, held, edges, similarity)).distinct()
     return _with_components(fps.select("doc_id", "fp"), reps.select("fp", "first_id", "n"), edges).select(
         "doc_id", "component_id"
     )
 
 
+def _crowded_links(crowded: DataFrame, held: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
+    """Links that connect, together with ``edges``, what all similar pairs within the large buckets connect."""
+    parts = F.ceil(F.greatest(F.col("m") / TOGETHER, F.col("total") / PART_GRAMS))
+    placed = crowded.select("token", "fp", "m", parts.alias("parts")).withColumn(
+        "part", F.pmod(F.xxhash64("fp", "token"), F.col("parts"))
+    )
+    own = placed.groupBy("fp").agg(F.slice(F.array_sort(F.collect_list(F.struct("token", "part"))), 1, 2).alias("own"))
+    once = own.select("fp", F.explode("own").alias("x")).select("fp", "x.token", "x.part").join(held, "fp")
+    forest = _forest(similarity)
+    first = saved(once.groupBy("token", "part").applyInPandas(forest, "a long, b long"), "forest")
+    roots = components(edges.unionByName(first))
+    rooted = placed.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    alike = rooted.groupBy("token").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.first("m").alias("m"), F.bit_xor("fp").alias("members")
+    )
+    # buckets of several components, one of those with the same members
+    left = saved(alike.filter("low < high").groupBy("m", "members").agg(F.min("token").alias("token")), "left")
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: (k != F.col("part")) | (F.col("parts") == 1))
+    again = placed.join(left.select("token"), "token").select("token", "fp", "part", F.explode(others).alias("other"))
+    meetings = again.select("fp", "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    second = meetings.join(held, "fp").groupBy("token", "i", "j").applyInPandas(forest, "a long, b long")
+    return first.unionByName(saved(second, "forest"))
+
+
 def hex16(c):
     return F.lower(F.lpad(F.hex(c), 16, "0"))
