@@ -99,6 +99,16 @@ def test_line_dedup(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_lines_with_an_outer_f(spark):
+    lines = ["for what it is worth this line is long enough to count", "fluff at both ends of a line of forty ff"]
+    forms = [lines[0], lines[0].title(), f"\f{lines[0]}\f", f"\x0b{lines[0].upper()}\f", f" \f {lines[0]}"]
+    rows = [(k, f"{form}\n{lines[1]}") for k, form in enumerate(forms)]
+    rows += [(10 + k, f"{f}our lines whose keys differ in their outer letters only") for k, f in enumerate(["f", "", "ff", "f", "F"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in line_dedup.dedup_lines(df).collect()), key=str)
+    assert got == deduped(rows) and [g[2] for g in got if g[0] < 5] == [2, 2, 2, 2, 0]
+
+
 def brute_fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     grams = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []

@@ -58,7 +58,7 @@ def keep_bitmaps(
     """
     whole = _identified(docs, id_col, text_col)
     split = whole.select("doc_id", "text_hash", F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    trimmed = F.expr(r"trim(BOTH ' \t\n\u000B\f\r' FROM line)")
+    trimmed = F.btrim(F.col("line"), F.lit(BLANK))
     long = split.select("doc_id", "text_hash", "pos", trimmed.alias("line")).filter(F.char_length("line") >= min_chars)
     key = ascii_lower(F.col("line"))
     hashed = long.select(
