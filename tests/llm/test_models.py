@@ -106,6 +106,18 @@ def test_secret_scan(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_every_run_of_a_word_is_a_candidate(spark):
+    a, b = hashlib.sha1(b"a").hexdigest(), hashlib.sha1(b"b").hexdigest()
+    texts = [f'{{"aws_secret_access_key":"{a}","other":1,"service_api_token":"{b}"}}', f"MY_SERVICE_ACCESS_TOKEN={a}", f'x="{a[:30]}==" {b[:20]}=']
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    rows = [(r.doc_id, r.word, r.candidate) for r in secret_scan.candidates(df).collect()]
+    names = [(0, 0, "aws_secret_access_key"), (0, 0, "service_api_token"), (1, 0, "MY_SERVICE_ACCESS_TOKEN")]
+    keys = [(0, 0, a), (0, 0, b), (1, 0, a)]
+    assert sorted(rows) == sorted([*names, *keys, (2, 0, f"{a[:30]}=="), (2, 1, f"{b[:20]}=")])
+    found = {(r.doc_id, r.word, r.candidate) for r in secret_scan.scan(df).collect()}
+    assert set(keys) <= found and not set(names) & found
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")

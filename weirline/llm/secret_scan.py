@@ -13,9 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Characters of keys and paths; a candidate has at least MIN_LENGTH of them in a row.
+#: Characters of keys and paths; a candidate has at least MIN_LENGTH of them in a row, and = as padding at its end only.
 MIN_LENGTH = 16
-RUN = r"[A-Za-z0-9+/=_.\-]{16,}"
+RUN = r"[A-Za-z0-9+/_.\-]{16,}(?:={1,6}(?![A-Za-z0-9+/=_.\-]))?"
 
 #: Words of the dictionary: frequent in English, German, French and Spanish, or in code and paths.
 DICTIONARY = (
@@ -31,8 +31,9 @@ NEAR = r"(?i)(secret|token|passw|pwd|api.?key|apikey|access|auth|credential|priv
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, word, candidate, before, previous, after): each run of key characters, with the word's number in its text, the
-    words before it (three) and after it. One row for each word that holds a run; its first run counts."""
+    """(doc_id, word, candidate, before, after): each run of key characters, with its word's number in the text and what stands
+    before and after it. Before a word's first run that is three words and the word up to there; before
+    another, the two runs ahead of it and what lies between."""
     words = F.split(F.coalesce(F.col(text_col), F.lit("")), r"[ \t\n\x0B\f\r]+")
     whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), words.alias("words"))
     # only a word of MIN_LENGTH bytes or more is put to the pattern
@@ -50,13 +51,16 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         """
     )
     rows = whole.withColumn("found", found).select("doc_id", F.explode(near).alias("x"))
-    return rows.select(
-        "doc_id",
-        F.col("x.word").alias("word"),
-        F.regexp_extract("x.raw", RUN, 0).alias("candidate"),
-        F.concat_ws(" ", "x.before", F.regexp_extract("x.raw", "^(.*?)" + RUN, 1)).alias("before"),
-        F.col("x.after").alias("after"),
-    )
+    runs, gaps = F.regexp_extract_all("x.raw", F.lit(RUN), F.lit(0)), F.split("x.raw", RUN, -1)
+    each = rows.withColumns({"runs": runs, "gaps": gaps}).select("doc_id", "x", F.explode(F.expr(
+        """
+        transform(runs, (r, i) -> named_struct('candidate', r,
+          'before', if(i = 0, concat_ws(' ', x.before, gaps[0]),
+            concat(coalesce(get(runs, i - 2), ''), gaps[i - 1], runs[i - 1], gaps[i])),
+          'after', concat(gaps[i + 1], coalesce(get(runs, i + 1), x.after))))
+        """
+    )).alias("r"))
+    return each.select("doc_id", F.col("x.word").alias("word"), "r.candidate", "r.before", "r.after")
 
 
 FEATURES = [
