@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,9 +11,9 @@ import corpus_pipeline
 from weirline.llm import sentence_pieces as sp
 from weirline.llm import token_files as tf
 from weirline.llm import topk
-from weirline.llm.queries import TOKENIZERS
+from weirline.llm.queries import vocabulary
 
-PIECES, WORDS = f"{TOKENIZERS}/piece_bpe_32k.model", f"{TOKENIZERS}/word_bpe_49k.json"
+PIECES, WORDS = vocabulary("piece_bpe_32k.model"), vocabulary("word_bpe_49k.json")
 TEXTS = ["", None, "Hello world, hello again.", "  two  spaces \n\n tabs\t", "日本語 🎉 mixed", "x" * 120, " " * 40, "word " * 3, "▁ literal ▁▁x", "\x00 nul", "été naïve"]
 
 
@@ -62,13 +63,41 @@ def test_pieces_as_tables(spark):
     assert sp.round_trip(df.limit(0), PIECES).count() == 0
 
 
-@pytest.mark.parametrize("n", [0, 1, 4096, 9000])
-def test_coder_round_trips(n):
+@pytest.mark.parametrize("n", [0, 1, 257, 4096, 9000])
+def test_coder_round_trips(n, monkeypatch):
+    monkeypatch.setattr(tf, "BLOCK", 5000)
     rng = np.random.default_rng(n)
     for ids in (rng.integers(0, 65536, n), rng.zipf(1.3, n) % 65536, np.full(n, 7), np.arange(n) % 11):
         assert (tf.decode_ids(tf.encode_ids(ids)) == ids).all()
     wide = rng.integers(0, 1 << 20, n)
-    assert (tf.decode_ids(tf.encode_ids(wide, 20), 20) == wide).all()
+    assert (tf.decode_ids(tf.encode_ids(wide, 20)) == wide).all()
+
+
+def test_coder_renews_and_halves(monkeypatch):
+    monkeypatch.setattr(tf, "TOTAL", 1 << 12)
+    ids = np.random.default_rng(2).zipf(1.2, 60_000) % 700
+    assert (tf.decode_ids(tf.encode_ids(ids)) == ids).all()
+
+
+def test_coder_beats_static_order_0_and_deflate():
+    """On the ids of real texts."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    ids = np.frombuffer(b"".join(tf.Tokenizer(WORDS).encode(texts, 2)), "<u4")
+    counts = np.unique(ids, return_counts=True)[1]
+    order_0 = -(counts * np.log2(counts / len(ids))).sum() / 8
+    size = len(tf.encode_ids(ids))
+    assert size < 0.97 * order_0 and size < 0.9 * len(zlib.compress(ids.astype("<u2").tobytes(), 9))
+
+
+def test_tokenizer_equals_the_library(monkeypatch):
+    monkeypatch.setattr(tf, "HELD", 500)
+    known, rng = tf.Tokenizer(WORDS), np.random.default_rng(4)
+    parts = [*"abXYZ'stdvemlr019.,!?-_<|>\u00e9\u00c9\u00df\u00c0\u00f6\u00d7\u00f7\u00ff\u00aa\u00b2 \n\t\x1c\x85\xa0\u0301\u0130\u03a3\u4e2d", "<|endoftext|>", "'LL", "It's", "</w>"]
+    assert known.plain
+    for _ in range(3000):
+        text = "".join(rng.choice(parts, rng.integers(1, 30)))
+        want = known.library.encode(text, add_special_tokens=False).ids
+        assert known.encode([text], 2) == [np.array([*want, 2], "<u4").tobytes()], text
 
 
 def test_coder_compresses_and_checks():
@@ -76,7 +105,7 @@ def test_coder_compresses_and_checks():
     raw = tf.encode_ids(ids)
     assert len(raw) < 0.35 * 2 * len(ids)
     broken = bytearray(raw)
-    broken[len(raw) // 4] ^= 1
+    broken[len(raw) // 2] ^= 1
     with pytest.raises(ValueError):
         tf.decode_ids(bytes(broken))
     with pytest.raises(ValueError):
@@ -90,8 +119,7 @@ def test_token_files(spark, tmp_path):
     df, path = frame(spark, texts), f"file://{tmp_path}/out"
     tf.write(df, WORDS, path)
     files = spark.read.schema(tf.FILE).parquet(path)
-    rows = tf.digests(files).join(tf.starts(files), ["part", "chunk"]).withColumn("start", F.col("before") + F.col("at"))
-    rows = rows.orderBy("start").collect()
+    rows = tf.placed(files, tf.digests(files)).orderBy("start").collect()
     library = Tokenizer.from_file(WORDS)
     want = {}
     for i, t in [*enumerate(texts), (None, "null id"), (2, "again")]:

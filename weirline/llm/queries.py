@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +21,13 @@ from . import (
 )
 from .common import shared_dir
 
-#: Where the public tokenizers' vocabulary files lie.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+
+
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +38,9 @@ def op1_decontamination(spark, sf_dir):
     return decontam.scan(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")).drop("spans")
 
 
-def op2_sentence_pieces(spark, sf_dir, model=f"{TOKENIZERS}/piece_bpe_32k.model"):
+def op2_sentence_pieces(spark, sf_dir, model=None):
+    """Pieces of every document under merge-dropout: their count, checksum, and whether they decode to the text."""
+    model = model or vocabulary("piece_bpe_32k.model")
     return sentence_pieces.round_trip(_t(spark, sf_dir, "documents"), model, dropout=0.1, seed=1)
 
 
@@ -80,12 +86,12 @@ def op9_sharding(spark, sf_dir):
     )
 
 
-def op10_token_files(spark, sf_dir, vocabulary=f"{TOKENIZERS}/word_bpe_49k.json"):
+def op10_token_files(spark, sf_dir, tokenizer=None):
+    """Where each document's ids lie in the files, and their checksum, as read back from them."""
     path = f"{shared_dir(spark)}/weirline/tokens-{uuid.uuid4().hex}"
-    token_files.write(_t(spark, sf_dir, "documents"), vocabulary, path)
+    token_files.write(_t(spark, sf_dir, "documents"), tokenizer or vocabulary("word_bpe_49k.json"), path)
     files = spark.read.schema(token_files.FILE).parquet(path)
-    rows = token_files.digests(files).join(F.broadcast(token_files.starts(files)), ["part", "chunk"])
-    return rows.select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    return token_files.placed(files, token_files.digests(files)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 OP1_SQL = r"""

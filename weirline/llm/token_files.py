@@ -1,19 +1,25 @@
 """Token ids in files: blocks coded by an adaptive context-mixing range coder, each reset and checksummed.
 
-In each block an order-2 and an order-1 table predict the next id, and an order-0 distribution over
-groups of ids covers the rest. Confidence in the two predictions is mixed in the logistic domain with
-weights that adapt, and the mixed frequencies drive the range coder. All arithmetic is on integers,
-so files read the same on any machine. The blocks of a chunk are coded side by side as numpy lanes.
+Order 2 and order 1 each name the id that they expect next, with a trust that grows while they are
+right; order 0 counts all ids. What each of the three says of order 2's id is mixed in the logistic
+domain, with weights that follow the error, and corrected by what became of like cases. The range coder
+then codes whether it is that id, order 1's or another, and another by order 0's counts.
+
+A block's ids are cut into stretches that are coded side by side, a step of all of them at a time, and
+share one model, so that numpy works on whole steps and the model learns from the whole block. The
+model starts afresh with each block. Its arithmetic is on integers, so files read the same anywhere.
 
 A file is a Parquet table with a row for each chunk: its place, the document ids and token counts, and
-the coded blocks as bytes: for each block its number of ids, CRC-32 and number of 16-bit words, then
-the words.
+the coded blocks as bytes: HEAD, the bitmap of the ids that occur (deflated), the stretches' numbers of
+16-bit words (deflated), and the words.
 """
 
 from __future__ import annotations
 
 import math
 import os
+import re
+import struct
 import zlib
 
 import numpy as np
@@ -22,240 +28,254 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK = 4096  # ids in a block
-LANES = 4096  # blocks coded side by side
+from .common import BROADCAST_BYTES
+
+BLOCK = 1 << 22  # ids in a block
+STRETCHES, LEAST_STEPS = 4096, 1024  # stretches of a block, and ids that each has at least in a large one
 CHUNK_IDS = 1 << 23  # ids after which a chunk ends with its document
-SLOTS = 11  # bits of a prediction table's index
-TRUST = 4  # bits of the confidence in a prediction
-RENEW, GAIN = 32, 12  # steps between renewals of the order-0 sums, and what an id adds to them
+SLOTS = 20  # bits of order 2's table
+RENEW = 16  # steps between renewals of the probabilities, fewer in the first of them
+GAIN, TOTAL = 24, 1 << 21  # what an id adds to order 0's counts, and the total at which they are halved
+#: An id of order 0 falls into a class by how many of these powers of 1/2 its share exceeds.
+SHARES = (15, 13, 11, 9, 8, 7, 6)
+HIT, SECOND, OTHER = range(3)  # the id is order 2's, order 1's or another
+STATES = 16 * 16 * 2 * 8  # trust in order 2, in order 1, whether they agree, order 0's class
+LEAST, MOST = 24, 65_000  # bounds of a probability out of 2**16
 U = np.uint64
 TOP, WORD, LOW32 = U(1 << 32), U(16), U(0xFFFFFFFF)
-HEAD = np.dtype([("n", "<u4"), ("crc", "<u4"), ("words", "<u4")])
+HEAD = np.dtype([("n", "<u4"), ("crc", "<u4"), ("stretches", "<u4"), ("ids", "<u4"), ("sizes", "<u4"), ("words", "<u4")])
+
+#: A logistic in fixed point, out of 2**16, for -2048 to 2047 in units of 1/256.
+SQUASH = np.array([min(MOST, max(LEAST, round(65536 / (1 + math.exp(-d / 256))))) for d in range(-2048, 2048)], np.int64)
+#: Trust after a right and after a wrong guess.
+TRUSTED = np.minimum(np.arange(16) + 1, 15).astype(np.int32)
+DOUBTED = np.maximum(np.arange(16) - 1, 0).astype(np.int32)
 
-#: A logistic in fixed point, out of 4096, for -2048 to 2047 in units of 1/256.
-SQUASH = np.array([min(4094, max(1, round(4096 / (1 + math.exp(-d / 256))))) for d in range(-2048, 2048)], np.int32)
-#: What a confidence says for its prediction: its logistic input, and a frequency out of 2**16.
-FOR = np.array([round(256 * (-2.5 + 5.5 * k / 15)) if k else -2000 for k in range(16)], np.int32)
-SHARE = np.array([round(65536 / (1 + math.exp(-f / 256))) if f > -2000 else 64 for f in FOR.tolist()], np.int32)
+
+def _stretch(p):
+    return np.minimum(np.searchsorted(SQUASH, np.clip(p, LEAST, MOST)), 4095) - 2048
 
 
 class Model:
-    """The adaptive state of all lanes; encoder and decoder drive it alike.
+    """The adaptive state of a block over its ids numbered from 0; encoder and decoder drive it alike.
 
-    A table's entry is an id and the confidence in it. The order-2 and order-1 confidences, the latter
-    against the former unless they name the same id, and a constant are mixed with weights that
-    follow the error.
+    A table's entry is an id and the trust in it. Where several stretches write one entry in a step
+    the last of them counts.
     """
 
-    def __init__(self, lanes: int, low_bits: int):
-        self.lanes, self.low_bits, self.t = lanes, low_bits, 0
-        self.row = np.arange(lanes, dtype=np.int64) << SLOTS
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.tables = [np.full(lanes << SLOTS, -16, np.int32) for _ in range(2)]
-        self.weights = np.tile(np.array([[45_000], [30_000], [0]], np.int32), (1, lanes))
-        self.counts = np.ones(lanes * 256, np.int32)
-        self.group_row = np.arange(lanes, dtype=np.int64) << 8
+    def __init__(self, ids: int, stretches: int):
+        self.t = 0
+        self.counts = np.ones(ids, np.int64)
+        self.tables = np.zeros(ids, np.int32), np.zeros(1 << SLOTS, np.int32)
+        self.one, self.two = np.zeros(stretches, np.int32), np.zeros(stretches, np.int32)
+        self.seen = np.zeros((3, STATES), np.int64)
+        self.weights = [160, 130, 60, 0]
+        self.cases = np.zeros((RENEW, stretches), np.int32)
+        self.others: list[np.ndarray] = []
+        self._renew()
+
+    def _learn(self, steps: int):
+        """Takes in what the last ``steps`` steps brought."""
+        last = (self.t - 1) % RENEW + 1
+        new = np.bincount(self.cases[last - steps : last].ravel(), minlength=3 * STATES).reshape(3, STATES)
+        n = new.sum(axis=0)
+        error = (new[HIT] << 16) - n * self.mixed
+        for k, x in enumerate(self.inputs):
+            self.weights[k] += int((error * x).sum()) // int(n.sum()) >> 11
+        self.seen += new
+        if self.others:
+            self.counts += GAIN * np.bincount(np.concatenate(self.others), minlength=len(self.counts))
+            self.others = []
+        while self.counts.sum() > max(TOTAL, 4 * len(self.counts)):
+            self.counts = (self.counts + 1) >> 1
+
+    def _renew(self):
+        """Order 0's sums, and for each state the mixed probabilities as the coder takes them."""
+        self.sums = np.concatenate(([0], np.cumsum(self.counts)))
+        self.total = int(self.sums[-1])
+        self.share = sum((self.counts > self.total >> s).astype(np.int32) for s in SHARES)
+        hit, second, other = (x.reshape(16, 16, 2, 8) for x in self.seen)
+        n = hit + second + other
+
+        def said(*axes):
+            rate = (hit.sum(axes, keepdims=True) * 65536 + 6554) // (n.sum(axes, keepdims=True) + 1)
+            return np.broadcast_to(_stretch(rate), n.shape).reshape(-1)
+
+        self.inputs = said(1, 2, 3), said(0, 3), said(0, 1, 2), np.full(STATES, 256)
+        dot = sum(w * x for w, x in zip(self.weights, self.inputs)) >> 8
+        self.mixed = SQUASH[np.clip(dot, -2048, 2047) + 2048]
+        first = np.clip((self.seen[HIT] * 65536 + 24 * self.mixed) // (self.seen.sum(axis=0) + 24), LEAST, MOST)
+        usual = (second.sum((0, 3), keepdims=True) * 65536 + 3000) // ((second + other).sum((0, 3), keepdims=True) + 1)
+        then = np.clip((second * 65536 + 12 * usual) // (second + other + 12), LEAST, MOST).reshape(-1)
+        then = np.maximum(1, (65536 - first) * then >> 16)
+        then[(np.arange(STATES) >> 3) & 1 == 1] = 0  # where they agree there is no second id
+        both = first + then
+        self.first, self.both = first.astype(np.int32), both.astype(np.int32)
+        self.start = np.concatenate([np.zeros(STATES, np.int64), first, both]).astype(U)
+        self.freq = np.concatenate([first, then, 65536 - both]).astype(U)
 
     def predict(self):
-        """Frequencies out of 2**16 of the ids that order 2 and order 1 predict; the rest is the escape's."""
-        one = self.one * 0x2F0B4C47
-        self.at = (
-            self.row + ((one + self.two * 0x1D8AF067) >> 13 & (1 << SLOTS) - 1),
-            self.row + (one >> 11 & (1 << SLOTS) - 1),
-        )
-        x, y = self.entries = self.tables[0].take(self.at[0]), self.tables[1].take(self.at[1])
-        self.a, self.b = x >> TRUST, y >> TRUST
-        self.agree = self.a == self.b
-        v = y & 15
-        self.s0, s1 = FOR.take(x & 15), FOR.take(v)
-        self.s1 = np.where(self.agree, s1, -s1)
-        w = self.weights
-        dot = (w[0] * self.s0.astype(np.int64) + w[1] * self.s1.astype(np.int64)) >> 16
-        self.p = SQUASH.take(np.minimum(np.maximum(dot + (w[2] >> 8), -2048), 2047) + 2048)
-        fa = self.p.astype(np.int64) << 4
-        rest = 65536 - fa
-        fb = (rest - 2) * SHARE.take(v) >> 16
-        fb += fb == 0
-        fb[self.agree] = 0
-        return fa, fb
-
-    def groups(self) -> tuple[np.ndarray, int]:
-        """Cumulative order-0 counts of the groups of ids, a row for each lane, and their total, which is the same in all."""
-        if self.t % RENEW == 0:
-            self.sums = np.zeros((self.lanes, 257), np.int64)
-            np.cumsum(self.counts.reshape(self.lanes, 256), axis=1, out=self.sums[:, 1:])
-            self.flat, self.total = self.sums.ravel(), 256 + GAIN * self.t
-        return self.flat, self.total
-
-    def update(self, ids: np.ndarray):
-        small = ids.astype(np.int32)
-        hit = self.a == small
-        error = (hit.astype(np.int32) << 12) - self.p
-        w = self.weights
-        w[0] += self.s0 * error >> 10
-        w[1] += self.s1 * error >> 10
-        w[2] += error * 2
-        for table, at, entry, right in zip(self.tables, self.at, self.entries, (hit, self.b == small)):
-            trust = entry & 15
-            # right: more confidence; wrong: half of it, and without any the id that came instead
-            wrong = np.where(trust < 2, small << TRUST | 1, entry - trust + (trust >> 1))
-            table[at] = np.where(right, entry + (trust < 15), wrong)
-        self.counts[self.group_row + (ids >> self.low_bits)] += GAIN
+        """Sets the expected ids ``a`` and ``b`` of orders 2 and 1 and the state of each stretch."""
+        mixed = self.one * np.int32(0x2F0B4C47) + self.two * np.int32(0x1D8AF067)
+        self.at = (mixed >> 7) & np.int32((1 << SLOTS) - 1)
+        x, y = self.tables[1].take(self.at), self.tables[0].take(self.one)
+        self.a, self.b, self.trust = x >> 4, y >> 4, (x & 15, y & 15)
+        agree = self.a == self.b
+        self.state = (((self.trust[0] << 4) | self.trust[1]) << 1 | agree) << 3 | self.share.take(self.a)
+
+    def update(self, ids: np.ndarray, cases: np.ndarray, others: np.ndarray):
+        self.cases[self.t % RENEW] = cases
+        if len(others):
+            self.others.append(others)
+        for table, at, guess, trust in (
+            (self.tables[0], self.one, self.b, self.trust[1]),
+            (self.tables[1], self.at, self.a, self.trust[0]),
+        ):
+            wrong = np.where(trust < 2, ids << 4 | 1, guess << 4 | DOUBTED.take(trust))
+            table[at] = np.where(guess == ids, guess << 4 | TRUSTED.take(trust), wrong)
         self.two, self.one = self.one, ids
         self.t += 1
+        early = self.t < RENEW and self.t & (self.t - 1) == 0
+        if early or self.t % RENEW == 0:
+            self._learn(max(1, self.t // 2) if self.t <= RENEW else RENEW)
+            self._renew()
 
 
 class Encoder:
-    """A range coder of 48 bits for each lane, 16-bit words out; carries are added in at the end."""
+    """A range coder of 48 bits for each stretch, 16-bit words out; carries are added in at the end."""
 
-    def __init__(self, lanes: int, most: int):
-        self.low, self.range = np.zeros(lanes, U), np.full(lanes, 1 << 48, U)
-        self.width = 3 * most + 4
-        self.out, self.n = np.zeros(lanes * self.width, np.uint32), np.arange(lanes, dtype=np.int64) * self.width
+    def __init__(self, stretches: int):
+        self.low, self.range = np.zeros(stretches, U), np.full(stretches, (1 << 48) - 1, U)
+        self.owners, self.words = [], []
 
     def put_all(self, start, freq):
-        """A symbol out of 2**16 in every lane."""
+        """A symbol out of 2**16 in every stretch."""
         r = self.range >> WORD
-        self.low += start.astype(U) * r
-        self.range = freq.astype(U) * r
+        self.low += start * r
+        self.range = freq * r
         self._emit(np.flatnonzero(self.range < TOP))
 
-    def put(self, lane, start, freq, total: int):
-        r = self.range[lane] // U(total)
-        self.low[lane] += start.astype(U) * r
-        self.range[lane] = freq.astype(U) * r
-        self._emit(lane)
-
-    def _emit(self, lane):
-        while True:
-            now = self.range[lane]
-            due = now < TOP
-            if not due.any():
-                return
-            lane, now = lane[due], now[due]
-            low, at = self.low[lane], self.n[lane]
-            self.out[at] = low >> U(32)  # 17 bits: the top one is a carry
-            self.n[lane] = at + 1
-            self.low[lane] = (low & LOW32) << WORD
-            self.range[lane] = now << WORD
-
-    def finish(self) -> list[bytes]:
-        for shift in (32, 16, 0):
-            self.out[self.n] = (self.low >> U(shift)) & U(0x1FFFF if shift == 32 else 0xFFFF)
-            self.n += 1
-        out = self.out.reshape(-1, self.width)
-        sizes = self.n - np.arange(len(self.n)) * self.width
-        out = out[:, : int(sizes.max())]
-        while (out >> 16).any():  # a carry runs on only through words that are full
-            carry = out >> 16
-            out &= 0xFFFF
-            out[:, :-1] += carry[:, 1:]
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(out, sizes)]
+    def put(self, some, start, freq, total: int):
+        r = self.range[some] // U(total)
+        self.low[some] += start.astype(U) * r
+        self.range[some] = r = freq.astype(U) * r
+        self._emit(some[r < TOP])
+
+    def _emit(self, some):
+        while len(some):
+            low = self.low[some]
+            self.owners.append(some.astype(np.uint16))
+            self.words.append((low >> U(32)).astype(np.uint32))  # 17 bits: the top one is a carry
+            self.low[some] = (low & LOW32) << WORD
+            self.range[some] = r = self.range[some] << WORD
+            some = some[r < TOP]
+
+    def finish(self) -> tuple[np.ndarray, np.ndarray]:
+        """The words of all stretches, one after another, and how many each has."""
+        every = np.arange(len(self.low))
+        for _ in range(3):
+            self.range[:] = 1 << 20
+            self.owners.append(every.astype(np.uint16))
+            self.words.append((self.low >> U(32)).astype(np.uint32))
+            self.low = (self.low & LOW32) << WORD
+        owners, words = np.concatenate(self.owners), np.concatenate(self.words)
+        words = words[np.argsort(owners, kind="stable")]
+        while (carry := words >> 16).any():  # a carry runs on only through words that are full
+            words &= 0xFFFF
+            words[:-1] += carry[1:]
+        return words.astype("<u2"), np.bincount(owners, minlength=len(every)).astype("<u4")
 
 
 class Decoder:
-    def __init__(self, words: list[np.ndarray]):
-        width = max(len(w) for w in words) + 4
-        held = np.zeros((len(words), width), np.uint16)
-        for k, w in enumerate(words):
-            held[k, : len(w)] = w
-        first = held[:, :3].astype(U)
-        self.code = first[:, 0] << U(32) | first[:, 1] << U(16) | first[:, 2]
-        self.words, self.range = held.ravel(), np.full(len(words), 1 << 48, U)
-        self.n = np.arange(len(words), dtype=np.int64) * width + 3
-        self.last = self.n + (width - 4)
-
-    def slot_all(self):
+    def __init__(self, words: np.ndarray, sizes: np.ndarray):
+        self.words = np.concatenate([words, np.zeros(4, words.dtype)]).astype(U)
+        self.at = np.cumsum(sizes, dtype=np.int64) - sizes
+        self.code = self.words[self.at] << U(32) | self.words[self.at + 1] << U(16) | self.words[self.at + 2]
+        self.at += 3
+        self.range = np.full(len(sizes), (1 << 48) - 1, U)
+
+    @staticmethod
+    def _slots(code, r, total):
+        # exact in doubles: both lie below 2**48, and a quotient is never nearer to the next integer than they resolve
+        return np.minimum((code.astype(np.float64) / r.astype(np.float64)).astype(np.int64), total - 1)
+
+    def slots_all(self):
         self.r = self.range >> WORD
-        return np.minimum(self.code // self.r, U(0xFFFF)).astype(np.int64)
+        return self._slots(self.code, self.r, 1 << 16)
 
     def take_all(self, start, freq):
-        self.code -= start.astype(U) * self.r
-        self.range = freq.astype(U) * self.r
+        self.code -= start * self.r
+        self.range = freq * self.r
         self._fill(np.flatnonzero(self.range < TOP))
 
-    def slot(self, lane, total: int):
-        self.r = self.range[lane] // U(total)
-        return np.minimum(self.code[lane] // self.r, U(total - 1)).astype(np.int64)
-
-    def take(self, lane, start, freq):
-        self.code[lane] -= start.astype(U) * self.r
-        self.range[lane] = freq.astype(U) * self.r
-        self._fill(lane)
-
-    def _fill(self, lane):
-        while True:
-            now = self.range[lane]
-            due = now < TOP
-            if not due.any():
-                return
-            lane, now = lane[due], now[due]
-            at = self.n[lane]
-            self.code[lane] = self.code[lane] << WORD | self.words[np.minimum(at, self.last[lane])]
-            self.n[lane] = at + 1
-            self.range[lane] = now << WORD
-
-
-def _encode_lanes(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
-    most = max(len(b) for b in blocks)
-    ids = np.zeros((most, len(blocks)), np.int64)
-    for k, b in enumerate(blocks):
-        ids[: len(b), k] = b
-    model, coder = Model(len(blocks), low_bits), Encoder(len(blocks), most)
-    for now in ids:
-        fa, fb = model.predict()
-        sums, total = model.groups()
-        is_a = model.a == now
-        is_b = (model.b == now) & ~is_a
-        start = np.where(is_a, 0, fa)
-        freq = np.where(is_a, fa, fb)
-        rest = np.flatnonzero(~(is_a | is_b))
-        start[rest] += fb[rest]
-        freq[rest] = 65536 - start[rest]
-        coder.put_all(start, freq)
-        if len(rest):
-            # the group by its count, and within it every id alike
-            value = now[rest]
-            at = rest * 257 + (value >> low_bits)
-            first = sums[at]
-            each = sums[at + 1] - first
-            coder.put(rest, (first << low_bits) + (value & (1 << low_bits) - 1) * each, each, total << low_bits)
-        model.update(now)
-    return coder.finish()
-
-
-def _decode_lanes(words: list[np.ndarray], lengths: list[int], low_bits: int) -> list[np.ndarray]:
-    most = max(lengths)
-    model, coder = Model(len(words), low_bits), Decoder(words)
-    out = np.zeros((most, len(words)), np.int64)
-    for t in range(most):
-        fa, fb = model.predict()
-        sums, total = model.groups()
-        slot = coder.slot_all()
-        is_a = slot < fa
-        both = fa + fb
-        in_rest = slot >= both
-        start = np.where(is_a, 0, fa)
-        freq = np.where(is_a, fa, fb)
-        rest = np.flatnonzero(in_rest)
-        start[rest] = both[rest]
-        freq[rest] = 65536 - both[rest]
-        coder.take_all(start, freq)
-        now = np.where(is_a, model.a, model.b).astype(np.int64)
-        if len(rest):
-            slot = coder.slot(rest, total << low_bits)
-            row = rest * 257
-            at, want = row.copy(), slot >> low_bits
-            for step in (128, 64, 32, 16, 8, 4, 2, 1):
-                at += step * (sums[at + step] <= want)
-            first = sums[at]
-            each = sums[at + 1] - first
-            low = (slot - (first << low_bits)) // each
-            coder.take(rest, (first << low_bits) + low * each, each)
-            now[rest] = (at - row) << low_bits | low
+    def slots(self, some, total: int):
+        self.r = self.range[some] // U(total)
+        return self._slots(self.code[some], self.r, total)
+
+    def take(self, some, start, freq):
+        self.code[some] -= start.astype(U) * self.r
+        self.range[some] = r = freq.astype(U) * self.r
+        self._fill(some[r < TOP])
+
+    def _fill(self, some):
+        while len(some):
+            at = self.at[some]
+            self.code[some] = self.code[some] << WORD | self.words.take(at, mode="clip")
+            self.at[some] = at + 1
+            self.range[some] = r = self.range[some] << WORD
+            some = some[r < TOP]
+
+
+def _encode_block(ids: np.ndarray) -> bytes:
+    n = len(ids)
+    occurs = np.zeros(int(ids.max()) + 1, bool)
+    occurs[ids] = True
+    stretches = max(1, min(STRETCHES, n // LEAST_STEPS))
+    rows = np.zeros(stretches * -(-n // stretches), np.int32)
+    rows[:n] = (np.cumsum(occurs, dtype=np.int32) - 1).take(ids)
+    model, coder = Model(int(occurs.sum()), stretches), Encoder(stretches)
+    for now in np.ascontiguousarray(rows.reshape(stretches, -1).T):
+        model.predict()
+        hit, second = model.a == now, model.b == now
+        cases = model.state + np.where(hit, 0, np.where(second, STATES, 2 * STATES)).astype(np.int32)
+        coder.put_all(model.start.take(cases), model.freq.take(cases))
+        others = np.flatnonzero(~(hit | second))
+        values = now[others]
+        if len(others):
+            first = model.sums.take(values)
+            coder.put(others, first, model.sums.take(values + 1) - first, model.total)
+        model.update(now, cases, values)
+    words, sizes = coder.finish()
+    known, sizes = zlib.compress(np.packbits(occurs).tobytes()), zlib.compress(sizes.tobytes())
+    crc = zlib.crc32(ids.astype("<u4").tobytes())
+    head = np.array([(n, crc, stretches, len(known), len(sizes), len(words))], HEAD)
+    return b"".join([head.tobytes(), known, sizes, words.tobytes()])
+
+
+def _decode_block(head, known: bytes, sizes: bytes, words: np.ndarray) -> np.ndarray:
+    ids = np.flatnonzero(np.unpackbits(np.frombuffer(zlib.decompress(known), np.uint8)))
+    n, stretches = int(head["n"]), int(head["stretches"])
+    model, coder = Model(len(ids), stretches), Decoder(words, np.frombuffer(zlib.decompress(sizes), "<u4"))
+    out = np.empty((-(-n // stretches), stretches), np.int32)
+    for t in range(len(out)):
+        model.predict()
+        slots = coder.slots_all()
+        miss, other = slots >= model.first.take(model.state), slots >= model.both.take(model.state)
+        cases = model.state + (miss.astype(np.int32) + other) * np.int32(STATES)
+        coder.take_all(model.start.take(cases), model.freq.take(cases))
+        now = np.where(miss, model.b, model.a)
+        values = others = np.flatnonzero(other)
+        if len(others):
+            values = np.searchsorted(model.sums, coder.slots(others, model.total), "right") - 1
+            first = model.sums.take(values)
+            coder.take(others, first, model.sums.take(values + 1) - first)
+            now[others] = values
         out[t] = now
-        model.update(now)
-    return [out[:n, k] for k, n in enumerate(lengths)]
+        model.update(now, cases, values)
+    ids = ids.take(out.T.reshape(-1)[:n])
+    if zlib.crc32(ids.astype("<u4").tobytes()) != int(head["crc"]):
+        raise ValueError("a block's checksum does not match its ids")
+    return ids
 
 
 def encode_ids(ids: np.ndarray, id_bits: int = 16) -> bytes:
@@ -263,69 +283,99 @@ def encode_ids(ids: np.ndarray, id_bits: int = 16) -> bytes:
     ids = np.asarray(ids, np.int64)
     if not 8 <= id_bits <= 24 or len(ids) and (ids.min() < 0 or ids.max() >> id_bits):
         raise ValueError(f"ids must lie in 0 to 2**{id_bits} - 1")
-    blocks = [ids[k : k + BLOCK] for k in range(0, len(ids), BLOCK)]
-    out = []
-    for at in range(0, len(blocks), LANES):
-        part = blocks[at : at + LANES]
-        for block, words in zip(part, _encode_lanes(part, id_bits - 8)):
-            head = np.array([(len(block), zlib.crc32(block.astype("<u4").tobytes()), len(words) // 2)], HEAD)
-            out += [head.tobytes(), words]
-    return b"".join(out)
+    return b"".join(_encode_block(ids[k : k + BLOCK]) for k in range(0, len(ids), BLOCK))
 
 
-def decode_ids(raw: bytes, id_bits: int = 16) -> np.ndarray:
+def decode_ids(raw: bytes) -> np.ndarray:
     """The ids of coded blocks. A block whose ids don't have its checksum is an error."""
-    heads, words, at = [], [], 0
+    out, at = [], 0
     while at < len(raw):
         head = np.frombuffer(raw, HEAD, 1, at)[0]
-        at += HEAD.itemsize
-        words.append(np.frombuffer(raw, "<u2", int(head["words"]), at))
-        heads.append(head)
-        at += 2 * int(head["words"])
-    out = []
-    for k in range(0, len(words), LANES):
-        for head, ids in zip(heads[k:], _decode_lanes(words[k : k + LANES], [int(h["n"]) for h in heads[k : k + LANES]], id_bits - 8)):
-            if zlib.crc32(ids.astype("<u4").tobytes()) != int(head["crc"]):
-                raise ValueError("a block's checksum does not match its ids")
-            out.append(ids)
+        ends = at + HEAD.itemsize + np.cumsum([0, int(head["ids"]), int(head["sizes"]), 2 * int(head["words"])])
+        a, b, c, at = ends.tolist()
+        try:
+            out.append(_decode_block(head, raw[a:b], raw[b:c], np.frombuffer(raw, "<u2", int(head["words"]), c)))
+        except (zlib.error, IndexError) as damage:
+            raise ValueError("a block is damaged") from damage
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-HELD_WORDS = 500_000
+#: Pieces of words of which a task keeps the ids; as many again from before.
+HELD = 400_000
+#: Text that this module cuts itself has none of these, only white space, printable ASCII and the letters of Latin-1, and no special token.
+ODD = re.compile("[^\t-\r -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
+#: How the vocabulary's own pattern cuts such text once it is in lower case.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\\sa-z0-9\xdf-\xf6\xf8-\xff]+")
 _LOADED: dict = {}
 
 
+def _is_plain(text: str) -> bool:
+    return "<|" not in text and not ODD.search(text)
+
+
+class Recent(dict):
+    """Values by key, made where missing; the less recent half goes when there are too many."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        self[key] = value = self.make(key) if value is None else value
+        return value
+
+    def trim(self):
+        if len(self) > HELD:
+            self.before = dict(self)
+            self.clear()
+
+
 class Tokenizer:
-    """A tokenizer of the tokenizers library whose pieces never span white space, with the ids of words seen before.
+    """A tokenizer of the tokenizers library with the ids of pieces seen before.
 
-    Words between white space are encoded by the library once and looked up afterwards; a text with control
-    characters that Python and the library take differently for white space goes to the library whole.
+    Plain text is cut as the library cuts it, and new pieces are put to its model. In other text the words that aren't
+    plain go to the library, and a text with control characters that Python and the library take differently
+    for white space goes to it whole. ``plain`` says whether the vocabulary cuts text as PIECES
+    does; that is tested when it is loaded.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.library = Library.from_file(path)
+        self.model, self.bytes = self.library.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        self.pieces, self.plain = Recent(self._piece), True
+        sample = "It's we'll 'tis A1B22 x.y,z!? \xc9t\xe9\xdf \xd6L  don'ta\n--''-- \xfcber[3]{4}_5"
+        self.plain = self._plain(sample) == self._ids(sample)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-        self.library, self.held = Library.from_file(path), {}
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = self.bytes.pre_tokenize_str(piece)[0][0]
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _ids(self, texts: list) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
+
+    def _text(self, text: str) -> bytes:
+        if not self.plain or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return self._ids(text)
+        if _is_plain(text):
+            return self._plain(text)
+        return b"".join([self._plain(w) if _is_plain(w) else self._ids(w) for w in text.split()])
 
     def encode(self, texts: list, end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian 32-bit integers."""
-        tail = np.array([end], "<u4").tobytes()
-        odd = [bool(t) and any(c in t for c in "\x1c\x1d\x1e\x1f") for t in texts]
-        words = [[] if o or not t else t.split() for t, o in zip(texts, odd)]
-        missing = list(set().union(*words) - self.held.keys())
-        if len(self.held) + len(missing) > HELD_WORDS:
-            self.held = {}
-            missing = list(set().union(*words))
-        self.held.update(zip(missing, self._ids(missing)))
-        get = self.held.__getitem__
-        out = [b"".join(map(get, w)) + tail for w in words]
-        for k in (k for k, o in enumerate(odd) if o):
-            out[k] = self._ids([texts[k]])[0] + tail
+        tail, out = struct.pack("<I", end), []
+        for text in texts:
+            out.append(self._text(text) + tail if text else tail)
+            self.pieces.trim()
         return out
 
 
@@ -382,21 +432,21 @@ def write(
     ordered.mapInArrow(run, FILE).write.parquet(path)
 
 
-def read(files: DataFrame, id_bits: int = 16) -> DataFrame:
-    """(part, chunk, at, doc_id, ids) of each document in the files; ``at`` counts the chunk's ids before it."""
-    return _read(files, id_bits, lambda ids: ids, pa.list_(pa.int64()), "ids array<long>")
+def read(files: DataFrame) -> DataFrame:
+    """(part, chunk, at, doc_id, n_tokens, ids) of each document in the files; ``at`` counts the chunk's ids before it."""
+    return _read(files, lambda ids: ids, pa.list_(pa.int64()), "ids array<long>")
 
 
-def digests(files: DataFrame, id_bits: int = 16) -> DataFrame:
-    """As read(), with the count of ids and their CRC-32 as little-endian 32-bit integers in place of them."""
-    return _read(files, id_bits, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64(), "ids_crc32 long")
+def digests(files: DataFrame) -> DataFrame:
+    """As read(), with the CRC-32 of a document's ids as little-endian 32-bit integers in place of them."""
+    return _read(files, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), pa.int64(), "ids_crc32 long")
 
 
-def _read(files: DataFrame, id_bits: int, of, kind, column: str) -> DataFrame:
+def _read(files: DataFrame, of, kind, column: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for r in b.to_pylist():
-                ids = decode_ids(r["blocks"], id_bits)
+                ids = decode_ids(r["blocks"])
                 ends = np.cumsum(r["counts"])
                 starts = ends - r["counts"]
                 yield pa.RecordBatch.from_arrays(
@@ -416,14 +466,21 @@ def _read(files: DataFrame, id_bits: int, of, kind, column: str) -> DataFrame:
 
 
 def starts(files: DataFrame) -> DataFrame:
-    """(part, chunk, before): ids in all chunks before each. Sums within a part, then over the earlier parts' totals."""
+    """(part, chunk, before): ids in all chunks before each. Sums within a part, then over the parts' totals, of which there
+    are as many as tasks that wrote."""
     chunks = files.select("part", "chunk", "n_ids")
     parts = chunks.groupBy("part").agg(F.sum("n_ids").alias("total"))
-    earlier = parts.select(F.col("part").alias("p2"), F.col("total").alias("t2"))
-    offset = parts.join(F.broadcast(earlier), F.col("p2") < F.col("part"), "left").groupBy("part").agg(
-        F.coalesce(F.sum("t2"), F.lit(0)).alias("offset")
-    )
+    offset = parts.select("part", (F.sum("total").over(W.orderBy("part")) - F.col("total")).alias("offset"))
     own = F.sum("n_ids").over(W.partitionBy("part").orderBy("chunk")) - F.col("n_ids")
     return chunks.withColumn("own", own).join(offset, "part").select(
         "part", "chunk", (F.col("own") + F.col("offset")).cast("long").alias("before")
     )
+
+
+def placed(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` of read() or digests() with ``start``, the ids of all documents before each. Chunks are many only where ids
+    are; their starts are broadcast while they are few."""
+    before = starts(files)
+    if 32 * files.count() <= BROADCAST_BYTES:
+        before = F.broadcast(before)
+    return rows.join(before, ["part", "chunk"]).withColumn("start", F.col("before") + F.col("at")).drop("before")
