@@ -15,9 +15,9 @@ CLEAN = ["The quick brown fox jumps over the lazy dog.", "A slow green turtle wa
 
 
 def docs_and_labels(spark):
-    rows = [(k, f"{CLEAN[k % 3]} {CLEAN[(k + 1) % 3]} {CLEAN[k % 2]}" if k % 5 else CLEAN[k % 3], "en" if k % 2 else "de") for k in range(60)]
+    rows = [(k, f"{CLEAN[k % 3]} {CLEAN[(k + 1) % 3]} {CLEAN[k % 2]} It is {k}." if k % 5 else CLEAN[k % 3], "en" if k % 2 else "de") for k in range(60)]
     rows += [(100, "@@## %%^^ zzqx!! ##@@ QQXX !!!! ^^%%$$ 00@@##" * 3, "en"), (101, None, "en"), (102, "", None), (None, CLEAN[0], "en"), (103, "日本語" * 20, "ja"), (5, CLEAN[0], "en")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({n: F.lit(1) for n in ("quality", "gram", "_t", "n")})
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({n: F.lit(1) for n in ("quality", "hi", "lo", "part", "_t", "n")})
     labels = [(k, 1, 0) for k in range(50)] + [(None, 1, 0), (100, 0, 0), (103, 1, 1), (7, 1, None)]
     return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rows
 
@@ -49,18 +49,18 @@ def kneser_ney(trusted):
     def p(g):
         k = len(g)
         if not k:
-            return 1 / quality.SYMBOLS
+            return 1 / (len(counts[1]) + 1)
         if not totals[k, g[:-1]]:
             return p(g[1:])
         c = counts[k][g]
         own = (c - discounts[k][min(c, 3) - 1]) / totals[k, g[:-1]] if c else 0
         return own + held[k, g[:-1]] / totals[k, g[:-1]] * p(g[1:])
 
-    def nll(text):
+    def squares(text):
         s = [0] * (n - 1) + quality.symbols(text).tolist()
-        return -sum(math.log(p(tuple(s[k - n + 1 : k + 1]))) for k in range(n - 1, len(s)))
+        return sum(math.log(p(tuple(s[k - n + 1 : k + 1]))) ** 2 for k in range(n - 1, len(s)))
 
-    return nll
+    return squares
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
@@ -68,10 +68,22 @@ def test_perplexities(spark, limit):
     docs, labels, rows = docs_and_labels(spark)
     trusted_ids = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
     ids = {r[0] for r in trusted_ids.collect()} - {None}
-    nll = kneser_ney([t for i, t, _ in rows if i in ids])
     got = quality.perplexities(docs, trusted_ids, broadcast_bytes=limit).collect()
-    want = sorted(((i, round(nll(t), 6)) for i, t, _ in rows), key=str)
-    assert sorted(((r.doc_id, round(r.nll, 6) + 0.0) for r in got), key=str) == want
+    assert {r.part for r in got} == {quality.UNKNOWN, quality.COUNTED, quality.KEPT}
+    assert {r.doc_id for r in got if r.part != quality.UNKNOWN} == ids & {r[0] for r in rows}
+    texts = {(r.doc_id, r.text_hash): r.text for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")).collect()}
+    squares = kneser_ney([texts[r.doc_id, r.text_hash] for r in got if r.part == quality.COUNTED])
+    assert len(got) == len(rows)
+    for r in got:
+        text = texts[r.doc_id, r.text_hash]
+        assert r.n_symbols == len(text or "") and r.squares == pytest.approx(squares(text), rel=1e-5)
+
+
+def test_symbols_are_not_folded():
+    """Each of many letters and signs has grams of its own."""
+    letters = [chr(c) for c in (*range(0x400, 0x460), *range(0x4E00, 0x4E00 + 3000), 0x1F600, 0x10FFFF)]
+    hi, lo, n = quality._grams(letters)
+    assert len({*zip(hi.tolist(), lo.tolist())}) == len(letters) == n.sum() and len(set(quality._hashed(hi, lo).tolist())) == len(letters)
 
 
 def test_quality_rejects_junk_and_keeps_the_rest(spark):

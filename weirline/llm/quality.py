@@ -1,10 +1,13 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of character n-grams.
 
 The model is counted on trusted text: raw counts for the longest order, counts of distinct left
-neighbours below it. Counts, their contexts and the grams that documents ask for are tables hashed by
-gram, and joins of those shards give the log probability of every gram asked for. A document's
-perplexity follows from its grams'; it is accepted up to a quantile of the trusted documents'
-perplexities in its own language.
+neighbours below it. Counts, their contexts and the grams that documents ask for are tables of grams, and
+joins of those shards give the log probability of every gram asked for. A document's
+perplexity follows from its grams'; it is accepted up to a quantile of the perplexities that trusted
+documents of its language have which the model was not counted on.
+
+A gram is up to five code points, packed without loss into two longs: ``lo`` holds the last three of them and
+``hi`` those before.
 """
 
 from __future__ import annotations
@@ -17,38 +20,41 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_BYTES, saved
 
-ORDER = 4
-SYMBOLS = 256
-BLOCK_BYTES, BLOCK_ROWS, HELD_GRAMS = 8 << 20, 2000, 2_000_000
+ORDER = 5
+BITS, IN_LO = 21, 3  # bits of a code point, and code points in lo
+BLOCK_BYTES, BLOCK_ROWS, HELD_GRAMS = 4 << 20, 1000, 1_000_000
+#: One trusted document of so many is kept from the model for the thresholds.
+HELD_OUT = 5
 #: Rows up to which the table of languages is broadcast.
 LANGUAGES = 100_000
+MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def symbols(text: str | None) -> np.ndarray:
-    """A byte for each code point: itself below 256, otherwise one of the 32 unused control codes from 128."""
-    if not text:
-        return np.zeros(0, np.uint8)
-    try:
-        return np.frombuffer(text.encode("latin-1"), np.uint8)
-    except UnicodeEncodeError:
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return np.where(points < 256, points, 128 + points % 32).astype(np.uint8)
-
-
-def _grams(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """The grams that end at each code point of the texts, one text after another, and how many each text has."""
+    """A text's code points."""
+    return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _grams(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """hi and lo of the grams that end at each code point of the texts, one text after another, and how many each text has."""
     each = [symbols(t) for t in texts]
-    pad = np.zeros(ORDER - 1, np.uint8)
-    flat = np.concatenate([x for s in each for x in (pad, s)] or [pad]).astype(np.uint32)
+    pad = np.zeros(ORDER - 1, np.uint32)
+    flat = np.concatenate([x for s in each for x in (pad, s)] or [pad]).astype(np.uint64)
     n = np.array([len(s) for s in each], np.int64)
-    if not n.sum():
-        return np.zeros(0, np.uint32), n
-    grams = flat[: len(flat) - ORDER + 1] << np.uint32(24)
-    for k in range(1, ORDER):
-        grams = grams | (flat[k : len(flat) - ORDER + 1 + k] << np.uint32(24 - 8 * k))
+    size = len(flat) - ORDER + 1
+    hi, lo = np.zeros(max(0, size), np.uint64), np.zeros(max(0, size), np.uint64)
+    for k in range(ORDER):
+        into = hi if k < ORDER - IN_LO else lo
+        into <<= np.uint64(BITS)
+        into |= flat[k : size + k]
     # a gram counts where its last symbol is one of the text's, not of the padding before it
     real = np.repeat(np.tile([False, True], len(n)), np.column_stack([np.full(len(n), ORDER - 1), n]).ravel())
-    return grams[real[ORDER - 1 :]], n
+    return hi[real[ORDER - 1 :]], lo[real[ORDER - 1 :]], n
+
+
+def _hashed(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    out = (hi * MIX + lo) * MIX2
+    return out ^ out >> np.uint64(29)
 
 
 def _cut(batches):
@@ -58,26 +64,29 @@ def _cut(batches):
             yield b.slice(at, step)
 
 
+def _distinct(hi, lo, n):
+    """Each gram once with the sum of its n."""
+    _, at, back = np.unique(_hashed(hi, lo), return_index=True, return_inverse=True)
+    return hi[at], lo[at], np.bincount(back, n, len(at)).astype(np.int64)
+
+
 def _count(batches):
-    """Grams of all texts with their number in trusted ones, summed within the task while they are few enough to hold."""
+    """Grams of all texts with their number in counted ones, summed within the task while they are few enough to hold."""
 
-    def out(grams, counts):
-        return pa.RecordBatch.from_arrays([pa.array(grams.astype(np.int64)), pa.array(counts)], names=["gram", "n"])
+    def out(*columns):
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hi", "lo", "n"])
 
-    held, sums = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    empty = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    held = empty
     for part in _cut(batches):
-        grams, n = _grams(part.column(0).to_pylist())
-        trusted = np.repeat(np.array(part.column(1).to_pylist(), bool), n)
-        yes, counts = np.unique(grams[trusted], return_counts=True)
-        other = np.unique(grams[~trusted])
-        keys, back = np.unique(np.concatenate([held, yes, other]), return_inverse=True)
-        weights = np.concatenate([sums, counts, np.zeros(len(other), np.int64)])
-        held, sums = keys, np.bincount(back, weights, len(keys)).astype(np.int64)
-        if len(held) > HELD_GRAMS:
-            yield out(held, sums)
-            held, sums = held[:0], sums[:0]
-    if len(held):
-        yield out(held, sums)
+        hi, lo, n = _grams(part.column(0).to_pylist())
+        counted = np.repeat(np.array(part.column(1).to_pylist(), np.int64), n)
+        held = _distinct(*(np.concatenate(x) for x in zip(held, _distinct(hi, lo, counted))))
+        if len(held[0]) > HELD_GRAMS:
+            yield out(*held)
+            held = empty
+    if len(held[0]):
+        yield out(*held)
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -92,121 +101,131 @@ def _discounts(counts: DataFrame) -> tuple[float, float, float]:
     return tuple(out)
 
 
+def _context(hi, lo):
+    """A gram without its last code point."""
+    high = F.shiftleft(hi.bitwiseAND(F.lit((1 << BITS) - 1)), BITS * (IN_LO - 1))
+    return F.shiftright(hi, BITS), F.shiftright(lo, BITS).bitwiseOR(high)
+
+
+def _suffix(hi, lo, k: int):
+    """The last k code points of a gram."""
+    return hi.bitwiseAND(F.lit((1 << BITS * max(0, k - IN_LO)) - 1)), lo.bitwiseAND(F.lit((1 << BITS * min(k, IN_LO)) - 1))
+
+
 def gram_scores(grams: DataFrame) -> DataFrame:
-    """(gram, logp) for every gram of ``grams`` (gram, n), of which those with n > 0 make the model.
+    """(hi, lo, logp) for every gram of ``grams`` (hi, lo, n), of which those with n > 0 make the model.
 
     Interpolated modified Kneser-Ney: p_k(w|h) = (c - D(c)) / c(h) + lambda(h) * p_{k-1}(w|h'), down to
-    the uniform distribution; an unseen context leaves all to the next order. Every step is a join or
-    an aggregate hashed by gram or context.
+    the uniform distribution over the symbols counted and one more; an unseen context leaves all to the next
+    order. Every step is a join or an aggregate hashed by gram or context.
     """
+    hi, lo = F.col("hi"), F.col("lo")
     counts = grams.filter("n > 0")
     tables = []  # from the longest order down: (probabilities' parts, contexts)
     for k in range(ORDER, 0, -1):
         d1, d2, d3 = _discounts(counts)
         d = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
-        parts = counts.select("gram", F.shiftright("gram", 8).alias("context"), "n", d.alias("d"))
-        contexts = parts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
-        contexts = contexts.select("context", "total", (F.col("held") / F.col("total")).alias("rest"))
+        ch, cl = _context(hi, lo)
+        parts = counts.select("hi", "lo", ch.alias("ch"), cl.alias("cl"), "n", d.alias("d"))
+        contexts = parts.groupBy("ch", "cl").agg(F.sum("n").alias("total"), F.sum("d").alias("held"))
+        contexts = contexts.select("ch", "cl", "total", (F.col("held") / F.col("total")).alias("rest"))
         tables.append((k, parts, contexts))
-        mask = (1 << (8 * (k - 1))) - 1
-        counts = saved(
-            counts.groupBy(F.col("gram").bitwiseAND(F.lit(mask)).alias("gram")).agg(F.count("*").alias("n")), "counts"
-        )
+        if k > 1:
+            sh, sl = _suffix(hi, lo, k - 1)
+            counts = saved(counts.groupBy(sh.alias("hi"), sl.alias("lo")).agg(F.count("*").alias("n")), "counts")
+    uniform = 1.0 / (counts.count() + 1)
     lower = None
     for k, parts, contexts in reversed(tables):
-        own = parts.join(contexts, "context").withColumn("own", (F.col("n") - F.col("d")) / F.col("total"))
+        own = parts.join(contexts, ["ch", "cl"]).withColumn("own", (F.col("n") - F.col("d")) / F.col("total"))
         if lower is None:
-            p = own.select("gram", (F.col("own") + F.col("rest") / SYMBOLS).alias("p"))
+            p = own.select("hi", "lo", (F.col("own") + F.col("rest") * uniform).alias("p"))
         else:
-            suffix = F.col("gram").bitwiseAND(F.lit((1 << (8 * (k - 1))) - 1))
-            below = lower[0].select(F.col("gram").alias("suffix"), F.col("p").alias("below"))
-            p = own.withColumn("suffix", suffix).join(below, "suffix")
-            p = p.select("gram", (F.col("own") + F.col("rest") * F.col("below")).alias("p"))
+            sh, sl = _suffix(hi, lo, k - 1)
+            below = lower[0].select(F.col("hi").alias("sh"), F.col("lo").alias("sl"), F.col("p").alias("below"))
+            p = own.withColumns({"sh": sh, "sl": sl}).join(below, ["sh", "sl"])
+            p = p.select("hi", "lo", (F.col("own") + F.col("rest") * F.col("below")).alias("p"))
         lower = (saved(p, f"order{k}"), contexts, lower)
-    asked = grams.select("gram")
+    asked = grams.select("hi", "lo")
     chain, weight, value = lower, F.lit(1.0), F.lit(None).cast("double")
     for k in range(ORDER, 0, -1):
         table, contexts, chain = chain
-        tail = F.col("gram").bitwiseAND(F.lit((1 << (8 * k)) - 1))
+        gh, gl = _suffix(hi, lo, k)
+        ch, cl = _context(gh, gl)
         asked = (
-            asked.withColumn("g", tail)
-            .withColumn("c", F.shiftright("g", 8))
-            .join(table.select(F.col("gram").alias("g"), F.col("p").alias(f"p{k}")), "g", "left")
-            .join(contexts.select(F.col("context").alias("c"), F.col("rest").alias(f"rest{k}")), "c", "left")
-            .drop("g", "c")
+            asked.withColumns({"gh": gh, "gl": gl, "ch": ch, "cl": cl})
+            .join(table.toDF("gh", "gl", f"p{k}"), ["gh", "gl"], "left")
+            .join(contexts.select("ch", "cl", F.col("rest").alias(f"rest{k}")), ["ch", "cl"], "left")
+            .drop("gh", "gl", "ch", "cl")
         )
         value = F.coalesce(value, weight * F.col(f"p{k}"))
         weight = weight * F.coalesce(F.col(f"rest{k}"), F.lit(1.0))
-    return asked.select("gram", F.log(F.coalesce(value, weight / SYMBOLS)).alias("logp"))
+    return asked.select("hi", "lo", F.log(F.coalesce(value, weight * uniform)).alias("logp"))
 
 
 def _sums(texts: list, keys: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and summed log probability of each text; summed text by text, so blocks don't matter."""
-    grams, n = _grams(texts)
-    found = logp[np.searchsorted(keys, grams)] if len(grams) else np.zeros(0)
+    """Symbols and summed squared log probability of each text; summed text by text, so blocks don't matter."""
+    hi, lo, n = _grams(texts)
+    found = logp[np.searchsorted(keys, _hashed(hi, lo))] if len(hi) else np.zeros(0)
+    found = found * found
     at = np.concatenate(([0], np.cumsum(n))).tolist()
     return n, np.array([found[a:b].sum() for a, b in zip(at, at[1:])], np.float64)
 
 
-RESULT = "doc_id long, lang string, trusted boolean, n_symbols long, nll double"
+RESULT = "doc_id long, lang string, text_hash long, part int, n_symbols long, squares double"
+#: What a document is to the model: unknown, counted, or trusted but kept from it.
+UNKNOWN, COUNTED, KEPT = 0, 1, 2
 
 
-def _rows(ids, langs, trusted, n, logp):
+def _rows(batch, n, squares):
+    """The batch is of (text, counted, doc_id, lang, text_hash, part)."""
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids, pa.int64()),
-            pa.array(langs, pa.string()),
-            pa.array(trusted, pa.bool_()),
-            pa.array(n, pa.int64()),
-            pa.array(-np.asarray(logp, np.float64), pa.float64()),
-        ],
-        names=["doc_id", "lang", "trusted", "n_symbols", "nll"],
+        [*batch.columns[2:], pa.array(n, pa.int64()), pa.array(squares, pa.float64())],
+        names=["doc_id", "lang", "text_hash", "part", "n_symbols", "squares"],
     )
 
 
 def _score_by_broadcast(rows: DataFrame, scores: DataFrame) -> DataFrame:
-    pdf = scores.orderBy("gram").toPandas()  # bounded: its size has been checked
-    held = rows.sparkSession.sparkContext.broadcast(
-        (pdf["gram"].to_numpy(np.uint32), pdf["logp"].to_numpy(np.float64))
-    )
+    pdf = scores.toPandas()  # bounded: its size has been checked
+    keys = _hashed(pdf["hi"].to_numpy(np.uint64), pdf["lo"].to_numpy(np.uint64))
+    order = np.argsort(keys)
+    held = rows.sparkSession.sparkContext.broadcast((keys[order], pdf["logp"].to_numpy(np.float32)[order]))
 
     def run(batches):
         for part in _cut(batches):
-            n, logp = _sums(part.column(0).to_pylist(), *held.value)
-            yield _rows(part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(1).to_pylist(), n, logp)
+            yield _rows(part, *_sums(part.column(0).to_pylist(), *held.value))
 
     return rows.mapInArrow(run, RESULT)
 
 
 def _score_by_block(rows: DataFrame, scores: DataFrame) -> DataFrame:
     """Without a broadcast: each block of texts asks for its own distinct grams and is met by them."""
-
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.bool_())]
-    names = ["block", "gram", "texts", "ids", "langs", "trusted"]
+    fields = [("text", pa.string()), ("counted", pa.bool_()), ("doc_id", pa.int64()), ("lang", pa.string()), ("text_hash", pa.int64()), ("part", pa.int32())]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct(fields))]
+    names = ["block", "hi", "lo", "rows"]
 
     def pack(batches):
         task = TaskContext.get().partitionId()
         for k, part in enumerate(_cut(batches)):
-            block, texts = (task << 32) + k, part.column(0).to_pylist()
-            held = [[block], [None], [texts], *([part.column(c).to_pylist()] for c in (2, 3, 1))]
-            grams = np.unique(_grams(texts)[0]).astype(np.int64)
-            none = [None] * len(grams)
-            for columns in (held, [[block] * len(grams), grams, none, none, none, none]):
+            block = (task << 32) + k
+            hi, lo, _ = _grams(part.column(0).to_pylist())
+            hi, lo, _ = _distinct(hi, lo, np.zeros(len(hi), np.int64))
+            whole = [[block], [None], [None], [part.to_pylist()]]
+            for columns in (whole, [[block] * len(hi), hi.astype(np.int64), lo.astype(np.int64), [None] * len(hi)]):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 
-    schema = "block long, gram long, texts array<string>, ids array<long>, langs array<string>, trusted array<boolean>"
-    table = saved(rows.mapInArrow(pack, schema), "blocks")
-    wanted = table.filter("gram is not null").select(F.col("block").alias("of"), "gram").join(scores, "gram")
-    texts = table.filter("gram is null").select("block", "texts", "ids", "langs", "trusted")
+    row = "text string, counted boolean, doc_id long, lang string, text_hash long, part int"
+    table = saved(rows.mapInArrow(pack, f"block long, hi long, lo long, rows array<struct<{row}>>"), "blocks")
+    wanted = table.filter("hi is not null").select(F.col("block").alias("of"), "hi", "lo").join(scores, ["hi", "lo"])
+    texts = table.filter("hi is null").select("block", "rows")
 
     def score(left, right):
-        keys, logp = right.column("gram").to_numpy(), right.column("logp").to_numpy()
+        keys = _hashed(right.column("hi").to_numpy().astype(np.uint64), right.column("lo").to_numpy().astype(np.uint64))
         order = np.argsort(keys)
-        keys, logp = keys[order].astype(np.uint32), logp[order]
+        keys, logp = keys[order], right.column("logp").to_numpy().astype(np.float32)[order]
         out = []
-        for r in left.to_pylist():
-            n, sums = _sums(r["texts"], keys, logp)
-            out.append(_rows(r["ids"], r["langs"], r["trusted"], n, sums))
+        for r in left.column("rows").to_pylist():
+            part = pa.RecordBatch.from_pylist(r, schema=pa.schema(fields))
+            out.append(_rows(part, *_sums(part.column(0).to_pylist(), keys, logp)))
         return pa.Table.from_batches(out)
 
     return texts.groupBy("block").cogroup(wanted.groupBy("of")).applyInArrow(score, RESULT)
@@ -215,20 +234,25 @@ def _score_by_block(rows: DataFrame, scores: DataFrame) -> DataFrame:
 def perplexities(
     docs: DataFrame, trusted_ids: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", broadcast_bytes=BROADCAST_BYTES
 ) -> DataFrame:
-    """(doc_id, lang, trusted, n_symbols, nll) for each row of ``docs``; the model is counted on the trusted ones."""
+    """(doc_id, lang, text_hash, part, n_symbols, squares) for each row of ``docs``: whether it is one of the documents that the model
+    is counted on, and the sum of its symbols' squared log probabilities."""
     marks = trusted_ids.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_t")).distinct()
     if 8 * marks.count() <= broadcast_bytes:
         marks = F.broadcast(marks)
     plain = docs.select(
-        F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang")
-    )
+        F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
+        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
+    )
+    # by the text, so that copies of a document are on one side
+    kept = F.pmod(F.xxhash64("text_hash"), F.lit(HELD_OUT)) == 0
+    part = F.when(F.col("_t").isNull(), UNKNOWN).when(kept, KEPT).otherwise(COUNTED)
     rows = plain.join(marks, F.col("doc_id") == F.col("_t"), "left").select(
-        "text", F.col("_t").isNotNull().alias("trusted"), "doc_id", "lang"
+        "text", (part == COUNTED).alias("counted"), "doc_id", "lang", "text_hash", part.cast("int").alias("part")
     )
-    counted = rows.select("text", "trusted").mapInArrow(_count, "gram long, n long")
-    grams = saved(counted.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    counted = rows.select("text", "counted").mapInArrow(_count, "hi long, lo long, n long")
+    grams = saved(counted.groupBy("hi", "lo").agg(F.sum("n").alias("n")), "grams")
     scores = saved(gram_scores(grams), "scores")
-    if 16 * scores.count() <= broadcast_bytes:
+    if 24 * scores.count() <= broadcast_bytes:
         return _score_by_broadcast(rows, scores)
     return _score_by_block(rows, scores)
 
@@ -236,40 +260,41 @@ def perplexities(
 def assess(
     docs: DataFrame,
     labels: DataFrame,
-    quantile: float = 0.995,
-    margin: float = 1.05,
+    quantile: float = 0.99,
+    few: float = 4.0,
     prior: float = 40.0,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
     **options,
 ) -> DataFrame:
-    """(doc_id, lang, n_symbols, perplexity, threshold, accepted) for each row of ``docs``.
-
-    Trusted text: documents that ``labels`` (doc_id, quality, toxic) call good and not toxic. A document
-    is accepted while its perplexity is at most ``margin`` times the ``quantile`` of the trusted
-    documents' in its language, or in all languages together where its own has none. The
-    perplexity of a short text is drawn to the language's usual one by ``prior`` symbols. Null or empty texts have
-    no perplexity and are accepted, as are all where nothing is trusted. Null languages
-    form one language. Rows that repeat an id are assessed one by one. Empty tables give no rows.
+    """(doc_id, lang, text_hash, n_symbols, perplexity, threshold, accepted) for each row of ``docs``.
+
+    Trusted text: documents that ``labels`` (doc_id, quality, toxic) call good and not toxic; one in HELD_OUT of them is
+    kept from the model. Perplexity is the exponential of the root mean square of the symbols' log
+    probabilities, in which a few very unlikely words weigh more than in their mean. A document is accepted up to the
+    ``quantile`` of the kept documents' perplexities in its language, or in all languages together where its own has
+    none; m of them are allowed ``few`` / m more. The perplexity of a short text is drawn to the language's
+    usual one by ``prior`` symbols. Null or empty texts have no perplexity and are accepted, as are all where
+    nothing is trusted; with no document kept, those counted on give the threshold. Null languages form one
+    language. Rows that repeat an id are assessed one by one. Empty tables give no rows.
     """
     trusted = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
     rows = saved(perplexities(docs, trusted, id_col, text_col, lang_col, **options), "perplexities")
-    known = rows.filter("trusted and n_symbols > 0")
-    mean = F.sum("nll") / F.sum("n_symbols")
-    with_usual = _by_language(rows, known, mean, "usual")
-    drawn = (F.col("nll") + prior * F.col("usual")) / (F.col("n_symbols") + prior)
-    levels = with_usual.withColumn("level", F.when(F.col("n_symbols") > 0, drawn))
-    cut = F.percentile_approx("level", quantile, 100_000)
+    known = rows.filter(f"part = {KEPT} and n_symbols > 0")
+    if known.isEmpty():
+        known = rows.filter(f"part = {COUNTED} and n_symbols > 0")
+    usual = F.sum("squares") / F.sum("n_symbols")
+
+    def leveled(frame):
+        drawn = F.sqrt((F.col("squares") + prior * F.col("usual")) / (F.col("n_symbols") + prior))
+        return frame.withColumn("level", F.when(F.col("n_symbols") > 0, drawn))
+
+    cut = F.percentile_approx("level", quantile, 100_000) + F.log1p(few / F.count("level"))
+    levels = leveled(_by_language(rows, known, usual, "usual"))
     return (
-        _by_language(levels, levels.filter("trusted and level is not null"), cut, "cut")
-        .select(
-            "doc_id",
-            "lang",
-            "n_symbols",
-            F.exp("level").alias("perplexity"),
-            (margin * F.exp("cut")).alias("threshold"),
-        )
+        _by_language(levels, leveled(_by_language(known, known, usual, "usual")), cut, "cut")
+        .select("doc_id", "lang", "text_hash", "n_symbols", F.exp("level").alias("perplexity"), F.exp("cut").alias("threshold"))
         .withColumn("accepted", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
     )
 
