@@ -143,18 +143,16 @@ def near_duplicates(
     """
     fps = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")), "reps")
-    return _with_components(fps, reps, links(reps, distance)).select("doc_id", "fp", "component_id")
+    found = _with_components(fps, reps, links(reps, distance), {"component_id": "first_id"})
+    return found.select("doc_id", "fp", "component_id")
 
 
-def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
-    """``fps`` with component_id, the smallest first_id of all representatives that ``edges`` connect."""
-    roots = components(edges)
-    joined = roots.join(reps, "fp")
-    named = joined.join(joined.groupBy("root").agg(F.min("first_id").alias("component_id")), "root")
+def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame, least: dict[str, str]) -> DataFrame:
+    """``fps`` with new columns, each the smallest value of a column of all representatives that ``edges`` connect."""
+    joined = components(edges).join(reps, "fp")
+    named = joined.select("fp", "root").join(joined.groupBy("root").agg(*(F.min(c).alias(n) for n, c in least.items())), "root")
     groups = saved(
-        reps.join(named.select("fp", "component_id"), "fp", "left").select(
-            "fp", "n", F.coalesce("component_id", "first_id").alias("component_id")
-        ),
+        reps.join(named.drop("root"), "fp", "left").select("fp", "n", *(F.coalesce(n, c).alias(n) for n, c in least.items())),
         "groups",
     )
     return attach(fps, groups, ["fp"])
@@ -167,7 +165,9 @@ PART_GRAMS, COLUMNS = 1 << 20, 2048
 #: Needed texts up to which their keys are broadcast.
 NEEDED = 500_000
 #: One text of so many is sampled for frequent shingles; of these so many, at most, go last in every prefix.
-SAMPLED, FREQUENT, MOST_FREQUENT = 8, 4, 1_000_000
+SAMPLED, FREQUENT, MOST_FREQUENT = 32, 3, 1_000_000
+#: Texts of which a task holds the sets at a time.
+ROWS = 250
 SLACK = 1e-6
 
 
@@ -226,50 +226,65 @@ def _forest(similarity: float):
     return run
 
 
+def _slices(batch):
+    """Some hundred texts at a time, so that a task holds few sets."""
+    for at in range(0, len(batch), ROWS):
+        yield batch.slice(at, ROWS)
+
+
 def near_copies(
     docs: DataFrame, similarity: float = 0.8, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(doc_id, component_id) for every row of ``docs``: components of the pairs whose sets of word shingles have a Jaccard
-    similarity of at least ``similarity``. Exact, but for collisions of 64-bit hashes.
+    """(doc_id, text_hash, component_id, kept) for every row of ``docs``: components of the pairs whose sets of word shingles have
+    a Jaccard similarity of at least ``similarity``. Exact, but for collisions of 64-bit hashes.
 
     In any one order of all shingles, two such sets share one of their first ``n - ceil(similarity * n)
     + 1`` (prefix filter). The order is by hash, shingles that a sample shows as frequent last. Sets
     that share a prefix shingle are compared whole: pair by pair in small buckets. A large bucket is cut into parts
     and every two parts meet in a task, which returns a spanning forest of its similar pairs. First,
-    its parts alone link what they can; buckets that are of one component by then are done. Nulls,
-    repeats and empty tables as in near_duplicates().
+    its parts alone link what they can; buckets that are of one component by then are done.
+
+    text_hash is the XXH64 of the text (null counts as empty). ``kept`` marks the rows with the id and text that
+    stand for their component: the smallest id, null ids last, and its smallest text_hash. Rows that repeat both
+    are marked alike. component_id is as in near_duplicates(), as are nulls and empty tables.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), hashed.alias("text_hash"), F.col(text_col).alias("text"))
 
     def sample(batches):
-        for b in batches:
+        for b in (x for batch in batches for x in _slices(batch)):
             sets = [gram_set(t, shingle) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))], names=["token"])
 
-    sampled = source.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0).select("text").mapInArrow(sample, "token long")
+    sampled = source.filter(F.pmod("text_hash", F.lit(SAMPLED)) == 0).select("text").mapInArrow(sample, "token long")
     often = sampled.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
     top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()  # bounded
     frequent = spark.sparkContext.broadcast(np.sort(top["token"].to_numpy(np.int64)))
 
     def run(batches):
-        task, row, longs = TaskContext.get().partitionId() << 33, 0, pa.list_(pa.int64())
-        for b in batches:
-            sets = [gram_set(t, shingle) for t in b.column(1).to_pylist()]
-            fps = [xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets]
-            prefixes = [_prefix(s, frequent.value, similarity) for s in sets]
-            rows = np.arange(row, row + len(b)) + task
+        task, row = TaskContext.get().partitionId() << 33, 0
+        for b in (x for batch in batches for x in _slices(batch)):
+            sets = [gram_set(t, shingle) for t in b.column(2).to_pylist()]
+            columns = [
+                pa.array(np.arange(row, row + len(b)) + task),
+                pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([_prefix(s, frequent.value, similarity) for s in sets], pa.list_(pa.int64())),
+            ]
             row += len(b)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(rows), pa.array(fps, pa.int64()), pa.array(sets, longs), pa.array(prefixes, longs)],
-                names=["doc_id", "row", "fp", "grams", "prefix"],
+                [b.column(0), b.column(1), *columns], names=["doc_id", "text_hash", "row", "fp", "size", "prefix"]
             )
 
-    fps = saved(source.mapInArrow(run, "doc_id long, row long, fp long, grams array<long>, prefix array<long>"), "sets")
-    firsts = fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"), F.min("row").alias("row"))
+    kinds = "doc_id long, text_hash long, row long, fp long, size long, prefix array<long>"
+    fps = saved(source.mapInArrow(run, kinds), "prefixes")
+    own = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")
+    firsts = fps.groupBy("fp").agg(
+        F.min("doc_id").alias("first_id"), F.min(own).alias("first"), F.count("*").alias("n"), F.min("row").alias("row")
+    )
     reps = saved(firsts, "reps")
-    some = reps.select("row")
-    some = fps.select("row", "fp", F.size("grams").alias("size"), "prefix").join(some, "row", "left_semi")
+    some = fps.select("row", "fp", "size", "prefix").join(reps.select("row"), "row", "left_semi")
     rows = some.select("fp", "size", F.explode("prefix").alias("token"))
     buckets = rows.groupBy("token").agg(F.count("*").alias("m"), F.sum("size").alias("total")).filter("m > 1")
     shared = saved(rows.join(saved(buckets, "buckets"), "token"), "shared")
@@ -286,17 +301,33 @@ def near_copies(
     crowded = shared.filter(F.col("m") > PAIRED_SETS)
 
     needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowded.select("fp")).distinct()
-    needed = saved(needed.join(reps, "fp").select("row"), "needed")
-    needed = F.broadcast(needed) if needed.count() <= NEEDED else needed
-    held = saved(fps.select("row", "fp", "grams").join(needed, "row", "left_semi").drop("row"), "held")
+    held = saved(_sets(source, saved(needed.join(reps, "fp").select("fp", "first"), "needed"), shingle), "held")
 
     both = pairs.join(held.toDF("a", "ga"), "a").join(held.toDF("b", "gb"), "b")
     edges = saved(both.filter(F.size(F.array_intersect("ga", "gb")) >= enough).select("a", "b"), "near")
     if not crowded.isEmpty():
         edges = edges.unionByName(_crowded_links(crowded, held, edges, similarity)).distinct()
-    return _with_components(fps.select("doc_id", "fp"), reps.select("fp", "first_id", "n"), edges).select(
-        "doc_id", "component_id"
-    )
+    found = _with_components(
+        fps.select("doc_id", "text_hash", "fp"), reps.select("fp", "first_id", "first", "n"), edges,
+        {"component_id": "first_id", "stands": "first"},
+    )
+    kept = F.col("doc_id").eqNullSafe(F.col("stands.doc_id")) & (F.col("text_hash") == F.col("stands.text_hash"))
+    return found.select("doc_id", "text_hash", "component_id", kept.alias("kept"))
+
+
+def _sets(source: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
+    """(fp, grams) of each needed (fp, first), from the texts once more rather than from sets that all texts have written."""
+
+    def run(batches):
+        for b in (x for batch in batches for x in _slices(batch)):
+            sets = [gram_set(t, shingle) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["fp", "grams"])
+
+    wanted = needed.select("fp", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    wanted = F.broadcast(wanted) if wanted.count() <= NEEDED else wanted
+    texts = source.join(wanted, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    # rows that repeat an id and a text are one
+    return texts.select("fp", "text").mapInArrow(run, "fp long, grams array<long>").dropDuplicates(["fp"])
 
 
 def _crowded_links(crowded: DataFrame, held: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
