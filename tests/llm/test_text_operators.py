@@ -109,6 +109,37 @@ def test_line_dedup_of_lines_with_an_outer_f(spark):
     assert got == deduped(rows) and [g[2] for g in got if g[0] < 5] == [2, 2, 2, 2, 0]
 
 
+def test_bitmaps_pack_and_unpack(spark):
+    runs = [[(0, 1), (7, 300), (70000, 2)], [(5, 1)], []]
+    df = spark.createDataFrame([(r,) for r in runs], "runs array<struct<start: int, length: int>>")
+    got = df.select("runs", line_dedup.packed("runs").alias("b")).select("runs", F.octet_length("b").alias("n"), line_dedup.unpacked(F.col("b")).alias("back"))
+    assert all(r.runs == r.back and r.n == 8 * len(r.runs) for r in got.collect())
+
+
+def test_first_occurrences_are_streamed_from_sorted_ranges(spark):
+    """One range exchange, one sort, and a window on what they give."""
+    lines = spark.range(1000).selectExpr("id % 7 as h1", "id % 3 as h2", "id % 50 as doc_id", "cast(id as int) as pos")
+    firsts = line_dedup.first_occurrences(lines)
+    plan = firsts._jdf.queryExecution().sparkPlan().toString() + firsts._jdf.queryExecution().executedPlan().toString()
+    executed = plan[plan.index("AdaptiveSparkPlan") :]
+    assert executed.count("Exchange") == executed.count("Exchange rangepartitioning") == 1 and "Sort [h1" in executed and "Window" in executed
+    want = {}
+    for r in lines.collect():
+        want[r.h1, r.h2, r.doc_id] = min(want.get((r.h1, r.h2, r.doc_id), 1 << 30), r.pos)
+    assert {(r.h1, r.h2, r.doc_id): r.pos for r in firsts.collect()} == want
+
+
+def test_line_dedup_of_a_hot_line(spark, monkeypatch):
+    """A line in thousands of documents takes the broadcast way of the join, marks too many to broadcast the shuffled one."""
+    rows = [(k, f"own line number {k} of document {k}, which no other one has\n{LONG}\n{LONG if k % 3 else 'tail'}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = deduped(rows)
+    for limit in (1 << 25, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST_BYTES", limit)
+        out = line_dedup.dedup_lines(df)
+        assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_text) for r in out.collect()), key=str) == want
+
+
 def brute_fingerprint(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     grams = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] if len(w) >= 3 else [" ".join(w)] if w else []
