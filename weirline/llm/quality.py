@@ -25,6 +25,8 @@ BITS, IN_LO = 21, 3  # bits of a code point, and code points in lo
 BLOCK_BYTES, BLOCK_ROWS, HELD_GRAMS = 4 << 20, 1000, 1_000_000
 #: One trusted document of so many is kept from the model for the thresholds.
 HELD_OUT = 5
+#: Bytes of a gram's hash and score in the broadcast table.
+SCORE_BYTES = 12
 #: Rows up to which the table of languages is broadcast.
 LANGUAGES = 100_000
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -76,17 +78,16 @@ def _count(batches):
     def out(*columns):
         return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hi", "lo", "n"])
 
-    empty = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    held = empty
+    held: list = []
     for part in _cut(batches):
         hi, lo, n = _grams(part.column(0).to_pylist())
-        counted = np.repeat(np.array(part.column(1).to_pylist(), np.int64), n)
-        held = _distinct(*(np.concatenate(x) for x in zip(held, _distinct(hi, lo, counted))))
-        if len(held[0]) > HELD_GRAMS:
-            yield out(*held)
-            held = empty
-    if len(held[0]):
-        yield out(*held)
+        held.append(_distinct(hi, lo, np.repeat(np.array(part.column(1).to_pylist(), np.int64), n)))
+        if sum(len(x[0]) for x in held) > HELD_GRAMS:
+            held = [_distinct(*(np.concatenate(x) for x in zip(*held)))]
+            if len(held[0][0]) > HELD_GRAMS // 2:
+                yield out(*held.pop())
+    if held:
+        yield out(*_distinct(*(np.concatenate(x) for x in zip(*held))))
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -185,10 +186,11 @@ def _rows(batch, n, squares):
 
 
 def _score_by_broadcast(rows: DataFrame, scores: DataFrame) -> DataFrame:
-    pdf = scores.toPandas()  # bounded: its size has been checked
-    keys = _hashed(pdf["hi"].to_numpy(np.uint64), pdf["lo"].to_numpy(np.uint64))
+    table = scores.select("hi", "lo", F.col("logp").cast("float")).toArrow()  # bounded: its size has been checked
+    hi, lo, logp = (table.column(c).to_numpy() for c in table.column_names)
+    keys = _hashed(hi.astype(np.uint64), lo.astype(np.uint64))
     order = np.argsort(keys)
-    held = rows.sparkSession.sparkContext.broadcast((keys[order], pdf["logp"].to_numpy(np.float32)[order]))
+    held = rows.sparkSession.sparkContext.broadcast((keys[order], logp[order]))
 
     def run(batches):
         for part in _cut(batches):
@@ -252,7 +254,7 @@ def perplexities(
     counted = rows.select("text", "counted").mapInArrow(_count, "hi long, lo long, n long")
     grams = saved(counted.groupBy("hi", "lo").agg(F.sum("n").alias("n")), "grams")
     scores = saved(gram_scores(grams), "scores")
-    if 24 * scores.count() <= broadcast_bytes:
+    if SCORE_BYTES * scores.count() <= broadcast_bytes:
         return _score_by_broadcast(rows, scores)
     return _score_by_block(rows, scores)
 
