@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,29 +36,26 @@ def number(c: Column, dialect: str) -> Column:
     return F.coalesce(value, F.lit(0.0)) if dialect == "lenient" else value
 
 
-def _value(op: str, c: Column, dialect: str, clamp: bool, of) -> Column:
+def _value(op: str, c: Column, dialect: str, clamp: bool) -> Column:
     x = number(c, dialect)
     if op == "sum":
-        return of(F.sum(x))
+        return F.sum(x)
     if op == "avg":
-        return of(F.sum(x)) / of(F.count(F.lit(1))) if dialect == "lenient" else of(F.avg(x))
+        return F.sum(x) / F.count(F.lit(1)) if dialect == "lenient" else F.avg(x)
     if op == "max":
-        return F.greatest(of(F.max(x)), F.lit(0.0)) if dialect == "lenient" and clamp else of(F.max(x))
-    return F.least(of(F.min(x)), F.lit(0.0)) if dialect == "lenient" and clamp else of(F.min(x))
+        return F.greatest(F.max(x), F.lit(0.0)) if dialect == "lenient" and clamp else F.max(x)
+    return F.least(F.min(x), F.lit(0.0)) if dialect == "lenient" and clamp else F.min(x)
 
 
-def planned(df: DataFrame, ops: list[Op], dialect: str = "lenient", clamp: bool = True, window=None) -> list[tuple[str, Column]]:
-    """(name, value) of each operation, as an aggregate or over a window. A column under one operation keeps its name, under
-    several it is op_column; the count is ``cnt``."""
-    def of(a):
-        return a.over(window) if window is not None else a
-
+def planned(df: DataFrame, ops: list[Op], dialect: str = "lenient", clamp: bool = True) -> list[tuple[str, Column]]:
+    """(name, aggregate) of each operation. A column under one operation keeps its name, under several it is op_column; the
+    count is ``cnt``."""
     pairs = [(o.op, c) for o in ops if o.op not in ("count", "keep") for c in chosen(df, o.columns)]
     often = [c for _, c in pairs] + [c for o in ops if o.op == "keep" for c in chosen(df, o.columns)]
     out = [
-        (c if often.count(c) == 1 else f"{op}_{c}", _value(op, F.col(f"`{c}`"), dialect, clamp, of)) for op, c in pairs
+        (c if often.count(c) == 1 else f"{op}_{c}", _value(op, F.col(f"`{c}`"), dialect, clamp)) for op, c in pairs
     ]
-    return out + [("cnt", of(F.count(F.lit(1))))] * any(o.op == "count" for o in ops)
+    return out + [("cnt", F.count(F.lit(1)))] * any(o.op == "count" for o in ops)
 
 
 def _keys(df: DataFrame, keys: list, key_exps: dict[str, str] | None) -> tuple[DataFrame, list[str]]:
@@ -88,9 +84,17 @@ def aggregate(
     kept = [c for o in ops if o.op == "keep" for c in chosen(df, o.columns)]
     shown = [k for k in names if k not in hide]
     if any(o.op == "keep" for o in ops):
-        values = planned(df, list(ops), dialect, clamp, W.partitionBy(*names))
-        out = [v.alias(n) for n, v in values]
-        return df.select(*shown, *(k for k in kept if k not in shown), *out)
+        values = planned(df, list(ops), dialect, clamp)
+        rows = df.select(*shown, *(k for k in kept if k not in shown), *(F.col(k).alias(f"_key{i}") for i, k in enumerate(names)))
+        if not values:
+            return rows.drop(*(f"_key{i}" for i in range(len(names))))
+        totals = df.groupBy(*(F.col(k).alias(f"_of{i}") for i, k in enumerate(names))).agg(*(v.alias(f"_value{j}") for j, (_, v) in enumerate(values)))
+        if names:  # summed before the shuffle and joined back, so that no group has to be in one task
+            joined = rows.join(totals, [F.col(f"_key{i}").eqNullSafe(F.col(f"_of{i}")) for i in range(len(names))])
+        else:
+            joined = rows.join(F.broadcast(totals), F.lit(True))
+        first = rows.columns[: len(rows.columns) - len(names)]
+        return joined.select(*first, *(F.col(f"_value{j}").alias(n) for j, (n, _) in enumerate(values)))
     values = planned(df, list(ops), dialect, clamp)
     grouped = (df.groupBy(*names) if names else df.groupBy()).agg(*(v.alias(n) for n, v in values))
     return grouped.drop(*(k for k in names if k in hide))

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .aggregates import Op, aggregate
 from .columns import chosen
-
-#: Rows up to which a lookup table is broadcast; beyond it the join is shuffled.
-LOOKUP_ROWS = 1_000_000
+from .sizes import small
 
 
 @dataclass
@@ -38,7 +38,9 @@ def _prepared(name: str, part: Part, dialect: str) -> tuple[DataFrame, list[str]
     return df, names, fill
 
 
-def merge(parts: dict[str, Part], how: str = "outer", key_names: list[str] | None = None, dialect: str = "lenient") -> DataFrame:
+def merge(
+    parts: dict[str, Part], how: str = "outer", key_names: list[str] | None = None, dialect: str = "lenient", prepared=_prepared
+) -> DataFrame:
     """Joins the parts on their keys, by position. ``how``: outer, left (the first part's rows) or inner.
 
     Columns come as keys, then each table's values prefixed by its name, tables in alphabetical order.
@@ -50,7 +52,7 @@ def merge(parts: dict[str, Part], how: str = "outer", key_names: list[str] | Non
         raise ValueError(f"unknown merge {how!r}")
     out, keys, fills = None, key_names, {}
     for name, part in parts.items():
-        df, names, fill = _prepared(name, part, dialect)
+        df, names, fill = prepared(name, part, dialect)
         keys = keys or names
         fills |= fill
         if out is None:
@@ -69,26 +71,33 @@ def merge(parts: dict[str, Part], how: str = "outer", key_names: list[str] | Non
     return out.select(*keys, *ordered)
 
 
-def merge_multi(plans: dict[str, dict]) -> dict[str, DataFrame]:
-    """Several merges over the same inputs, each with merge() arguments."""
-    return {name: merge(**p) for name, p in plans.items()}
+def merge_multi(plans: dict[str, dict]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Several merges over the same inputs, each with merge() arguments, and what to unpersist after their use: a part (the same
+    Part under the same name) that several of them take is aggregated once and persisted on disk."""
+    uses = Counter((name, id(part), p.get("dialect", "lenient")) for p in plans.values() for name, part in p["parts"].items())
+    made: dict = {}
 
+    def prepared(name, part, dialect):
+        key = name, id(part), dialect
+        if key not in made:
+            df, names, fill = _prepared(name, part, dialect)
+            made[key] = (df.persist(StorageLevel.DISK_ONLY) if uses[key] > 1 else df), names, fill
+        return made[key]
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast only where the table is known to be small."""
-    return F.broadcast(df) if df.count() <= LOOKUP_ROWS else df
+    out = {name: merge(**p, prepared=prepared) for name, p in plans.items()}
+    return out, [df for key, (df, _, _) in made.items() if uses[key] > 1]
 
 
 def lookup_join(df: DataFrame, mapping: DataFrame, on: str, key: str, value: str, name: str, default=None) -> DataFrame:
     """Adds what ``mapping`` has for a column; the default where it has nothing. Of repeated keys the smallest value counts."""
     table = mapping.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(value).alias(name))
-    out = df.join(_small(table), F.col(on) == F.col("_key"), "left").drop("_key")
+    out = df.join(small(table), F.col(on) == F.col("_key"), "left").drop("_key")
     return out.withColumn(name, F.coalesce(name, F.lit(default))) if default is not None else out
 
 
 def prefix_lookup_join(df: DataFrame, codes: DataFrame, number: str, code: str = "code", name: str = "cc", longest: int = 4) -> DataFrame:
     """Adds the shortest prefix of 1 to ``longest`` characters of a number that is in the code table; null if none is."""
-    known = _small(codes.select(F.col(code).cast("string").alias("_code")).distinct())
+    known = small(codes.select(F.col(code).cast("string").alias("_code")).distinct())
     out = df
     for n in range(1, longest + 1):
         prefix = F.when(F.char_length(number) >= n, F.substring(number, 1, n))
@@ -102,7 +111,7 @@ def composite_prefix_lookup(df: DataFrame, codes: DataFrame, areas: DataFrame, n
     Unknown parts are blank."""
     out = prefix_lookup_join(df, codes, number, name="_cc")
     npa = F.concat(F.substring(number, 2, 3), F.lit("-"), F.substring(number, 5, 3))
-    known = _small(areas.select(F.col("area").alias("_area")).distinct())
+    known = small(areas.select(F.col("area").alias("_area")).distinct())
     out = out.join(known, (F.col("_cc") == "1") & (npa == F.col("_area")), "left")
     return out.withColumn(
         name, F.concat_ws(",", F.coalesce("_cc", F.lit("")), F.coalesce("_area", F.lit("")))

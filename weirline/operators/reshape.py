@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .schema import flat_names
 
 
 def transpose(
@@ -39,31 +43,47 @@ def transpose_split_tables(
     }
 
 
-#: A separator that no backslash stands before.
-def _unescaped(c: Column, separator: str) -> Column:
-    return F.split(c, rf"(?<!\\){re.escape(separator)}")
+#: Stand for an escaped backslash and escaped separators while a record is split: code points that no text may hold.
+_BACKSLASH, _PAIR, _ASSIGN = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def _let(value: Column, of) -> Column:
+    """``of`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), of), F.lit(0))
+
+
+def _entries(c: Column, pair: str, assign: str) -> Column:
+    """(key, value) of each entry in order, the last one of each key; null for a malformed record. Linear but for a sort by key."""
+    text = c
+    for before, after in (("\\\\", _BACKSLASH), (f"\\{pair}", _PAIR), (f"\\{assign}", _ASSIGN)):
+        text = F.replace(text, F.lit(before), F.lit(after))
+    text = F.regexp_replace(text, r"(?s)\\(.)", "$1")
+
+    def plain(x):
+        for before, after in ((_PAIR, pair), (_ASSIGN, assign), (_BACKSLASH, "\\")):
+            x = F.replace(x, F.lit(before), F.lit(after))
+        return x
+
+    parts = F.filter(F.split(text, re.escape(pair)), lambda p: F.trim(p) != "")
+    cut = F.transform(parts, lambda p: F.split(p, re.escape(assign), 2))
+
+    def placed(e, i):
+        return F.struct(plain(F.trim(e[0])).alias("key"), i.alias("at"), plain(e[1]).alias("value"))
+
+    def last(s):
+        return F.filter(s, lambda x, i: ~F.coalesce(F.get(s, i + 1)["key"] == x["key"], F.lit(False)))
+
+    def ordered(entries):
+        by_place = F.array_sort(F.transform(_let(F.array_sort(F.transform(entries, placed)), last), lambda x: F.struct(x["at"], x["key"], x["value"])))
+        return F.transform(by_place, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
+
+    return _let(cut, lambda entries: F.when(F.forall(entries, lambda e: F.size(e) == 2), ordered(entries)))
 
 
 def record_map(c: Column, pair: str = ",", assign: str = "=") -> Column:
     """A map from 'k=v,k=v'; a backslash keeps the next character from separating. Of a repeated key the last value counts, an entry
     without ``assign`` makes the record malformed (null)."""
-    def plain(x):
-        return F.regexp_replace(x, r"\\(.)", "$1")
-
-    parts = F.filter(_unescaped(c, pair), lambda p: F.trim(p) != "")
-    fine = F.forall(parts, lambda p: F.size(_unescaped(p, assign)) >= 2)
-    entries = F.transform(
-        parts,
-        lambda p: F.struct(
-            plain(F.trim(F.get(_unescaped(p, assign), F.lit(0)))).alias("key"),
-            plain(F.array_join(F.slice(_unescaped(p, assign), 2, F.size(_unescaped(p, assign))), assign)).alias("value"),
-        ),
-    )
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
-    )
-    return F.when(fine, F.map_from_entries(last))
+    return F.map_from_entries(_entries(c, pair, assign))
 
 
 def map_set(m: Column, key: str, value: Column, when_key: str | None = None) -> Column:
@@ -76,7 +96,8 @@ def map_to_table(df: DataFrame, record: str, columns: list[str], table_key: str
     """Records (a map column, or text for record_map) to columns by key; a missing key has the default. With ``table`` only records
     whose ``table_key`` has it. Malformed records go."""
     m = F.col(record) if dict(df.dtypes)[record].startswith("map") else record_map(F.col(record))
-    rows = df.withColumn("_map", m).filter(F.col("_map").isNotNull())
+    # exploded from an array of one, a map is made once for all columns
+    rows = df.select("*", F.explode(F.array(m)).alias("_map")).filter(F.col("_map").isNotNull())
     if table is not None:
         rows = rows.filter(F.try_element_at("_map", F.lit(table_key)) == table)
     out = [F.coalesce(F.try_element_at("_map", F.lit(c)), F.lit(default)).alias(c) for c in columns]
@@ -86,7 +107,7 @@ def map_to_table(df: DataFrame, record: str, columns: list[str], table_key: str
 
 def kv_text_parse(c: Column, sort_keys: bool = True) -> Column:
     """Entries (key, value) of 'k=v,k2=v2', by key or in their order."""
-    entries = F.map_entries(record_map(c))
+    entries = _entries(c, ",", "=")
     return F.array_sort(entries) if sort_keys else entries
 
 
@@ -122,57 +143,135 @@ def event_decode(df: DataFrame, kind: str, message: str, rules: dict[str, tuple[
 
 
 def xml_flatten(
-    df: DataFrame, xml: str, schema: str, paths: dict[str, str], repeated: tuple[str, ...] = (), zipped: bool = True,
+    df: DataFrame, xml: str, schema: str | T.StructType, paths: dict[str, str], repeated: tuple[str, ...] = (), zipped: bool = False,
     keep: str | None = None, set_values: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A table from XML documents: ``schema`` is the row element's DDL, ``paths`` give each column's path in it.
+    """A table from XML documents: ``schema`` is the row element's, ``paths`` give each column's path in it.
 
-    ``repeated`` lists the paths of repeated elements, each opened to its own rows under its last name: zipped side by side by
-    default, or every one against the others. Documents without them keep one row. ``keep`` is a
-    predicate over the flattened columns, applied before ``set_values`` (expressions over them).
+    ``repeated`` lists the paths of repeated elements, each opened to its own rows: every one against the others, or zipped
+    side by side. A path within another opens its elements within that one's rows. Documents without them keep one row.
+    An element that the schema takes for a string is its XML text. ``keep`` is a predicate over the flattened columns,
+    applied before ``set_values`` (expressions over them).
     """
-    rows = df.withColumn("_row", F.from_xml(F.col(xml), schema))
-    aliases = {p: f"_{p.replace('.', '_')}" for p in repeated}
-    if repeated and zipped:
-        typed = rows.select("*", *(F.col(f"_row.{p}").alias(a) for p, a in aliases.items()))
-        typed = typed.withColumn("_each", F.explode_outer(F.arrays_zip(*aliases.values())))
-        rows = typed.drop(*aliases.values()).select("*", *(F.col(f"_each.{a}").alias(a) for a in aliases.values()))
-    else:
-        for p, a in aliases.items():
-            rows = rows.withColumn(a, F.explode_outer(F.col(f"_row.{p}")))
+    rows = df.withColumn("_row", F.from_xml(F.col(xml), schema.simpleString() if isinstance(schema, T.StructType) else schema))
+    aliases: dict[str, str] = {}
 
     def path(p):
         for r in sorted(aliases, key=len, reverse=True):
             if p == r or p.startswith(r + "."):
                 return F.col(aliases[r] + p[len(r) :])
-        return F.col(f"_row.{p}")
-
+        return F.col(f"_row.{p}") if p else F.col("_row")
+
+    named = {p: f"_{p.replace('.', '_')}" for p in sorted(repeated, key=lambda p: p.count("."))}
+    if zipped and repeated:
+        typed = rows.select("*", *(path(p).alias(a) for p, a in named.items()))
+        typed = typed.withColumn("_each", F.explode_outer(F.arrays_zip(*named.values())))
+        rows = typed.drop(*named.values()).select("*", *(F.col(f"_each.{a}").alias(a) for a in named.values()))
+        aliases = named
+    else:
+        for p, a in named.items():
+            rows = rows.withColumn(a, F.explode_outer(path(p)))
+            aliases[p] = a
     others = [c for c in df.columns if c != xml and c not in paths]
     out = rows.select(*others, *(path(p).alias(c) for c, p in paths.items()))
     out = xml_insert_filter(out, keep) if keep else out
     return out.withColumns({c: F.expr(e) for c, e in set_values.items()}) if set_values else out
 
 
+@dataclass(frozen=True)
+class XmlTable:
+    """A table within XML documents, by paths from their root (attributes begin with _): a row for each element at ``start``.
+
+    Its columns are the values within, named as flat_names() names them, but for the nodes in ``skip``; a node in ``raw`` is
+    one column with its XML text. ``associate`` adds values from elsewhere in the document, by column.
+    Siblings that repeat give every combination.
+    """
+
+    start: str
+    raw: tuple[str, ...] = ()
+    skip: tuple[str, ...] = ()
+    associate: dict[str, str] = field(default_factory=dict)
+    keep: str | None = None
+    set_values: dict[str, str] | None = None
+
+
+def _inside(path: str, nodes) -> bool:
+    return any(path == n or path.startswith(n + ".") for n in nodes)
+
+
+def xml_tables(df: DataFrame, xml: str, schema: T.StructType, tables: dict[str, XmlTable]) -> dict[str, DataFrame]:
+    """Several tables from the same XML documents, ``schema`` being the documents' (discover_xml_schema()).
+
+    Each reads only the parts that it names. A null or unreadable document gives no row. A start that the schema lacks is an error.
+    """
+    def taken(kind, path, table, arrays, columns):
+        """The type as this table reads it, or None; notes its repeated paths and leaf columns."""
+        where = ".".join(path)
+        if _inside(where, table.skip):
+            return None
+        if where and where in table.raw:
+            columns.append(where)
+            if isinstance(kind, T.ArrayType):
+                arrays.append(where)
+                return T.ArrayType(T.StringType())
+            return T.StringType()
+        if isinstance(kind, T.ArrayType):
+            inner = taken(kind.elementType, path, table, arrays, columns)
+            if inner is not None:
+                arrays.insert(0, where)
+            return inner and T.ArrayType(inner)
+        if isinstance(kind, T.StructType):
+            fields = [(f.name, taken(f.dataType, [*path, f.name], table, arrays, columns)) for f in kind]
+            fields = [T.StructField(n, k) for n, k in fields if k is not None]
+            return T.StructType(fields) if fields else None
+        own = table.start == "" or _inside(where, [table.start])
+        if own:
+            columns.append(where)
+        return kind if own or where in table.associate.values() else None
+
+    out = {}
+    for name, table in tables.items():
+        arrays: list[str] = []
+        columns: list[str] = []
+        pruned = taken(schema, [], table, arrays, columns)
+        if not columns:
+            raise ValueError(f"nothing at {table.start!r} for {name}")
+        names = flat_names(pruned)
+        paths = {c: p for c, p in table.associate.items()} | {names[p]: p for p in columns}
+        docs = df.filter(F.col(xml).isNotNull())
+        flat = xml_flatten(docs, xml, pruned, {**paths, "_there": table.start}, tuple(dict.fromkeys(arrays)))
+        flat = flat.filter(F.col("_there").isNotNull()).drop("_there")
+        flat = xml_insert_filter(flat, table.keep) if table.keep else flat
+        out[name] = flat.withColumns({c: F.expr(e) for c, e in table.set_values.items()}) if table.set_values else flat
+    return out
+
+
 def xml_insert_filter(df: DataFrame, predicate: str) -> DataFrame:
     """Flattened records that the predicate holds for."""
     return df.filter(F.expr(predicate))
 
 
 def xml_measurements(
-    df: DataFrame, types: str, values: str, columns: list[str], group: list[str] = (), object_name: str = "measObjLdn", result: str = "r"
-) -> DataFrame:
+    df: DataFrame, types: str, values: str, columns: list[str], group: list[str] = (), object_name: str = "measObjLdn", result: str = "r",
+    skip: tuple[str, ...] = (), with_value: tuple[str, ...] = (),
+) -> DataFrame:
     """Measurement documents to a row for each object: ``types`` is the array of measurement names, ``values`` the array of
     objects, each with its name and its results in the order of the names. Names absent from a document are empty.
 
-    The object's name ('k1=v1,k2=v2') gives the columns ``object_keys`` and ``tablename`` by its sorted keys.
+    The object's name ('k1=v1,k2=v2') gives the columns ``object_keys`` and ``tablename``: its keys in order, joined by _, but for
+    those in ``skip``; a key in ``with_value`` is followed by its value.
     """
     rows = df.select(*group, F.col(types).alias("_types"), F.explode(F.col(values)).alias("_v"))
-    n = F.least(F.size("_types"), F.size(f"_v.{result}"))
-    cells = F.map_from_arrays(F.slice("_types", F.lit(1), n), F.slice(F.col(f"_v.{result}"), F.lit(1), n))
-    keys = F.array_sort(F.map_keys(record_map(F.col(f"_v.{object_name}"))))
-    return rows.withColumn("_m", cells).select(
+    entries = F.filter(F.array_sort(_entries(F.col(f"_v.{object_name}"), ",", "=")), lambda e: ~e["key"].isin(*skip))
+    parts = F.transform(entries, lambda e: F.when(e["key"].isin(*with_value), F.concat_ws("_", e["key"], e["value"])).otherwise(e["key"]))
+
+    def cell(c):
+        at = F.array_position("_types", c)
+        return F.when(at > 0, F.get(F.col(f"_v.{result}"), (at - 1).cast("int")))
+
+    return rows.select(
         *group,
         F.col(f"_v.{object_name}").alias("object_keys"),
-        F.array_join(keys, "_").alias("tablename"),
-        *(F.coalesce(F.try_element_at("_m", F.lit(c)).cast("string"), F.lit("")).alias(c) for c in columns),
+        F.array_join(parts, "_").alias("tablename"),
+        *(F.coalesce(cell(c).cast("string"), F.lit("")).alias(c) for c in columns),
     )

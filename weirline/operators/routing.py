@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .sizes import small
+
 ROUTE = "tablename"
 
 
@@ -40,28 +42,43 @@ def distinct_tables(df: DataFrame) -> DataFrame:
     return df.select(ROUTE).distinct()
 
 
+#: Lines of a file that a window sees at a time.
+STRETCH = 100_000
+
+
+def carried(lines: DataFrame, file: str, pos: str, name: str, own: Column, last: bool) -> DataFrame:
+    """Adds a value that runs on through the lines of each file: the last non-null ``own``, or the sum of ``own`` so far.
+    A file is cut into stretches of lines; what a stretch gives is carried to the next by a window over stretches."""
+    cut = lines.withColumns({"_own": own, "_stretch": F.floor(F.col(pos) / STRETCH)})
+    of = F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col(pos))) if last else F.sum("_own")
+    each = cut.groupBy(F.col(file).alias("_file"), F.col("_stretch").alias("_s")).agg(of.alias("_gives"))
+    before = W.partitionBy("_file").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
+    brought = F.last("_gives", ignorenulls=True).over(before) if last else F.sum("_gives").over(before)
+    each = each.select("_file", "_s", brought.alias("_brought"))
+    joined = cut.join(each, F.col(file).eqNullSafe(F.col("_file")) & (F.col("_stretch") == F.col("_s")))
+    inside = W.partitionBy(file, "_stretch").orderBy(pos)
+    if last:
+        value = F.coalesce(F.last("_own", ignorenulls=True).over(inside), F.col("_brought"))
+    else:
+        value = F.sum("_own").over(inside) + F.coalesce("_brought", F.lit(0))
+    return joined.withColumn(name, value).drop("_own", "_stretch", "_file", "_s", "_brought")
+
+
 def split_sections_by_title(
     lines: DataFrame, titles: DataFrame, file: str = "file", pos: str = "pos", line: str = "line"
 ) -> DataFrame:
     """Lines of files that hold several tables, each below a title row, with the table of their title.
 
-    ``titles`` is (title, tablename), as bounded as a schema is. Repeated commas count as one in titles and rows.
+    ``titles`` is (title, tablename). Repeated commas count as one in titles and rows.
     Lines before a file's first title belong to no table and go; so do the title rows. A title
-    that comes again continues its table, and the last section ends with the file.
+    that comes again continues its table, and the last section ends with the file. ``pos`` numbers a
+    file's lines from 0 or so.
     """
     squeezed = F.regexp_replace(F.regexp_replace(F.col(line), ",+", ","), ",$", "")
-    marked = lines.withColumn(line, squeezed).join(
-        F.broadcast(titles.select(F.col("title").alias("_title"), F.col(ROUTE).alias("_table"))),
-        F.col(line) == F.col("_title"),
-        "left",
-    )
-    w = W.partitionBy(file).orderBy(pos)
-    current = F.last("_table", ignorenulls=True).over(w)
-    return (
-        marked.withColumn(ROUTE, current)
-        .filter(F.col("_title").isNull() & F.col(ROUTE).isNotNull())
-        .select(*lines.columns, ROUTE)
-    )
+    known = small(titles.select(F.col("title").alias("_title"), F.col(ROUTE).alias("_table")))
+    marked = lines.withColumn(line, squeezed).join(known, F.col(line) == F.col("_title"), "left")
+    routed = carried(marked, file, pos, ROUTE, F.col("_table"), last=True)
+    return routed.filter(F.col("_title").isNull() & F.col(ROUTE).isNotNull()).select(*lines.columns, ROUTE)
 
 
 def union_inputs(*frames: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
-from functools import reduce
+import re
+from xml.parsers import expat
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -30,6 +32,12 @@ class Registry:
             self.read[table] = T.StructType.fromJson(json.loads(text))
         return self.read[table]
 
+    def find(self, table: str) -> T.StructType | None:
+        """The table's schema, or None where there is none yet."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{identifier(table)}")
+        there = table in self.read or path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        return self.get(table) if there else None
+
 
 def infer_field_types(df: DataFrame, timestamps: bool = True) -> DataFrame:
     """(name, type) of each text column over all of the data, as one row for each column.
@@ -128,42 +136,98 @@ def flat_names(schema: T.StructType) -> dict[str, str]:
             depth[k] += 1
 
 
-def discover_xml_schema(df: DataFrame, xml: str, most_shapes: int = 1000) -> T.StructType:
-    """The nested schema of all XML documents of a column.
-
-    A document's shape is the document with each value replaced by one of its kind (a whole number, a
-    number, a text) and repeats of equal siblings left out. Shapes are found in one distributed
-    pass; the schemas of the distinct ones are merged. More than ``most_shapes`` is an error, as
-    the column then holds no one kind of document.
+#: Kinds of a value, each taking in those before it.
+_EMPTY, _WHOLE, _NUMBER, _TEXT = range(4)
+_WHOLE_LOOK, _NUMBER_LOOK = re.compile(r"\s*-?[0-9]{1,18}\s*"), re.compile(r"\s*-?[0-9]*[.][0-9]+\s*")
+
+
+def _kind(text: str) -> int:
+    if not text.strip():
+        return _EMPTY
+    return _WHOLE if _WHOLE_LOOK.fullmatch(text) else _NUMBER if _NUMBER_LOOK.fullmatch(text) else _TEXT
+
+
+def _facts(xml: str, facts: dict) -> None:
+    """Adds each path of a document, below its root, with the kind of its value and whether it repeats beside itself.
+    Facts of a document that isn't well formed are left out."""
+    own: dict = {}
+    open_: list[list] = []  # of each open element: path, how often each child came, text, whether it has parts
+
+    def note(path, kind, repeated=False):
+        old = own.get(path, (_EMPTY, False))
+        own[path] = max(old[0], kind), old[1] or repeated
+
+    def start(name, attributes):
+        path = ()
+        if open_:
+            above = open_[-1]
+            above[3], count = True, above[1].get(name, 0) + 1
+            above[1][name], path = count, (*above[0], name)
+            note(path, _EMPTY, count > 1)
+        for key, value in attributes.items():
+            note((*path, f"_{key}"), _kind(value))
+        open_.append([path, {}, [], bool(attributes)])
+
+    def end(_):
+        path, _, text, parts = open_.pop()
+        kind = _kind("".join(text))
+        if parts and kind != _EMPTY:
+            note((*path, "_VALUE"), kind)
+        elif not parts and path:
+            note(path, kind)
+
+    parser = expat.ParserCreate()
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler = start, end
+    parser.CharacterDataHandler = lambda data: open_[-1][2].append(data)
+    try:
+        parser.Parse(xml, True)
+    except expat.ExpatError:
+        return
+    for path, (kind, repeated) in own.items():
+        old = facts.get(path, (_EMPTY, False))
+        facts[path] = max(old[0], kind), old[1] or repeated
+
+
+def discover_xml_schema(df: DataFrame, xml: str) -> T.StructType:
+    """The nested schema of all XML documents of a column, fields by name.
+
+    Tasks read the documents and give each path once with the kind of its values (whole number, number, text) and
+    whether it repeats; what reaches the driver is as many rows as the schema has paths. Attributes begin with _,
+    text beside attributes or elements is _VALUE. Nulls and documents that aren't well formed say nothing; an
+    empty table has an empty schema.
     """
-    shape = F.col(xml)
-    for before, after in ((">", "<"), ('="', '"'), ("='", "'")):
-        end = after[0]
-        for value, kind in ((r"\s*-?[0-9]{1,18}\s*", "1"), (r"\s*-?[0-9]*[.][0-9]+\s*", "1.5"), (rf"[^<{end}]*[^<{end}\s][^<{end}]*", "x")):
-            # a value already replaced is no text
-            plain = rf"(?!1{end}|1[.]5{end}|x{end})" if kind == "x" else ""
-            shape = F.regexp_replace(shape, f"{before}{plain}{value}{after}", f"{before}{kind}{after}")
-    shape = F.regexp_replace(shape, r"(?s)(<(\w+)\b[^>]*>(?:(?!</?\2\b).)*</\2>)(\s*\1)+", "$1$1")
-    one = df.select(shape.alias("shape")).distinct().limit(most_shapes + 1).collect()
-    if len(one) > most_shapes:
-        raise ValueError(f"more than {most_shapes} shapes of document")
-    found = [df.sparkSession.range(1).select(F.schema_of_xml(F.lit(r[0]))).first()[0] for r in one]
-    return reduce(_merged, [T.StructType.fromDDL(f[len("STRUCT<") : -1]) for f in found])
-
-
-def _merged(a, b):
-    if a == b:
-        return a
-    if isinstance(a, T.ArrayType) or isinstance(b, T.ArrayType):
-        x = a.elementType if isinstance(a, T.ArrayType) else a
-        y = b.elementType if isinstance(b, T.ArrayType) else b
-        return T.ArrayType(_merged(x, y))
-    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
-        other = {f.name: f for f in b}
-        out = [T.StructField(f.name, _merged(f.dataType, other.pop(f.name).dataType) if f.name in other else f.dataType) for f in a]
-        return T.StructType([*out, *other.values()])
-    numbers = (T.LongType, T.DoubleType)
-    return T.DoubleType() if isinstance(a, numbers) and isinstance(b, numbers) else T.StringType()
+    def run(batches):
+        facts: dict = {}
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                if text is not None:
+                    _facts(text, facts)
+        names = ["path", "kind", "repeated"]
+        columns = [[list(p) for p in facts], [k for k, _ in facts.values()], [r for _, r in facts.values()]]
+        kinds = [pa.list_(pa.string()), pa.int32(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+    found = df.select(F.col(xml).cast("string")).mapInArrow(run, "path array<string>, kind int, repeated boolean")
+    merged = found.groupBy("path").agg(F.max("kind").alias("kind"), F.max("repeated").alias("repeated"))
+    tree: dict = {}
+    for path, kind, repeated in merged.collect():  # bounded by the schema
+        node = tree
+        for name in path:
+            node = node.setdefault("parts", {}).setdefault(name, {})
+        node["kind"], node["repeated"] = kind, repeated
+    kinds = {_EMPTY: T.StringType(), _WHOLE: T.LongType(), _NUMBER: T.DoubleType(), _TEXT: T.StringType()}
+
+    def typed(node):
+        if "parts" in node:
+            if node.get("kind", _EMPTY) != _EMPTY:  # text alone in some documents, with parts in others
+                node["parts"].setdefault("_VALUE", {"kind": node["kind"]})
+            kind = T.StructType([T.StructField(n, typed(p)) for n, p in sorted(node["parts"].items())])
+        else:
+            kind = kinds[node["kind"]]
+        return T.ArrayType(kind) if node.get("repeated") else kind
+
+    return typed(tree) if tree else T.StructType()
 
 
 def discover_stat_schema(df: DataFrame, group: str, register: str, description: str, order: str) -> DataFrame:

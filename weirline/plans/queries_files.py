@@ -6,6 +6,8 @@ an operator reads, and read back whole.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +15,7 @@ from ..functions import dates
 from ..operators import columns, reshape, routing, schema
 from ..sources import files, sinks
 from ..streaming import logs
+from . import registry
 from .queries_tables import t, timed
 from .scratch import scratch_path
 
@@ -223,10 +226,24 @@ def jdbc_extract(spark, d):
     return found["nations"]
 
 
+@query("""SELECT o_orderstatus AS status, 'part-' AS filename, 'o_orderstatus=' || o_orderstatus AS folder, 'b7' AS batchid, count(*) AS n
+  FROM orders GROUP BY o_orderstatus""")
+def file_attr_columns(spark, d):
+    """Names and paths of the files that rows came from, and the batch's id."""
+    path = scratch_path(spark, "attributes")
+    _order_lines(spark, d).write.partitionBy("o_orderstatus").text(path)
+    rows = columns.file_attributes(spark.read.text(path), "b7")
+    named = rows.select(
+        F.split("value", ",")[1].alias("status"), F.substring("filename", 1, 5).alias("filename"), "batchid",
+        F.regexp_extract("pathname", "(o_orderstatus=[^/]*)/", 1).alias("folder"),
+    )
+    return named.groupBy("status", "filename", "folder", "batchid").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT count(*) AS n, count(DISTINCT o_orderkey) AS keys FROM orders")
 def merge_small_files(spark, d):
     path, out = _order_files(spark, d), scratch_path(spark, "merged")
-    rows = sinks.merge_small_files(spark, path, out, files=1)
+    rows = sinks.merge_small_files(spark, path, out)
     return rows.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.split("value", ",")[0]).alias("keys"))
 
 
@@ -334,6 +351,26 @@ def load_table(spark, d):
     return spark.read.parquet(path)
 
 
+@query("""SELECT 'O' AS tablename, 2 * count(*) AS n, min(o_orderkey) AS first FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT 'F', count(*), min(o_orderkey) FROM orders WHERE o_orderstatus = 'F'""")
+def load_tables(spark, d):
+    """Files matched to their tables and loaded twice: one table is emptied before the second time, a third isn't asked for."""
+    path, tag = scratch_path(spark, "loads"), scratch_path(spark, "x").rsplit("-", 1)[1]
+    _order_lines(spark, d).write.partitionBy("o_orderstatus").text(path)
+    found = sinks.file_to_table_match(files.scan_file_names(spark, path), f"'t{tag}_' || regexp_extract(path, 'o_orderstatus=([^/]*)/', 1)", None)
+    by_table = {r.tablename: r.paths for r in found.filter(f"tablename <> 't{tag}_'").collect()}  # one row for each status
+    kinds = T.StructType([T.StructField(n, T.LongType() if n in ("k", "cust") else T.StringType()) for n in ORDER_NAMES])
+    schemas, only = dict.fromkeys(by_table, kinds), [f"t{tag}_O", f"t{tag}_F"]
+    sinks.load_tables(spark, by_table, schemas, only, [sinks.EVERY_TABLE])
+    sinks.load_tables(spark, by_table, schemas, only, [f"t{tag}_F"], before="DROP TABLE IF EXISTS {table}_old")
+    out = scratch_path(spark, "loaded")
+    counts = [spark.table(n).agg(F.lit(n[-1]).alias("tablename"), F.count(F.lit(1)).alias("n"), F.min("k").alias("first")) for n in only]
+    routing.union_inputs(*counts).write.parquet(out)
+    for n in only:
+        spark.sql(f"DROP TABLE {n}")
+    return spark.read.parquet(out)
+
+
 @query("SELECT DISTINCT o_orderstatus AS tablename, true AS some FROM orders WHERE o_orderstatus <> 'P'")
 def file_to_table_match(spark, d):
     path = scratch_path(spark, "matched")
@@ -394,6 +431,14 @@ def _records(spark, d):
     return t(spark, d, "events").select(record.alias("record"))
 
 
+@query(r"""SELECT o_orderkey, 'x\' AS a, CAST(o_custkey AS VARCHAR) AS b, 'p,q=' || o_orderstatus AS c FROM orders""")
+def map_escapes(spark, d):
+    """Records with escaped separators, an escaped backslash before a separator, and a key that comes twice."""
+    text = F.concat(F.lit("b=old,a=x\\\\,b="), F.col("o_custkey").cast("string"), F.lit(", c=p\\,q\\="), "o_orderstatus")
+    rows = t(spark, d, "orders").select("o_orderkey", text.alias("rec"))
+    return reshape.map_to_table(rows, "rec", ["a", "b", "c"])
+
+
 @query("""SELECT CAST(event_id AS VARCHAR) AS Id, 'a,b=' || user_id AS Note, CASE WHEN event_id % 3 = 0 THEN 'x' ELSE '-' END AS Extra
   FROM events WHERE event_type = 'click' AND event_id % 9 <> 4""")
 def map_to_table(spark, d):
@@ -456,6 +501,16 @@ def xml_insert_filter(spark, d):
     return reshape.xml_flatten(_xml_orders(spark, d).select("xml"), "xml", ORDER_XML, paths, ("item",), keep="flag = 'R'").drop("flag")
 
 
+@query("""SELECT o_custkey, 'order_status_' || o_orderstatus AS tablename, CAST(o_orderkey AS VARCHAR) AS total, '' AS missing FROM orders""")
+def xml_measurement_names(spark, d):
+    """Tables of measurements named by the objects' keys, one key left out and one with its value."""
+    name = F.concat(F.lit("status="), "o_orderstatus", F.lit(",order="), F.col("o_orderkey").cast("string"), F.lit(",cust="), F.col("o_custkey").cast("string"))
+    value = F.struct(name.alias("measObjLdn"), F.array("o_orderstatus", F.col("o_orderkey").cast("string")).alias("r"))
+    rows = t(spark, d, "orders").select("o_custkey", F.array(F.lit("status"), F.lit("total")).alias("names"), F.array(value).alias("objects"))
+    out = reshape.xml_measurements(rows, "names", "objects", ["total", "missing"], ["o_custkey"], skip=("cust",), with_value=("status",))
+    return out.select("o_custkey", "tablename", "total", "missing")
+
+
 @query("""SELECT o_custkey, 'cust_order' AS tablename, CAST(o_orderkey AS VARCHAR) AS total, '' AS missing FROM orders""")
 def xml_measurements(spark, d):
     """A measurement document for each customer: names once, results by order."""
@@ -507,6 +562,77 @@ def evolve_rename_collision(spark, d):
     return docs.select(F.col("l_returnflag").alias("shape"), F.lit(",".join(sorted(names.values()))).alias("names")).distinct()
 
 
+@query("""SELECT 'item' AS path, 'ARRAY<STRUCT<_no: BIGINT, price: DOUBLE, ship: STRING>>' AS kind UNION ALL SELECT 'key', 'BIGINT'
+  UNION ALL SELECT 'note._lang', 'STRING' UNION ALL SELECT 'note._VALUE', 'STRING' ORDER BY 1""")
+def discover_xml_shapes(spark, d):
+    """Documents of many shapes: optional parts and notes, one to seven items, prices whole or not; nulls and broken ones between."""
+    price = F.when(F.col("l_orderkey") % 3 == 0, F.col("l_quantity").cast("int").cast("string")).otherwise(F.format_string("%.2f", F.col("l_extendedprice").cast("double")))
+    ship = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("<ship>"), "l_linestatus", F.lit("</ship>"))).otherwise("")
+    item = F.concat(F.lit("<item no='"), F.col("l_linenumber").cast("string"), F.lit("'><price>"), price, F.lit("</price>"), ship, F.lit("</item>"))
+    key = F.col("l_orderkey").cast("string")
+    note = F.when(F.col("l_orderkey") % 5 == 0, "<note lang='en'>said</note>").otherwise("")
+    whole = F.concat(F.lit("<o><key>"), key, F.lit("</key>"), note, F.array_join(F.collect_list(item), ""), F.lit("</o>"))
+    broken = F.when(F.col("l_orderkey") % 7 == 0, F.lit(None)).when(F.col("l_orderkey") % 11 == 0, "<o><key>x</o>").otherwise(F.col("xml"))
+    docs = t(spark, d, "lineitem").groupBy("l_orderkey").agg(whole.alias("xml")).select(broken.alias("xml"))
+    found = schema.discover_xml_schema(docs, "xml")
+    rows = [(f"{f.name}.{g.name}", g.dataType) for f in found if isinstance(f.dataType, T.StructType) for g in f.dataType]
+    rows += [(f.name, f.dataType) for f in found if not isinstance(f.dataType, T.StructType)]
+    return spark.createDataFrame([(p, _type_name(k)) for p, k in rows], "path string, kind string")
+
+
+def _type_name(kind) -> str:
+    """A type as text, with the names that SQL gives it."""
+    if isinstance(kind, T.ArrayType):
+        return f"ARRAY<{_type_name(kind.elementType)}>"
+    if isinstance(kind, T.StructType):
+        return f"STRUCT<{', '.join(f'{f.name}: {_type_name(f.dataType)}' for f in kind)}>"
+    return kind.simpleString().upper()
+
+
+@query("""SELECT 'items' AS tablename, o_orderstatus AS status, l_linenumber AS no, CAST(l_partkey AS VARCHAR) AS rest
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag <> 'N'
+  UNION ALL SELECT 'heads', o_orderstatus, o_custkey, '<cust>' || o_custkey || '</cust>' FROM orders
+  WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""")
+def xml_tables(spark, d):
+    """Two tables from the same documents: their items with the head's status, and their heads with a node as its text."""
+    items = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(_item()), "").alias("items"))
+    o = t(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"))
+    head = F.concat(F.lit("<head status='"), "o_orderstatus", F.lit("'><cust>"), F.col("o_custkey").cast("string"), F.lit("</cust><who><cust>"), F.col("o_custkey").cast("string"), F.lit("</cust></who></head>"))
+    docs = o.select(F.concat(F.lit("<o>"), head, F.lit("<list>"), "items", F.lit("</list></o>")).alias("xml"))
+    found = schema.discover_xml_schema(docs, "xml")
+    tables = reshape.xml_tables(docs, "xml", found, {
+        "items": reshape.XmlTable("list.item", associate={"status": "head._status"}, keep="flag <> 'N'"),
+        "heads": reshape.XmlTable("head", raw=("head.who",), set_values={"cust": "cast(cust as bigint)"}),
+    })
+    items = tables["items"].select(F.lit("items").alias("tablename"), "status", F.col("_Attri_no").alias("no"), F.col("part").cast("string").alias("rest"))
+    heads = tables["heads"].select(F.lit("heads").alias("tablename"), F.col("_Attri_status").alias("status"), F.col("cust").alias("no"), F.regexp_extract("who", "<cust>.*?</cust>", 0).alias("rest"))
+    return items.unionByName(heads)
+
+
+@query("""SELECT 'order_' || n AS tablename, n AS total, CASE WHEN n % 2 = 0 THEN 'R' END AS note FROM
+  (SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS n FROM lineitem)""")
+def custom_xml_command(spark, d):
+    """A user's own discovery and flattening: a table for each line number, whose schema grows when new documents bring a note."""
+    known = schema.Registry(spark, scratch_path(spark, "registry"))
+    total = F.col("l_linenumber").cast("string")
+    plain = F.concat(F.lit("<m><total>"), total, F.lit("</total></m>"))
+    noted = F.concat(F.lit("<m><total>"), total, F.lit("</total>"), F.when(F.col("l_linenumber") % 2 == 0, "<note>R</note>").otherwise(""), F.lit("</m>"))
+
+    def discover(docs):
+        names = [r[0] for r in docs.select("name").distinct().orderBy("name").collect()]
+        return {n: schema.discover_xml_schema(docs.filter(F.col("name") == n), "xml") for n in names}
+
+    def flatten(docs, table):
+        found = schema.discover_xml_schema(docs.filter(F.col("name") == table), "xml")
+        return docs.filter(F.col("name") == table).select(F.from_xml("xml", found.simpleString()).alias("x")).select("x.*").distinct()
+
+    rows = t(spark, d, "lineitem")
+    name = F.concat(F.lit("order_"), total).alias("name")
+    registry.schema_discovering(rows.select(name, plain.alias("xml")).distinct(), discover, flatten, known)
+    out = registry.schema_discovering(rows.select(name, noted.alias("xml")).distinct(), discover, flatten, known)
+    return routing.union_inputs(*(df.withColumn("tablename", F.lit(n)) for n, df in out.items())).select("tablename", "total", "note")
+
+
 @query("SELECT '_id' AS path, '_Attri_id' AS name UNION ALL SELECT 'item._no', '_Attri_no' UNION ALL SELECT 'item.part', 'part' UNION ALL SELECT 'item.flag', 'flag'")
 def discover_xml_schema(spark, d):
     found = schema.flat_names(schema.discover_xml_schema(_xml_orders(spark, d), "xml"))
@@ -620,11 +746,21 @@ def stream_counts(spark, d):
     return out.withColumn("start", F.date_format("start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("SELECT 30 AS seconds, count(*) AS n FROM events")
+@query("SELECT '2 seconds' AS every, true AS spaced, count(*) AS n FROM events")
 def stream_interval(spark, d):
-    """The batch length in seconds, over the table that streams."""
-    seconds = int(logs.INTERVAL.split()[0])
-    return t(spark, d, "events").agg(F.lit(seconds).alias("seconds"), F.count(F.lit(1)).alias("n"))
+    """The events as three files, a file for each micro-batch, and how far apart the batches began under the interval of the settings."""
+    source, out, state = (scratch_path(spark, n) for n in ("topic", "batches", "state"))
+    _log_lines(spark, d).select("key", "value").repartition(3).write.parquet(source)
+    every = logs.stream_interval({"stream.interval": 2})
+    feed = logs.stream_source(spark, "parquet", "key string, value string", source, maxFilesPerTrigger=1)
+    run = logs.stream_micro_batch_sink(logs.stream_log_route(feed, now=F.lit("now")), out, state, interval=every)
+    run.processAllAvailable()
+    began = [datetime.fromisoformat(p["timestamp"]).timestamp() for p in run.recentProgress if p["numInputRows"]]
+    run.stop()
+    # the first batch begins at once, each later one with an interval
+    spaced = len(began) == 3 and all(b - a > 1.5 for a, b in zip(began[1:], began[2:]))
+    lines = spark.read.option("basePath", out).text(f"{out}/batch=*")
+    return lines.agg(F.lit(every).alias("every"), F.lit(spaced).alias("spaced"), F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS at FROM orders")

@@ -230,7 +230,7 @@ def merge_keep(spark, d):
   UNION ALL SELECT 'outer', count(*) FROM o FULL JOIN l ON o.k = l.k""")
 def merge_multi(spark, d):
     sides = _sides(spark, d)
-    out = merging.merge_multi({h: {"parts": sides, "how": h} for h in ("inner", "outer")})
+    out, _ = merging.merge_multi({h: {"parts": sides, "how": h} for h in ("inner", "outer")})
     return routing.union_inputs(*(df.agg(F.lit(h).alias("tablename"), F.count(F.lit(1)).alias("n")) for h, df in out.items()))
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.columns import select_expansion
+from ..operators.schema import Registry, evolve_add_columns, with_schema
 
 Tables = dict[str, DataFrame]
 _OPERATORS: dict[str, Callable[..., Tables]] = {}
@@ -38,6 +40,21 @@ def sql_query(spark: SparkSession, tables: Tables, statements: list[tuple[str |
     return out
 
 
+def schema_discovering(
+    docs: DataFrame, discover: Callable[[DataFrame], dict[str, T.StructType]], flatten: Callable[[DataFrame, str], DataFrame], registry: Registry | None = None
+) -> Tables:
+    """A command for documents of its own kind. ``discover`` gives the schema of each table that they hold; what the registry
+    knows of a table grows by the attributes that it lacks. ``flatten`` gives a table's rows, which come under that schema."""
+    out: Tables = {}
+    for table, seen in discover(docs).items():
+        known = registry.find(table) if registry else None
+        grown = evolve_add_columns(known, seen)[0] if known is not None else seen
+        if registry and grown != known:
+            registry.put(table, grown)
+        out[table] = with_schema(flatten(docs, table), grown)
+    return out
+
+
 def map_rows(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """Row to many rows: ``fn`` takes and yields pandas frames."""
     return df.mapInPandas(fn, schema)

@@ -9,9 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in spark.checkpoint.dir, or in a local folder where that is unset; it goes when the application ends."""
+    """A new path in spark.checkpoint.dir; it goes when the application ends. A local folder serves only a local master, where
+    that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("weirline.scratch", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("weirline.scratch", folder)
     path = f"{folder.rstrip('/')}/weirline/{name}-{uuid.uuid4().hex}"

@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 from ..functions.dates import parsed
 from ..functions.text import glob_match
 from ..operators.columns import drop_trailing_delimiter
+from ..operators.routing import carried
+from ..operators.sizes import small
 
 
 def scan_keyed_text(spark: SparkSession, path) -> DataFrame:
@@ -93,16 +95,32 @@ def skip_header(spark: SparkSession, paths: list[str], names: list[str], has_hea
     return out if out is not None else spark.createDataFrame([], ", ".join(f"`{n}` string" for n in names))
 
 
+def _numbered(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(key, pos, value) of all lines, and (key, n) of each file: no file has to be in one task.
+
+    A task reads stretches of files, each in order, so a line's number is its place in its stretch and the lines
+    of the stretches before it, of which there are few.
+    """
+    lines = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"), F.regexp_replace("value", "\r$", "").alias("value"),
+    )
+    stretches = lines.groupBy("key", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("key").orderBy("_start")
+    placed = stretches.select("key", "_start", (F.sum("_n").over(before) - F.col("_n") - F.col("_first")).alias("_shift"))
+    rows = lines.join(small(placed), ["key", "_start"]).select("key", (F.col("_id") + F.col("_shift")).alias("pos"), "value")
+    return rows, stretches.groupBy("key").agg(F.sum("_n").alias("n"))
+
+
 def scan_whole_file(spark: SparkSession, path) -> DataFrame:
-    """(key, pos, value): the lines of each file in order. A file is one task's row; the empty line after a last newline isn't one."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("key"), "value")
-    body = F.regexp_replace("value", r"\r?\n$", "")
-    return whole.select("key", F.posexplode(F.split(body, "\r?\n")).alias("pos", "value"))
+    """(key, pos, value): the lines of each file with their numbers from 0. The empty line after a last newline isn't one, and an
+    empty file has none."""
+    return _numbered(spark, path)[0]
 
 
 def scan_sequence_file(spark: SparkSession, path: str, key: str = "org.apache.hadoop.io.LongWritable", value: str = "org.apache.hadoop.io.Text") -> DataFrame:
-    """(key, value) of Hadoop sequence files."""
-    pairs = spark.sparkContext.sequenceFile(path, key, value)
+    """(key, value) of Hadoop sequence files. Spark SQL has no reader for them, so pairs pass through Python, in batches."""
+    pairs = spark.sparkContext.sequenceFile(path, key, value, batchSize=1000)
     return spark.createDataFrame(pairs, "key long, value string" if key.endswith("LongWritable") else "key string, value string")
 
 
@@ -130,19 +148,18 @@ def scan_xml_rows(spark: SparkSession, path, row_tag: str, outer_tag: str, attri
 
 def sections(lines: DataFrame, header: str, footer: str | None = None, file: str = "key", pos: str = "pos", line: str = "value") -> DataFrame:
     """(file, section, pos, lines): lines of a file cut into sections, each from a line that matches ``header`` to the one before the
-    next, or to one that matches ``footer``. Lines outside go. A file's lines are numbered by one window over that file."""
-    w = W.partitionBy(file).orderBy(pos)
-    n = F.sum(F.when(F.col(line).rlike(header), 1).otherwise(0)).over(w)
-    marked = lines.withColumn("section", n).filter("section > 0")
-    if footer:
-        before = W.partitionBy(file, "section").orderBy(pos).rowsBetween(W.unboundedPreceding, -1)
-        ended = F.coalesce(F.max(F.col(line).rlike(footer)).over(before), F.lit(False))
-        marked = marked.withColumn("_ended", ended).filter(~F.col("_ended"))
+    next, or to one that matches ``footer``. Lines outside go. A section is one row; a file may be any length."""
+    starts = F.when(F.col(line).rlike(header), 1).otherwise(0)
+    marked = carried(lines, file, pos, "section", starts, last=False).filter("section > 0")
     grouped = marked.groupBy(file, "section").agg(F.array_sort(F.collect_list(F.struct(pos, line))).alias("_l"))
+    if footer:
+        ends = F.filter(F.transform("_l", lambda x, i: F.when(x[line].rlike(footer), i + 1)), lambda k: k.isNotNull())
+        grouped = grouped.withColumn("_l", F.slice("_l", F.lit(1), F.coalesce(F.get(ends, F.lit(0)), F.size("_l"))))
     return grouped.select(file, "section", F.col(f"_l.{pos}")[0].alias(pos), F.col(f"_l.{line}").alias("lines"))
 
 
 def scan_sections(spark: SparkSession, path, header: str, footer: str | None = None) -> DataFrame:
+    """The sections of text files."""
     return sections(scan_whole_file(spark, path), header, footer)
 
 
@@ -180,12 +197,14 @@ def unpack_archives(spark: SparkSession, path, archive_glob: str | None = None,
 
 
 def unpacked(archives: DataFrame, member_glob: str | None = None, prefix: bool = False) -> DataFrame:
-    """The members of archives held as rows (path, content)."""
+    """The members of archives held as rows (path, content); a null content has none."""
     def run(frames):
         import pandas as pd
 
         for f in frames:
             for p, raw in zip(f["path"], f["content"]):
+                if raw is None:
+                    continue
                 base = p.rsplit("/", 1)[-1]
                 for member, content in _members(base, bytes(raw), member_glob):
                     yield pd.DataFrame({"archive": [base], "member": [f"{base}.{member}" if prefix else member], "content": [content]})
@@ -195,21 +214,25 @@ def unpacked(archives: DataFrame, member_glob: str | None = None, prefix: bool =
 
 def file_head_tail(spark: SparkSession, path, head: int, tail: int) -> DataFrame:
     """(key, headlines, taillines): the first and the last lines of each file, the newest of the last ones first."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("key"), "value")
-    lines = F.split(F.regexp_replace("value", r"\r?\n$", ""), "\r?\n")
-    return whole.select(
-        "key", F.slice(lines, 1, head).alias("headlines"), F.slice(F.reverse(lines), 1, tail).alias("taillines")
-    )
+    lines, sizes = _numbered(spark, path)
+    wanted = lines.join(small(sizes), "key").filter((F.col("pos") < head) | (F.col("pos") >= F.col("n") - tail))
+    ends = wanted.groupBy("key").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("l"))
+    first = F.filter("l", lambda x: x["pos"] < head)
+    last = F.reverse(F.filter("l", lambda x: x["pos"] >= F.col("n") - tail))
+    return ends.select("key", F.transform(first, lambda x: x["value"]).alias("headlines"), F.transform(last, lambda x: x["value"]).alias("taillines"))
 
 
 def first_line_values(spark: SparkSession, path, delimiter: str = ",") -> DataFrame:
-    """(values): the fields of a file's first line, one row that can be broadcast to every other."""
-    first = spark.read.text(path).limit(1)
-    return first.select(F.split("value", re.escape(delimiter)).alias("values"))
+    """(values): the fields of the first line of the first file by name, one row that can be broadcast to every other."""
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value"
+    )
+    return rows.orderBy("key", "start", "id").limit(1).select(F.split("value", re.escape(delimiter)).alias("values"))
 
 
 def jdbc_extract(spark: SparkSession, url: str, queries: dict[str, str], fetchsize: int = 1000, **options) -> dict[str, DataFrame]:
-    """The result of each SELECT on a JDBC source, by name."""
+    """The result of each SELECT on a JDBC source, by name. ``options`` may name partitionColumn, bounds and numPartitions for
+    reads in parallel; otherwise each result comes through one task."""
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize).options(**options)
     return {name: reader.option("query", q).load() for name, q in queries.items()}
 

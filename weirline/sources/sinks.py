@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.routing import ROUTE
+from ..operators.sizes import small
 from .files import typed
 
 ZERO_FOR_NULL = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
@@ -85,6 +86,32 @@ def load_table(
     return seen.get["n"]
 
 
+#: Stands for every table in a list of tables to empty.
+EVERY_TABLE = "-ALL-"
+
+
+def load_tables(
+    spark: SparkSession, files: dict[str, list[str]], schemas: dict[str, T.StructType], only: list[str] | None = None, clean: list[str] = (),
+    before: str | None = None, **options,
+) -> dict[str, int]:
+    """Loads the files of several tables, as file_to_table_match() finds them; rows loaded by table.
+
+    ``only`` names the tables to load, ``clean`` those to empty first (EVERY_TABLE: all that are loaded).
+    ``before`` is a statement run before each load, with {table} for its name. A table without a schema is an error.
+    """
+    tables = [name for name in files if only is None or name in only]
+    unknown = [name for name in tables if name not in schemas]
+    if unknown:
+        raise KeyError(f"no schema for {unknown}")
+    return {
+        name: load_table(
+            spark, name, files[name], schemas[name], truncate=EVERY_TABLE in clean or name in clean,
+            before=before.replace("{table}", name) if before else None, **options,
+        )
+        for name in tables
+    }
+
+
 def file_to_table_match(files: DataFrame, exp: str, only: list[str] | None = None) -> DataFrame:
     """(tablename, paths): the distinct files (path) of each table, a table being an expression over ``path``."""
     named = files.withColumn(ROUTE, F.expr(exp)).filter(F.col(ROUTE).isNotNull())
@@ -92,15 +119,33 @@ def file_to_table_match(files: DataFrame, exp: str, only: list[str] | None = Non
     return named.groupBy(ROUTE).agg(F.array_sort(F.collect_set("path")).alias("paths"))
 
 
-def merge_small_files(spark: SparkSession, path, out: str, files: int = 1, container: bool = False, limit: int | None = None) -> DataFrame:
-    """Many small text files in few: lines one after another, or as Parquet rows (name, body). ``limit``: the first so many by name."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("body"))
-    whole = whole.orderBy("name").limit(limit) if limit is not None else whole
-    few = whole.repartitionByRange(files, "name").sortWithinPartitions("name")
+#: Bytes of input for each merged file where their number isn't given.
+MERGED_BYTES = 256 << 20
+
+
+def merge_small_files(spark: SparkSession, path, out: str, files: int | None = None, container: bool = False, limit: int | None = None) -> DataFrame:
+    """Many small text files in few: their lines one after another by file name, or as Parquet rows (name, body). The number of
+    files follows from the input's bytes where it isn't given. ``limit``: the first so many files by name."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    if files is None:
+        files = max(1, -(-(listed.agg(F.sum("length")).first()[0] or 0) // MERGED_BYTES))
+    source = F.col("_metadata.file_path").alias("_path")
+    if container:
+        rows = spark.read.text(path, wholetext=True).select(source, F.col("_metadata.file_name").alias("name"), F.col("value").alias("body"))
+        order = ["name", "_path"]
+    else:
+        rows = spark.read.text(path).select(
+            source, F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), "value"
+        )
+        order = ["name", "_path", "_start", "_id"]
+    if limit is not None:
+        first = listed.select("path").orderBy(F.element_at(F.split("path", "/"), -1), "path").limit(limit)
+        rows = rows.join(small(first.select(F.col("path").alias("_path"))), "_path", "left_semi")
+    few = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_path", "_start", "_id")
     if container:
         few.write.mode("overwrite").parquet(out)
         return spark.read.schema("name string, body string").parquet(out)
-    few.select(F.regexp_replace("body", r"\r?\n$", "")).write.mode("overwrite").text(out)
+    few.select("value").write.mode("overwrite").text(out)
     return spark.read.text(out)
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from ..operators.routing import ROUTE
 
-INTERVAL = "30 seconds"
+#: Where settings name the batches' interval, and what it is where they don't.
+INTERVAL_KEY, INTERVAL = "stream.interval", "30 seconds"
 STAT, EXCEPTION = "etlstat", "etlexception"
 #: How a job record's marker field and version line look.
 VERSION, AUDIT, ERROR = "VERSION=1", "AUDIT", "ERROR"
+#: The columns of the log tables.
 STAT_SCHEMA = "startdt timestamp, enddt timestamp, wfname string, wfid string, actionname string, cnt1 double, cnt2 double, cnt3 double, cnt4 double"
 EXCEPTION_SCHEMA = "startdt timestamp, wfname string, wfid string, actionname string, exception string"
 
@@ -25,6 +27,12 @@ def stream_source(spark: SparkSession, fmt: str = "kafka", schema: str | None =
     return rows.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
+def stream_interval(settings: dict) -> str:
+    """The interval of micro-batches that settings name: seconds, or a duration such as '2 minutes'."""
+    value = str(settings.get(INTERVAL_KEY, INTERVAL)).strip()
+    return f"{value} seconds" if value.isdigit() else value
+
+
 def stream_log_escape(c: Column) -> Column:
     """Text for a quoted field: / doubled, / before quotes and semicolons, quotes around."""
     text = F.replace(F.coalesce(c, F.lit("")), F.lit("/"), F.lit("//"))
