@@ -61,6 +61,28 @@ def test_decontamination(spark, limit):
     assert {r.doc_id for r in kept.collect()} == {d for d, w in want.items() if not w[4]}
 
 
+def test_decontamination_of_hot_texts_by_join(spark):
+    """Thousands of rows of one text, and as many without words: each row is a key of its own."""
+    texts = [f"so {ITEM} it is", "", "nothing of the kind here"] * 700
+    bench = spark.createDataFrame([(1, ITEM), (2, f"{ITEM} omicron")], "item_id long, text string")
+    got = decontam.scan(documents(spark, texts, False), bench, broadcast_bytes=0).groupBy("n_words", "n_hit", "n_items").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 0, 0, 700), (5, 0, 0, 700), (17, 14, 2, 700)]
+
+
+def test_a_benchmark_of_megabytes_is_held_flat(spark):
+    """The set of 300,000 words, pickled as it is broadcast: under 40 bytes a window."""
+    import pickle
+    import random
+
+    rng = random.Random(1)
+    items = [(k, " ".join(str(rng.randrange(10**6)) for _ in range(300))) for k in range(1000)]
+    windows = decontam.Windows(items, 10)
+    assert len(pickle.dumps(windows)) < 40 * 300_000
+    some = items[77][1].split()
+    hit, found = windows.hits(decontam.Words(["x y " + " ".join(some[20:40]) + " z"]))
+    assert hit.sum() == 20 and {windows.ids[i] for _, i in found} == {"77"}
+
+
 def test_decontamination_of_empty_tables(spark):
     none, bench = spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "item_id long, text string")
     assert decontam.scan(none, bench).count() == 0

@@ -1,18 +1,18 @@
 """Benchmark decontamination: a broadcast set of benchmark word windows against every document window.
 
-Words are numbered by the benchmark's own vocabulary (0: not in it), a window's hash is a polynomial
-over those numbers, computed for a whole batch at once, and a hash that is in the set is verified
-word by word. A benchmark too large to broadcast is met by a shuffled join on the window hash.
+A word is a 64-bit hash of its bytes and a window a polynomial over the hashes of its words, computed for a whole
+batch at once in numpy. A document's window whose hash is in the set is verified by its words. The set is flat:
+a hash, a place in the benchmark's words and an item for each window. A benchmark too large for that is met
+by a shuffled join, to which documents send only the windows that a bitmap of hashes lets through.
 """
 
 from __future__ import annotations
 
 import hashlib
-from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +22,12 @@ from .common import BROADCAST_BYTES, saved
 WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
-BASE = np.uint64(0x9E3779B97F4A7C15)
-BLOCK_ROWS, BLOCK_BYTES = 2000, 8 << 20
+BASE, BYTE_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+BLOCK_ROWS, BLOCK_BYTES = 1000, 1 << 20
+#: Bytes that a window takes in the broadcast set, its share of the words included.
+WINDOW_BYTES = 32
+#: Bits of the bitmap that filters windows before a shuffled join: 32 MB, whatever the benchmark's size.
+FILTER_BITS = 28
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -31,89 +35,112 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(WORD_BYTES).split() if text else []
 
 
-@dataclass
-class Windows:
-    """The benchmark's windows: vocabulary, and for each length the hashes and what verifies them."""
+class Words:
+    """The words of several texts, one after another: their bytes' ``start`` and ``end`` in ``raw``, their ``hash``, and
+    ``at``, where each text's begin (and the last one's end)."""
+
+    def __init__(self, texts: list):
+        each = [t.encode("utf-8", "surrogatepass").translate(WORD_BYTES) if t else b"" for t in texts]
+        self.raw = b" ".join(each) + b" "
+        flat = np.frombuffer(self.raw, np.uint8)
+        inside = np.zeros(len(flat) + 1, np.int8)
+        inside[1:] = flat != 32
+        turns = np.diff(inside)
+        self.start, self.end = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+        lengths = np.array([len(e) + 1 for e in each], np.int64)
+        self.at = np.searchsorted(self.start, np.concatenate(([0], np.cumsum(lengths))))
+        self.hash = self._hashes(flat)
+
+    def _hashes(self, flat: np.ndarray) -> np.ndarray:
+        """A polynomial over each word's bytes, mixed."""
+        if not len(self.start):
+            return np.zeros(0, np.uint64)
+        n = self.end - self.start
+        first = np.concatenate(([0], np.cumsum(n)[:-1]))
+        within = np.arange(int(n.sum())) - np.repeat(first, n)
+        powers = np.ones(int(n.max()), np.uint64)
+        powers[1:] = BYTE_BASE
+        powers = np.cumprod(powers)
+        out = np.add.reduceat((flat[np.repeat(self.start, n) + within].astype(np.uint64) + np.uint64(1)) * powers[within], first)
+        out = (out ^ out >> np.uint64(31)) * BASE
+        return out ^ out >> np.uint64(29)
+
+    def window(self, k: int, size: int) -> bytes:
+        """The words of a window, space-joined."""
+        return b" ".join(self.raw[self.start[k] : self.end[k + size - 1]].split())
+
+    def rolled(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places of all windows of ``size`` words within one text, and their hashes."""
+        n = len(self.hash) - size + 1
+        if n <= 0:
+            return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        out = np.zeros(n, np.uint64)
+        for k in range(size):
+            out = (out + self.hash[k : k + n]) * BASE
+        text = np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+        whole = np.flatnonzero(text[:n] == text[size - 1 :])
+        return whole, out[whole]
 
-    vocabulary: dict = field(default_factory=dict)
-    by_length: dict = field(default_factory=dict)  # length -> (sorted hashes, {words: items})
 
-    @classmethod
-    def of(cls, items, n: int) -> Windows:
+class Windows:
+    """The benchmark's windows in flat arrays: for each length the sorted hashes, with each a place in the words and an item."""
+
+    def __init__(self, items, n: int):
         """items: (item_id, text). An item without words has no window; a null id hits but is not listed."""
-        out, found = cls(), {}
-        for item, text in items:
-            words = words_of(text)
-            size = min(n, len(words))
-            for k in range(len(words) - size + 1 if size else 0):
-                found.setdefault(size, {}).setdefault(tuple(words[k : k + size]), set()).add(item)
-        for size, windows in sorted(found.items()):
-            numbers = np.array([[out._number(w) for w in window] for window in windows], np.uint64)
-            hashes = _rolled(numbers.reshape(-1), size)[::size] if size > 1 else numbers[:, 0] * BASE
-            out.by_length[size] = (np.unique(hashes), windows)
-        return out
-
-    def _number(self, word: bytes) -> int:
-        return self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
-
-    def hits(self, numbers: np.ndarray, words: list[bytes]) -> tuple[np.ndarray, list[tuple[int, int, set]]]:
-        """The words that lie in a window, and (position, length, items) of each occurrence."""
-        hit, found = np.zeros(len(words), bool), []
-        known = numbers != 0
-        for size, (hashes, windows) in self.by_length.items():
-            if len(words) < size:
-                continue
-            so_far = np.concatenate(([0], np.cumsum(known)))
-            whole = np.flatnonzero(so_far[size:] - so_far[:-size] == size)
-            if not len(whole):
-                continue
-            rolled = _rolled(numbers, size)[whole]
-            at = np.minimum(np.searchsorted(hashes, rolled), len(hashes) - 1)
-            for k in whole[hashes[at] == rolled].tolist():
-                items = windows.get(tuple(words[k : k + size]))
-                if items is not None:
-                    hit[k : k + size] = True
-                    found.append((k, size, items))
+        items = list(items)
+        self.ids = [None if i is None else str(i) for i, _ in items]
+        self.words = Words([t for _, t in items])
+        own, sizes = np.repeat(np.arange(len(items)), np.diff(self.words.at)), np.minimum(np.diff(self.words.at), n)
+        self.by_length = {}
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            at, hashes = self.words.rolled(size)
+            mine = sizes[own[at]] == size
+            at, hashes = at[mine], hashes[mine]
+            order = np.argsort(hashes, kind="stable")
+            self.by_length[size] = hashes[order], at[order].astype(np.int32), own[at[order]].astype(np.int32)
+
+    def hits(self, docs: Words) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """The words that lie in a window, and (place, item) of each occurrence."""
+        hit, found = np.zeros(len(docs.hash), bool), []
+        for size, (hashes, places, owners) in self.by_length.items():
+            at, rolled = docs.rolled(size)
+            low, high = np.searchsorted(hashes, rolled), np.searchsorted(hashes, rolled, "right")
+            some = np.flatnonzero(high > low)
+            for k, a, b in zip(at[some].tolist(), low[some].tolist(), high[some].tolist()):
+                window, last = docs.window(k, size), None
+                for e in range(a, b):
+                    if self.words.window(places[e], size) == window and owners[e] != last:
+                        hit[k : k + size] = True
+                        last = owners[e]
+                        found.append((k, int(last)))
         return hit, found
 
 
-def _rolled(numbers: np.ndarray, size: int) -> np.ndarray:
-    """Polynomial hash of each run of ``size`` numbers."""
-    n = len(numbers) - size + 1
-    out = np.zeros(n, np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(size):
-            out = (out + numbers[k : k + n]) * BASE
-    return out
-
-
 def _digest(items: set) -> tuple[int, str]:
-    ids = sorted(str(i) for i in items if i is not None)
+    ids = sorted({i for i in items if i is not None})
     return len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest()
 
 
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 
+def _blocks(batches, text: int):
+    for b in batches:
+        step = max(1, min(BLOCK_ROWS, int(len(b) * BLOCK_BYTES / max(1, b.column(text).nbytes))))
+        for at in range(0, len(b), step):
+            yield b.slice(at, step)
+
+
 def _block(windows: Windows, texts: list):
     """For each text: words, hit words, items, and spans in words (start, end) that windows cover."""
-    each = [words_of(t) for t in texts]
-    # one run over the whole block; a 0 between texts keeps windows from crossing
-    get = windows.vocabulary.get
-    flat, starts = [], []
-    for words in each:
-        starts.append(len(flat))
-        flat += words
-        flat.append(b"")
-    numbers = np.fromiter(map(get, flat, [0] * len(flat)), np.uint64, len(flat)) if flat else np.zeros(0, np.uint64)
-    hit, found = windows.hits(numbers, flat)
-    items: list[set | None] = [None] * len(each)
-    owner = np.searchsorted(starts, [f[0] for f in found], "right") - 1
-    for k, (_, _, what) in zip(owner.tolist(), found):
-        items[k] = what if items[k] is None else items[k] | what
-    for k, words in enumerate(each):
-        mine = hit[starts[k] : starts[k] + len(words)]
-        yield len(words), int(mine.sum()), items[k] or set(), mine
+    words = Words(texts)
+    hit, found = windows.hits(words)
+    items: list[set] = [set() for _ in texts]
+    for k, item in found:
+        items[int(np.searchsorted(words.at, k, "right")) - 1].add(windows.ids[item])
+    for k, (a, b) in enumerate(zip(words.at.tolist(), words.at[1:].tolist())):
+        mine = hit[a:b]
+        yield b - a, int(mine.sum()), items[k], mine
 
 
 def scan(
@@ -135,35 +162,33 @@ def scan(
     empty. Columns beside those named are not read.
     """
     bench = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text"))
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))  # at least as many as there are windows
+    size = bench.agg(F.sum(WINDOW_BYTES * n_words.cast("long") + F.octet_length("text"))).first()[0] or 0
     if size > broadcast_bytes:
         return _scan_by_join(docs, bench, n, id_col, text_col)
-    # bounded: at most broadcast_bytes of text come here
-    held = docs.sparkSession.sparkContext.broadcast(Windows.of([(r[0], r[1]) for r in bench.toLocalIterator()], n))
+    # bounded: windows of at most broadcast_bytes come here
+    held = docs.sparkSession.sparkContext.broadcast(Windows([(r[0], r[1]) for r in bench.toLocalIterator()], n))
 
     def run(batches):
         windows = held.value
-        for b in batches:
-            step = max(1, min(BLOCK_ROWS, int(len(b) * BLOCK_BYTES / max(1, b.column(1).nbytes))))
-            for at in range(0, len(b), step):
-                part = b.slice(at, step)
-                rows = [
-                    (words, hits, *_digest(items), _runs(mine) if hits else [])
-                    for words, hits, items, mine in _block(windows, part.column(1).to_pylist())
-                ]
-                w, h, k, sha, spans = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(w, pa.int64()),
-                        pa.array(h, pa.int64()),
-                        pa.array(k, pa.int64()),
-                        pa.array(sha, pa.string()),
-                        pa.array(np.array(h) > 0),
-                        pa.array(spans, SPANS_ARROW),
-                    ],
-                    names=NAMES,
-                )
+        for part in _blocks(batches, 1):
+            rows = [
+                (words, hits, *_digest(items), _runs(mine) if hits else [])
+                for words, hits, items, mine in _block(windows, part.column(1).to_pylist())
+            ]
+            w, h, k, sha, spans = zip(*rows)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(w, pa.int64()),
+                    pa.array(h, pa.int64()),
+                    pa.array(k, pa.int64()),
+                    pa.array(sha, pa.string()),
+                    pa.array(np.array(h) > 0),
+                    pa.array(spans, SPANS_ARROW),
+                ],
+                names=NAMES,
+            )
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
 
@@ -181,53 +206,88 @@ def _runs(mine: np.ndarray) -> list[dict]:
     return [{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)]
 
 
-def _window_rows(table: DataFrame, lengths: list[int], n: int | None) -> DataFrame:
-    """(key, pos, size, h) of the windows of each (key, text): of all ``lengths``, or of an item's own where n is given."""
-
-    def run(frames):
-        for f in frames:
-            for key, text in zip(f["key"], f["text"]):
-                words = words_of(text)
-                sizes = lengths if n is None else [min(n, len(words))]
-                for size in sizes:
-                    if not size or len(words) < size:
-                        continue
-                    for at in range(0, len(words) - size + 1, 1 << 15):
-                        last = min(len(words) - size + 1, at + (1 << 15))
-                        joined = [b" ".join(words[k : k + size]).decode("utf-8", "replace") for k in range(at, last)]
-                        yield pd.DataFrame({"key": key, "pos": range(at, last), "size": size, "window": joined})
+def _item_windows(bench: DataFrame, n: int) -> DataFrame:
+    """(item, size, h, words) of each item's windows."""
 
-    return table.mapInPandas(run, "key string, pos long, size long, window string")
+    def run(batches):
+        for part in _blocks(batches, 1):
+            words, ids = Words(part.column(1).to_pylist()), part.column(0).to_pylist()
+            sizes, own = np.minimum(np.diff(words.at), n), np.repeat(np.arange(len(ids)), np.diff(words.at))
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                at, hashes = words.rolled(size)
+                mine = sizes[own[at]] == size
+                at, hashes = at[mine], hashes[mine]
+                columns = [[ids[k] for k in own[at]], [size] * len(at), hashes.view(np.int64), [words.window(k, size) for k in at.tolist()]]
+                kinds = [pa.string(), pa.int32(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["item", "size", "h", "words"])
+
+    items = bench.select(F.col("item_id").cast("string").alias("item"), "text")
+    return items.mapInArrow(run, "item string, size int, h long, words binary")
+
+
+def _bit(hashes):
+    return hashes >> np.uint64(64 - FILTER_BITS)
+
+
+def _bitmap(windows: DataFrame) -> np.ndarray:
+    """A byte array with a bit for the first FILTER_BITS bits of each window's hash: of one size for any benchmark."""
+    bit = F.shiftrightunsigned("h", 64 - FILTER_BITS) + 1  # Spark numbers a bitmap's bits from 1
+    parts = windows.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for bucket, bits in parts.toLocalIterator():  # at most as many buckets of 4096 bytes as the array holds
+        out[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(bytes(bits), np.uint8)
+    return out
 
 
 def _scan_by_join(docs: DataFrame, bench: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """The same without a broadcast: each distinct text's windows meet the benchmark's by hash, then by their words."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    texts = texts.withColumn("key", F.sha2("text", 256))
-    distinct = texts.groupBy("key").agg(F.first("text").alias("text"))
-    items = _window_rows(bench.select(F.col("item_id").cast("string").alias("key"), "text"), [], n)
-    windows = saved(items.groupBy("size", "window").agg(F.collect_set("key").alias("items")), "windows")
+    """The same without a broadcast of windows: those that a bitmap lets through meet the benchmark's by hash and words. A row
+    is told by a number of its own, so copies and empty texts share no key; Spark splits a window that very many documents hold."""
+    each = _item_windows(bench, n)
+    windows = saved(each.groupBy("size", "h", "words").agg(F.collect_set("item").alias("items")), "windows")
     lengths = [r[0] for r in windows.select("size").distinct().orderBy("size").collect()]  # at most n values
-    rows = _window_rows(distinct.select("key", "text"), lengths, None)
-    h = F.xxhash64("size", "window")
-    found = rows.withColumn("h", h).join(windows.withColumn("h", h), ["h", "size", "window"])
-    words = F.regexp_count("low", F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
-    per_key = found.groupBy("key").agg(
+    held = docs.sparkSession.sparkContext.broadcast(_bitmap(windows))
+
+    def run(batches):
+        bits, row, task = held.value, 0, TaskContext.get().partitionId() << 33
+        names = ["row", "doc_id", "n_words", "pos", "size", "h", "words"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+
+        def out(*columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
+
+        for part in _blocks(batches, 1):
+            words = Words(part.column(1).to_pylist())
+            rows = np.arange(row, row + len(part)) + task
+            row += len(part)
+            none = [None] * len(part)
+            yield out(rows, part.column(0), np.diff(words.at), none, none, none, none)
+            for size in lengths:
+                at, hashes = words.rolled(size)
+                bit = _bit(hashes).astype(np.int64)
+                passed = bits[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
+                at, hashes = at[passed], hashes[passed]
+                text = np.searchsorted(words.at, at, "right") - 1
+                none = [None] * len(at)
+                yield out(
+                    rows[text], none, none, at - words.at[text], [size] * len(at), hashes.view(np.int64), [words.window(k, size) for k in at.tolist()]
+                )
+
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    table = saved(plain.mapInArrow(run, "row long, doc_id long, n_words long, pos long, size int, h long, words binary"), "windows_met")
+    found = table.filter("pos is not null").select("row", "pos", "size", "h", "words").join(windows, ["size", "h", "words"])
+    per_row = found.groupBy("row").agg(
         F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("size") - 1)))).alias("at"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
     )
-    p = F.array_sort("at")
-    runs = per_key.withColumn("p", p).select(
-        "key",
+    runs = per_row.withColumn("p", F.array_sort("at")).select(
+        "row",
         F.size("p").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         F.filter("p", lambda x, i: (i == 0) | (F.get("p", i - 1) != x - 1)).alias("a"),
         F.filter("p", lambda x, i: F.coalesce(F.get("p", i + 1) != x + 1, F.lit(True))).alias("b"),
     )
-    low = distinct.select("key", F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz").alias("low"))
-    counted = low.select("key", words.cast("long").alias("n_words")).join(runs, "key", "left")
-    return texts.join(counted, "key").select(
+    return table.filter("pos is null").select("row", "doc_id", "n_words").join(runs, "row", "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),

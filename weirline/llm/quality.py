@@ -22,7 +22,7 @@ from .common import BROADCAST_BYTES, saved
 
 ORDER = 5
 BITS, IN_LO = 21, 3  # bits of a code point, and code points in lo
-BLOCK_BYTES, BLOCK_ROWS, HELD_GRAMS = 4 << 20, 1000, 1_000_000
+BLOCK_BYTES, BLOCK_ROWS, HELD_GRAMS = 1 << 19, 500, 800_000
 #: One trusted document of so many is kept from the model for the thresholds.
 HELD_OUT = 5
 #: Bytes of a gram's hash and score in the broadcast table.
