@@ -92,12 +92,14 @@ class Windows:
         self.words = Words([t for _, t in items])
         own, sizes = np.repeat(np.arange(len(items)), np.diff(self.words.at)), np.minimum(np.diff(self.words.at), n)
         self.by_length = {}
+        self.words.start, self.words.end = self.words.start.astype(np.int32), self.words.end.astype(np.int32)
         for size in np.unique(sizes[sizes > 0]).tolist():
             at, hashes = self.words.rolled(size)
             mine = sizes[own[at]] == size
             at, hashes = at[mine], hashes[mine]
             order = np.argsort(hashes, kind="stable")
             self.by_length[size] = hashes[order], at[order].astype(np.int32), own[at[order]].astype(np.int32)
+        del self.words.hash  # the windows' hashes are made
 
     def hits(self, docs: Words) -> tuple[np.ndarray, list[tuple[int, int]]]:
         """The words that lie in a window, and (place, item) of each occurrence."""
