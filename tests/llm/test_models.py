@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weirline.llm import pii, quality, secret_scan
+from weirline.llm import pii, quality, secret_labels, secret_scan
 
 CLEAN = ["The quick brown fox jumps over the lazy dog.", "A slow green turtle walks under the bright sun.", "Birds sing in the old tree near the house."]
 
@@ -97,14 +97,80 @@ def test_quality_rejects_junk_and_keeps_the_rest(spark):
     assert quality.assess(docs.limit(0), labels).count() == 0
 
 
-def test_secret_forest_on_held_out_findings(spark):
-    model = secret_scan.fit(secret_scan.labelled_findings(spark, 2500))
-    held = secret_scan.labelled_findings(spark, 3500).filter("true").subtract(secret_scan.labelled_findings(spark, 2500))
+#: Lines apart from those that the forest is fitted on, in other contexts.
+HELD_OUT = """
+spring.datasource.password={s:mixed24}
+NPM_TOKEN={s:mixed32}
+const apiSecret = '{s:hex64}';
+requests.get(url, headers={"Authorization": "token {s:gh}"})
+ssh key passphrase: {s:mixed20}
+mongodb://admin:{s:mixed24}@cluster.example.net:27017/inventory
+{"access_token":"{s:jwt}","expires_in":3600}
+SECRET_KEY = '{s:b64_64}'
+- name: credentials\tvalue: {s:b64_44}
+https://hooks.example.com/services/notify?token={s:mixed32}&channel=builds
+twilio auth {s:hex32} for the account
+use {s:akia} with its secret {s:b64_40}
+cherry-picked from commit {n:hex40}
+SHA1 ({n:hex40}) = distribution-archive.iso
+docker pull example/worker@sha256:{n:hex64}
+correlation-id={n:uuid} level=warn
+If-None-Match: "{n:hex32}"
+/var/lib/containers/storage/overlay-images/manifest.json
+https://news.example.org/science/the-longest-river-ever-measured
+getElementsByClassNameAndAttribute(document, selector)
+org.example.storage.replication.ReplicationCoordinatorService
+password: please_choose_a_strong_password
+theotherthingtheysaidwasnotwhatwehadexpected
+zusammengehörigkeitsgefühl Verantwortungsbewusstsein
+customer_account_balance_history_archive_table
+2024-02-29T23:59:59.999999999+00:00
+0123456789012345678901234567890123456789
+""".strip().split("\n")
+
+
+def test_secret_forest_on_held_out_lines(spark):
+    """Precision and recall on lines written apart from those of the labelled table."""
     from pyspark.ml.feature import VectorAssembler
 
+    model = secret_scan.fit(secret_scan.labelled_findings(spark))
+    held = secret_scan.labelled_findings(spark, secret_labels.lines(HELD_OUT, 8, "held out"))
     rows = VectorAssembler(inputCols=secret_scan.FEATURES, outputCol="features").transform(secret_scan.with_features(held))
-    right = model.transform(rows).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    assert right > 0.95
+    n = {(r.label, r.prediction): r["count"] for r in model.transform(rows).groupBy("label", "prediction").count().collect()}
+    found, lost, wrong = n.get((1.0, 1.0), 0), n.get((1.0, 0.0), 0), n.get((0.0, 1.0), 0)
+    assert found + lost > 80 and found >= 0.85 * (found + lost) and found >= 0.85 * (found + wrong), n
+
+
+def brute_candidates(text):
+    """(word, run) of every run of key characters, word by word and character by character."""
+    out = []
+    key = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.-")
+    for w, word in enumerate(re.split("[ \t\n\x0b\f\r]+", text or "")):
+        k = 0
+        while k < len(word):
+            end = k
+            while end < len(word) and word[end] in key:
+                end += 1
+            if end - k >= 16:
+                pad = end
+                while pad < len(word) and word[pad] == "=" and pad - end < 6:
+                    pad += 1
+                padded = pad > end and (pad == len(word) or word[pad] not in key and word[pad] != "=")
+                out.append((w, word[k : pad if padded else end]))
+            k = max(end, k + 1)
+    return out
+
+
+def test_candidates_equal_brute_force(spark):
+    rng = np.random.default_rng(7)
+    parts = [*'aZ09+/_.-="\\:,{} \t\n\x0b\f\ré\u3000?&', "abcdefghijklmnop", "0123456789abcdefABCDEF", "==", "=======", "x" * 15, "path/to/some/thing.txt"]
+    texts = [None, "", " ", "x" * 16, "=" * 40] + ["".join(rng.choice(parts, rng.integers(1, 25))) for _ in range(3000)]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    got = {}
+    for r in secret_scan.candidates(df).collect():
+        got.setdefault(r.doc_id, []).append((r.word, r.candidate))
+    for k, text in enumerate(texts):
+        assert sorted(got.get(k, [])) == sorted(brute_candidates(text)), text
 
 
 def test_secret_scan(spark):

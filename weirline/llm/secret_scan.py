@@ -2,7 +2,7 @@
 
 Candidates are long runs of key characters. Features: length, transitions between kinds of characters,
 how much of it a dictionary covers, marks of a path, and the neighbouring words. The forest is
-fitted on labelled findings and removes the false positives.
+fitted on labelled findings and removes the false positives. The labelled lines are in secret_labels.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import secret_labels
+
 #: Characters of keys and paths; a candidate has at least MIN_LENGTH of them in a row, and = as padding at its end only.
 MIN_LENGTH = 16
 RUN = r"[A-Za-z0-9+/_.\-]{16,}(?:={1,6}(?![A-Za-z0-9+/=_.\-]))?"
@@ -23,6 +25,10 @@ DICTIONARY = (
     "der die und das ein ich nicht mit auf von den sch ung keit heit lich "
     "les des est une que pour dans pas sur avec eau eux ment aux elle "
     "los las una por con para como mente ado ando ente cion est "
+    "all any can did each form had how its just know like make more most new now only other over see some such take than then them these "
+    "time two use very want was way well will work year your read write load store open close begin end first last next previous "
+    "access token password secret key private public default change insert request response session project application service "
+    "authentication configuration environment resource template property provider document reference article version release branch "
     "test example sample user name file path index config main home local share data value class "
     "http https www com org net html json src lib bin usr var opt etc module import license version "
     "er on an re he in ed nd ha at en es of or nt ea ti to it st io le is ou ar as"
@@ -104,64 +110,14 @@ def with_features(rows: DataFrame) -> DataFrame:
     )
 
 
-def labelled_findings(spark: SparkSession, rows: int = 4000) -> DataFrame:
-    """Labelled findings (candidate, before, after, label), made by rule: keys in the usual forms as assigned or said, against
-    long words, paths, addresses, identifiers, dotted names, and hashes that are named as such."""
-    base = spark.range(rows).withColumn("h", F.sha2(F.col("id").cast("string"), 512))
-    b64 = F.translate(F.base64(F.unhex(F.col("h"))), "+/", "Zq")
-    w = F.split(F.lit(DICTIONARY), " ")
-    count = len(DICTIONARY.split())
-
-    def word(k):
-        return F.element_at(w, (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(count)) + 1).cast("int"))
-
-    def pick(k, *values):
-        out = F.lit(values[-1])
-        for i, v in enumerate(values[:-1]):
-            out = F.when(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(values))) == i, v).otherwise(out)
-        return out
-
-    long_word = F.concat(*(word(k) for k in range(8)))
-    true_form = pick(
-        50,
-        F.substring("h", 1, 40),
-        F.substring("h", 1, 32),
-        F.substring("h", 1, 64),
-        F.substring(b64, 1, 40),
-        F.concat(F.lit("ghp_"), F.substring(b64, 1, 36)),
-        F.concat(F.lit("AKIA"), F.upper(F.substring(b64, 1, 16))),
-        F.concat(F.lit("sk_live_"), F.substring(b64, 1, 24)),
-    )
-    true_before = pick(
-        51, 'token = "', "secret: ", 'api_key="', "password=", "Authorization: Bearer ", "access_key = ", "the token '", 'x = "',
-    )
-    false_form = pick(
-        52,
-        long_word,
-        F.concat(F.upper(long_word), F.lit(".")),
-        F.concat_ws("/", word(20), word(21), word(22), word(23), word(24), word(25)),
-        F.concat(F.initcap(long_word), F.initcap(word(26))),
-        F.concat_ws("_", word(27), word(28), word(29), word(30), word(31), word(32)),
-        F.concat_ws(".", word(33), word(34), word(35), word(36), F.concat(word(37), word(38), word(39))),
-        F.substring("h", 1, 40),
-        F.regexp_replace(F.substring("h", 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"),
-        F.regexp_replace(F.substring("h", 1, 24), "[a-f]", "7"),
-        F.concat(F.lit("mail"), F.substring("h", 1, 2), F.lit(".example."), word(40), word(41), word(42)),
-        F.lit("------------------------"),
-        F.lit("========================"),
-    )
-    hashed = false_form.rlike("^[0-9a-f]{40}$")
-    false_before = F.when(hashed, pick(53, "commit ", "sha1: ", "checksum ", "etag ")).otherwise(
-        pick(54, "", "the ", "of ", "in ", "see ", "path = ", "token = the ", 'name="')
-    )
-    good = F.pmod(F.xxhash64("id", F.lit(99)), F.lit(2)) == 1
-    lead = F.concat(word(60), F.lit(" "), F.when(good, true_before).otherwise(false_before))
-    return base.select(
-        F.when(good, true_form).otherwise(false_form).alias("candidate"),
-        lead.alias("before"),
-        word(61).alias("after"),
-        good.cast("double").alias("label"),
-    ).filter(F.char_length("candidate") >= MIN_LENGTH)
+def labelled_findings(spark: SparkSession, lines: list[tuple[str, list[str]]] | None = None) -> DataFrame:
+    """Labelled findings (candidate, before, after, label): every candidate of the labelled lines, which tell their secrets.
+    A candidate that holds a secret, or is the longest run of one, counts as it."""
+    rows = [(k, text, secrets) for k, (text, secrets) in enumerate(secret_labels.lines() if lines is None else lines)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, secrets array<string>")
+    found = candidates(table).join(table.select(F.col("doc_id").alias("_id"), "secrets"), F.col("doc_id") == F.col("_id"))
+    whole = F.exists("secrets", lambda s: F.contains(s, F.col("candidate")) | F.contains(F.col("candidate"), s))
+    return found.select("candidate", "before", "after", whole.cast("double").alias("label"))
 
 
 def fit(labelled: DataFrame, most_labelled: int = 20_000, trees: int = 24, depth: int = 8):
