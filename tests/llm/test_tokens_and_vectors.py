@@ -135,17 +135,7 @@ def test_token_files(spark, tmp_path):
     assert tf.digests(spark.read.schema(tf.FILE).parquet(f"{path}-empty")).count() == 0
 
 
-def test_top_k(spark, monkeypatch):
-    monkeypatch.setattr(topk, "ROWS", 64)
-    monkeypatch.setattr(topk, "QUERIES", 8)
-    rng = np.random.default_rng(0)
-    vectors = [(k, (rng.normal(size=8) * (1 + 5 * (k % 7 == 0))).round(1).tolist()) for k in range(500)]
-    vectors += [(500, None), (501, [1.0, None] * 4), (502, [float("nan")] * 8), (503, [float("inf")] * 8), (504, vectors[4][1]), (None, vectors[5][1]),
-                (504, vectors[4][1]), (520, [0.0] * 8), (540, [1.0, 2.0]), (541, [3.0, 1.0]), (560, [])]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumns({n: F.lit(1) for n in ("dim", "v", "length", "block")})
-    got = {}
-    for r in topk.top_k(df, df.filter("vec_id % 20 = 0")).collect():
-        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+def brute_top_k(vectors):
     good = [(i, np.floor(64 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in vectors
             if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = {}
@@ -154,8 +144,63 @@ def test_top_k(spark, monkeypatch):
             scored = sorted((-int(a @ b), i) for i, b in good if i != q and len(a) == len(b))[:20]
             if scored:
                 want[q] = [(k + 1, i, -s) for k, (s, i) in enumerate(scored)]
-    assert {q: sorted(x) for q, x in got.items()} == want
-    assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
+    return want
+
+
+def top_k_of(df, **options):
+    got = {}
+    for r in topk.top_k(df, df.filter("vec_id % 20 = 0"), **options).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    return {q: sorted(x) for q, x in got.items()}
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_top_k(spark, monkeypatch, limit):
+    """Queries broadcast, and in the cells of a grid."""
+    monkeypatch.setattr(topk, "ROWS", 64)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    monkeypatch.setattr(topk, "CELL_BYTES", 4000)
+    rng = np.random.default_rng(0)
+    vectors = [(k, (rng.normal(size=8) * (1 + 5 * (k % 7 == 0))).round(1).tolist()) for k in range(500)]
+    vectors += [(500, None), (501, [1.0, None] * 4), (502, [float("nan")] * 8), (503, [float("inf")] * 8), (504, vectors[4][1]), (None, vectors[5][1]),
+                (504, vectors[4][1]), (520, [0.0] * 8), (540, [1.0, 2.0]), (541, [3.0, 1.0]), (560, []), (580, [5e7, 1.0]), (581, [100.0, 2.0])]
+    vectors += [(1000 + k, (rng.normal(size=24) * 0.8 ** np.arange(24)).round(2).tolist()) for k in range(300)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").withColumns({n: F.lit(1) for n in ("dim", "v", "length", "block")})
+    assert top_k_of(df, broadcast_bytes=limit) == brute_top_k(vectors)
+    assert topk.top_k(df.limit(0), df.limit(0), broadcast_bytes=limit).count() == 0
+
+
+def test_top_k_of_many_dimensions(spark):
+    """A block for each dimension, more of them than a few."""
+    rng = np.random.default_rng(1)
+    vectors = [(k, rng.normal(size=1 + k % 12).round(2).tolist()) for k in range(600)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    assert top_k_of(df) == top_k_of(df, broadcast_bytes=0) == brute_top_k(vectors)
+
+
+def test_pruning():
+    """What is scored in full: little where lengths or axes are skewed, and never at the cost of a result."""
+    rng = np.random.default_rng(2)
+    shares = {}
+    for name, v in {
+        "lengths": rng.normal(size=(4000, 32)) * rng.pareto(1.5, 4000)[:, None],
+        "axes": rng.normal(size=(4000, 32)) * 0.6 ** np.arange(32),
+        "even": rng.normal(size=(4000, 32)),
+    }.items():
+        v = np.floor(64 * v)
+        v = v[np.argsort(-(v * v).sum(1))]
+        ids, axes = np.arange(len(v)), np.linalg.eigh(v.T @ v)[1][:, ::-1]
+        picked = rng.permutation(len(v))[:96]
+        q = topk.Queries(picked, v[picked], np.full(96, -np.inf), axes, 10)
+        for a in range(0, len(v), 500):
+            q.meet(ids[a : a + 500], v[a : a + 500], v[a : a + 500] @ axes)
+        scores = v[picked] @ v.T
+        scores[np.arange(96), picked] = -np.inf
+        want = np.sort(scores, axis=1)[:, ::-1][:, :10]
+        got = q.rows().groupby("query_id")["score"].apply(lambda s: sorted(s, reverse=True))
+        assert all(got[i] == w for i, w in zip(picked, want.astype(int).tolist()))
+        shares[name] = q.full / q.all
+    assert shares["lengths"] < 0.3 and shares["axes"] < 0.5, shares
 
 
 def test_pipeline_stages(spark, tmp_path):

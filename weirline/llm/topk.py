@@ -1,11 +1,15 @@
 """Exact top-k by inner product, pruned by length and by rotated partial sums.
 
-Vectors are cut into blocks by descending length. The longest block gives every query a first
-threshold: the k-th best score it already has. A block is then met only by the query blocks that
-could still gain from it, by Cauchy-Schwarz on lengths; within a pair of blocks, coordinates rotated
-onto the principal axes give a partial sum and a bound on the rest, and only what passes is scored in
-full, exactly, on the integers. Each pair of blocks returns what could still count, at most k for
-each query, and the best k of those are the answer.
+Vectors are cut into blocks by descending length, of one dimension each. The longest blocks give every query
+a first threshold: the k-th best score it already has. A task goes through its blocks from the longest
+vectors on and raises its queries' thresholds as it goes; once a block's longest vector can reach no
+threshold by Cauchy-Schwarz, neither can any later one. Within a block, coordinates rotated onto the principal
+axes (SVD) give partial sums in several steps, each with a bound on the rest by Cauchy-Schwarz; queries are
+taken few at a time, of like direction, and only vectors that pass for one of them are scored in
+full, exactly, on the integers. Each task returns at most k for each query, and the best k of those are the answer.
+
+Queries within a byte limit are broadcast, and blocks stay where they are. Otherwise groups of queries and
+parts of the table meet in the cells of a grid, to which each is sent once for a row or column, not for each pair.
 """
 
 from __future__ import annotations
@@ -16,11 +20,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import BROADCAST_BYTES, saved
 
-ROWS, QUERIES = 4096, 1024
-#: Different dimensions up to which the longest block of each is broadcast.
-DIMENSIONS = 8
+ROWS, QUERIES = 4096, 512
+#: Queries of like direction that are bounded together.
+TOGETHER = 32
+#: Shares of the rotated axes after which what can't reach a threshold is dropped.
+STEPS = (1 / 16, 1 / 8, 1 / 4, 1 / 2)
+#: Bytes of vectors on either side of a cell of the grid.
+CELL_BYTES = 64 << 20
 
 
 def quantised(table: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
@@ -37,8 +45,14 @@ def quantised(table: DataFrame, id_col: str, vector_col: str, scale: float) -> D
     )
 
 
-def _matrix(raw: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(raw, np.float64).reshape(-1, dim)
+def _bytes_of(v: np.ndarray) -> bytes:
+    """Integers of 32 bits where they fit, else doubles."""
+    return v.astype(np.int32).tobytes() if np.abs(v).max(initial=0) < 1 << 31 else v.tobytes()
+
+
+def _matrix(raw: bytes, rows: int, dim: int) -> np.ndarray:
+    kind = np.int32 if len(raw) == 4 * rows * dim else np.float64
+    return np.frombuffer(raw, kind).reshape(rows, dim).astype(np.float64)
 
 
 def _packed(rows: DataFrame, of: str) -> DataFrame:
@@ -46,14 +60,13 @@ def _packed(rows: DataFrame, of: str) -> DataFrame:
 
     def run(frame):
         frame = frame.sort_values(["length", "vec_id"], ascending=[False, True])
-        v = np.array(frame["v"].tolist(), np.float64)
-        dim = v.shape[1] if v.ndim == 2 else 0
+        v = np.array(frame["v"].tolist(), np.float64).reshape(len(frame), -1)
         return pd.DataFrame(
             {
                 of: [frame[of].iloc[0]],
-                "dim": [dim],
+                "dim": [v.shape[1]],
                 "ids": [frame["vec_id"].to_numpy(np.int64).tobytes()],
-                "m": [v.tobytes()],
+                "m": [_bytes_of(v)],
                 "longest": [float(frame["length"].iloc[0])],
             }
         )
@@ -93,50 +106,82 @@ def _gram(rows: DataFrame, dim: int) -> np.ndarray:
     return out
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, k: int, floor_: np.ndarray):
-    """(query row, candidate column) of up to k best of each row, ties to the smaller id, none below floor_ or a query itself."""
-    rows, cols = np.nonzero((scores >= floor_[:, None]) & (scores > -np.inf))
-    if not len(rows):
-        return rows, cols
-    order = np.lexsort((ids[cols], -scores[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    return rows[place < k], cols[place < k]
-
-
-def _scored(k: int, axes: np.ndarray, head: int):
-    """Scores one pair of a query block and a vector block. The partial sum over the leading rotated axes and the
-    product of the rests' lengths bound the score; only vectors that pass for some query are scored in full."""
-
-    def run(frames):
-        for f in frames:
-            for r in f.itertuples(index=False):
-                q, c = _matrix(r.q_m, r.dim) if r.dim else None, None
-                qid, cid = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                least = np.frombuffer(r.least, np.float64)
-                if not r.dim:
-                    scores = np.zeros((len(qid), len(cid)))
-                else:
-                    c = _matrix(r.m, r.dim)
-                    lengths = np.sqrt((c * c).sum(axis=1))
-                    ql = np.sqrt((q * q).sum(axis=1))
-                    # by descending length: beyond the last vector that can reach any query's threshold, none can
-                    need = np.where(ql > 0, least / np.maximum(ql, 1e-300), np.where(least <= 0, -np.inf, np.inf))
-                    upto = int(np.searchsorted(-lengths, -(need.min() - 1e-6 * (1 + abs(need.min()))) if np.isfinite(need.min()) else np.inf, "right"))
-                    c, cid = c[:upto], cid[:upto]
-                    if len(axes) == r.dim and len(c):
-                        qr, cr = q @ axes, c @ axes
-                        bound = qr[:, :head] @ cr[:, :head].T
-                        rest = np.sqrt((qr[:, head:] ** 2).sum(1))[:, None] * np.sqrt((cr[:, head:] ** 2).sum(1))[None]
-                        bound += rest + 1e-9 * (1 + ql[:, None] * lengths[None, :upto])
-                        pick = (bound >= least[:, None]).any(axis=0)
-                        c, cid = c[pick], cid[pick]
-                    scores = q @ c.T
-                scores = np.where(qid[:, None] == cid[None, :], -np.inf, scores)
-                rows, cols = _best(scores, cid, k, least)
-                yield pd.DataFrame({"query_id": qid[rows], "vec_id": cid[cols], "score": scores[rows, cols].astype(np.int64)})
-
-    return run
+class Queries:
+    """A block of queries of one dimension, in groups of like direction, with what each has found so far."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, least: np.ndarray, axes: np.ndarray, k: int):
+        self.k, self.dim = k, v.shape[1]
+        turned = v @ axes if len(axes) == self.dim else v
+        order = np.lexsort(turned[:, :3].T[::-1]) if self.dim else np.arange(len(ids))
+        self.ids, self.v, self.turned = ids[order], v[order], turned[order]
+        self.least, self.length = least[order].copy(), np.sqrt((self.v * self.v).sum(axis=1))
+        self.cuts = [max(1, int(self.dim * s)) for s in STEPS if self.dim >= 8]
+        self.scores, self.found = np.full((len(ids), k), -np.inf), np.full((len(ids), k), -1, np.int64)
+        self.full = self.all = 0  # pairs scored in full, and all
+
+    def meet(self, cid: np.ndarray, c: np.ndarray, turned: np.ndarray) -> None:
+        """Scores a block of vectors, longest first, against the queries."""
+        lengths = np.sqrt((c * c).sum(axis=1))
+        rests = [np.sqrt((turned[:, cut:] ** 2).sum(axis=1)) for cut in self.cuts]
+        for a in range(0, len(self.ids), TOGETHER):
+            g = slice(a, a + TOGETHER)
+            self.all += len(self.ids[g]) * len(cid)
+            least, ql = self.least[g], self.length[g]
+            slack = 1e-9 * (1 + ql.max(initial=0) * lengths[:1].max(initial=0))
+            # by descending length: beyond the last vector that can reach any threshold, none can
+            reach = (ql[:, None] * lengths[None, :] + slack >= least[:, None]).any(axis=0)
+            n = int(np.flatnonzero(reach)[-1]) + 1 if reach.any() else 0
+            alive, partial, done = np.arange(n), np.zeros((len(ql), n)), 0
+            for cut, rest in zip(self.cuts, rests):
+                if not len(alive):
+                    break
+                partial = partial + self.turned[g, done:cut] @ turned[alive, done:cut].T
+                done = cut
+                own = np.sqrt((self.turned[g, cut:] ** 2).sum(axis=1))
+                passed = (partial + own[:, None] * rest[alive][None, :] + slack >= least[:, None]).any(axis=0)
+                if passed.mean() < 0.9:
+                    alive, partial = alive[passed], partial[:, passed]
+            if len(alive):
+                self.full += len(ql) * len(alive)
+                self._take(g, cid[alive], self.v[g] @ c[alive].T)
+
+    def _take(self, g: slice, cid: np.ndarray, scores: np.ndarray) -> None:
+        """Keeps the best k of each query of the group, ties to the smaller id, and raises its threshold."""
+        scores = np.where((self.ids[g][:, None] == cid[None, :]) | (scores < self.least[g][:, None]), -np.inf, scores)
+        some = np.flatnonzero((scores > -np.inf).any(axis=1))
+        for r in some.tolist():
+            row = g.start + r
+            new = np.flatnonzero(scores[r] > -np.inf)
+            all_scores = np.concatenate([self.scores[row], scores[r, new]])
+            all_ids = np.concatenate([self.found[row], cid[new]])
+            best = np.lexsort((all_ids, -all_scores))[: self.k]
+            self.scores[row], self.found[row] = all_scores[best], all_ids[best]
+            self.least[row] = max(self.least[row], all_scores[best[-1]])
+
+    def rows(self) -> pd.DataFrame:
+        at, place = np.nonzero(self.scores > -np.inf)
+        return pd.DataFrame({"query_id": self.ids[at], "vec_id": self.found[at, place], "score": self.scores[at, place].astype(np.int64)})
+
+
+def _searched(blocks, queries: list[Queries], axes: np.ndarray):
+    """Puts blocks (dim, ids, m, longest) to queries; the longest should come first."""
+    for dim, ids, m, longest in blocks:
+        cid = np.frombuffer(ids, np.int64)
+        wanted = [q for q in queries if q.dim == dim and bool((q.length * longest * (1 + 1e-9) + 1e-9 >= q.least).any())]
+        if wanted:
+            c = _matrix(m, len(cid), dim)
+            turned = c @ axes if len(axes) == dim else c
+            for q in wanted:
+                q.meet(cid, c, turned)
+
+
+def _query_blocks(rows, axes: np.ndarray, k: int) -> list[Queries]:
+    """From (dim, q_ids, q_m, least)."""
+    out = []
+    for dim, ids, m, least in rows:
+        ids = np.frombuffer(ids, np.int64)
+        out.append(Queries(ids, _matrix(m, len(ids), dim), np.frombuffer(least, np.float64), axes, k))
+    return out
 
 
 def top_k(
@@ -146,6 +191,7 @@ def top_k(
     scale: float = 64.0,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of ``queries`` the k best rows of ``table`` but its own id.
 
@@ -161,35 +207,61 @@ def top_k(
     common = rows.groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     dim = common[0] if common else 0
     axes = np.linalg.eigh(_gram(rows, dim))[1][:, ::-1].copy() if dim else np.zeros((0, 0))
-    head = max(1, dim // 4)
     blocks = saved(_blocks(rows, "block", ROWS), "blocks")
     q_blocks = saved(_blocks(asked, "q_block", QUERIES).withColumnsRenamed({"ids": "q_ids", "m": "q_m"}), "queries")
-    q_blocks = q_blocks.drop("longest")
-    # a first threshold from the longest block of each dimension: bounded rows, one pass
-    first = saved(blocks.groupBy("dim").agg(F.max_by("block", F.struct("longest", "block")).alias("block")), "first")
-    few = first.count() <= DIMENSIONS  # then the longest blocks are few enough to broadcast
-    seeds = blocks.join(F.broadcast(first) if few else first, ["dim", "block"], "left_semi")
-    asked_first = q_blocks.join(F.broadcast(seeds) if few else seeds, "dim")
-    least = saved(asked_first.mapInPandas(_thresholds(k), "q_block long, least binary, reach double"), "thresholds")
-    with_least = q_blocks.join(least, "q_block")
-    # which blocks can still matter to which query blocks, by length alone, from numbers only
-    pairs = (
-        with_least.select("q_block", "dim", "reach")
-        .join(blocks.select("block", "dim", "longest"), "dim")
-        .filter(F.col("longest") >= F.col("reach"))
-        .select("q_block", "block")
-    )
-    met = pairs.join(with_least.drop("dim", "reach"), "q_block").join(blocks, "block")
-    width = max(1, table.sparkSession.sparkContext.defaultParallelism)
-    scored = met.repartition(4 * width, "block", "q_block").mapInPandas(
-        _scored(k, axes, head), "query_id long, vec_id long, score long"
-    )
+    # a first threshold from the longest block of each dimension: one block for all queries of the dimension
+    first = blocks.groupBy("dim").agg(F.max_by("block", F.struct("longest", "block")).alias("block"))
+    seeds = saved(blocks.join(first, ["dim", "block"], "left_semi").select("dim", "ids", "m"), "seeds")
+    seed_bytes = seeds.agg(F.sum(F.octet_length("m") + F.octet_length("ids"))).first()[0] or 0
+    asked_first = q_blocks.drop("longest").join(F.broadcast(seeds) if seed_bytes <= broadcast_bytes else seeds, "dim")
+    least = "q_block long, dim int, q_ids binary, q_m binary, least binary, reach double"
+    ready = saved(asked_first.mapInPandas(_thresholds(k), least), "thresholds")
+    q_bytes = ready.agg(F.sum(F.octet_length("q_m") + 2 * F.octet_length("q_ids"))).first()[0] or 0
+    found = "query_id long, vec_id long, score long"
+    if q_bytes <= broadcast_bytes:
+        held = table.sparkSession.sparkContext.broadcast(
+            [tuple(map(lambda x: bytes(x) if isinstance(x, bytearray) else x, r)) for r in ready.select("dim", "q_ids", "q_m", "least").collect()]
+        )  # bounded: its bytes have been counted
+
+        def search(frames):
+            own = _query_blocks(held.value, axes, k)
+            for f in frames:
+                f = f.sort_values("longest", ascending=False)
+                _searched(f.itertuples(index=False, name=None), own, axes)
+            for q in own:
+                yield q.rows()
+
+        scored = blocks.select("dim", "ids", "m", "longest").mapInPandas(search, found)
+    else:
+        scored = _by_grid(blocks, ready, q_bytes, axes, k, found)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return (
         scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
     )
 
 
+def _by_grid(blocks: DataFrame, ready: DataFrame, q_bytes: int, axes: np.ndarray, k: int, found: str) -> DataFrame:
+    """Queries in groups and vectors in parts of CELL_BYTES each; a group is sent to every part once and a part to every
+    group that its blocks can still matter to by length alone."""
+    t_bytes = blocks.agg(F.sum(F.octet_length("m") + F.octet_length("ids"))).first()[0] or 0
+    groups, parts = (max(1, -(-int(n) // CELL_BYTES)) for n in (q_bytes, t_bytes))
+    cells = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("p")
+    left = ready.withColumn("g", F.pmod(F.xxhash64("q_block"), F.lit(groups)))
+    nearest = left.groupBy("dim", "g").agg(F.min("reach").alias("reach"))
+    wanted = blocks.select("block", "dim", "longest").join(nearest, "dim").filter(F.col("longest") >= F.col("reach"))
+    wanted = wanted.select("block", F.col("g").alias("of_g"))
+    right = blocks.withColumn("of_p", F.pmod(F.xxhash64("block"), F.lit(parts))).join(wanted, "block")
+
+    def cell(q, b):
+        own = _query_blocks(q[["dim", "q_ids", "q_m", "least"]].itertuples(index=False, name=None), axes, k)
+        b = b.sort_values("longest", ascending=False)
+        _searched(b[["dim", "ids", "m", "longest"]].itertuples(index=False, name=None), own, axes)
+        return pd.concat([x.rows() for x in own]) if own else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+
+    left = left.select("g", cells, "dim", "q_ids", "q_m", "least")
+    return left.groupBy("g", "p").cogroup(right.groupBy("of_g", "of_p")).applyInPandas(cell, found)
+
+
 def _thresholds(k: int):
     """For each query block the k-th score against the longest vectors, and the least length that can beat any of them."""
 
@@ -197,11 +269,8 @@ def _thresholds(k: int):
         for f in frames:
             for r in f.itertuples(index=False):
                 qid, cid = np.frombuffer(r.q_ids, np.int64), np.frombuffer(r.ids, np.int64)
-                if r.dim:
-                    q, c = _matrix(r.q_m, r.dim), _matrix(r.m, r.dim)
-                    scores, ql = q @ c.T, np.sqrt((q * q).sum(axis=1))
-                else:
-                    scores, ql = np.zeros((len(qid), len(cid))), np.zeros(len(qid))
+                q, c = _matrix(r.q_m, len(qid), r.dim), _matrix(r.m, len(cid), r.dim)
+                scores, ql = q @ c.T, np.sqrt((q * q).sum(axis=1))
                 scores = np.where(qid[:, None] == cid[None, :], -np.inf, scores)
                 if len(cid) >= k:
                     least = np.partition(scores, len(cid) - k, axis=1)[:, len(cid) - k]
@@ -211,6 +280,6 @@ def _thresholds(k: int):
                     need = np.where(least <= 0, -np.inf, least / np.maximum(ql, 1e-300))
                 reach = float(need.min()) if len(need) else 0.0
                 reach = reach - 1e-6 * abs(reach) if np.isfinite(reach) else -1.0
-                yield pd.DataFrame({"q_block": [r.q_block], "least": [least.tobytes()], "reach": [reach]})
+                yield pd.DataFrame({"q_block": [r.q_block], "dim": [r.dim], "q_ids": [r.q_ids], "q_m": [r.q_m], "least": [least.tobytes()], "reach": [reach]})
 
     return run
