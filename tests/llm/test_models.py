@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weirline.llm import pii, quality, secret_labels, secret_scan
+from weirline.llm import pii, pii_labels, quality, secret_labels, secret_scan
 
 CLEAN = ["The quick brown fox jumps over the lazy dog.", "A slow green turtle walks under the bright sun.", "Birds sing in the old tree near the house."]
 
@@ -241,14 +241,49 @@ def test_personal_data(spark):
     assert pii.find(df.limit(0)).count() == 0
 
 
-def test_crf_on_held_out_lines(spark):
-    rows = [(list(r[0]), list(r[1])) for r in pii.labelled_table(spark).collect()]
-    held = [(list(r[0]), list(r[1])) for r in pii.labelled_table(spark, 150, 99).collect()]
-    crf = pii.train(rows)
-    best = crf.viterbi([crf.emissions(w) for w, _ in held])
-    pairs = [(a, b) for got, (_, want) in zip(best, held) for a, b in zip(got, want)]
-    assert np.mean([a == b for a, b in pairs]) > 0.95
-    assert np.mean([a == b for a, b in pairs if b]) > 0.9
+#: Lines apart from those of the labelled table, marked in the same way.
+HELD_OUT_LINES = """
+you can phone <phone:(###) ###-####> until noon
+my phone is <phone:###-###-####>, thanks
+Tel.: <phone:0## ######>
+Büro <phone:0##/######>, Frau Weber
+appelez le <phone:0# ## ## ## ##> demain
+mobile: <phone:0### ### ####>
+the fax is <phone:(0##) ### ##-##>
+call <phone:###.###.####> now
+send it to <email:max_m@example.de> please
+host <ip:172.16.#.2#> is down
+card number <card:luhn4444> was declined
+met on 24-12-#### in Rome
+geboren am 1#.0#.#### in Bonn
+invoice no. ###-###-#### is due
+order ###-###-#### has arrived
+ticket no. ###-#### was moved
+Rechnung ###-###-####, siehe oben
+ISBN 978-#-##-######-#
+version 3.#.#.## is out
+section 2.#.#.# applies
+pages ##-### and ###
+from 09:## to 12:## on Monday
+serial ####-####-####
+coordinates 48.#####, 2.#####
+lot ###-##-#### was sold
+20##-20## annual report
+""".strip().split("\n")
+
+
+def test_crf_added_spans_on_held_out_lines(spark):
+    """Precision and recall of what the CRF adds to the fixed patterns, on lines apart from the labelled table."""
+    lines = pii_labels.lines(HELD_OUT_LINES, 12, 99)
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(lines)], "doc_id long, text string")
+    hit = found = wanted = 0
+    for r in pii.find(df).collect():
+        text, spans = lines[r.doc_id]
+        base = {(k, a, b) for k, a, b in brute_spans(text)}
+        got = {(k, int(a), int(b)) for k, a, b in (s.split(":") for s in r.spans.split(",") if s)} - base
+        want = {s for s in spans if not any(s[1] < b and a < s[2] for _, a, b in base)}
+        hit, found, wanted = hit + len(got & want), found + len(got), wanted + len(want)
+    assert wanted > 80 and hit >= 0.85 * wanted and hit >= 0.85 * found, (hit, found, wanted)
 
 
 def test_viterbi_is_the_best_path(spark):
