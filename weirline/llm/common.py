@@ -13,26 +13,40 @@ BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a fresh local one only where that is unset (local tests)."""
+    """The folder in spark.checkpoint.dir. Only a local master may leave that unset, as in tests: it gets a fresh local one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("weirline.scratch", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("weirline.scratch", folder)
     return folder.rstrip("/")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which goes when the application ends."""
+    path = f"{shared_dir(spark)}/weirline/{name}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
+
+
+def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     Cuts the lineage: a lost executor costs no recomputation of what lies before. The files go when
-    the application ends.
+    the application ends, or by deleted() where ``path`` was given.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/weirline/{name}-{uuid.uuid4().hex}"
+    path = path or shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    """Deletes what saved() wrote and no later step reads."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
-    return spark.read.schema(df.schema).parquet(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 def ascii_lower(c):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +17,7 @@ from . import (
     token_files,
     topk,
 )
-from .common import shared_dir
+from .common import shared_path
 
 
 
@@ -35,6 +33,7 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_decontamination(spark, sf_dir):
+    """Each document's words, hit words and benchmark items."""
     return decontam.scan(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark")).drop("spans")
 
 
@@ -45,19 +44,23 @@ def op2_sentence_pieces(spark, sf_dir, model=None):
 
 
 def op3_secret_scan(spark, sf_dir):
+    """Findings of every document, each with its word's number and a digest instead of the secret itself."""
     found = secret_scan.scan(_t(spark, sf_dir, "documents"))
     return found.select("doc_id", "word", F.sha2("candidate", 256).alias("candidate_sha256"), "probability")
 
 
 def op4_personal_data(spark, sf_dir):
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
     return pii.find(_t(spark, sf_dir, "documents"))
 
 
 def op5_quality(spark, sf_dir):
+    """Each document's perplexity, its language's threshold and whether it is accepted."""
     return quality.assess(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
 def op6_line_dedup(spark, sf_dir):
+    """Each document's lines, dropped lines and a digest of what stays."""
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -65,16 +68,19 @@ def op6_line_dedup(spark, sf_dir):
 
 
 def op7_exact_top_k(spark, sf_dir):
+    """The 20 nearest vectors of every twentieth one."""
     table = _t(spark, sf_dir, "embeddings")
     return topk.top_k(table, table.filter(F.col("vec_id") % 20 == 0))
 
 
 def op8_simhash(spark, sf_dir):
+    """Each document's fingerprint and component."""
     found = simhash.near_duplicates(_t(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def op9_sharding(spark, sf_dir):
+    """Each document's shard and place under the law of near-equal bytes."""
     return sharding.assign(_t(spark, sf_dir, "documents")).select(
         "doc_id",
         "size",
@@ -88,7 +94,7 @@ def op9_sharding(spark, sf_dir):
 
 def op10_token_files(spark, sf_dir, tokenizer=None):
     """Where each document's ids lie in the files, and their checksum, as read back from them."""
-    path = f"{shared_dir(spark)}/weirline/tokens-{uuid.uuid4().hex}"
+    path = shared_path(spark, "tokens")
     token_files.write(_t(spark, sf_dir, "documents"), tokenizer or vocabulary("word_bpe_49k.json"), path)
     files = spark.read.schema(token_files.FILE).parquet(path)
     return token_files.placed(files, token_files.digests(files)).select("doc_id", "start", "n_tokens", "ids_crc32")

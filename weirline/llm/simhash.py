@@ -20,11 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, saved
+from .common import attach, deleted, saved, shared_path
 
 CHUNK = 1 << 16
 #: Members of a bucket up to which its pairs are verified one by one.
 PAIRED = 48
+#: Passes for the components of a graph, at most.
+MOST_PASSES = 200
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -102,33 +104,37 @@ def links(reps: DataFrame, distance: int = 2) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(fp, root): the smallest value reachable over the undirected ``edges`` (a, b), for each value that has one.
 
-    Smallest-label passes with pointer jumping, each written to the shared folder; the driver sees
-    only the number of changed rows.
+    Smallest-label passes with pointer jumping, which halve the way to the root each time; each is written
+    to the shared folder and the one before it deleted. The driver sees only the number of changed rows. MOST_PASSES are more
+    than any graph that can be stored needs; beyond them is an error.
     """
+    spark = edges.sparkSession
     both = saved(
         edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges"
     )
-    state = saved(
-        both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("fp"), F.least("a", "m").alias("root")),
-        "roots",
-    )
-    while not state.isEmpty():
+    path = shared_path(spark, "roots")
+    first = both.groupBy("a").agg(F.min("b").alias("m"))
+    state = saved(first.select(F.col("a").alias("fp"), F.least("a", "m").alias("root")), "roots", path)
+    if state.isEmpty():
+        return state
+    for _ in range(MOST_PASSES):
         lower = (
             both.join(state.withColumnRenamed("fp", "b"), "b").groupBy("a").agg(F.min("root").alias("via"))
         ).withColumnRenamed("a", "fp")
         moved = state.join(lower, "fp").select("fp", F.col("root").alias("old"), F.least("root", "via").alias("root"))
         jump = state.select(F.col("fp").alias("root"), F.col("root").alias("top"))
+        last, path = path, shared_path(spark, "roots")
         new = saved(
-            moved.join(jump, "root", "left").select(
-                "fp", F.least("root", F.coalesce("top", "root")).alias("root"), "old"
-            ),
+            moved.join(jump, "root", "left").select("fp", F.least("root", F.coalesce("top", "root")).alias("root"), "old"),
             "roots",
+            path,
         )
         changed = new.filter("root != old").count()
+        deleted(spark, last)
         state = new.select("fp", "root")
         if not changed:
-            break
-    return state
+            return state
+    raise RuntimeError(f"components aren't found in {MOST_PASSES} passes")
 
 
 def near_duplicates(
