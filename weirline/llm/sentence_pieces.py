@@ -24,7 +24,7 @@ LONGEST = 48  # characters of a word that goes through the matrices; longer ones
 WORDS = 1 << 15
 NONE = np.iinfo(np.int32).max
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
-BLOCK_ROWS, BLOCK_BYTES = 1000, 4 << 20
+BLOCK_ROWS, BLOCK_BYTES = 300, 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

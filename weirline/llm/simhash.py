@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, deleted, saved, shared_path
+from .common import BROADCAST_BYTES, attach, deleted, saved, shared_path
 
 CHUNK = 1 << 16
 #: Members of a bucket up to which its pairs are verified one by one.
@@ -168,8 +168,8 @@ def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame, least: d
 PAIRED_SETS, TOGETHER = 48, 400
 #: Shingles that a part of a bucket holds at most on average, and columns of its matrix of shingles at a time.
 PART_GRAMS, COLUMNS = 1 << 20, 2048
-#: Needed texts up to which their keys are broadcast.
-NEEDED = 500_000
+#: Bytes that a row's number takes in a broadcast table.
+ROW_BYTES = 32
 #: One text of so many is sampled for frequent shingles; of these so many, at most, go last in every prefix.
 SAMPLED, FREQUENT, MOST_FREQUENT = 32, 3, 1_000_000
 #: Texts of which a task holds the sets at a time.
@@ -290,7 +290,9 @@ def near_copies(
         F.min("doc_id").alias("first_id"), F.min(own).alias("first"), F.count("*").alias("n"), F.min("row").alias("row")
     )
     reps = saved(firsts, "reps")
-    some = fps.select("row", "fp", "size", "prefix").join(reps.select("row"), "row", "left_semi")
+    chosen = reps.select("row")
+    chosen = F.broadcast(chosen) if ROW_BYTES * reps.count() <= BROADCAST_BYTES else chosen
+    some = fps.select("row", "fp", "size", "prefix").join(chosen, "row", "left_semi")
     rows = some.select("fp", "size", F.explode("prefix").alias("token"))
     buckets = rows.groupBy("token").agg(F.count("*").alias("m"), F.sum("size").alias("total")).filter("m > 1")
     shared = saved(rows.join(saved(buckets, "buckets"), "token"), "shared")
@@ -307,7 +309,7 @@ def near_copies(
     crowded = shared.filter(F.col("m") > PAIRED_SETS)
 
     needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowded.select("fp")).distinct()
-    held = saved(_sets(source, saved(needed.join(reps, "fp").select("fp", "first"), "needed"), shingle), "held")
+    held = _sets(source, saved(needed.join(reps, "fp").select("fp", "first"), "needed"), shingle)
 
     both = pairs.join(held.toDF("a", "ga"), "a").join(held.toDF("b", "gb"), "b")
     edges = saved(both.filter(F.size(F.array_intersect("ga", "gb")) >= enough).select("a", "b"), "near")
@@ -330,10 +332,12 @@ def _sets(source: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["fp", "grams"])
 
     wanted = needed.select("fp", F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    wanted = F.broadcast(wanted) if wanted.count() <= NEEDED else wanted
+    n = wanted.count()
+    wanted = F.broadcast(wanted) if 2 * ROW_BYTES * n <= BROADCAST_BYTES else wanted
     texts = source.join(wanted, (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    held = saved(texts.select("fp", "text").mapInArrow(run, "fp long, grams array<long>"), "held")
     # rows that repeat an id and a text are one
-    return texts.select("fp", "text").mapInArrow(run, "fp long, grams array<long>").dropDuplicates(["fp"])
+    return held if held.count() == n else saved(held.dropDuplicates(["fp"]), "held")
 
 
 def _crowded_links(crowded: DataFrame, held: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
