@@ -10,49 +10,48 @@ def one(spark, *columns):
 def test_standardized_times(spark):
     assert one(
         spark,
-        dates.dt_standardize(F.lit(" 20160409.1412 "), "yyyyMMdd.HHmm"),
+        dates.dt_standardize(F.lit(" 20190327.0805 "), "yyyyMMdd.HHmm"),
         dates.dt_standardize(F.lit("  "), "yyyyMMdd.HHmm"),
         dates.dt_standardize(F.lit(None).cast("string"), "yyyyMMdd.HHmm"),
-        dates.dt_standardize(F.lit("2017-1-2 3:04:05"), "yyyy-MM-dd HH:mm:ss"),
-        dates.dt_english_format(F.lit("Apr 09, 2016 02:12 PM"), "MMM dd, yyyy hh:mm a"),
-    ) == ("2016-04-09 14:12:00.000", "", "", "2017-01-02 03:04:05.000", "2016-04-09 14:12:00.000")
+        dates.dt_standardize(F.lit("2021-6-7 8:09:10"), "yyyy-MM-dd HH:mm:ss"),
+        dates.dt_english_format(F.lit("Nov 23, 2018 11:47 PM"), "MMM dd, yyyy hh:mm a"),
+    ) == ("2019-03-27 08:05:00.000", "", "", "2021-06-07 08:09:10.000", "2018-11-23 23:47:00.000")
 
 
 def test_epoch_milliseconds(spark):
     assert one(
         spark,
-        dates.epoch_ms_to_string(F.lit(" 1424820819999  ")),
+        dates.epoch_ms_to_string(F.lit(" 1600000000123  ")),
         dates.epoch_ms_to_string(F.lit("  ")),
         dates.epoch_ms_to_string(F.lit("x")),
-        dates.epoch_ms_to_string(F.lit("1424820819999"), "yyyy-MM-dd HH", "America/New_York"),
-    ) == ("2015-02-24 23:33:39", "", None, "2015-02-24 18")
+        dates.epoch_ms_to_string(F.lit("1600000000123"), "yyyy-MM-dd HH", "America/New_York"),
+    ) == ("2020-09-13 12:26:40", "", None, "2020-09-13 08")
 
 
 def test_hours_days_and_differences(spark):
     assert one(
         spark,
-        dates.hour(F.lit("2016-01-02 03:04:05")),
+        dates.hour(F.lit("2022-12-31 17:18:19")),
         dates.day(F.lit("nope")),
-        dates.date_subtract(F.lit("2016-01-01 00:01:00"), F.lit("2016-01-01 00:00:01")),
-        dates.date_subtract(F.lit("2016-01-01 00:00:01"), F.lit("2016-01-01 00:01:00")),
-        dates.date_subtract(F.lit("?"), F.lit("2016-01-01 00:01:00")),
-    ) == ("03", "error", 59, -59, None)
+        dates.date_subtract(F.lit("2019-05-06 07:10:00"), F.lit("2019-05-06 07:09:13")),
+        dates.date_subtract(F.lit("2019-05-06 07:09:13"), F.lit("2019-05-06 07:10:00")),
+        dates.date_subtract(F.lit("?"), F.lit("2019-05-06 07:10:00")),
+    ) == ("17", "error", 47, -47, None)
 
 
 def test_time_range_buckets(spark):
-    (found,) = one(spark, dates.split_time_range(F.lit("2016-01-01 10:10:02"), F.lit("2016-01-01 10:10:10"), 5))
+    (found,) = one(spark, dates.split_time_range(F.lit("2020-02-29 23:59:33"), F.lit("2020-02-29 23:59:58"), 20))
     assert found == [
-        "2016-01-01 10:10:00.000,2016-01-01 10:10:04.999",
-        "2016-01-01 10:10:05.000,2016-01-01 10:10:09.999",
-        "2016-01-01 10:10:10.000,2016-01-01 10:10:14.999",
+        "2020-02-29 23:59:20.000,2020-02-29 23:59:39.999",
+        "2020-02-29 23:59:40.000,2020-02-29 23:59:59.999",
     ]
-    assert one(spark, dates.split_time_range(F.lit("2016-01-02 00:00:00"), F.lit("2016-01-01 00:00:00"), 5)) == (None,)
+    assert one(spark, dates.split_time_range(F.lit("2020-03-02 00:00:00"), F.lit("2020-03-01 00:00:00"), 5)) == (None,)
 
 
 def test_text_functions(spark):
     assert one(
         spark,
-        text.split_by_single_space(F.lit("5 1289755 707652 582103 ")),
+        text.split_by_single_space(F.lit("red 7 blue 81 ")),
         text.hex_subnumber(F.lit("01FF80"), 0, 0),
         text.hex_subnumber(F.lit("01FF80"), 1, 2),
         text.hex_subnumber(F.lit("01"), 1, 2, 7),
@@ -64,7 +63,7 @@ def test_text_functions(spark):
         text.nth_csv_column(F.lit("a,b"), 1),
         text.nth_csv_column(F.lit("a,b"), 2),
         text.clean_identifier(F.lit("9.a-b c")),
-    ) == ("5,1289755,707652,582103", 128, 511, 7, 7, "12", None, "b", "ab", "b", None, "_9_a_b_c")
+    ) == ("red,7,blue,81", 128, 511, 7, 7, "12", None, "b", "ab", "b", None, "_9_a_b_c")
 
 
 def test_string_between(spark):

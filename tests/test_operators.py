@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirline.operators import aggregates, columns, merging, reshape, routing, schema
+from weirline.operators import aggregates, columns, merging, reshape, routing, schema, sizes
 from weirline.operators.aggregates import Op
+from weirline.plans import registry
 
 
 def rows(df, *order):
@@ -11,15 +12,14 @@ def rows(df, *order):
 
 
 @pytest.fixture(scope="module")
-def grades(spark):
-    data = [("1", "Name1", "A"), ("2", "Name1", "A"), ("3", "Name1", "B"), ("4", "Name1", "E"), ("5", "Name2", "B"),
-            ("6", "Name2", "B"), ("7", "Name2", "D"), ("8", "Name2", "D")]
-    return spark.createDataFrame(data, "Id string, Name string, Grade string")
+def catches(spark):
+    data = [("10", "quay", "cod"), ("20", "quay", "eel"), ("30", "quay", "cod"), ("40", "pier", "eel"), ("50", "pier", "ray"), ("60", "pier", "ray")]
+    return spark.createDataFrame(data, "Id string, Place string, Kind string")
 
 
-def test_counts(grades):
-    out = aggregates.aggregate(grades, "1-2", [Op("count")])
-    assert rows(out, "Name", "Grade") == [("Name1", "A", 2), ("Name1", "B", 1), ("Name1", "E", 1), ("Name2", "B", 2), ("Name2", "D", 2)]
+def test_counts(catches):
+    out = aggregates.aggregate(catches, "1-2", [Op("count")])
+    assert rows(out, "Place", "Kind") == [("pier", "eel", 1), ("pier", "ray", 2), ("quay", "cod", 2), ("quay", "eel", 1)]
 
 
 def test_dialects(spark):
@@ -36,17 +36,27 @@ def test_dialects_agree_on_clean_positive_numbers(spark):
     assert rows(aggregates.aggregate(df, ["k"], ops), "k") == rows(aggregates.aggregate(df, ["k"], ops, dialect="sql"), "k")
 
 
-def test_keep_gives_every_row(grades):
-    out = aggregates.aggregate(grades, ["Name"], [Op("keep", ["Id"]), Op("sum", ["Id"]), Op("count")])
-    assert out.columns == ["Name", "Id", "sum_Id", "cnt"]
-    assert rows(out, "Id")[0] == ("Name1", "1", 10.0, 4) and out.count() == 8
+def test_keep_gives_every_row(catches):
+    ops = [Op("keep", ["Id"]), Op("sum", ["Id"]), Op("count")]
+    out = aggregates.aggregate(catches, ["Place"], ops)
+    assert out.columns == ["Place", "Id", "sum_Id", "cnt"]
+    assert rows(out, "Id")[0] == ("quay", "10", 60.0, 3) and out.count() == 6
+    assert rows(aggregates.aggregate(catches, (), ops), "Id")[-1] == ("60", 210.0, 6)
+    assert rows(aggregates.aggregate(catches, ["Place"], ops, hide=("Place",)), "Id")[0] == ("10", 60.0, 3)
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keep_with_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "k string, v int")
+    out = aggregates.aggregate(df, ["k"], [Op("keep", ["v"]), Op("count")])
+    assert rows(out, "v") == [(None, 1, 2), (None, 2, 2), ("a", 3, 1)]
 
 
 def test_time_buckets(spark):
-    data = [("2016-01-01 10:10:02", "2016-01-01 10:10:16"), ("2016-01-01 10:10:15", "2016-01-01 10:10:20")]
+    data = [("2020-02-29 23:59:33", "2020-02-29 23:59:58"), ("2020-02-29 23:59:40", "2020-03-01 00:00:00")]
     df = spark.createDataFrame(data, "s string, e string").select(F.to_timestamp("s").alias("s"), F.to_timestamp("e").alias("e"))
-    out = aggregates.time_buckets(df, "s", "e", 5).withColumn("bucket", F.date_format("bucket", "HH:mm:ss"))
-    assert rows(out, "bucket") == [("10:10:00", 1), ("10:10:05", 1), ("10:10:10", 1), ("10:10:15", 2), ("10:10:20", 1)]
+    out = aggregates.time_buckets(df, "s", "e", 20).withColumn("bucket", F.date_format("bucket", "HH:mm:ss"))
+    assert rows(out, "bucket") == [("00:00:00", 1), ("23:59:20", 1), ("23:59:40", 2)]
 
 
 def test_empty_input_aggregates(spark):
@@ -108,11 +118,10 @@ def test_prefix_lookups(spark):
 
 
 def test_transpose(spark):
-    data = [("name1", "Chinese", "A"), ("name1", "English", "B"), ("name1", "Math", "D"), ("name2", "Chinese", "B"),
-            ("name2", "English", "E"), ("name3", "English", "F"), ("name3", "Math", "C"), ("name4", "Art", "A")]
+    data = [("dawn", "wind", "3"), ("dawn", "rain", "0"), ("noon", "rain", "2"), ("noon", "fog", "1"), ("dusk", "sun", "9"), ("dawn", "rain", "1")]
     df = spark.createDataFrame(data, "n string, s string, g string").withColumn("o", F.monotonically_increasing_id())
-    out = reshape.transpose(df, ["n"], "s", "g", ["Chinese", "English", "Math"], "o")
-    assert rows(out, "n") == [("name1", "A", "B", "D"), ("name2", "B", "E", ""), ("name3", "", "F", "C")]
+    out = reshape.transpose(df, ["n"], "s", "g", ["wind", "rain", "fog"], "o")
+    assert rows(out, "n") == [("dawn", "3", "1", ""), ("noon", "", "2", "1")]
 
 
 def test_records(spark):
@@ -122,6 +131,24 @@ def test_records(spark):
     assert got == [{"a": "2", "b": "x,y", "c": "p=q"}, None, None, {}]
 
 
+def test_records_with_escaped_backslashes(spark):
+    texts = [r"a=x\\,b=2", r"a=1\,2,b\=c=\d", r"a=x\\\,y,b=", "a=end\\", "a==b", "b=1,a=2,b=3,c=4"]
+    df = spark.createDataFrame([(t,) for t in texts], "r string")
+    got = [r.asDict() for r in df.select(reshape.record_map(F.col("r")).alias("m"), reshape.kv_text_parse(F.col("r"), False).alias("k")).collect()]
+    assert [g["m"] for g in got] == [{"a": "x\\", "b": "2"}, {"a": "1,2", "b=c": "d"}, {"a": "x\\,y", "b": ""}, {"a": "end\\"}, {"a": "=b"}, {"a": "2", "b": "3", "c": "4"}]
+    assert [e.key for e in got[-1]["k"]] == ["a", "b", "c"]
+
+
+def test_wide_records_take_linear_time(spark):
+    """Records of 5,000 keys, each several times; the map is made once for many columns."""
+    entry = F.concat(F.lit("k"), (F.col("id") % 5000).cast("string"), F.lit("="), F.col("id").cast("string"))
+    one = spark.range(15000).orderBy("id").coalesce(1).agg(F.array_join(F.collect_list(entry), ",").alias("r"))
+    df = one.select(F.explode(F.array_repeat("r", 20)).alias("r"))
+    out = reshape.map_to_table(df, "r", [f"k{k}" for k in range(40)])
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") <= 4
+    assert set(map(tuple, out.collect())) == {tuple(str(10000 + k) for k in range(40))}
+
+
 def test_kcv(spark):
     df = spark.createDataFrame([("TIME:12:00? no",), ("A: 1 B: 2 C: 3",)], "r string")
     out = reshape.kcv_to_table(df, "r", ["x", "y", "z"])
@@ -159,6 +186,75 @@ def test_names_of_nested_columns():
     }
 
 
+def test_xml_schema_of_many_siblings_shapes_and_nothing(spark):
+    many = "<o>" + "<v a='1'>2</v>" * 100_000 + "</o>"
+    shapes = ["<o>" + "".join(f"<f{k}>{k}</f{k}>" for k in range(12) if n >> k & 1) + "</o>" for n in range(4096)]
+    texts = [many, *shapes, None, "", "<o><broken></o>", "<o><v>2.5</v></o>", "<o/>", "plain"]
+    found = schema.discover_xml_schema(spark.createDataFrame([(x,) for x in texts], "x string"), "x")
+    kinds = {f.name: f.dataType.simpleString() for f in found}
+    assert kinds == {f"f{k}": "bigint" for k in range(12)} | {"v": "array<struct<_VALUE:double,_a:bigint>>"}
+    nothing = spark.createDataFrame([], "x string")
+    assert schema.discover_xml_schema(nothing, "x") == T.StructType() == schema.discover_xml_schema(spark.createDataFrame([(None,)], "x string"), "x")
+
+
+def test_xml_tables(spark):
+    xml = ("<day><place code='7'><name>pier</name></place><tide><at>6</at><at>18</at><gauge id='g1'><r>1</r><r>2</r></gauge><gauge id='g2'><r>3</r></gauge></tide>"
+           "<tide><at>9</at><note>calm <b>sea</b></note></tide></day>")
+    df = spark.createDataFrame([(xml,), (None,), ("<day><place code='8'><name>quay</name></place></day>",)], "x string")
+    found = schema.discover_xml_schema(df, "x")
+    tables = reshape.xml_tables(df, "x", found, {
+        "tides": reshape.XmlTable("tide", raw=("tide.note",), skip=("tide.gauge",), associate={"place": "place.name"}, keep="at > 6", set_values={"place": "upper(place)"}),
+        "gauges": reshape.XmlTable("tide.gauge", associate={"code": "place._code"}),
+        "places": reshape.XmlTable("place"),
+    })
+    tides = sorted((r.place, r.at, r.note is not None and "<b>sea</b>" in r.note) for r in tables["tides"].collect())
+    assert tides == [("PIER", 9, True), ("PIER", 18, False)]
+    assert sorted((r.code, r._Attri_id, r.r) for r in tables["gauges"].collect()) == [(7, "g1", 1), (7, "g1", 2), (7, "g2", 3)]
+    assert sorted((r._Attri_code, r.name) for r in tables["places"].collect()) == [(7, "pier"), (8, "quay")]
+    with pytest.raises(ValueError):
+        reshape.xml_tables(df, "x", found, {"none": reshape.XmlTable("absent")})
+
+
+def test_measurement_tables_are_named_by_rule(spark):
+    df = spark.createDataFrame([(["t", "u"], [("b=2,a=1,c=3", ["5", "6"]), ("a=9", ["7"])])], "n array<string>, o array<struct<name: string, r: array<string>>>")
+    out = reshape.xml_measurements(df, "n", "o", ["u", "t"], object_name="name", skip=("c",), with_value=("b",))
+    assert rows(out, "t") == [("b=2,a=1,c=3", "a_b_2", "6", "5"), ("a=9", "a", "", "7")]
+
+
+def test_custom_discovery_grows_the_registry(spark, tmp_path):
+    known = schema.Registry(spark, f"file://{tmp_path}")
+
+    def discover(docs):
+        return {"t": schema.discover_xml_schema(docs, "x")}
+
+    def flatten(docs, table):
+        return docs.select(F.from_xml("x", schema.discover_xml_schema(docs, "x").simpleString()).alias("r")).select("r.*")
+
+    first = spark.createDataFrame([("<d><a>1</a></d>",)], "x string")
+    second = spark.createDataFrame([("<d><b>z</b></d>",)], "x string")
+    assert rows(registry.schema_discovering(first, discover, flatten, known)["t"]) == [(1,)]
+    assert rows(registry.schema_discovering(second, discover, flatten, known)["t"]) == [(None, "z")]
+    assert schema.Registry(spark, f"file://{tmp_path}").get("t").names == ["a", "b"]
+
+
+def test_tables_are_small_by_bytes(spark):
+    df = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"), "id")
+    assert 10_000 < sizes.payload(df) < 20_000
+    def hinted(f):
+        return "broadcast" in f._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(sizes.small(df)) and not hinted(sizes.small(df, 1000)) and sizes.payload(df.limit(0)) == 0
+
+
+def test_shared_parts_of_merges_are_made_once(spark):
+    a = merging.Part(spark.createDataFrame([("k", "1")], "k string, v string"), ["k"], [Op("sum", ["v"])])
+    b = merging.Part(spark.createDataFrame([("k", "2"), ("m", "3")], "k string, v string"), ["k"], [Op("sum", ["v"])])
+    out, held = merging.merge_multi({h: {"parts": {"a": a, "b": b}, "how": h} for h in ("inner", "outer")})
+    assert len(held) == 2 and rows(out["inner"]) == [("k", 1.0, 2.0)] and out["outer"].count() == 2
+    for df in held:
+        df.unpersist()
+
+
 def test_inferred_types(spark):
     df = spark.createDataFrame([("1.5", "abc", "2024-01-01"), ("", None, "2024-01-02")], "n string, s string, startTime string")
     assert dict(rows(schema.infer_field_types(df))) == {"n": "numeric(15,5)", "s": "varchar(20)", "startTime": "timestamp"}

@@ -1,20 +1,22 @@
 import tarfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirline.operators import columns, routing
 from weirline.plans import registry
 from weirline.sources import files, sinks
 from weirline.streaming import logs
 
 
 def test_typed_csv_keeps_bad_rows_apart(spark, tmp_path):
-    (tmp_path / "a.csv").write_text('1,2017-1-12,"x,y"\n2,bad,z\n3,4\n')
+    (tmp_path / "a.csv").write_text('1,2021-7-3,"x,y"\n2,bad,z\n3,4\n')
     kinds = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("d", T.TimestampType(), metadata={"dtformat": "yyyy-MM-dd"}), T.StructField("s", T.StringType())])
     good, bad = files.scan_csv_typed(spark, str(tmp_path), kinds)
     got = [(r.k, str(r.d)[:10], r.s) for r in good.orderBy("k").collect()]
-    assert got == [(1, "2017-01-12", "x,y"), (2, "None", "z")] and [r[0] for r in bad.collect()] == ["3,4"]
+    assert got == [(1, "2021-07-03", "x,y"), (2, "None", "z")] and [r[0] for r in bad.collect()] == ["3,4"]
 
 
 def test_whole_files_heads_and_names(spark, tmp_path):
@@ -27,6 +29,77 @@ def test_whole_files_heads_and_names(spark, tmp_path):
     assert files.scan_file_names(spark, str(tmp_path), ["*/a.*"]).count() == 1
 
 
+def test_lines_of_files_in_several_stretches(spark, tmp_path):
+    """Files read in many small splits: numbers, sections, heads and tails are as of the whole files."""
+    texts = {"a.txt": [f"line {k}" if k % 50 else f"# {k}" for k in range(1000)], "b.txt": ["# only"], "c.txt": [f"{k}" for k in range(7)]}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\r\n".join(lines) + ("\n" if name != "c.txt" else ""))
+    (tmp_path / "empty.txt").write_text("")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        got: dict = {}
+        for r in files.scan_whole_file(spark, str(tmp_path)).collect():
+            got.setdefault(r.key.rsplit("/", 1)[1], {})[r.pos] = r.value
+        assert got == {name: dict(enumerate(lines)) for name, lines in texts.items()}
+        heads = {r.key.rsplit("/", 1)[1]: (r.headlines, r.taillines) for r in files.file_head_tail(spark, str(tmp_path), 3, 2).collect()}
+        assert heads == {name: (lines[:3], lines[::-1][:2]) for name, lines in texts.items()}
+        found = [(r.key[-5:], r.section, len(r.lines)) for r in files.scan_sections(spark, str(tmp_path), "^#").collect()]
+        assert sorted(found) == [*(("a.txt", k + 1, 50) for k in range(20)), ("b.txt", 1, 1)]
+        merged = sinks.merge_small_files(spark, str(tmp_path), f"file://{tmp_path}-merged", files=1)
+        assert [r[0] for r in merged.collect()] == [x for lines in texts.values() for x in lines]
+        first = sinks.merge_small_files(spark, str(tmp_path), f"file://{tmp_path}-first", limit=2)
+        assert first.count() == 1001
+        assert files.first_line_values(spark, str(tmp_path)).first()[0] == ["# 0"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_sections_across_stretches(spark, monkeypatch):
+    monkeypatch.setattr(routing, "STRETCH", 4)
+    data = [(f, k, v) for f in "fg" for k, v in enumerate(["x", "T1", "a", "b", "c", "d", "e", "g", "h", "T2", "i"])]
+    lines = spark.createDataFrame(data, "file string, pos int, line string")
+    titles = spark.createDataFrame([("T1", "one"), ("T2", "two")], "title string, tablename string")
+    out = {(r.file, r.line): r.tablename for r in routing.split_sections_by_title(lines, titles).collect()}
+    assert out == {(f, v): "two" if v == "i" else "one" for f in "fg" for v in "abcdeghi"}
+    found = files.sections(lines, "^T", None, "file", "pos", "line")
+    assert sorted((r.file, r.section, len(r.lines)) for r in found.collect()) == [("f", 1, 8), ("f", 2, 2), ("g", 1, 8), ("g", 2, 2)]
+
+
+def test_tables_loaded_together(spark, tmp_path):
+    kinds = {t: T.StructType.fromDDL("k int, s string") for t in ("t_many_a", "t_many_b")}
+    paths = {}
+    for t in (*kinds, "t_many_c"):
+        (tmp_path / t).write_text("1,x\n2,y\n")
+        paths[t] = [str(tmp_path / t)]
+    for t in kinds:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    assert sinks.load_tables(spark, paths, kinds, only=list(kinds)) == {"t_many_a": 2, "t_many_b": 2}
+    sinks.load_tables(spark, paths, kinds, only=list(kinds), clean=["t_many_b"])
+    assert (spark.table("t_many_a").count(), spark.table("t_many_b").count()) == (4, 2)
+    sinks.load_tables(spark, paths, kinds, only=list(kinds), clean=[sinks.EVERY_TABLE], before="REFRESH TABLE {table}")
+    assert (spark.table("t_many_a").count(), spark.table("t_many_b").count()) == (2, 2)
+    with pytest.raises(KeyError):
+        sinks.load_tables(spark, paths, kinds)
+    for t in kinds:
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_archives_of_nothing(spark):
+    rows = spark.createDataFrame([("a.zip", None)], "path string, content binary")
+    assert files.unpacked(rows).count() == 0
+
+
+def test_intervals():
+    assert [logs.stream_interval(s) for s in ({}, {"stream.interval": 5}, {"stream.interval": "2 minutes"})] == ["30 seconds", "5 seconds", "2 minutes"]
+
+
+def test_file_attributes(spark, tmp_path):
+    (tmp_path / "x.txt").write_text("v\n")
+    row = columns.file_attributes(spark.read.text(str(tmp_path)), "b1").first()
+    assert (row.filename, row.batchid) == ("x.txt", "b1") and row.pathname.endswith("/x.txt")
+
+
 def test_sections_with_footer(spark):
     data = [("f", k, v) for k, v in enumerate(["junk", "BEGIN 1", "a", "END", "between", "BEGIN 2", "b"])]
     out = files.sections(spark.createDataFrame(data, "key string, pos int, value string"), "^BEGIN", "^END")
@@ -48,9 +121,9 @@ def test_archives(spark, tmp_path):
 
 
 def test_csv_output(spark):
-    df = spark.createDataFrame([("2017-1-12 00:00:00", "GPS", "Auth=true,Author=true", None, None)], "a string, b string, c string, n int, s string")
+    df = spark.createDataFrame([("2021-7-3 04:05:06", "tide", "high,low,ebb", None, None)], "a string, b string, c string, n int, s string")
     line = df.select(sinks.csv_escape_output(df.select("a", "b", "c")), sinks.rows_to_csv(df.select("b", "n", "s"))).first()
-    assert tuple(line) == ('2017-1-12 00:00:00,GPS,"Auth=true,Author=true"', "GPS,0,")
+    assert tuple(line) == ('2021-7-3 04:05:06,tide,"high,low,ebb"', "tide,0,")
 
 
 def test_load_table_counts_and_truncates(spark, tmp_path):
@@ -66,10 +139,10 @@ def test_load_table_counts_and_truncates(spark, tmp_path):
 
 
 def test_log_record(spark):
-    ts = F.to_timestamp(F.lit("2016-05-16 12:10:15.123"))
-    end = F.to_timestamp(F.lit("2016-05-16 12:11:15.123"))
-    line = logs.etl_log_record(ts, end, F.lit(None), F.lit(None), F.lit("act"), [F.lit(123), F.lit(122)])
-    assert spark.range(1).select(line).first()[0] == "2016-05-16T12:10:15.123,2016-05-16T12:11:15.123,,,act,123,122,,"
+    ts = F.to_timestamp(F.lit("2019-08-20 21:22:23.456"))
+    end = F.to_timestamp(F.lit("2019-08-21 01:02:03.004"))
+    line = logs.etl_log_record(ts, end, F.lit(None), F.lit(None), F.lit("sweep"), [F.lit(40), F.lit(2)])
+    assert spark.range(1).select(line).first()[0] == "2019-08-20T21:22:23.456,2019-08-21T01:02:03.004,,,sweep,40,2,,"
 
 
 def test_stream_batches_are_written_once(spark, tmp_path):

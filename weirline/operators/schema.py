@@ -221,7 +221,8 @@ def discover_xml_schema(df: DataFrame, xml: str) -> T.StructType:
     def typed(node):
         if "parts" in node:
             if node.get("kind", _EMPTY) != _EMPTY:  # text alone in some documents, with parts in others
-                node["parts"].setdefault("_VALUE", {"kind": node["kind"]})
+                own = node["parts"].setdefault("_VALUE", {"kind": _EMPTY})
+                own["kind"] = max(own["kind"], node["kind"])
             kind = T.StructType([T.StructField(n, typed(p)) for n, p in sorted(node["parts"].items())])
         else:
             kind = kinds[node["kind"]]

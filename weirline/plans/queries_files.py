@@ -67,11 +67,11 @@ def table_from_filename(spark, d):
     return rows.groupBy("tablename").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name || ', \"x\"' AS name FROM nation")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS k, c_name || ', \"x\"' AS name FROM customer")
 def scan_csv(spark, d):
     path = scratch_path(spark, "csv")
-    line = F.concat(F.col("n_nationkey").cast("string"), F.lit(' |"'), "n_name", F.lit(', ""x"""|'))
-    t(spark, d, "nation").select(line).write.text(path)
+    line = F.concat(F.col("c_custkey").cast("string"), F.lit(' |"'), "c_name", F.lit(', ""x"""|'))
+    t(spark, d, "customer").select(line).write.text(path)
     return files.scan_csv(spark, path, ["k", "name"], "|", trailing_delimiter=True)
 
 
@@ -96,11 +96,11 @@ def scan_csv_typed(spark, d):
     return good.withColumn("day", F.date_format("day", "dd/MM/yyyy"))
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name AS name FROM nation UNION ALL SELECT CAST(r_regionkey AS VARCHAR), r_name FROM region")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name FROM customer UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name FROM supplier")
 def skip_header(spark, d):
     with_, without = scratch_path(spark, "headed"), scratch_path(spark, "plain")
-    t(spark, d, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")).write.csv(with_, header=True)
-    t(spark, d, "region").select("r_regionkey", "r_name").write.csv(without)
+    t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")).write.csv(with_, header=True)
+    t(spark, d, "supplier").select("s_suppkey", "s_name").write.csv(without)
     return files.skip_header(spark, [with_, without], ["k", "name"], lambda p: "headed" in p)
 
 
@@ -196,9 +196,9 @@ def path_glob_filter(spark, d):
     return files.path_glob_filter(spark.read.text(path), "*/o_orderstatus={O,P}/*").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT 'n' || r_regionkey || '.txt' AS member, count(*) AS n FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY 1")
+@query("SELECT 'n' || c_nationkey || '.txt' AS member, count(*) AS n FROM customer GROUP BY 1")
 def unpack_archives(spark, d):
-    """A zip for each region, made by Spark tasks and kept in a table; opened again by the reader's own code."""
+    """A zip for each nation's customers, made by Spark tasks and kept in a table; opened again by the reader's own code."""
     def zipped(frame):
         import io
         import zipfile
@@ -207,23 +207,23 @@ def unpack_archives(spark, d):
 
         raw = io.BytesIO()
         with zipfile.ZipFile(raw, "w") as z:
-            z.writestr(f"n{frame['n_regionkey'].iloc[0]}.txt", "\n".join(frame["n_name"]))
+            z.writestr(f"n{frame['c_nationkey'].iloc[0]}.txt", "\n".join(frame["c_name"]))
             z.writestr("skip.bin", "x")
-        return pd.DataFrame({"path": [f"/a/r{frame['n_regionkey'].iloc[0]}.zip"], "content": [raw.getvalue()]})
+        return pd.DataFrame({"path": [f"/a/n{frame['c_nationkey'].iloc[0]}.zip"], "content": [raw.getvalue()]})
 
-    archives = t(spark, d, "nation").select("n_regionkey", "n_name").groupBy("n_regionkey").applyInPandas(zipped, "path string, content binary")
+    archives = t(spark, d, "customer").select("c_nationkey", "c_name").groupBy("c_nationkey").applyInPandas(zipped, "path string, content binary")
     members = files.unpacked(archives, member_glob="*.txt")
     return members.select("member", F.size(F.split(F.col("content").cast("string"), "\n")).cast("long").alias("n"))
 
 
-@query("SELECT n_nationkey, n_name FROM nation WHERE n_regionkey > 0")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey > 0")
 def jdbc_extract(spark, d):
     """Here the database is Derby in the driver's JVM, so this one runs in local mode only; elsewhere the URL names a server."""
     url = "jdbc:derby:memory:weirline;create=true"
-    t(spark, d, "nation").write.format("jdbc").options(url=url, dbtable="nation_copy", createTableColumnTypes="n_name varchar(40)").mode("overwrite").save()
-    select = "SELECT n_nationkey, n_name FROM nation_copy WHERE n_regionkey > 0"
-    found = files.jdbc_extract(spark, url, {"nations": select.replace("n_nationkey", '"n_nationkey"').replace("n_name", '"n_name"').replace("n_regionkey", '"n_regionkey"')})
-    return found["nations"]
+    t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").write.format("jdbc").options(url=url, dbtable="customer_copy", createTableColumnTypes="c_name varchar(40)").mode("overwrite").save()
+    select = "SELECT c_custkey, c_name FROM customer_copy WHERE c_nationkey > 0"
+    found = files.jdbc_extract(spark, url, {"customers": select.replace("c_custkey", '"c_custkey"').replace("c_name", '"c_name"').replace("c_nationkey", '"c_nationkey"')})
+    return found["customers"]
 
 
 @query("""SELECT o_orderstatus AS status, 'part-' AS filename, 'o_orderstatus=' || o_orderstatus AS folder, 'b7' AS batchid, count(*) AS n
@@ -259,20 +259,20 @@ def file_head_tail(spark, d):
     )
 
 
-@query("SELECT n_nationkey, 'nation' AS kind FROM nation")
+@query("SELECT c_custkey, 'customer' AS kind FROM customer")
 def fn_first_line_values(spark, d):
     path = scratch_path(spark, "first")
-    t(spark, d, "region").agg(F.concat(F.lit("nation,"), F.count(F.lit(1)).cast("string")).alias("value")).write.text(path)
+    t(spark, d, "supplier").agg(F.concat(F.lit("customer,"), F.count(F.lit(1)).cast("string")).alias("value")).write.text(path)
     values = files.first_line_values(spark, path).select(F.col("values")[0])
-    return columns.with_globals(t(spark, d, "nation").select("n_nationkey"), {"kind": values})
+    return columns.with_globals(t(spark, d, "customer").select("c_custkey"), {"kind": values})
 
 
-@query("SELECT count(*) AS n, true AS fits FROM nation")
+@query("SELECT count(*) AS n, true AS fits FROM customer")
 def generate_rows(spark, d):
-    """As many rows as the nations, for their schema."""
-    nation = t(spark, d, "nation")
-    rows = files.generate_rows(spark, nation.schema, nation.count(), seed=3)
-    fits = F.bool_and(F.col("n_name").rlike("^string[0-9]$") & F.col("n_nationkey").between(0, 9))
+    """As many rows as the customers, for their schema."""
+    customer = t(spark, d, "customer")
+    rows = files.generate_rows(spark, customer.schema, customer.count(), seed=3)
+    fits = F.bool_and(F.col("c_name").rlike("^string[0-9]$") & F.col("c_custkey").between(0, 9))
     return rows.agg(F.count(F.lit(1)).alias("n"), fits.alias("fits"))
 
 
@@ -290,9 +290,9 @@ def scan_pages(spark, d):
 # sinks
 
 
-@query("SELECT 'nation' AS tablename, count(*) AS n FROM nation UNION ALL SELECT 'region', count(*) FROM region")
+@query("SELECT 'customer' AS tablename, count(*) AS n FROM customer UNION ALL SELECT 'supplier', count(*) FROM supplier")
 def save_by_table(spark, d):
-    paths = sinks.save_by_table({n: t(spark, d, n) for n in ("nation", "region")}, scratch_path(spark, "tables"))
+    paths = sinks.save_by_table({n: t(spark, d, n) for n in ("customer", "supplier")}, scratch_path(spark, "tables"))
     return routing.union_inputs(*(spark.read.parquet(p).agg(F.lit(n).alias("tablename"), F.count(F.lit(1)).alias("n")) for n, p in paths.items()))
 
 
@@ -316,9 +316,9 @@ def save_parquet_typed(spark, d):
     return spark.read.parquet(path).withColumns({"at": F.date_format("at", "yyyy-MM-dd HH:mm:ss"), "cust": F.col("cust").cast("double")})
 
 
-@query("SELECT n_name, NULL AS r_name FROM nation UNION ALL SELECT NULL, r_name FROM region")
+@query("SELECT c_name, NULL AS s_name FROM customer UNION ALL SELECT NULL, s_name FROM supplier")
 def output_single_or_multiple(spark, d):
-    tables = {"nation": t(spark, d, "nation").select("n_name"), "region": t(spark, d, "region").select("r_name")}
+    tables = {"customer": t(spark, d, "customer").select("c_name"), "supplier": t(spark, d, "supplier").select("s_name")}
     return sinks.output_single_or_multiple(tables, True)[""]
 
 
@@ -332,10 +332,10 @@ def rows_to_csv(spark, d):
     return df.select(sinks.rows_to_csv(df).alias("line"))
 
 
-@query('''SELECT n_nationkey || ',"' || n_name || ',""' || n_regionkey || '"""' AS line FROM nation''')
+@query('''SELECT c_custkey || ',"' || c_name || ',""' || c_nationkey || '"""' AS line FROM customer''')
 def csv_escape_output(spark, d):
-    risky = F.concat("n_name", F.lit(',"'), F.col("n_regionkey").cast("string"), F.lit('"'))
-    df = t(spark, d, "nation").select("n_nationkey", risky.alias("x"))
+    risky = F.concat("c_name", F.lit(',"'), F.col("c_nationkey").cast("string"), F.lit('"'))
+    df = t(spark, d, "customer").select("c_custkey", risky.alias("x"))
     return df.select(sinks.csv_escape_output(df).alias("line"))
 
 
@@ -536,10 +536,10 @@ def infer_field_type(spark, d):
     return schema.infer_field_types(df)
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey, NULL AS note, false AS same FROM nation")
+@query("SELECT c_custkey, c_name, c_nationkey, NULL AS note, false AS same FROM customer")
 def evolve_add_columns(spark, d):
-    old = t(spark, d, "nation")
-    seen = T.StructType([T.StructField("N_NAME", T.StringType()), T.StructField("note", T.StringType())])
+    old = t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
+    seen = T.StructType([T.StructField("C_NAME", T.StringType()), T.StructField("note", T.StringType())])
     grown, new = schema.evolve_add_columns(old.schema, seen)
     return schema.with_schema(old, grown).withColumn("same", F.lit(not new))
 
@@ -695,9 +695,9 @@ def stream_log_route(spark, d):
     return logs.stream_log_route(_log_lines(spark, d), now=F.lit("now"))
 
 
-@query("""SELECT n_nationkey, '"a//' || n_name || '/";"/;"' AS s FROM nation""".replace('/";"/;"', '/"/;"'))
+@query("""SELECT c_custkey, '"a//' || c_name || '/";"/;"' AS s FROM customer""".replace('/";"/;"', '/"/;"'))
 def stream_log_escape(spark, d):
-    return t(spark, d, "nation").select("n_nationkey", logs.stream_log_escape(F.concat(F.lit("a/"), "n_name", F.lit('";'))).alias("s"))
+    return t(spark, d, "customer").select("c_custkey", logs.stream_log_escape(F.concat(F.lit("a/"), "c_name", F.lit('";'))).alias("s"))
 
 
 def _streamed(spark, d, loaded):

@@ -301,9 +301,9 @@ def col_update_multi(spark, d):
     return columns.edit(df, columns.Update("o_orderpriority", "replace(o_orderpriority, '-', ',')", ("level", "label")))
 
 
-@query("SELECT n_nationkey, n_regionkey FROM nation")
+@query("SELECT c_custkey, c_nationkey FROM customer")
 def col_remove(spark, d):
-    return columns.edit(t(spark, d, "nation"), columns.Remove("n_name"))
+    return columns.edit(t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), columns.Remove("c_name"))
 
 
 @query("""SELECT p_partkey, string_split(p_name, ' ')[1] AS first, string_split(p_name, ' ')[2] AS second FROM part""")
@@ -312,16 +312,16 @@ def col_split(spark, d):
     return columns.edit(df, columns.Split("p_name", " ", ("first", "second")))
 
 
-@query("""SELECT n_nationkey, upper(n_name) AS shout, CASE WHEN n_regionkey > 1 THEN 'far' ELSE '' END AS where_, n_regionkey
-  FROM nation""")
+@query("""SELECT c_custkey, upper(c_name) AS shout, CASE WHEN c_nationkey > 1 THEN 'far' ELSE '' END AS where_, c_nationkey
+  FROM customer""")
 def col_insert(spark, d):
-    df = t(spark, d, "nation")
+    df = t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey")
     # both expressions see the original name, though it is removed between them
     return columns.edit(
         df,
-        columns.Insert("n_regionkey", "case when n_regionkey > 1 then 'far' end", "where_"),
-        columns.Insert("where_", "upper(n_name)", "shout"),
-        columns.Remove("n_name"),
+        columns.Insert("c_nationkey", "case when c_nationkey > 1 then 'far' end", "where_"),
+        columns.Insert("where_", "upper(c_name)", "shout"),
+        columns.Remove("c_name"),
     )
 
 
@@ -330,11 +330,11 @@ def row_validation(spark, d):
     return columns.row_validation(t(spark, d, "customer"), "not (c_acctbal < 0 and c_mktsegment = 'BUILDING')")
 
 
-@query("""SELECT r_regionkey, CASE WHEN r_regionkey % 2 = 0 THEN 2 ELSE 3 END AS n FROM region""")
+@query("""SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 2 ELSE 3 END AS n FROM supplier""")
 def drop_trailing_delimiter(spark, d):
-    line = F.concat_ws(",", F.col("r_regionkey").cast("string"), "r_name", F.lit(""))
-    fields = columns.drop_trailing_delimiter(F.split(line, ","), F.col("r_regionkey") % 2 == 0)
-    return t(spark, d, "region").select("r_regionkey", F.size(fields).alias("n"))
+    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.lit(""))
+    fields = columns.drop_trailing_delimiter(F.split(line, ","), F.col("s_suppkey") % 2 == 0)
+    return t(spark, d, "supplier").select("s_suppkey", F.size(fields).alias("n"))
 
 
 @query("SELECT s_suppkey, s_name || '/' || '' AS label FROM supplier")
@@ -362,17 +362,17 @@ def column_ranges_complement(spark, d):
     return df.select(*columns.column_ranges_complement(df.columns, "0-1;3;8-"))
 
 
-@query("""SELECT CAST(n_nationkey AS VARCHAR) AS a, CASE WHEN n_nationkey % 2 = 0 THEN n_name END AS b, CAST(NULL AS VARCHAR) AS c
-  FROM nation""")
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS a, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS b, CAST(NULL AS VARCHAR) AS c
+  FROM customer""")
 def normalize_width(spark, d):
-    even = F.col("n_nationkey") % 2 == 0
-    line = F.when(even, F.concat_ws(",", F.col("n_nationkey").cast("string"), "n_name")).otherwise(F.col("n_nationkey").cast("string"))
-    return t(spark, d, "nation").select(line.alias("l")).select(*columns.normalize_width(F.col("l"), ["a", "b", "c"]))
+    even = F.col("c_custkey") % 2 == 0
+    line = F.when(even, F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")).otherwise(F.col("c_custkey").cast("string"))
+    return t(spark, d, "customer").select(line.alias("l")).select(*columns.normalize_width(F.col("l"), ["a", "b", "c"]))
 
 
-@query("SELECT *, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS DOUBLE) AS weight FROM region")
+@query("SELECT *, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS DOUBLE) AS weight FROM supplier")
 def add_fields(spark, d):
-    return columns.add_fields(t(spark, d, "region"), "r_name string, note string, weight double")
+    return columns.add_fields(t(spark, d, "supplier"), "s_name string, note string, weight double")
 
 
 @query("SELECT max(l_tax) AS l_tax, max(l_discount) AS l_discount, count(*) AS n FROM lineitem")
@@ -441,9 +441,9 @@ def distinct_values(spark, d):
     return routing.distinct_values(t(spark, d, "customer"), "c_mktsegment", "c_nationkey")
 
 
-@query("SELECT n_name AS key, CAST(n_nationkey AS VARCHAR) AS value FROM nation")
+@query("SELECT c_name AS key, CAST(c_custkey AS VARCHAR) AS value FROM customer")
 def flip_pairs(spark, d):
-    pairs = t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("value"))
+    pairs = t(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("value"))
     return routing.flip_pairs(pairs)
 
 
@@ -543,12 +543,12 @@ def fn_split_time_range(spark, d):
     return timed(spark, d, "orders", "o_orderdate").select("o_orderkey", F.size(parts).alias("n"), parts[0].alias("first"))
 
 
-@query("SELECT n_nationkey, true AS today, true AS weekday, true AS same_time FROM nation")
+@query("SELECT c_custkey, true AS today, true AS weekday, true AS same_time FROM customer")
 def fn_now_and_today(spark, d):
-    x = F.col("n_nationkey") * 86400 * 3 + 3723
+    x = F.col("c_custkey") % 5000 * 86400 * 3 + 3723
     moved = dates.change_date_to_current(x)
-    return t(spark, d, "nation").select(
-        "n_nationkey",
+    return t(spark, d, "customer").select(
+        "c_custkey",
         (F.substring(dates.now_string(), 1, 10) == F.date_format(F.current_date(), "yyyy-MM-dd")).alias("today"),
         (dates.week_day_yesterday() == F.lower(F.date_format(F.date_sub(F.current_date(), 1), "EEEE"))).alias("weekday"),
         (moved % 86400 == 3723).alias("same_time"),
@@ -587,9 +587,9 @@ def fn_string_between(spark, d):
     )
 
 
-@query("SELECT n_nationkey, 'n=' || n_nationkey || ' name=' || n_name AS s FROM nation")
+@query("SELECT c_custkey, 'n=' || c_custkey || ' name=' || c_name AS s FROM customer")
 def fn_fill_params(spark, d):
-    return t(spark, d, "nation").select("n_nationkey", text.fill_params("n=$n name=$nm", {"n": F.col("n_nationkey"), "nm": F.col("n_name")}).alias("s"))
+    return t(spark, d, "customer").select("c_custkey", text.fill_params("n=$n name=$nm", {"n": F.col("c_custkey"), "nm": F.col("c_name")}).alias("s"))
 
 
 @query("SELECT p_partkey, replace(p_name, ' ', '') AS s FROM part")
@@ -597,11 +597,11 @@ def fn_replace_spaces(spark, d):
     return t(spark, d, "part").select("p_partkey", text.replace_spaces("p_name").alias("s"))
 
 
-@query("SELECT n_regionkey, '/data/' || n_regionkey || '/' AS s FROM nation GROUP BY 1 HAVING count(*) > 1")
+@query("SELECT c_nationkey, '/data/' || c_nationkey || '/' AS s FROM customer GROUP BY 1 HAVING count(*) > 1")
 def fn_common_path(spark, d):
-    path = F.concat(F.lit("/data/"), "n_regionkey", F.lit("/"), "n_name", F.lit("/f"), "n_nationkey")
-    rows = t(spark, d, "nation").groupBy("n_regionkey").agg(text.common_path(path).alias("s"), F.count(F.lit(1)).alias("n"))
-    return rows.filter("n > 1").select("n_regionkey", "s")
+    path = F.concat(F.lit("/data/"), "c_nationkey", F.lit("/"), "c_name", F.lit("/f"), "c_custkey")
+    rows = t(spark, d, "customer").groupBy("c_nationkey").agg(text.common_path(path).alias("s"), F.count(F.lit(1)).alias("n"))
+    return rows.filter("n > 1").select("c_nationkey", "s")
 
 
 @query("SELECT p_partkey, string_split(p_name, ' ')[2] AS s, CAST(NULL AS VARCHAR) AS beyond FROM part")
@@ -620,15 +620,15 @@ def fn_clean_identifier(spark, d):
     return t(spark, d, "part").select("p_partkey", text.clean_identifier(F.concat_ws("-", F.col("p_size").cast("string"), "p_brand")).alias("s"))
 
 
-@query("SELECT n_nationkey, n_name || '-' || upper(substr(n_name, 1, 2)) AS a, position('A' IN n_name) AS b, n_nationkey * 2 + 1 AS c FROM nation")
+@query("SELECT c_custkey, c_name || '-' || upper(substr(c_name, 1, 2)) AS a, position('A' IN c_name) AS b, c_custkey * 2 + 1 AS c FROM customer")
 def fn_expressions(spark, d):
-    df = t(spark, d, "nation").select("n_nationkey", "n_name")
+    df = t(spark, d, "customer").select("c_custkey", "c_name")
     out = columns.edit(
         df,
-        columns.Insert("n_name", "concat(n_name, '-', upper(substr(n_name, 1, 2)))", "a"),
-        columns.Update("n_name", "cast(locate('A', n_name) as string)"),
+        columns.Insert("c_name", "concat(c_name, '-', upper(substr(c_name, 1, 2)))", "a"),
+        columns.Update("c_name", "cast(locate('A', c_name) as string)"),
     )
-    return out.select("n_nationkey", "a", F.col("n_name").cast("int").alias("b"), (F.col("n_nationkey") * 2 + 1).alias("c"))
+    return out.select("c_custkey", "a", F.col("c_name").cast("int").alias("b"), (F.col("c_custkey") * 2 + 1).alias("c"))
 
 
 # user-defined operators
