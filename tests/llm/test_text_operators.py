@@ -10,6 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from weirline.llm import decontam, line_dedup, sharding, simhash
+from weirline.llm.common import attach
 
 LONG = "This line is long enough to be counted as a common one, surely. "
 NASTY = [None, "", " \n\t ", "a", "A b", LONG, "é" * 50, "\x00 x \x1f y", "one two three four five six seven eight nine ten eleven"]
@@ -314,6 +315,44 @@ def test_sharding(spark):
     assert sharding.assign(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_shards_do_not_depend_on_the_cluster(spark):
+    """Nor does the broadcast way of joining hot groups change anything."""
+    rows = [(k, f"text number {k % 1500}" if k % 2 else "a hot text that half of the rows have") for k in range(5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    old, seen = spark.conf.get("spark.sql.shuffle.partitions"), set()
+    try:
+        for n in ("2", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.add(tuple(sorted(map(tuple, sharding.assign(df.repartition(int(n))).select("doc_id", "shard", "slot").collect()))))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(seen) == 1 and len({s for d, s, _ in seen.pop() if d % 2 == 0}) == 1
+
+
+def test_hot_keys_are_joined_by_broadcast(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 3 = 0, -1, id % 900) as k", "id as v")
+    groups = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
+    out = attach(rows, groups, ["k"])
+    assert "Union" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 20_000 and out.filter("k = -1").agg(F.countDistinct("top")).first()[0] == 1
+
+
+def test_near_duplicates_with_a_hot_fingerprint(spark):
+    texts = ["one and the same text in very many rows"] * 2500 + ["", None] * 700 + [f"another text of its own, number {k}" for k in range(50)]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(documents(spark, texts, False)).collect()}
+    assert all(got[k] == 0 for k in range(2500)) and all(got[k] == 2500 for k in range(2500, 3900))
+
+
+def test_near_copies_of_repeated_rows_and_null_ids(spark):
+    """One row's marks for a group, told by id and text; null ids come last."""
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(None, text), (None, text), (7, text + " end"), (7, text + " end"), (9, "apart from the others"), (None, "no id and no copy"), (None, None)]
+    got = simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.component_id == 7 for r in got) == 4
+    kept = sorted(((r.doc_id, r.kept) for r in got), key=str)
+    assert kept == sorted([(None, False), (None, False), (7, True), (7, True), (9, True), (None, True), (None, True)], key=str)
+
+
 def test_a_group_above_its_share_stands_alone(spark):
     texts = ["big" * 1000] * 10 + [f"t{k}" * 20 for k in range(200)]
     sizes = defaultdict(set)

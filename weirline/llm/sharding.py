@@ -2,8 +2,9 @@
 
 Groups larger than a unit (a small share of a shard) number a few thousand at most, whatever the
 corpus: their sizes add up to it. They are packed on the driver. All smaller groups are first packed
-into units, by best fit decreasing within each task, and the units then join the large groups. Bins
-lie in a balanced tree by remaining capacity, so the tightest that fits is found in logarithmic time.
+into units, by best fit decreasing within each of PACKS parts of their hashes, and the units then join the
+large groups. Neither depends on the cluster, so its size moves no document. Bins lie in a balanced
+tree by remaining capacity, so the tightest that fits is found in logarithmic time.
 """
 
 from __future__ import annotations
@@ -12,12 +13,14 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import attach, saved
 
-#: Units in a shard; what is packed on the driver is at most about twice this for each shard and one for each task.
-UNITS = 256
+#: Units in a shard, and parts in which small groups are packed; the driver packs at most about twice UNITS for each shard and
+#: one unit for each part.
+UNITS, PACKS = 256, 1024
 
 
 class Bins:
@@ -100,20 +103,21 @@ def pack(units: list[tuple[int, object]], shards: int) -> dict:
 
 
 def _unit_packer(capacity: int):
-    """Packs each task's small groups, which come by decreasing size, into units."""
+    """Packs each part's small groups into units. Groups come by part and decreasing size."""
 
     def run(batches):
-        bins, opened, task = Bins(), 0, None
+        bins, opened, own = Bins(), 0, None
         for b in batches:
             out = []
-            task = b.column(4)[0].as_py() if task is None and len(b) else task
-            for size in b.column(2).to_pylist():
+            for size, part in zip(b.column(2).to_pylist(), b.column(4).to_pylist()):
+                if part != own:
+                    bins, opened, own = Bins(), 0, part
                 found = bins.take(size)
                 if found is None:
                     found, opened = (capacity, opened), opened + 1
                 if found[0] > size:
                     bins.put(found[0] - size, found[1])
-                out.append(f"{task}-{found[1]}")
+                out.append(f"{part}-{found[1]}")
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), b.column(2), b.column(3), pa.array(out, pa.string())],
                 names=["h1", "h2", "bytes", "n", "unit"],
@@ -146,13 +150,13 @@ def assign(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col:
     large = groups.filter(F.col("bytes") > capacity).withColumn("unit", F.concat_ws("_", "h1", "h2"))
     small = (
         groups.filter(F.col("bytes") <= capacity)
-        .repartition("h1")
-        .sortWithinPartitions(F.desc("bytes"), "h1", "h2")
-        .withColumn("task", F.spark_partition_id())
+        .withColumn("part", F.pmod("h1", F.lit(PACKS)))
+        .repartition("part")
+        .sortWithinPartitions("part", F.desc("bytes"), "h1", "h2")
         .mapInArrow(_unit_packer(capacity), "h1 long, h2 long, bytes long, n long, unit string")
     )
     packed = saved(large.unionByName(small), "units")
-    # at most shards * UNITS * 2 units over half full, and one more for each task
+    # at most shards * UNITS * 2 units over half full, and one more for each part
     units = [(r[1], r[0]) for r in packed.groupBy("unit").agg(F.sum("bytes")).collect()]
     place = docs.sparkSession.createDataFrame(list(pack(units, shards).items()), "unit string, shard int")
     placed = saved(packed.join(F.broadcast(place), "unit").select("h1", "h2", "n", "shard"), "placed")
@@ -171,14 +175,10 @@ def number(dealt: DataFrame) -> DataFrame:
         .withColumn("at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
         "slots",
     )
+    # one row for each shard and partition
     counts = spread.groupBy("shard", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    # one row for each shard and partition; the sum over earlier partitions by a join of these few rows
-    c = counts.alias("c").join(
-        counts.select("shard", F.col("part").alias("p2"), F.col("n").alias("n2")).alias("d"),
-        (F.col("c.shard") == F.col("d.shard")) & (F.col("p2") < F.col("c.part")),
-        "left",
-    )
-    offsets = c.groupBy("c.shard", "c.part", "first").agg(F.coalesce(F.sum("n2"), F.lit(0)).alias("before"))
+    before = F.sum("n").over(W.partitionBy("shard").orderBy("part")) - F.col("n")
+    offsets = counts.select("shard", "part", "first", before.alias("before"))
     return (
         spread.join(F.broadcast(offsets), ["shard", "part"])
         .withColumn("slot", (F.col("before") + F.col("at") - F.col("first")).cast("long"))
