@@ -212,20 +212,25 @@ def test_pipeline_stages(spark, tmp_path):
     item = " ".join(rng.choice(words, 14))
     texts |= {50: texts[20], 51: texts[21].replace("lorem", "lorem", 1), 60: f"{texts[22][:200]} {item}", 70: "@@## %%^^ QQ!! " * 30}
     rows = [(k, t, "la", "s", len(t)) for k, t in texts.items()] + [(80, None, "la", "s", None), (81, "", None, None, 0)]
+    rows += [rows[20], (None, f"{texts[23][:200]} {item} {texts[24][:90]}", "la", "s", None), (None, "@@## %%^^ QQ!! " * 30, "la", "s", 450)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     sf = f"file://{tmp_path}"
     docs.write.parquet(f"{sf}/documents.parquet")
     spark.createDataFrame([(k, 1, 0) for k in range(40)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
     kept = corpus_pipeline.keep_quality(spark, docs, sf)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(texts) - {70} | {80, 81}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(texts) - {70} | {80, 81, None}
+    assert kept.filter("doc_id is null").count() == 1
     lines = {r.doc_id: r.text for r in corpus_pipeline.drop_common_lines(spark, docs, sf).collect()}
     assert [line in (lines[k] or "") for k in range(6)] == [False] * 5 + [True] and lines[30] == texts[30] and lines[80] is None
-    copies = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()}
+    copies = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf).collect()]
+    assert copies.count(20) == 1
+    copies = set(copies)
     assert {50, 51, 81} & copies == set() and set(range(40)) <= copies
     clean = {r.doc_id for r in corpus_pipeline.drop_contaminated(spark, docs, sf).collect()}
     assert 60 not in clean and set(range(40)) <= clean
+    assert corpus_pipeline.drop_contaminated(spark, docs, sf).filter("doc_id is null").count() == 1
     out = corpus_pipeline.run(spark, sf)
-    assert {r.doc_id for r in out.collect()} == set(range(40)) | {80} and out.filter("not lossless").count() == 0
+    assert sorted(r.doc_id for r in out.collect()) == [*range(40), 80] and out.filter("not lossless").count() == 0
     empty = docs.limit(0)
     assert all(f(spark, empty, sf).count() == 0 for _, f in corpus_pipeline.STAGES)
