@@ -49,6 +49,18 @@ def deleted(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+#: Bytes of a batch that goes to a Python worker at a time; documents are long, so Spark's own limit makes workers and executors large.
+BATCH_BYTES, SPARKS_OWN = 2 << 20, str(64 << 20)
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session's Arrow batches bounded to BATCH_BYTES where the session has Spark's own limit."""
+    key, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
+    if spark.conf.get(key).rstrip("b") == SPARKS_OWN:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def ascii_lower(c):
     """A-Z lower-cased, nothing else. lower() does the same, and faster, where all is ASCII."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved
+from .common import BROADCAST_BYTES, bounded_batches, saved
 
 #: Bytes that stay in words: digits, letters in lower case and all that is not ASCII.
 WORD_BYTES = bytes(
@@ -192,7 +192,7 @@ def scan(
                 names=NAMES,
             )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return bounded_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
 
 
 SPANS_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -274,7 +274,7 @@ def _scan_by_join(docs: DataFrame, bench: DataFrame, n: int, id_col: str, text_c
                     rows[text], none, none, at - words.at[text], [size] * len(at), hashes.view(np.int64), [words.window(k, size) for k in at.tolist()]
                 )
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     table = saved(plain.mapInArrow(run, "row long, doc_id long, n_words long, pos long, size int, h long, words binary"), "windows_met")
     found = table.filter("pos is not null").select("row", "pos", "size", "h", "words").join(windows, ["size", "h", "words"])
     per_row = found.groupBy("row").agg(

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, saved
+from .common import BROADCAST_BYTES, bounded_batches, saved
 
 ORDER = 5
 BITS, IN_LO = 21, 3  # bits of a code point, and code points in lo
@@ -241,7 +241,7 @@ def perplexities(
     marks = trusted_ids.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_t")).distinct()
     if 8 * marks.count() <= broadcast_bytes:
         marks = F.broadcast(marks)
-    plain = docs.select(
+    plain = bounded_batches(docs).select(
         F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
     )
