@@ -24,6 +24,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ BLOCK = 1 << 22  # ids in a block
 STRETCHES, LEAST_STEPS = 4096, 1024  # stretches of a block, and ids that each has at least in a large one
 CHUNK_IDS = 1 << 23  # ids after which a chunk ends with its document
 SLOTS = 20  # bits of order 2's table
-RENEW = 16  # steps between renewals of the probabilities, fewer in the first of them
+RENEW = 32  # steps between renewals of the probabilities, fewer in the first of them
 GAIN, TOTAL = 24, 1 << 21  # what an id adds to order 0's counts, and the total at which they are halved
 #: An id of order 0 falls into a class by how many of these powers of 1/2 its share exceeds.
 SHARES = (15, 13, 11, 9, 8, 7, 6)
@@ -70,7 +71,7 @@ class Model:
         self.one, self.two = np.zeros(stretches, np.int32), np.zeros(stretches, np.int32)
         self.seen = np.zeros((3, STATES), np.int64)
         self.weights = [160, 130, 60, 0]
-        self.cases = np.zeros((RENEW, stretches), np.int32)
+        self.cases = np.zeros((RENEW, stretches), np.intp)
         self.others: list[np.ndarray] = []
         self._renew()
 
@@ -122,7 +123,7 @@ class Model:
         x, y = self.tables[1].take(self.at), self.tables[0].take(self.own)
         self.a, self.b, self.trust = x >> 4, y >> 4, (x & 15, y & 15)
         agree = self.a == self.b
-        self.state = (((self.trust[0] << 4) | self.trust[1]) << 1 | agree) << 3 | self.share.take(self.a)
+        self.state = ((((self.trust[0] << 4) | self.trust[1]) << 1 | agree) << 3 | self.share.take(self.a)).astype(np.intp)
 
     def update(self, ids: np.ndarray, cases: np.ndarray, others: np.ndarray):
         self.cases[self.t % RENEW] = cases
@@ -238,10 +239,10 @@ def _encode_block(ids: np.ndarray) -> bytes:
     for now in np.ascontiguousarray(rows.reshape(stretches, -1).T):
         model.predict()
         hit, second = model.a == now, model.b == now
-        cases = model.state + np.where(hit, 0, np.where(second, STATES, 2 * STATES)).astype(np.int32)
+        cases = model.state + np.where(hit, 0, np.where(second, STATES, 2 * STATES))
         coder.put_all(model.start.take(cases), model.freq.take(cases))
         others = np.flatnonzero(~(hit | second))
-        values = now[others]
+        values = now[others].astype(np.intp)
         if len(others):
             first = model.sums.take(values)
             coder.put(others, first, model.sums.take(values + 1) - first, model.total)
@@ -262,7 +263,7 @@ def _decode_block(head, known: bytes, sizes: bytes, words: np.ndarray) -> np.nda
         model.predict()
         slots = coder.slots_all()
         miss, other = slots >= model.first.take(model.state), slots >= model.both.take(model.state)
-        cases = model.state + (miss.astype(np.int32) + other) * np.int32(STATES)
+        cases = model.state + (miss.astype(np.intp) + other) * STATES
         coder.take_all(model.start.take(cases), model.freq.take(cases))
         now = np.where(miss, model.b, model.a)
         values = others = np.flatnonzero(other)
@@ -302,11 +303,15 @@ def decode_ids(raw: bytes) -> np.ndarray:
 
 
 #: Pieces of words of which a task keeps the ids; as many again from before.
-HELD = 400_000
+HELD = 600_000
 #: Text that this module cuts itself has none of these, only white space, printable ASCII and the letters of Latin-1, and no special token.
 ODD = re.compile("[^\t-\r -~\xc0-\xd6\xd8-\xf6\xf8-\xff]")
 #: How the vocabulary's own pattern cuts such text once it is in lower case.
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\\sa-z0-9\xdf-\xf6\xf8-\xff]+")
+#: Bytes of texts that are put to the tokenizer at a time.
+GATHERED_BYTES = 12 << 20
+#: Different words after which pieces that are held are counted.
+WORDS = 10_000
 _LOADED: dict = {}
 
 
@@ -347,7 +352,10 @@ class Tokenizer:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.library = Library.from_file(path)
-        self.model, self.bytes = self.library.model, ByteLevel(add_prefix_space=False, use_regex=False)
+        by_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # letters beyond ASCII as the model takes them, byte by byte
+        self.bytes = {c: by_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.model = self.library.model
         self.pieces, self.plain = Recent(self._piece), True
         sample = "It's we'll 'tis A1B22 x.y,z!? \xc9t\xe9\xdf \xd6L  don'ta\n--''-- \xfcber[3]{4}_5"
         self.plain = self._plain(sample) == self._ids(sample)
@@ -357,27 +365,45 @@ class Tokenizer:
 
     def _piece(self, piece: str) -> bytes:
         if not piece.isascii():
-            piece = self.bytes.pre_tokenize_str(piece)[0][0]
+            piece = piece.translate(self.bytes)
         ids = [t.id for t in self.model.tokenize(piece)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, PIECES.findall(text.lower())))
 
-    def _text(self, text: str) -> bytes:
+    def _other(self, text: str) -> bytes:
+        """A text that isn't plain as a whole."""
         if not self.plain or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self._ids(text)
-        if _is_plain(text):
-            return self._plain(text)
         return b"".join([self._plain(w) if _is_plain(w) else self._ids(w) for w in text.split()])
 
+    def _plain_texts(self, texts: list) -> list[bytes]:
+        """Ids of plain texts: Arrow lower-cases them, cuts them at white space and numbers their words, so each different word is
+        cut once, and one of letters alone not at all."""
+        cut = pc.ascii_split_whitespace(pc.utf8_lower(pa.array(texts, pa.large_string())))
+        words = cut.flatten().dictionary_encode()
+        get, pieces, each, distinct = self.pieces.__getitem__, PIECES.findall, [], words.dictionary
+        for at in range(0, len(distinct), WORDS):
+            some = distinct.slice(at, WORDS).to_numpy(zero_copy_only=False).tolist()
+            each += [get(w) if w.isalpha() else b"".join(map(get, pieces(w))) for w in some]
+            self.pieces.trim()
+        flat = np.frombuffer(b"".join(each), "<u4")
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) >> 2
+        code = words.indices.to_numpy().astype(np.intp)
+        n = sizes.take(code)
+        ends = np.concatenate(([0], np.cumsum(n)))
+        # every word's ids, one after another; so many texts have fewer than 2**31
+        shift = ((np.cumsum(sizes) - sizes).take(code) - ends[:-1]).astype(np.int32)
+        ids = flat[np.repeat(shift, n) + np.arange(ends[-1], dtype=np.int32)]
+        at = ends.take(cut.offsets.to_numpy()).tolist()
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+
     def encode(self, texts: list, end: int) -> list[bytes]:
         """Ids of each text and the end id, as little-endian 32-bit integers."""
-        tail, out = struct.pack("<I", end), []
-        for text in texts:
-            out.append(self._text(text) + tail if text else tail)
-            self.pieces.trim()
-        return out
+        tail, plain = struct.pack("<I", end), [bool(t) and self.plain and _is_plain(t) for t in texts]
+        whole = iter(self._plain_texts([t for t, p in zip(texts, plain) if p]))
+        return [(next(whole) if p else self._other(t) if t else b"") + tail for t, p in zip(texts, plain)]
 
 
 def tokenizer(path: str) -> Tokenizer:
@@ -386,6 +412,20 @@ def tokenizer(path: str) -> Tokenizer:
     return _LOADED[path]
 
 
+def _gathered(batches):
+    """Batches together up to some bytes: the more text, the more often a word has been met in it."""
+    held, size = [], 0
+    for b in batches:
+        if len(b):
+            held.append(b)
+            size += b.nbytes
+        if size >= GATHERED_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 FILE = "part int, chunk int, n_ids long, doc_ids array<long>, counts array<long>, blocks binary"
 
 
@@ -416,17 +456,15 @@ def write(
                 names=["part", "chunk", "n_ids", "doc_ids", "counts", "blocks"],
             )
 
-        for b in batches:
-            for at in range(0, len(b), 500):
-                piece = b.slice(at, 500)
-                part = piece.column(2)[0].as_py()
-                for i, x in zip(piece.column(0).to_pylist(), known.encode(piece.column(1).to_pylist(), end_id)):
-                    ids.append(i)
-                    raw.append(x)
-                    held += len(x) // 4
-                    if held >= CHUNK_IDS:
-                        yield row()
-                        ids, raw, held, chunk = [], [], 0, chunk + 1
+        for table in _gathered(batches):
+            part = table.column(2)[0].as_py()
+            for i, x in zip(table.column(0).to_pylist(), known.encode(table.column(1).to_pylist(), end_id)):
+                ids.append(i)
+                raw.append(x)
+                held += len(x) // 4
+                if held >= CHUNK_IDS:
+                    yield row()
+                    ids, raw, held, chunk = [], [], 0, chunk + 1
         if raw:
             yield row()
 
