@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import (
     decontam,
     line_dedup,
+    packing,
     pii,
     quality,
     secret_scan,
@@ -100,6 +101,11 @@ def op10_token_files(spark, sf_dir, tokenizer=None):
     return token_files.placed(files, token_files.digests(files)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_packing(spark, sf_dir, tokenizer=None):
+    """Each piece's sequence of at most 2048 ids and its place there."""
+    return packing.pack(_t(spark, sf_dir, "documents"), tokenizer or vocabulary("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -153,6 +159,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_token_files": op10_token_files,
+    "op11_packing": op11_packing,
 }
 
 ORACLE_SQL = {
