@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversations,
     decontam,
     line_dedup,
     packing,
@@ -106,6 +107,11 @@ def op11_packing(spark, sf_dir, tokenizer=None):
     return packing.pack(_t(spark, sf_dir, "documents"), tokenizer or vocabulary("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op13_conversations(spark, sf_dir):
+    """Each damaged conversation's faults, cheapest edits and the digest of what they make of it."""
+    return conversations.repair(conversations.damage(_t(spark, sf_dir, "conversations")))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -148,6 +154,64 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 20
 """
 
+#: The CRC-32 of a key bit by bit; then costs from the end on, a row at a time, and edits from the begin on.
+OP13_SQL = r"""
+WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+cases AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    range(1, len(key) + 1), lambda i: [CAST(ascii(key[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+    lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295) % 20 AS k FROM keyed),
+damaged AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE k WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM cases WHERE k <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+    count(*) OVER (PARTITION BY conv_id) AS n, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+told AS (SELECT *, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS again,
+    right(body, 1) NOT IN ('.', '!', '?') AS cut, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS j
+  FROM placed),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+    count(*) FILTER (j IS NOT NULL AND j || i NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY conv_id),
+turns AS (SELECT conv_id, pos, n, role, text, i, CASE WHEN blank OR again THEN NULL WHEN cut THEN 5 ELSE 0 END AS stay FROM told),
+-- b0 to b3: costs to the end where the repaired rows end in nothing, s, u, a
+back AS (SELECT conv_id, n + 1 AS pos, 0 AS b0, 10 AS b1, 5 AS b2, 0 AS b3 FROM turns WHERE pos = n
+  UNION ALL SELECT conv_id, pos, least(d0, 5 + d2, 10 + d3), least(d1, 5 + d2, 10 + d3), least(d2, 5 + d3), least(d3, 5 + d2) FROM (
+    SELECT t.conv_id, t.pos,
+      least(2 + b0, stay + 1 + b2, CASE i WHEN 's' THEN stay + b1 WHEN 'u' THEN stay + b2 END) AS d0,
+      least(2 + b1, stay + 1 + b2, CASE i WHEN 'u' THEN stay + b2 END) AS d1,
+      least(2 + b2, stay + 1 + b3, CASE i WHEN 'a' THEN stay + b3 END) AS d2,
+      least(2 + b3, stay + 1 + b2, CASE i WHEN 'u' THEN stay + b2 END) AS d3
+    FROM back JOIN turns t ON back.conv_id IS NOT DISTINCT FROM t.conv_id AND t.pos = back.pos - 1)),
+costs AS (SELECT conv_id, pos, unnest([0, 1, 2, 3]) AS q, unnest([b0, b1, b2, b3]) AS b FROM back),
+ways AS (  -- each state's next edits, of which the cheapest and then the least is taken
+  SELECT conv_id, pos, q, arg_min(struct_pack(e := edit, p := to_pos, q := to_q, line := line), (cost, edit)) AS way FROM (
+    SELECT c.conv_id, c.pos, c.q, edit, to_pos, to_q, line, step + f.b AS cost FROM (
+      SELECT c.*, 'I' AS edit, c.pos AS to_pos, CASE c.q WHEN 2 THEN 3 ELSE 2 END AS to_q, 5 AS step,
+        CASE c.q WHEN 2 THEN 'assistant:' ELSE 'user:' END AS line FROM costs c
+      UNION ALL SELECT c.*, 'D', c.pos + 1, c.q, 2, NULL FROM costs c JOIN turns t ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND c.pos = t.pos
+      UNION ALL SELECT c.*, 'R', c.pos + 1, CASE c.q WHEN 2 THEN 3 ELSE 2 END, 1 + stay,
+        CASE c.q WHEN 2 THEN 'assistant:' ELSE 'user:' END || text
+        FROM costs c JOIN turns t ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND c.pos = t.pos WHERE stay IS NOT NULL
+      UNION ALL SELECT c.*, 'K', c.pos + 1, CASE i WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, stay, role || ':' || text
+        FROM costs c JOIN turns t ON c.conv_id IS NOT DISTINCT FROM t.conv_id AND c.pos = t.pos
+        WHERE stay IS NOT NULL AND (i = 'u' AND c.q <> 2 OR i = 'a' AND c.q = 2 OR i = 's' AND c.q = 0)) c
+    JOIN costs f ON c.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = to_pos AND f.q = to_q
+    WHERE step + f.b = c.b) GROUP BY conv_id, pos, q),
+walk AS (SELECT conv_id, 1 AS pos, 0 AS q, '' AS audit, CAST(NULL AS VARCHAR) AS body FROM turns WHERE pos = 1
+  UNION ALL SELECT w.conv_id, way.p, way.q, audit || way.e,
+    CASE WHEN way.line IS NULL THEN body WHEN body IS NULL THEN way.line ELSE body || chr(10) || way.line END
+  FROM walk w JOIN ways USING (pos, q) WHERE w.conv_id IS NOT DISTINCT FROM ways.conv_id),
+done AS (SELECT w.conv_id, audit, body, b.b0 AS cost FROM walk w JOIN back f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.pos = f.pos
+  JOIN back b ON w.conv_id IS NOT DISTINCT FROM b.conv_id AND b.pos = 1
+  WHERE w.q IN (0, 3) AND NOT EXISTS (SELECT 1 FROM turns t WHERE t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.pos = w.pos))
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN facts f ON c.conv_id IS NOT DISTINCT FROM f.conv_id
+LEFT JOIN done d ON c.conv_id IS NOT DISTINCT FROM d.conv_id
+"""
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_sentence_pieces": op2_sentence_pieces,
@@ -160,10 +224,12 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_token_files": op10_token_files,
     "op11_packing": op11_packing,
+    "op13_conversations": op13_conversations,
 }
 
 ORACLE_SQL = {
     "op1_decontamination": OP1_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_exact_top_k": OP7_SQL,
+    "op13_conversations": OP13_SQL,
 }
