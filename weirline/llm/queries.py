@@ -10,6 +10,7 @@ from . import (
     decontam,
     line_dedup,
     packing,
+    phrases,
     pii,
     quality,
     secret_scan,
@@ -107,6 +108,11 @@ def op11_packing(spark, sf_dir, tokenizer=None):
     return packing.pack(_t(spark, sf_dir, "documents"), tokenizer or vocabulary("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op12_phrases(spark, sf_dir):
+    """Each language's first 2000 phrases that occur at least 100 times."""
+    return phrases.collocations(_t(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 def op13_conversations(spark, sf_dir):
     """Each damaged conversation's faults, cheapest edits and the digest of what they make of it."""
     return conversations.repair(conversations.damage(_t(spark, sf_dir, "conversations")))
@@ -154,6 +160,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 20
 """
 
+OP12_SQL = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+size AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM split GROUP BY lang),
+counts AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k))
+  GROUP BY ALL HAVING count(*) >= 100),
+cand AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k >= 2),
+covered AS (SELECT DISTINCT c.lang, c.phrase FROM cand c JOIN (
+    SELECT lang, f, array_to_string(w[i:i + j - 1], ' ') AS phrase FROM (
+      SELECT *, unnest(range(1, k - j + 2)) AS i FROM cand, (SELECT unnest([2, 3, 4]) AS j) WHERE j < k)) o
+  ON c.lang = o.lang AND c.phrase = o.phrase AND 100 * o.f >= 100 * c.f),
+cuts AS (SELECT c.lang, c.phrase, c.f AS a, n, cut, l.f AS l, r.f AS r, 1000 * c.f * n // (l.f * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c JOIN size USING (lang)
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:], ' ')
+  WHERE NOT EXISTS (SELECT 1 FROM covered v WHERE v.lang = c.lang AND v.phrase = c.phrase)),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best) WHERE rank <= 2000
+"""
+
 #: The CRC-32 of a key bit by bit; then costs from the end on, a row at a time, and edits from the begin on.
 OP13_SQL = r"""
 WITH RECURSIVE keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
@@ -224,6 +255,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_token_files": op10_token_files,
     "op11_packing": op11_packing,
+    "op12_phrases": op12_phrases,
     "op13_conversations": op13_conversations,
 }
 
@@ -231,5 +263,6 @@ ORACLE_SQL = {
     "op1_decontamination": OP1_SQL,
     "op6_line_dedup": OP6_SQL,
     "op7_exact_top_k": OP7_SQL,
+    "op12_phrases": OP12_SQL,
     "op13_conversations": OP13_SQL,
 }
