@@ -297,3 +297,17 @@ def test_viterbi_is_the_best_path(spark):
             return sum(e[t, y] for t, y in enumerate(path)) + sum(crf.moves[a, b] for a, b in zip(path, path[1:]))
 
         assert score(got) == pytest.approx(max(map(score, product(range(5), repeat=len(e)))))
+
+
+def test_digits_that_are_not_ascii_are_no_addresses(spark):
+    texts = [
+        "from 10.2.3.² port 443", "1.2.3.² and 192.168.1.1³²", "call +49 ① ② 3456789 or +٤٩ ٣٠ ١٢٣٤٥٦٧٨", "card ４０００ ００００ ００００ ０００２ and 4000 0000 0000 000²",
+        "ip 10.2.3." + "0" * 5000 + "7 or 1.2.3." + "9" * 5000, "mail x²@example.org, server ١.٢.٣.٤", "10.1.2.3²",
+    ]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).collect()}
+    for k, text in enumerate(texts):
+        base = sorted(pii.base_spans(text), key=lambda s: (pii.KINDS.index(s[0]), s[1], s[2]))
+        assert got[k].base_sha256 == hashlib.sha256(",".join(f"{a}:{b}:{c}" for a, b, c in base).encode()).hexdigest()
+    for found in ("10.2.3.²", "1.2.3.٤", "", "a.b.c.d", "1.2.3.0256", "1.2.3.12345"):
+        assert not pii._holds("ip", found)
+    assert pii._holds("ip", "1.2.3." + "0" * 5000 + "7") and (got[6].n_ip, got[0].n_ip) == (1, 0)

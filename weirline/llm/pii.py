@@ -78,7 +78,7 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
 
 def shape(word: str) -> str:
     """The word with letters as x or X, digits as 9, runs of the same cut to four; other characters stay."""
-    kinds = re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", word[:64])
+    kinds = re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", word)
     return re.sub(r"(.)\1{3,}", r"\1\1\1\1", re.sub(r"[0-9]", "9", kinds))
 
 
@@ -278,6 +278,10 @@ def labelled_table(spark: SparkSession, rows: int = 100, seed: int = 7) -> DataF
     return spark.createDataFrame(out, "words array<string>, labels array<int>")
 
 
+#: A part of an address: ASCII digits, of which four at most count. Other digits, such as superscripts, are none.
+PART = re.compile("0*[0-9]{1,4}")
+
+
 def _holds(kind: str, found: str) -> bool:
     """Whether what the CRF found can be of its kind at all."""
     d = DIGITS.sub("", found)
@@ -287,7 +291,8 @@ def _holds(kind: str, found: str) -> bool:
         return 7 <= len(d) <= 15
     if kind == "email":
         return 0 < found.find("@") < len(found) - 1
-    return len(found.split(".")) == 4 and all(p.isdigit() and int(p[-4:]) <= 255 for p in found.split("."))
+    parts = found.split(".")
+    return len(parts) == 4 and all(PART.fullmatch(p) and int(p[-4:]) <= 255 for p in parts)
 
 
 MARKS = "\"'.,;:!?[]{}<>|*#$%&"
@@ -329,12 +334,15 @@ def find(
 
     The counts and the digest are of the base patterns; ``spans`` holds those and what the CRF adds
     where no base span lies, as kind:start:end in code points by kind and start. The CRF is fitted on at
-    most ``most_labelled`` rows of ``labelled`` (words, labels). Null and empty texts have no
+    most ``most_labelled`` rows of ``labelled`` (words, labels), of more the first by a hash. Null and empty texts have no
     spans. Rows that repeat an id are read one by one; other columns are not read. An empty table
     gives no rows.
     """
     labelled = labelled_table(docs.sparkSession) if labelled is None else labelled
-    rows = [(list(r[0]), list(r[1])) for r in labelled.select("words", "labels").limit(most_labelled).collect()]
+    some = labelled.select("words", "labels")
+    if len(some.take(most_labelled + 1)) > most_labelled:  # the same ones each time
+        some = some.orderBy(F.xxhash64("words"), "words", "labels").limit(most_labelled)
+    rows = [(list(r[0]), list(r[1])) for r in some.collect()]
     held = docs.sparkSession.sparkContext.broadcast(train([r for r in rows if r[0]]))
 
     def run(batches):
