@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import json
+import os
 import re
+import uuid
+from datetime import datetime, timezone
 from xml.parsers import expat
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,28 +19,133 @@ from pyspark.sql import types as T
 from ..functions.text import clean_identifier, identifier
 
 
+class Conflict(Exception):
+    """Another job has changed the table since this one read it."""
+
+
 class Registry:
-    """Table schemas, each in a JSON text of its own in a folder, read when asked for."""
+    """Table schemas and how they came about: for each table a folder of numbered versions, the last of which holds.
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder, self.read = spark, folder.rstrip("/"), {}
+    A version is a JSON text: the schema, the time, the changes from the version before, and what else its writer keeps in
+    ``facts``. Versions are never overwritten: a version is published by a rename that fails where it exists already, so
+    of two jobs that change one table at once, one gets a Conflict.
+    """
 
-    def put(self, table: str, schema: T.StructType) -> None:
-        frame = self.spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-        frame.write.mode("overwrite").text(f"{self.folder}/{identifier(table)}")
-        self.read[table] = schema
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder.rstrip("/")
+
+    def _path(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def version(self, table: str) -> int:
+        """The number of the last version, 0 where there is none."""
+        path, fs = self._path(f"{self.folder}/{identifier(table)}")
+        if not fs.exists(path):
+            return 0
+        numbers = [re.fullmatch(r"v(\d+)\.json", s.getPath().getName()) for s in fs.listStatus(path)]
+        return max((int(n[1]) for n in numbers if n), default=0)
+
+    def entry(self, table: str, version: int | None = None) -> dict:
+        """A version's JSON (the last one's); KeyError where there is none."""
+        version = self.version(table) if version is None else version
+        if not version:
+            raise KeyError(f"no schema of {table!r}")
+        path, fs = self._path(self._file(table, version))
+        raw = self.spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(path), "UTF-8")
+        return json.loads(raw)
+
+    def _file(self, table: str, version: int) -> str:
+        return f"{self.folder}/{identifier(table)}/v{version:012d}.json"
+
+    def put(self, table: str, schema: T.StructType, expected: int | None = None, changes: list[dict] = (), **facts) -> int:
+        """A new version after ``expected``, or after whichever is the last; its number. ``changes`` have op, column and type."""
+        while True:
+            version = (self.version(table) if expected is None else expected) + 1
+            at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+            body = {"table": table, "version": version, "at": at, "schema": schema.jsonValue(), "changes": list(changes), "facts": facts}
+            if self._published(self._file(table, version), json.dumps(body)):
+                return version
+            if expected is not None:
+                raise Conflict(f"{table!r} has a version {version} already")
+
+    def _published(self, name: str, text: str) -> bool:
+        target, fs = self._path(name)
+        own, _ = self._path(f"{target.getParent()}/.{uuid.uuid4().hex}")
+        fs.mkdirs(target.getParent())
+        out = fs.create(own)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if own.toUri().getScheme() in (None, "file"):  # a local rename would replace the other's version, a link can't
+                os.link(own.toUri().getPath(), target.toUri().getPath())
+                return True
+            jvm = self.spark._jvm
+            options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(own, target, options)
+            return True
+        except (FileExistsError, Py4JJavaError) as failed:
+            if isinstance(failed, Py4JJavaError) and not fs.exists(target):
+                raise
+            return False
+        finally:
+            fs.delete(own, False)
 
     def get(self, table: str) -> T.StructType:
-        if table not in self.read:
-            text = self.spark.read.text(f"{self.folder}/{identifier(table)}", wholetext=True).first()[0]
-            self.read[table] = T.StructType.fromJson(json.loads(text))
-        return self.read[table]
+        return T.StructType.fromJson(self.entry(table)["schema"])
 
     def find(self, table: str) -> T.StructType | None:
         """The table's schema, or None where there is none yet."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{identifier(table)}")
-        there = table in self.read or path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-        return self.get(table) if there else None
+        version = self.version(table)
+        return T.StructType.fromJson(self.entry(table, version)["schema"]) if version else None
+
+    def grow(self, table: str, seen: T.StructType) -> T.StructType:
+        """The table's schema with the attributes of ``seen`` that it lacked, also where other jobs add theirs at the same time."""
+        while True:
+            version = self.version(table)
+            known = T.StructType.fromJson(self.entry(table, version)["schema"]) if version else T.StructType([])
+            grown, new = evolve_add_columns(known, seen)
+            if version and not new:
+                return known
+            changes = [{"op": ADD, "column": f.name, "type": f.dataType.simpleString()} for f in new] if version else []
+            try:
+                self.put(table, grown, version, changes)
+                return grown
+            except Conflict:
+                continue
+
+    def statements(self) -> DataFrame:
+        """(at, tablename, version, n, op, column, type, statement) of every change of every table, unordered."""
+        kind = "table string, version long, at string, changes array<struct<op: string, column: string, type: string>>"
+        rows = self.spark.read.text(f"{self.folder}/*/v*.json", wholetext=True).select(F.from_json("value", kind).alias("j")).select("j.*")
+        rows = rows.select(F.to_timestamp("at").alias("at"), F.col("table").alias("tablename"), "version", F.posexplode("changes").alias("n", "c"))
+        name = lambda c: F.concat(F.lit("`"), F.replace(c, F.lit("`"), F.lit("``")), F.lit("`"))
+        table, column = F.concat(F.lit("ALTER TABLE "), name(F.col("tablename"))), name(F.col("column"))
+        add = F.concat(table, F.lit(" ADD COLUMNS ("), column, F.lit(" "), "type", F.lit(")"))
+        retype = F.concat(table, F.lit(" ALTER COLUMN "), column, F.lit(" TYPE "), "type")
+        made = rows.select("at", "tablename", "version", "n", "c.*")
+        return made.withColumn("statement", F.when(F.col("op") == ADD, add).otherwise(retype))
+
+
+ADD, RETYPE = "add", "retype"
+
+
+def sort_statements(statements: DataFrame) -> DataFrame:
+    """Schema changes in the order in which they were made: by time, those of one time by table and version."""
+    return statements.orderBy("at", "tablename", "version", "n")
+
+
+def changed_schema(schema: T.StructType, statements) -> T.StructType:
+    """The schema after changes (rows with op, column, type) in order. One that has been made already changes nothing."""
+    fields = {f.name.lower(): f for f in schema}
+    for s in statements:
+        kind = T.StructType.fromDDL(f"c {s['type']}")[0].dataType
+        key = s["column"].lower()
+        if s["op"] == RETYPE and key in fields:
+            fields[key] = T.StructField(fields[key].name, kind)
+        elif s["op"] == ADD and key not in fields:
+            fields[key] = T.StructField(s["column"], kind)
+    return T.StructType(list(fields.values()))
 
 
 def infer_field_types(df: DataFrame, timestamps: bool = True) -> DataFrame:
@@ -73,30 +182,25 @@ def evolve_add_columns(schema: T.StructType, seen: T.StructType) -> tuple[T.Stru
     return T.StructType([*schema, *new]), new
 
 
+def _named(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def evolve_retype(df: DataFrame, schema: T.StructType) -> tuple[T.StructType, list[str]]:
     """Number columns in which the data carries text become text; the schema and their names. One pass over the data."""
-    numbers = [f.name for f in schema if isinstance(f.dataType, T.NumericType) and f.name in df.columns]
+    numbers = [f.name for f in schema if isinstance(f.dataType, T.NumericType) and f.name in df.columns and not isinstance(df.schema[f.name].dataType, T.NumericType)]
     if not numbers:
         return schema, []
-    odd = df.agg(
-        *(
-            F.bool_or(
-                (F.trim(F.col(c).cast("string")) != "") & F.trim(F.col(c).cast("string")).try_cast("double").isNull()
-            ).alias(c)
-            for c in numbers
-        )
-    ).first()
-    changed = [c for c in numbers if odd[c]]
+    texts = {c: F.trim(_named(c).cast("string")) for c in numbers}
+    odd = df.agg(*(F.bool_or((v != "") & v.try_cast("double").isNull()).alias(f"c{k}") for k, v in enumerate(texts.values()))).first()
+    changed = [c for k, c in enumerate(numbers) if odd[k]]
     return T.StructType([T.StructField(f.name, T.StringType()) if f.name in changed else f for f in schema]), changed
 
 
 def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The table under an evolved schema: columns in its order, missing ones null, values that don't fit null."""
     return df.select(
-        *(
-            (F.col(f.name).cast("string").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema
-        )
+        *((_named(f.name).cast("string").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema)
     )
 
 

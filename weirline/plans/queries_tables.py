@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import dates, text
-from ..operators import aggregates, columns, merging, routing
+from ..operators import aggregates, columns, merging, routing, schema
 from ..operators.aggregates import Op
 from . import registry
 
@@ -447,10 +448,21 @@ def flip_pairs(spark, d):
     return routing.flip_pairs(pairs)
 
 
-@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events WHERE event_type = 'signup' ORDER BY ts, event_id")
+@query("""SELECT row_number() OVER (ORDER BY ts, event_type, event_id) AS place, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at,
+  'ALTER TABLE `' || event_type || '` ADD COLUMNS (`c' || event_id || '` bigint)' AS statement FROM events""")
 def sort_statements(spark, d):
-    rows = t(spark, d, "events").filter("event_type = 'signup'").orderBy("ts", "event_id")
-    return rows.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"))
+    """Every event as a schema change of the table of its type, in the order of their times."""
+    changes = t(spark, d, "events").select(
+        F.col("ts").alias("at"), F.col("event_type").alias("tablename"), F.col("event_id").alias("version"), F.lit(0).alias("n"),
+        F.concat(F.lit("ALTER TABLE `"), "event_type", F.lit("` ADD COLUMNS (`c"), "event_id", F.lit("` bigint)")).alias("statement"),
+    )
+    ordered = schema.sort_statements(changes).withColumn("id", F.monotonically_increasing_id())
+    # the number of a row of a sorted table: its place in its part and what the parts before hold
+    parts = ordered.withColumn("part", F.shiftright("id", 33)).withColumn("own", F.col("id").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = parts.groupBy("part").count()
+    before = sizes.select("part", (F.sum("count").over(W.orderBy("part")) - F.col("count")).alias("before"))
+    out = parts.join(F.broadcast(before), "part")
+    return out.select((F.col("before") + F.col("own") + 1).alias("place"), F.col("version").alias("event_id"), F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"), "statement")
 
 
 # SQL pass-through: one statement of each kind

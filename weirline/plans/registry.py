@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.columns import select_expansion
-from ..operators.schema import Registry, evolve_add_columns, with_schema
+from ..operators.schema import Registry, with_schema
 
 Tables = dict[str, DataFrame]
 _OPERATORS: dict[str, Callable[..., Tables]] = {}
@@ -47,10 +47,7 @@ def schema_discovering(
     knows of a table grows by the attributes that it lacks. ``flatten`` gives a table's rows, which come under that schema."""
     out: Tables = {}
     for table, seen in discover(docs).items():
-        known = registry.find(table) if registry else None
-        grown = evolve_add_columns(known, seen)[0] if known is not None else seen
-        if registry and grown != known:
-            registry.put(table, grown)
+        grown = registry.grow(table, seen) if registry else seen
         out[table] = with_schema(flatten(docs, table), grown)
     return out
 
