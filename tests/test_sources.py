@@ -163,3 +163,43 @@ def test_sql_statements_see_earlier_results(spark):
 def test_operators_by_name():
     registry.register_operator("same", lambda tables: tables)
     assert registry.run_operator("same", {}) == {}
+
+
+KEYS = [None, "", "a:b", "a/b", "x y+z", "%41", "ü=1", "{g}*[h]?", "q'\"\\"]
+
+
+def test_any_key_finds_its_folder(spark, tmp_path):
+    df = spark.createDataFrame([(k, f"v{i}") for i, k in enumerate(KEYS)], "tablename string, value string")
+    found = sinks.save_keyed_text(df, f"{tmp_path}/out").collect()
+    want = {}
+    for i, k in enumerate(KEYS):
+        want.setdefault(k or "", set()).add(f"v{i}")
+    got = {}
+    for r in found:
+        got.setdefault(r.tablename, set()).update(x.value for x in spark.read.text(r.path).collect())
+    assert got == want
+    folders = sinks.keyed_folders(spark, f"{tmp_path}/out")
+    assert {k: {r.value for r in spark.read.text(p).collect()} for k, p in folders.items()} == want
+
+
+def test_a_batch_is_loaded_once(spark, tmp_path):
+    from weirline.sources.commits import Ledger, publish
+
+    kinds = T.StructType.fromDDL("a bigint, b string")
+    spark.createDataFrame([("1|x",), ("2|y",)], "value string").write.text(f"{tmp_path}/one")
+    spark.createDataFrame([("3|z",)], "value string").write.text(f"{tmp_path}/two")
+    ledger = Ledger(spark, f"file://{tmp_path}/ledger")
+    spark.sql("DROP TABLE IF EXISTS t_batches")
+    load = lambda path, batch, known=ledger: sinks.load_table(spark, "t_batches", f"{tmp_path}/{path}", kinds, "|", batch=batch, ledger=known)
+    assert load("one", "b'1\\", None) == 2  # lost before the ledger had it
+    assert load("one", "b'1\\") == 2 and load("two", "b'1\\") == 2  # known by now, so not looked at again
+    assert load("two", "x/2") == 1
+    assert sorted(map(tuple, spark.table("t_batches").collect())) == [(1, "x", "b'1\\"), (2, "y", "b'1\\"), (3, "z", "x/2")]
+    assert sorted(map(tuple, ledger.commits().collect())) == [("t_batches", "b'1\\", 2), ("t_batches", "x/2", 1)]
+    assert publish(spark, f"file://{tmp_path}/p/x", "1") and not publish(spark, f"file://{tmp_path}/p/x", "2")
+    assert (tmp_path / "p" / "x").read_text() == "1" and [f.name for f in (tmp_path / "p").iterdir() if not f.name.endswith(".crc")] == ["x"]
+    spark.sql("DROP TABLE t_batches")
+    sinks.load_table(spark, "t_batches", f"{tmp_path}/one", kinds, "|")
+    with pytest.raises(ValueError, match="partitioned"):
+        load("one", "late")
+    spark.sql("DROP TABLE t_batches")

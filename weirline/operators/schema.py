@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 import json
-import os
 import re
-import uuid
 from datetime import datetime, timezone
 from xml.parsers import expat
 
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_identifier, identifier
+from ..sources.commits import at, publish, read_text
 
 
 class Conflict(Exception):
@@ -34,13 +32,9 @@ class Registry:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def version(self, table: str) -> int:
         """The number of the last version, 0 where there is none."""
-        path, fs = self._path(f"{self.folder}/{identifier(table)}")
+        path, fs = at(self.spark, f"{self.folder}/{identifier(table)}")
         if not fs.exists(path):
             return 0
         numbers = [re.fullmatch(r"v(\d+)\.json", s.getPath().getName()) for s in fs.listStatus(path)]
@@ -51,9 +45,7 @@ class Registry:
         version = self.version(table) if version is None else version
         if not version:
             raise KeyError(f"no schema of {table!r}")
-        path, fs = self._path(self._file(table, version))
-        raw = self.spark._jvm.org.apache.commons.io.IOUtils.toString(fs.open(path), "UTF-8")
-        return json.loads(raw)
+        return json.loads(read_text(self.spark, self._file(table, version)))
 
     def _file(self, table: str, version: int) -> str:
         return f"{self.folder}/{identifier(table)}/v{version:012d}.json"
@@ -62,35 +54,13 @@ class Registry:
         """A new version after ``expected``, or after whichever is the last; its number. ``changes`` have op, column and type."""
         while True:
             version = (self.version(table) if expected is None else expected) + 1
-            at = datetime.now(timezone.utc).isoformat(timespec="microseconds")
-            body = {"table": table, "version": version, "at": at, "schema": schema.jsonValue(), "changes": list(changes), "facts": facts}
-            if self._published(self._file(table, version), json.dumps(body)):
+            now = datetime.now(timezone.utc).isoformat(timespec="microseconds")
+            body = {"table": table, "version": version, "at": now, "schema": schema.jsonValue(), "changes": list(changes), "facts": facts}
+            if publish(self.spark, self._file(table, version), json.dumps(body)):
                 return version
             if expected is not None:
                 raise Conflict(f"{table!r} has a version {version} already")
 
-    def _published(self, name: str, text: str) -> bool:
-        target, fs = self._path(name)
-        own, _ = self._path(f"{target.getParent()}/.{uuid.uuid4().hex}")
-        fs.mkdirs(target.getParent())
-        out = fs.create(own)
-        out.write(bytearray(text.encode()))
-        out.close()
-        try:
-            if own.toUri().getScheme() in (None, "file"):  # a local rename would replace the other's version, a link can't
-                os.link(own.toUri().getPath(), target.toUri().getPath())
-                return True
-            jvm = self.spark._jvm
-            options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.spark._jsc.hadoopConfiguration()).rename(own, target, options)
-            return True
-        except (FileExistsError, Py4JJavaError) as failed:
-            if isinstance(failed, Py4JJavaError) and not fs.exists(target):
-                raise
-            return False
-        finally:
-            fs.delete(own, False)
-
     def get(self, table: str) -> T.StructType:
         return T.StructType.fromJson(self.entry(table)["schema"])
 

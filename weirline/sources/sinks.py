@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.routing import ROUTE
 from ..operators.sizes import small
+from .commits import Ledger, at
 from .files import typed
 
 ZERO_FOR_NULL = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
@@ -22,12 +25,29 @@ def save_by_table(tables: dict[str, DataFrame], folder: str, fmt: str = "parquet
     return out
 
 
+#: Fixed value: the folder of a null or empty partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def save_keyed_text(df: DataFrame, folder: str, key: str = ROUTE, value: str = "value", mode: str = "overwrite") -> DataFrame:
-    """Keyed lines in one pass, a folder for each key; (key, path) of what was written."""
+    """Keyed lines in one pass, a folder for each key; (key, path) of what was written. A null key is an empty one."""
     df.select(F.coalesce(F.col(key), F.lit("")).alias(key), value).write.mode(mode).partitionBy(key).text(folder)
     files = df.sparkSession.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
     found = F.regexp_extract("path", f"/{key}=([^/]*)/", 1)
-    return files.filter(F.col("path").contains(f"/{key}=")).select(F.url_decode(found).alias(key), "path")
+    own = F.when(found == NO_VALUE, F.lit("")).otherwise(F.url_decode(F.replace(found, F.lit("+"), F.lit("%2B"))))
+    return files.filter(F.col("path").contains(f"/{key}=")).select(own.alias(key), "path")
+
+
+def keyed_folders(spark: SparkSession, folder: str, key: str = ROUTE) -> dict[str, str]:
+    """The folder of each key under ``folder``, as save_keyed_text() leaves them."""
+    path, fs = at(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    out = {}
+    for name in names:
+        if name.startswith(f"{key}="):
+            value = name[len(key) + 1 :]
+            out["" if value == NO_VALUE else unquote(value)] = f"{folder.rstrip('/')}/{name}"
+    return out
 
 
 def save_parquet_typed(df: DataFrame, schema: T.StructType, path: str, mode: str = "overwrite") -> None:
@@ -65,14 +85,21 @@ def csv_escape_output(df: DataFrame, delimiter: str = ",") -> Column:
     return F.concat_ws(delimiter, *(one(f) for f in df.schema))
 
 
+#: The column by which a table that takes batches is partitioned.
+BATCH = "batch"
+
+
 def load_table(
     spark: SparkSession, table: str, paths, schema: T.StructType, delimiter: str = ",", escape: str = "\\", record_end: str | None = None,
-    truncate: bool = False, before: str | None = None,
+    truncate: bool = False, before: str | None = None, batch: str | None = None, ledger: Ledger | None = None,
 ) -> int:
     """Loads delimited files into a warehouse table, creating it if need be; the number of rows loaded.
 
-    ``before`` is a statement to run first; ``truncate`` empties the table.
+    ``before`` is a statement to run first; ``truncate`` empties the table. With ``batch`` the load can be repeated: rows go to the
+    partition of that name, replacing what an earlier try left there, and a batch that ``ledger`` knows is not loaded again.
     """
+    if batch is not None and ledger is not None and (known := ledger.rows(table, batch)) is not None:
+        return known
     if before:
         spark.sql(before)
     reader = spark.read.option("sep", delimiter).option("escape", escape)
@@ -82,7 +109,21 @@ def load_table(
     from pyspark.sql import Observation
 
     seen = Observation()
-    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite" if truncate else "append").saveAsTable(table)
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    if batch is None:
+        rows.write.mode("overwrite" if truncate else "append").saveAsTable(table)
+        return seen.get["n"]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{BATCH}` string) USING parquet PARTITIONED BY (`{BATCH}`)")
+    if BATCH not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
+        raise ValueError(f"{table} is not partitioned by {BATCH}")
+    if truncate:
+        spark.sql(f"TRUNCATE TABLE {table}")
+    names = ", ".join(f"`{f.name}`" for f in schema)
+    value = batch.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{BATCH}` = '{value}') SELECT {names} FROM {{rows}}", rows=rows.select(*(f"`{f.name}`" for f in schema)))
+    if ledger is not None:
+        ledger.commit(table, batch, seen.get["n"])
     return seen.get["n"]
 
 

@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.routing import ROUTE
+from ..sources.commits import Ledger
+from ..sources.sinks import keyed_folders, load_table
 
 #: Where settings name the batches' interval, and what it is where they don't.
 INTERVAL_KEY, INTERVAL = "stream.interval", "30 seconds"
@@ -86,16 +89,17 @@ def etl_log_record(start: Column, end: Column, workflow: Column, workflow_id: Co
 def stream_micro_batch_sink(stream: DataFrame, folder: str, checkpoint: str, load: Callable | None = None, interval: str = INTERVAL, available_now: bool = False):
     """Writes each non-empty micro-batch by table under ``folder``/batch=<id>, then hands (table, path, id) to ``load``.
 
-    A batch that runs again after a failure overwrites what it left, so nothing is written twice.
+    A batch that runs again after a failure overwrites what it left, and ``load`` gets all its tables again: one made by
+    batch_loader() takes each row in once. A null table name is an empty one.
     """
     def save(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         try:
             if not batch.isEmpty():
                 path = f"{folder}/batch={epoch}"
-                batch.select(ROUTE, "value").write.mode("overwrite").partitionBy(ROUTE).text(path)
-                for (table,) in batch.select(ROUTE).distinct().collect() if load else ():  # a handful of log tables
-                    load(table, f"{path}/{ROUTE}={table}", epoch)
+                batch.select(F.coalesce(ROUTE, F.lit("")).alias(ROUTE), "value").write.mode("overwrite").partitionBy(ROUTE).text(path)
+                for table, place in keyed_folders(batch.sparkSession, path).items() if load else ():  # a handful of log tables
+                    load(table, place, epoch)
         finally:
             batch.unpersist()
 
@@ -104,6 +108,21 @@ def stream_micro_batch_sink(stream: DataFrame, folder: str, checkpoint: str, loa
     return writer.start()
 
 
+def batch_loader(spark: SparkSession, tables: dict[str, tuple[str, T.StructType]], ledger: Ledger, stream: str = "", **options) -> Callable:
+    """A ``load`` for stream_micro_batch_sink() that takes each row of a batch in once, however often the batch runs.
+
+    ``tables`` gives the warehouse table and the schema for each table of the stream (others are passed over), ``stream`` a name
+    by which streams that load into the same tables are told apart. ``options`` are those of load_table().
+    """
+
+    def load(table: str, path: str, epoch: int) -> None:
+        if table in tables:
+            target, schema = tables[table]
+            load_table(spark, target, path, schema, batch=f"{stream}{table}-{epoch}", ledger=ledger, **options)
+
+    return load
+
+
 def stream_counts(events: DataFrame, time: str, keys: list[str], width: str = "10 minutes", late: str = "10 minutes") -> DataFrame:
     """An extension: counts by event-time window, with a watermark where the input streams."""
     rows = events.withWatermark(time, late) if events.isStreaming else events
