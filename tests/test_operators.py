@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -265,3 +268,27 @@ def test_registry(spark, tmp_path):
     kind = T.StructType.fromDDL("a bigint, b string")
     r.put("t1", kind)
     assert schema.Registry(spark, f"file://{tmp_path}").get("t1") == kind
+
+
+@pytest.mark.parametrize("slice_buckets,step", [(1 << 16, 1 << 12), (3, 2)])
+def test_time_buckets_against_counting(spark, monkeypatch, slice_buckets, step):
+    monkeypatch.setattr(aggregates, "SLICE_BUCKETS", slice_buckets)
+    monkeypatch.setattr(aggregates, "STEP_BUCKETS", step)
+    rng = random.Random(4)
+    table = [(rng.choice(["a", "b", None]), a := rng.randrange(-300, 900), a + rng.choice([-5, 0, 1, 59, 60, 61, 400])) for _ in range(150)]
+    df = spark.createDataFrame([*table, ("a", None, 5), ("a", 5, None)], "k string, x long, y long")
+    df = df.select("k", F.timestamp_seconds("x").alias("s"), F.timestamp_seconds(F.col("y") + 0.5).alias("e"))
+    want = Counter((b, k) for k, a, z in table if a <= z for b in range(a // 20, z // 20 + 1))
+    got = aggregates.time_buckets(df, "s", "e", 20, ("k",)).select(F.unix_seconds("bucket").alias("b"), "k", "cnt").collect()
+    assert {(r.b // 20, r.k): r.cnt for r in got} == want and len(got) == len(want)
+    assert aggregates.time_buckets(df.limit(0), "s", "e", 20).count() == 0
+
+
+def test_decades_by_the_second(spark):
+    day = 86400
+    df = spark.range(2000).select(F.timestamp_seconds(F.col("id") * 0).alias("s"), F.timestamp_seconds(F.col("id") + 24 * 365 * day).alias("e"))
+    runs = aggregates.time_bucket_runs(df, "s", "e", 1)
+    r = runs.agg(F.count("*").alias("n"), F.sum((F.unix_seconds("last") - F.unix_seconds("first") + 1) * F.col("cnt")).alias("t"), F.max("cnt").alias("m")).first()
+    assert (r.n, r.m, r.t) == (2000, 2000, sum(k + 24 * 365 * day + 1 for k in range(2000)))
+    some = spark.range(1).select(F.timestamp_seconds(F.lit(0)).alias("s"), F.timestamp_seconds(F.lit(40 * day)).alias("e"))
+    assert aggregates.time_buckets(some, "s", "e", 1).count() == 40 * day + 1

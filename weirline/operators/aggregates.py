@@ -10,10 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import bucket_starts
 from .columns import chosen
 
 OPERATIONS = ("sum", "avg", "max", "min", "count", "keep")
@@ -105,10 +105,51 @@ def aggregate_tables(tables: dict[str, DataFrame], plans: dict[str, dict]) -> di
     return {new: aggregate(tables[p["table"]], **{k: v for k, v in p.items() if k != "table"}) for new, p in plans.items()}
 
 
+#: Buckets of a slice, in which counts are summed up in one go, and of a step in which a run is spread out.
+SLICE_BUCKETS, STEP_BUCKETS = 1 << 16, 1 << 12
+
+
+def time_bucket_runs(df: DataFrame, start: str, end: str, seconds: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """How many intervals [start, end] (timestamps) touch each fixed bucket, as runs of buckets with one count:
+    (keys, first, last, cnt), ``first`` and ``last`` being the starts of a run's outer buckets.
+
+    A sweep line: an interval counts up where it begins and down behind its end, summed per bucket before the shuffle; counts
+    are then running sums. They run within slices of time, so that a hot key is spread over tasks, and each slice gets what the
+    slices before it carry over. An interval that ends before it starts, or lacks an end, touches none.
+    """
+    s, e = F.col(start).cast("timestamp"), F.col(end).cast("timestamp")
+    bucket = lambda t: F.floor(F.unix_seconds(t) / seconds).cast("long")
+    up, down = F.struct(bucket(s).alias("at"), F.lit(1).alias("d")), F.struct((bucket(e) + 1).alias("at"), F.lit(-1).alias("d"))
+    names = [f"_key{k}" for k in range(len(keys))]
+    turns = df.filter(s <= e).select(*(F.col(k).alias(n) for k, n in zip(keys, names)), F.explode(F.array(up, down)).alias("t"))
+    points = turns.groupBy(*names, F.col("t.at").alias("at")).agg(F.sum("t.d").alias("d")).filter("d <> 0")
+    points = points.withColumn("slice", F.floor(F.col("at") / SLICE_BUCKETS))
+    # a slice has no more points than buckets, and a key no more slices than its time has
+    slices = points.groupBy(*names, "slice").agg(F.sum("d").alias("d"), F.min("at").alias("at"))
+    along = W.partitionBy(*names).orderBy("slice")
+    carried = slices.select(
+        *(F.col(n).alias(f"_of{n}") for n in names), F.col("slice").alias("_slice"),
+        (F.sum("d").over(along.rowsBetween(W.unboundedPreceding, -1))).alias("_before"), F.lead("at").over(along).alias("_after"),
+    )
+    same = [F.col(n).eqNullSafe(F.col(f"_of{n}")) for n in names]
+    joined = points.join(carried, [*same, F.col("slice") == F.col("_slice")])
+    inside = W.partitionBy(*names, "slice").orderBy("at")
+    count = F.sum("d").over(inside.rowsBetween(W.unboundedPreceding, 0)) + F.coalesce("_before", F.lit(0))
+    runs = joined.select(*names, "at", count.alias("cnt"), F.coalesce(F.lead("at").over(inside), "_after").alias("next")).filter("cnt > 0")
+    second = lambda b: F.timestamp_seconds(F.col(b) * seconds)
+    return runs.withColumn("last", F.col("next") - 1).select(
+        *(F.col(n).alias(k) for k, n in zip(keys, names)), second("at").alias("first"), second("last").alias("last"), "cnt"
+    )
+
+
 def time_buckets(df: DataFrame, start: str, end: str, seconds: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """How many intervals [start, end] (timestamps) touch each fixed bucket: bucket, keys, cnt."""
-    rows = df.select(*keys, F.explode(bucket_starts(start, end, seconds)).alias("bucket"))
-    return rows.groupBy("bucket", *keys).agg(F.count(F.lit(1)).alias("cnt"))
+    """time_bucket_runs() spread out: a row for each bucket that is touched (bucket, keys, cnt)."""
+    runs = time_bucket_runs(df, start, end, seconds, keys)
+    first, last = F.unix_seconds("first"), F.unix_seconds("last")
+    step = F.lit(seconds * STEP_BUCKETS).cast("long")
+    steps = runs.withColumn("_from", F.explode(F.sequence(first, last, step)))  # so that no row has to hold all of a long run
+    each = steps.withColumn("_at", F.explode(F.sequence("_from", F.least(last, F.col("_from") + step - seconds), F.lit(seconds).cast("long"))))
+    return each.select(F.timestamp_seconds("_at").alias("bucket"), *keys, "cnt")
 
 
 def derived_schema(df: DataFrame, keys=(), ops: list[Op] = (), key_exps=None, table: str | None = None) -> T.StructType:

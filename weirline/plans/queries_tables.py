@@ -124,6 +124,17 @@ def agg_time_buckets(spark, d):
     return out.withColumn("bucket", F.date_format("bucket", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("""WITH ends AS (SELECT o_orderpriority AS prio, CAST(epoch(o_orderdate) AS BIGINT) AS s, CAST(epoch(o_orderdate) AS BIGINT) + o_orderkey % 9000 * 86400 AS e
+  FROM orders), turns AS (SELECT prio, p, sum(d) AS d FROM (SELECT prio, s AS p, 1 AS d FROM ends UNION ALL SELECT prio, e + 1, -1 FROM ends) GROUP BY ALL
+  HAVING sum(d) <> 0), runs AS (SELECT prio, p, lead(p) OVER w - 1 AS last, sum(d) OVER w AS cnt FROM turns WINDOW w AS (PARTITION BY prio ORDER BY p))
+  SELECT prio, p AS first, last, CAST(cnt AS BIGINT) AS cnt FROM runs WHERE cnt > 0""")
+def agg_time_bucket_runs(spark, d):
+    """How many orders are open in each second, up to 24 years long, as runs of seconds with one count."""
+    rows = timed(spark, d, "orders", "o_orderdate").withColumn("e", F.timestamp_seconds(F.unix_seconds("o_orderdate") + F.col("o_orderkey") % 9000 * 86400))
+    out = aggregates.time_bucket_runs(rows, "o_orderdate", "e", 1, ("o_orderpriority",))
+    return out.select(F.col("o_orderpriority").alias("prio"), F.unix_seconds("first").alias("first"), F.unix_seconds("last").alias("last"), "cnt")
+
+
 @query("SELECT l_returnflag, count(*) AS cnt FROM lineitem GROUP BY l_returnflag, l_linestatus")
 def groupkey_output_flags(spark, d):
     keys = ["l_returnflag", "l_linestatus"]
