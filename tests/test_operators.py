@@ -182,7 +182,7 @@ def test_schema_evolution(spark):
     assert changed == ["b"] and isinstance(retyped["b"].dataType, T.StringType)
 
 
-def test_names_of_nested_columns():
+def test_names_of_nested_columns(spark):
     kind = T.StructType.fromDDL("_id STRING, buyer STRUCT<name: STRING, at: STRUCT<x: STRING>>, seller STRUCT<name: STRING>, `a b` STRING")
     assert schema.flat_names(kind) == {
         "_id": "_Attri_id", "buyer.name": "name_4_buyer", "buyer.at.x": "x", "seller.name": "name_4_seller", "a b": "a_b",
@@ -292,3 +292,43 @@ def test_decades_by_the_second(spark):
     assert (r.n, r.m, r.t) == (2000, 2000, sum(k + 24 * 365 * day + 1 for k in range(2000)))
     some = spark.range(1).select(F.timestamp_seconds(F.lit(0)).alias("s"), F.timestamp_seconds(F.lit(40 * day)).alias("e"))
     assert aggregates.time_buckets(some, "s", "e", 1).count() == 40 * day + 1
+
+
+ODD = (
+    "<n:doc xmlns:n='urn:x' xml:lang='en'><md-name>m1</md-name><n:b id.x='7'><v.1>1.5</v.1><v.1>2</v.1></n:b><n:b id.x='8'/><md_name>low</md_name>"
+    "<a.b><c-d e:f='q'>t</c-d></a.b></n:doc>"
+)
+
+
+def test_paths_with_odd_names():
+    for names in (("a",), ("a.b", "c-d", "e:f"), ("x`y", "z"), ("_VALUE",), ("a.b.c", "d.")):
+        assert schema.steps(schema.joined(names)) == names
+    assert schema.steps("tide.at") == ("tide", "at") and schema.steps("") == ()
+
+
+def test_xml_tables_of_odd_names_in_one_parse(spark, tmp_path):
+    df = spark.createDataFrame([(1, ODD), (2, None), (3, "<n:doc/>")], "doc long, x string")
+    found = schema.discover_xml_schema(df, "x")
+    tables = {
+        "head": reshape.XmlTable("", skip=("n:b", "`a.b`")),
+        "parts": reshape.XmlTable("n:b", associate={"lang": "`_xml:lang`", "deep": "`a.b`.c-d._e:f"}),
+        "dots": reshape.XmlTable("`a.b`", set_values={"twice": "concat(`c_d`, `c_d`)"}),
+    }
+    whole = reshape.xml_records(df, "x", found, tables)
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1 and plan.count("LogicalRDD") == 1
+    for out in (reshape.xml_tables(df, "x", found, tables), reshape.xml_tables(df, "x", found, tables, f"{tmp_path}/xml")):
+        assert rows(out["head"].select("doc", "md_name", "md_name_2", "_Attri_xml_lang"), "doc") == [(1, "m1", "low", "en"), (3, None, None, None)]
+        assert sorted((r.lang, r.deep, r._Attri_id_x, r.v_1) for r in out["parts"].collect() if r.v_1) == [("en", "q", 7, 1.5), ("en", "q", 7, 2.0)]
+        assert sorted(r._Attri_id_x for r in out["parts"].collect()) == [7, 7, 8]
+        assert [(r.c_d, r._Attri_e_f, r.twice) for r in out["dots"].collect()] == [("t", "q", "tt")]
+
+
+def test_xml_raw_in_one_table_and_opened_in_another(spark):
+    df = spark.createDataFrame([("<d><p><q>1</q><q>2</q></p></d>",)], "x string")
+    found = schema.discover_xml_schema(df, "x")
+    tables = {"raw": reshape.XmlTable("p", raw=("p",)), "open": reshape.XmlTable("p")}
+    whole = reshape.xml_records(df, "x", found, tables)
+    assert whole._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 2 and whole.count() == 3
+    out = reshape.xml_tables(df, "x", found, tables)
+    assert out["raw"].first()[0].replace(" ", "").replace("\n", "").count("<q>") == 2 and rows(out["open"], "q") == [(1,), (2,)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .schema import flat_names
+from .schema import flat_names, joined, steps
 
 
 def transpose(
@@ -142,49 +142,60 @@ def event_decode(df: DataFrame, kind: str, message: str, rules: dict[str, tuple[
     return df.select(*others, *(value(f).alias(f) for f in fields))
 
 
+def _opened(rows: DataFrame, root: Column, repeated: list[tuple], label: str, zipped: bool = False):
+    """``rows`` with each repeated element below ``root`` opened, outer ones first, and a function that gives the value at a path."""
+    aliases: dict[tuple, str] = {}
+
+    def value(path: tuple) -> Column:
+        known = max((r for r in aliases if path[: len(r)] == r), key=len, default=None)
+        out = F.col(aliases[known]) if known is not None else root
+        for step in path[len(known or ()) :]:
+            out = out.getField(step)
+        return out
+
+    named = {r: f"{label}_{k}" for k, r in enumerate(sorted(dict.fromkeys(repeated), key=len))}
+    if zipped and named:
+        rows = rows.select("*", *(value(r).alias(a) for r, a in named.items()))
+        rows = rows.withColumn(f"{label}_each", F.explode_outer(F.arrays_zip(*named.values()))).drop(*named.values())
+        rows = rows.select("*", *(F.col(f"{label}_each").getField(a).alias(a) for a in named.values())).drop(f"{label}_each")
+        aliases.update(named)
+    else:
+        for r, a in named.items():
+            rows = rows.withColumn(a, F.explode_outer(value(r)))
+            aliases[r] = a
+    return rows, value
+
+
 def xml_flatten(
     df: DataFrame, xml: str, schema: str | T.StructType, paths: dict[str, str], repeated: tuple[str, ...] = (), zipped: bool = False,
     keep: str | None = None, set_values: dict[str, str] | None = None,
 ) -> DataFrame:
     """A table from XML documents: ``schema`` is the row element's, ``paths`` give each column's path in it.
 
-    ``repeated`` lists the paths of repeated elements, each opened to its own rows: every one against the others, or zipped
-    side by side. A path within another opens its elements within that one's rows. Documents without them keep one row.
-    An element that the schema takes for a string is its XML text. ``keep`` is a predicate over the flattened columns,
-    applied before ``set_values`` (expressions over them).
+    A path's steps are parted by dots; a name that holds a dot is put in back-quotes. ``repeated`` lists the paths of repeated
+    elements, each opened to its own rows: every one against the others, or zipped side by side. A path within another opens its
+    elements within that one's rows. Documents without them keep one row. An element that the schema takes for a string
+    is its XML text. ``keep`` is a predicate over the flattened columns, applied before ``set_values`` (expressions over them).
     """
-    rows = df.withColumn("_row", F.from_xml(F.col(xml), schema.simpleString() if isinstance(schema, T.StructType) else schema))
-    aliases: dict[str, str] = {}
-
-    def path(p):
-        for r in sorted(aliases, key=len, reverse=True):
-            if p == r or p.startswith(r + "."):
-                return F.col(aliases[r] + p[len(r) :])
-        return F.col(f"_row.{p}") if p else F.col("_row")
-
-    named = {p: f"_{p.replace('.', '_')}" for p in sorted(repeated, key=lambda p: p.count("."))}
-    if zipped and repeated:
-        typed = rows.select("*", *(path(p).alias(a) for p, a in named.items()))
-        typed = typed.withColumn("_each", F.explode_outer(F.arrays_zip(*named.values())))
-        rows = typed.drop(*named.values()).select("*", *(F.col(f"_each.{a}").alias(a) for a in named.values()))
-        aliases = named
-    else:
-        for p, a in named.items():
-            rows = rows.withColumn(a, F.explode_outer(path(p)))
-            aliases[p] = a
-    others = [c for c in df.columns if c != xml and c not in paths]
-    out = rows.select(*others, *(path(p).alias(c) for c, p in paths.items()))
+    rows = df.withColumn("_row", F.from_xml(F.col(xml), schema))
+    rows, value = _opened(rows, F.col("_row"), [steps(r) for r in repeated], "_each", zipped)
+    others = [_quoted(c) for c in df.columns if c != xml and c not in paths]
+    out = rows.select(*others, *(value(steps(p)).alias(c) for c, p in paths.items()))
     out = xml_insert_filter(out, keep) if keep else out
     return out.withColumns({c: F.expr(e) for c, e in set_values.items()}) if set_values else out
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass(frozen=True)
 class XmlTable:
     """A table within XML documents, by paths from their root (attributes begin with _): a row for each element at ``start``.
 
     Its columns are the values within, named as flat_names() names them, but for the nodes in ``skip``; a node in ``raw`` is
     one column with its XML text. ``associate`` adds values from elsewhere in the document, by column.
-    Siblings that repeat give every combination.
+    Siblings that repeat give every combination. A name that holds a dot is put in back-quotes in a path.
     """
 
     start: str
@@ -194,53 +205,114 @@ class XmlTable:
     keep: str | None = None
     set_values: dict[str, str] | None = None
 
+    def read(self, schema: T.StructType) -> tuple[T.StructType, list[tuple], dict[str, tuple]]:
+        """The part of the documents' schema that this table reads, its repeated paths, and its columns' paths."""
+        start, raw, skip = steps(self.start), set(map(steps, self.raw)), set(map(steps, self.skip))
+        wanted = set(map(steps, self.associate.values()))
+        arrays: list[tuple] = []
+        leaves: list[tuple] = []
+
+        def taken(kind, path):
+            if any(path[: len(x)] == x for x in skip):
+                return None
+            if path and path in raw:
+                leaves.append(path)
+                if isinstance(kind, T.ArrayType):
+                    arrays.append(path)
+                    return T.ArrayType(T.StringType())
+                return T.StringType()
+            if isinstance(kind, T.ArrayType):
+                inner = taken(kind.elementType, path)
+                if inner is not None:
+                    arrays.append(path)
+                return inner and T.ArrayType(inner)
+            if isinstance(kind, T.StructType):
+                fields = [(f.name, taken(f.dataType, (*path, f.name))) for f in kind]
+                fields = [T.StructField(n, k) for n, k in fields if k is not None]
+                return T.StructType(fields) if fields else None
+            own = path[: len(start)] == start
+            if own:
+                leaves.append(path)
+            return kind if own or path in wanted else None
+
+        pruned = taken(schema, ())
+        if not leaves:
+            raise ValueError(f"nothing at {self.start!r}")
+        names = flat_names(pruned)
+        return pruned, arrays, {c: steps(p) for c, p in self.associate.items()} | {names[joined(p)]: p for p in leaves}
+
+
+def _both(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """A type from which both can be read, None where one takes for text what the other opens."""
+    if a == b:
+        return a
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        inner = _both(a.elementType, b.elementType)
+        return inner and T.ArrayType(inner)
+    if not (isinstance(a, T.StructType) and isinstance(b, T.StructType)):
+        return None
+    fields = {f.name: f.dataType for f in a}
+    for f in b:
+        fields[f.name] = _both(fields[f.name], f.dataType) if f.name in fields else f.dataType
+        if fields[f.name] is None:
+            return None
+    return T.StructType([T.StructField(n, k) for n, k in fields.items()])
 
-def _inside(path: str, nodes) -> bool:
-    return any(path == n or path.startswith(n + ".") for n in nodes)
 
+def xml_records(df: DataFrame, xml: str, schema: T.StructType, tables: dict[str, XmlTable]) -> DataFrame:
+    """The records of several tables from the same XML documents, which are read and parsed once: the other columns of ``df``,
+    ``tablename``, and for each table a column of its name with the record, null in the others' rows.
 
-def xml_tables(df: DataFrame, xml: str, schema: T.StructType, tables: dict[str, XmlTable]) -> dict[str, DataFrame]:
+    Only what some table reads is parsed. Tables of which one takes for text what another opens can't share a parse; they
+    make one more. ``keep`` and ``set_values`` are left to xml_tables(). A null or unreadable document gives no row. A start
+    that the schema lacks is an error.
+    """
+    reads = {name: table.read(schema) for name, table in tables.items()}
+    parses: list[T.StructType] = []
+    of = {}
+    for name, (pruned, _, _) in reads.items():
+        for k, parse in enumerate(parses):
+            both = _both(parse, pruned)
+            if both is not None:
+                parses[k], of[name] = both, k
+                break
+        else:
+            of[name] = len(parses)
+            parses.append(pruned)
+    others = [_quoted(c) for c in df.columns if c != xml]
+    docs = df.filter(F.col(xml).isNotNull()).select(*others, *(F.from_xml(F.col(xml), p).alias(f"_doc{k}") for k, p in enumerate(parses)))
+    routes = F.explode(F.array(*map(F.lit, tables))).alias("tablename")
+    rows = docs.select("*", routes)
+    records, there = [], F.lit(False)
+    for k, (name, (_, arrays, paths)) in enumerate(reads.items()):
+        mine = F.col("tablename") == name
+        # null in the rows of other tables, so that opening it leaves those alone
+        rows = rows.withColumn(f"_own{k}", F.when(mine, F.col(f"_doc{of[name]}")))
+        rows, value = _opened(rows, F.col(f"_own{k}"), arrays, f"_each{k}")
+        there = there | (mine & value(steps(tables[name].start)).isNotNull())
+        records.append(F.when(mine, F.struct(*(value(p).alias(c) for c, p in paths.items()))).alias(name))
+    return rows.filter(there).select(*others, "tablename", *records)
+
+
+def xml_tables(df: DataFrame, xml: str, schema: T.StructType, tables: dict[str, XmlTable], folder: str | None = None) -> dict[str, DataFrame]:
     """Several tables from the same XML documents, ``schema`` being the documents' (discover_xml_schema()).
 
-    Each reads only the parts that it names. A null or unreadable document gives no row. A start that the schema lacks is an error.
+    With ``folder`` the records of all tables are written there in one pass, from which the tables are then read, each its own
+    part. Without, a table parses the documents when it is used, and only what it reads of them. A null or unreadable document
+    gives no row. A start that the schema lacks is an error.
     """
-    def taken(kind, path, table, arrays, columns):
-        """The type as this table reads it, or None; notes its repeated paths and leaf columns."""
-        where = ".".join(path)
-        if _inside(where, table.skip):
-            return None
-        if where and where in table.raw:
-            columns.append(where)
-            if isinstance(kind, T.ArrayType):
-                arrays.append(where)
-                return T.ArrayType(T.StringType())
-            return T.StringType()
-        if isinstance(kind, T.ArrayType):
-            inner = taken(kind.elementType, path, table, arrays, columns)
-            if inner is not None:
-                arrays.insert(0, where)
-            return inner and T.ArrayType(inner)
-        if isinstance(kind, T.StructType):
-            fields = [(f.name, taken(f.dataType, [*path, f.name], table, arrays, columns)) for f in kind]
-            fields = [T.StructField(n, k) for n, k in fields if k is not None]
-            return T.StructType(fields) if fields else None
-        own = table.start == "" or _inside(where, [table.start])
-        if own:
-            columns.append(where)
-        return kind if own or where in table.associate.values() else None
-
+    if folder is not None:
+        xml_records(df, xml, schema, tables).write.partitionBy("tablename").parquet(folder)
     out = {}
     for name, table in tables.items():
-        arrays: list[str] = []
-        columns: list[str] = []
-        pruned = taken(schema, [], table, arrays, columns)
-        if not columns:
-            raise ValueError(f"nothing at {table.start!r} for {name}")
-        names = flat_names(pruned)
-        paths = {c: p for c, p in table.associate.items()} | {names[p]: p for p in columns}
-        docs = df.filter(F.col(xml).isNotNull())
-        flat = xml_flatten(docs, xml, pruned, {**paths, "_there": table.start}, tuple(dict.fromkeys(arrays)))
-        flat = flat.filter(F.col("_there").isNotNull()).drop("_there")
+        if folder is not None:
+            records = df.sparkSession.read.parquet(folder)
+        else:
+            records = xml_records(df, xml, schema, {name: table})
+        others = [c for c in df.columns if c != xml]
+        columns = [c for c in table.read(schema)[2]]
+        flat = records.filter(F.col("tablename") == name)
+        flat = flat.select(*(_quoted(c) for c in others if c not in columns), *(F.col(_quoted(name)).getField(c).alias(c) for c in columns))
         flat = xml_insert_filter(flat, table.keep) if table.keep else flat
         out[name] = flat.withColumns({c: F.expr(e) for c, e in table.set_values.items()}) if table.set_values else flat
     return out

@@ -174,6 +174,16 @@ def with_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def steps(path: str) -> tuple[str, ...]:
+    """The names along a path: parted by dots, a name that holds one in back-quotes (doubled within)."""
+    return tuple(quoted.replace("``", "`") or plain for quoted, plain in re.findall(r"`((?:[^`]|``)+)`|([^.`]+)", path))
+
+
+def joined(names: tuple[str, ...]) -> str:
+    """The path of names, as steps() takes it apart."""
+    return ".".join("`" + n.replace("`", "``") + "`" if "." in n or "`" in n else n for n in names)
+
+
 def flat_names(schema: T.StructType) -> dict[str, str]:
     """A column name for each leaf path of a nested schema. A name found under several parents becomes name_4_parent, then
     name_4_parent_4_grandparent and so on until it is the only one; attributes are marked _Attri_."""
@@ -197,17 +207,25 @@ def flat_names(schema: T.StructType) -> dict[str, str]:
             base, path = path[-2], path[:-1]
         return identifier("_4_".join([base, *reversed(path[max(0, len(path) - 1 - depth) : -1])]))
 
-    depth = {".".join(p): 0 for p in paths}
+    depth = {joined(p): 0 for p in paths}
     while True:
-        names = {".".join(p): name(p, depth[".".join(p)]) for p in paths}
+        names = {joined(p): name(p, depth[joined(p)]) for p in paths}
         counts: dict[str, int] = {}
         for n in names.values():
             counts[n] = counts.get(n, 0) + 1
-        again = [".".join(p) for p in paths if counts[names[".".join(p)]] > 1 and depth[".".join(p)] < len(p)]
+        again = [joined(p) for p in paths if counts[names[joined(p)]] > 1 and depth[joined(p)] < len(p)]
         if not again:
-            return names
+            break
         for k in again:
             depth[k] += 1
+    taken: set[str] = set()
+    for path, n in names.items():  # names that differ only in signs that no column has
+        k, own = 2, n
+        while own.lower() in taken:
+            k, own = k + 1, f"{n}_{k}"
+        names[path] = own
+        taken.add(own.lower())
+    return names
 
 
 #: Kinds of a value, each taking in those before it.

@@ -609,6 +609,21 @@ def xml_tables(spark, d):
     return items.unionByName(heads)
 
 
+@query("""SELECT 'heads' AS tablename, o_orderkey AS k, 'en' AS lang, CAST(NULL AS BIGINT) AS cust, NULL AS v FROM orders
+  UNION ALL SELECT 'parts', o_orderkey, NULL, o_custkey, unnest([o_orderpriority, 'x']) FROM orders""")
+def xml_odd_names(spark, d):
+    """Two tables of documents with prefixes, hyphens and dots in their names, written in one pass and parse."""
+    text = lambda *parts: F.concat(*(F.col(p) if p.startswith("o_") else F.lit(p) for p in parts))
+    xml = text("<n:ord xml:lang='en'><md-key>", "o_orderkey", "</md-key><n:cust id.no='", "o_custkey", "'><v.1>", "o_orderpriority", "</v.1><v.1>x</v.1></n:cust></n:ord>")
+    docs = t(spark, d, "orders").select(xml.alias("xml"))
+    tables = reshape.xml_tables(docs, "xml", schema.discover_xml_schema(docs, "xml"), {
+        "heads": reshape.XmlTable("", skip=("n:cust",)),
+        "parts": reshape.XmlTable("n:cust", associate={"k": "md-key"}),
+    }, scratch_path(spark, "xml"))
+    heads = tables["heads"].select(F.lit("heads").alias("tablename"), F.col("md_key").alias("k"), F.col("_Attri_xml_lang").alias("lang"), F.lit(None).cast("long").alias("cust"), F.lit(None).cast("string").alias("v"))
+    return heads.unionByName(tables["parts"].select(F.lit("parts").alias("tablename"), "k", F.lit(None).cast("string").alias("lang"), F.col("_Attri_id_no").alias("cust"), F.col("v_1").alias("v")))
+
+
 @query("""SELECT 'order_' || n AS tablename, n AS total, CASE WHEN n % 2 = 0 THEN 'R' END AS note FROM
   (SELECT DISTINCT CAST(l_linenumber AS BIGINT) AS n FROM lineitem)""")
 def custom_xml_command(spark, d):
