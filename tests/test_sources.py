@@ -203,3 +203,28 @@ def test_a_batch_is_loaded_once(spark, tmp_path):
     with pytest.raises(ValueError, match="partitioned"):
         load("one", "late")
     spark.sql("DROP TABLE t_batches")
+
+
+def test_xml_rows_know_what_they_lie_in(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(
+        "<?xml version='1.0'?>\n<!-- <f id='no'><r>0</r></f> -->\n<all><f\n  id = \"A\"\n kind='x>y &amp; &lt;z'>\n<r no='1'>one</r><g/><f id='B'><r\nno='2'>two<r no='9'>in</r></r></f>"
+        "<r no='3'/>tail</f><r no='4'>out</r><f kind='k'><r no='5'><b>5</b> five</r></f><f/><!-- <r no='8'>x</r> --><r no='6'>--&gt; six</r><d><![CDATA[<r no='7'>]]></d></all>"
+    )
+    (tmp_path / "b.xml").write_text("<f id='C'>" + "".join(f"<r no='{k}'>v{k}</r>\n" for k in range(100, 400)) + "</f>")
+    (tmp_path / "empty.xml").write_text("")
+    kind = T.StructType.fromDDL("_no int, _VALUE string, b int")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = files.scan_xml_rows(spark, str(tmp_path), "r", "f", ["id", "kind"], kind).cache()
+        found = {r._no: (r.id, r.kind) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    first = "x>y & <z"
+    assert {k: v for k, v in found.items() if k < 100} == {1: ("A", first), 2: ("B", None), 3: ("A", first), 4: (None, None), 5: (None, "k"), 6: (None, None)}
+    assert {k: v for k, v in found.items() if k >= 100} == {k: ("C", None) for k in range(100, 400)} and got.count() == 306
+    values = {r._no: r._VALUE for r in got.collect()}
+    assert values[1] == "one" and values[250] == "v250" and "five" in values[5]
+    got.unpersist()
+    inferred = files.scan_xml_rows(spark, f"{tmp_path}/b.xml", "r", "f", ["id"])
+    assert inferred.filter("id = 'C' and _no = 399 and _VALUE = 'v399'").count() == 1

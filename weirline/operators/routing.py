@@ -47,21 +47,30 @@ STRETCH = 100_000
 
 
 def carried(lines: DataFrame, file: str, pos: str, name: str, own: Column, last: bool) -> DataFrame:
-    """Adds a value that runs on through the lines of each file: the last non-null ``own``, or the sum of ``own`` so far.
+    """Adds a value that runs on through the lines of each file: the last non-null ``own``, or the sum of ``own`` so far."""
+    return carried_all(lines, file, pos, {name: (own, last)})
+
+
+def carried_all(lines: DataFrame, file: str, pos: str, values: dict[str, tuple[Column, bool]]) -> DataFrame:
+    """carried() for several values (own, last) by name, in one go.
     A file is cut into stretches of lines; what a stretch gives is carried to the next by a window over stretches."""
-    cut = lines.withColumns({"_own": own, "_stretch": F.floor(F.col(pos) / STRETCH)})
-    of = F.max_by("_own", F.when(F.col("_own").isNotNull(), F.col(pos))) if last else F.sum("_own")
-    each = cut.groupBy(F.col(file).alias("_file"), F.col("_stretch").alias("_s")).agg(of.alias("_gives"))
+    cut = lines.withColumns({f"_own{k}": own for k, (own, _) in enumerate(values.values())} | {"_stretch": F.floor(F.col(pos) / STRETCH)})
+    gives, brought = [], []
     before = W.partitionBy("_file").orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    brought = F.last("_gives", ignorenulls=True).over(before) if last else F.sum("_gives").over(before)
-    each = each.select("_file", "_s", brought.alias("_brought"))
+    for k, (_, last) in enumerate(values.values()):
+        of = F.max_by(f"_own{k}", F.when(F.col(f"_own{k}").isNotNull(), F.col(pos))) if last else F.sum(f"_own{k}")
+        gives.append(of.alias(f"_gives{k}"))
+        brought.append((F.last(f"_gives{k}", ignorenulls=True).over(before) if last else F.sum(f"_gives{k}").over(before)).alias(f"_brought{k}"))
+    each = cut.groupBy(F.col(file).alias("_file"), F.col("_stretch").alias("_s")).agg(*gives).select("_file", "_s", *brought)
     joined = cut.join(each, F.col(file).eqNullSafe(F.col("_file")) & (F.col("_stretch") == F.col("_s")))
-    inside = W.partitionBy(file, "_stretch").orderBy(pos)
-    if last:
-        value = F.coalesce(F.last("_own", ignorenulls=True).over(inside), F.col("_brought"))
-    else:
-        value = F.sum("_own").over(inside) + F.coalesce("_brought", F.lit(0))
-    return joined.withColumn(name, value).drop("_own", "_stretch", "_file", "_s", "_brought")
+    inside, found = W.partitionBy(file, "_stretch").orderBy(pos), {}
+    for k, (name, (_, last)) in enumerate(values.items()):
+        if last:
+            found[name] = F.coalesce(F.last(f"_own{k}", ignorenulls=True).over(inside), F.col(f"_brought{k}"))
+        else:
+            found[name] = F.sum(f"_own{k}").over(inside) + F.coalesce(f"_brought{k}", F.lit(0))
+    gone = [f"_{what}{k}" for what in ("own", "brought") for k in range(len(values))]
+    return joined.withColumns(found).drop(*gone, "_stretch", "_file", "_s")
 
 
 def split_sections_by_title(
