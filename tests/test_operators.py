@@ -332,3 +332,20 @@ def test_xml_raw_in_one_table_and_opened_in_another(spark):
     assert whole._jdf.queryExecution().optimizedPlan().toString().count("from_xml") == 2 and whole.count() == 3
     out = reshape.xml_tables(df, "x", found, tables)
     assert out["raw"].first()[0].replace(" ", "").replace("\n", "").count("<q>") == 2 and rows(out["open"], "q") == [(1,), (2,)]
+
+
+def test_tables_transposed_in_one_pass(spark, tmp_path):
+    data = [("g1", f"t{k % 4}", f"n{k % 3}", str(k), k) for k in range(40)] + [("g2", "t1", "n1", None, 5), (None, "t2", "n0", "x", 1), ("g3", "t9", "n0", "y", 1), ("g3", "t1", "zz", "y", 1)]
+    df = spark.createDataFrame(data, "g string, f string, n string, v string, o int")
+    schemas = {f"T_t{k}": [f"n{j}" for j in range(3) if j != k] for k in range(3)}
+    args = (df.withColumn("T", F.lit("T")), ["g"], ["T", "f"], "n", "v", schemas, "o")
+    plan = reshape.transposed_cells(*args)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan ExistingRDD") == 1
+    for folder in (None, f"{tmp_path}/cells"):
+        out = reshape.transpose_split_tables(*args, folder=folder)
+        for k in range(3):
+            want = {}
+            for g, f, n, v, o in sorted(data, key=lambda r: r[4]):
+                if f == f"t{k}" and n in schemas[f"T_t{k}"]:
+                    want.setdefault(g, dict.fromkeys(schemas[f"T_t{k}"], ""))[n] = v or ""
+            assert sorted(rows(out[f"T_t{k}"]), key=str) == sorted(((g, *r.values()) for g, r in want.items()), key=str)

@@ -228,3 +228,12 @@ def test_xml_rows_know_what_they_lie_in(spark, tmp_path):
     got.unpersist()
     inferred = files.scan_xml_rows(spark, f"{tmp_path}/b.xml", "r", "f", ["id"])
     assert inferred.filter("id = 'C' and _no = 399 and _VALUE = 'v399'").count() == 1
+
+
+def test_width_of_rows_with_quotes(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('"a,b",c\n"x ""y, z"" ",\'d,e\'\n 1 , "2,3,4,5,6" \na"b,c"d\n')
+    out = files.scan_csv_schemaless(spark, f"file://{tmp_path}/q.csv")
+    assert out.columns == ["c0", "c1", "c2"]
+    assert {"a,b", 'x "y, z"'} <= {r.c0.strip() for r in out.collect()}
+    (tmp_path / "r.csv").write_text('"a|b"|"c"\n' + '"' + "x|" * 50_000 + '"|y\n')
+    assert files.scan_csv_schemaless(spark, f"file://{tmp_path}/r.csv", "|").columns == ["c0", "c1"]

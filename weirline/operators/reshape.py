@@ -28,17 +28,41 @@ def transpose(
     return out.withColumn("tablename", F.lit(table)) if table else out
 
 
-def transpose_split_tables(
+def transposed_cells(
     df: DataFrame, groups: list[str], table_fields: list[str], name: str, value: str, schemas: dict[str, list[str]], order: str,
     table_exp: str | None = None, name_exp: str | None = None,
-) -> dict[str, DataFrame]:
-    """A transpose for each table of ``schemas``. A row's table is its ``table_fields`` joined by _, passed through ``table_exp``
-    (over ``tablename``) if given; names are mapped by ``name_exp``. Rows of unknown tables go."""
+) -> DataFrame:
+    """(tablename, groups, cells): the groups of all tables of ``schemas`` in one pass, each with a map from name to value.
+
+    A row's table is its ``table_fields`` joined by _, passed through ``table_exp`` (over ``tablename``) if given; names are mapped
+    by ``name_exp``. Rows of unknown tables and names go. Whatever the number of tables, the input is read once; of each
+    cell the last value is found before the first shuffle and after it, and cells, one of each, are brought together in the second.
+    """
     routed = df.withColumn("tablename", F.concat_ws("_", *(F.col(f).cast("string") for f in table_fields)))
     routed = routed.withColumn("tablename", F.expr(table_exp)) if table_exp else routed
     routed = routed.withColumn(name, F.expr(name_exp)) if name_exp else routed
+    pairs = [F.struct(F.lit(t).alias("t"), F.array(*map(F.lit, columns)).alias("c")) for t, columns in schemas.items()]
+    known = F.map_from_entries(F.array(*pairs)) if pairs else F.expr("cast(map() as map<string, array<string>>)")
+    rows = routed.filter(F.array_contains(F.try_element_at(known, F.col("tablename")), F.col(name)))
+    last = F.max_by(F.coalesce(F.col(value).cast("string"), F.lit("")), F.col(order)).alias("_value")
+    cells = rows.groupBy("tablename", *groups, F.col(name).alias("_name")).agg(last)
+    entries = F.map_from_entries(F.collect_list(F.struct("_name", "_value")))  # a cell of each name, so that a group is as large as its row
+    return cells.groupBy("tablename", *groups).agg(entries.alias("cells"))
+
+
+def transpose_split_tables(
+    df: DataFrame, groups: list[str], table_fields: list[str], name: str, value: str, schemas: dict[str, list[str]], order: str,
+    table_exp: str | None = None, name_exp: str | None = None, folder: str | None = None,
+) -> dict[str, DataFrame]:
+    """A transpose for each table of ``schemas``, from transposed_cells(). With ``folder`` those are written there, once for all
+    tables, each of which is then read from its own part."""
+    cells = transposed_cells(df, groups, table_fields, name, value, schemas, order, table_exp, name_exp)
+    if folder is not None:
+        kind = cells.schema
+        cells.write.partitionBy("tablename").parquet(folder)
+        cells = df.sparkSession.read.schema(kind).parquet(folder)
     return {
-        t: transpose(routed.filter(F.col("tablename") == t), groups, name, value, columns, order)
+        t: cells.filter(F.col("tablename") == t).select(*groups, *(F.coalesce(F.try_element_at("cells", F.lit(c)), F.lit("")).alias(c) for c in columns))
         for t, columns in schemas.items()
     }
 

@@ -417,7 +417,7 @@ def transpose_split_tables(spark, d):
     schemas = {"T_A": ["R1", "R2"], "T_R": ["R1", "R2"]}
     rows = t(spark, d, "lineitem").select("l_orderkey", "l_returnflag", "l_linenumber", "l_partkey", F.lit("T").alias("g"))
     rows = rows.withColumn("reg", F.col("l_linenumber").cast("string"))
-    out = reshape.transpose_split_tables(rows, ["l_orderkey"], ["g", "l_returnflag"], "reg", "l_partkey", schemas, "l_partkey", name_exp="concat('R', reg)")
+    out = reshape.transpose_split_tables(rows, ["l_orderkey"], ["g", "l_returnflag"], "reg", "l_partkey", schemas, "l_partkey", name_exp="concat('R', reg)", folder=scratch_path(spark, "cells"))
     number = lambda c: F.coalesce(F.nullif(c, F.lit("")).cast("long"), F.lit(0).cast("long")).alias(c)
     return routing.union_inputs(*(df.select(F.lit(n).alias("tablename"), "l_orderkey", number("R1"), number("R2")) for n, df in out.items()))
 

@@ -49,10 +49,11 @@ def scan_csv(
 
 
 def scan_csv_schemaless(spark: SparkSession, path, delimiter: str = ",", width: int | None = None) -> DataFrame:
-    """Delimited text as c0, c1, ...; the width is given or that of the widest row (one more pass)."""
+    """Delimited text as c0, c1, ...; the width is given or that of the widest row (one more pass). A delimiter in quotes doesn't count."""
     if width is None:
-        fields = F.size(F.split(F.col("value"), re.escape(delimiter)))
-        width = spark.read.text(path).agg(F.max(fields)).first()[0] or 0
+        # what is quoted is taken out, doubled quotes with it; possessive, as fields may be long
+        bare = F.regexp_replace("value", f"""((?:^|{re.escape(delimiter)})\\s*)"(?:[^"]++|"")*+("|$)""", "$1")
+        width = spark.read.text(path).agg(F.max(F.size(F.split(bare, re.escape(delimiter))))).first()[0] or 0
     return scan_csv(spark, path, [f"c{k}" for k in range(width)], delimiter)
 
 
@@ -78,7 +79,7 @@ def scan_csv_typed(spark: SparkSession, path, schema: T.StructType, delimiter: s
     names = [f.name for f in schema]
     row = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"sep": delimiter})
     # fields are counted with quoted stretches taken out
-    bare = F.regexp_replace("value", '"([^"]|"")*"', "")
+    bare = F.regexp_replace("value", '"(?:[^"]++|"")*+"', "")
     fits = F.size(F.split(bare, re.escape(delimiter))) == len(names)
     rows = spark.read.text(path).select("value", row.alias("r"), fits.alias("fits"))
     good = rows.filter("fits").select(*(F.col(f"r.`{n}`").alias(n) for n in names))
