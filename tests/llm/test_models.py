@@ -63,7 +63,7 @@ def kneser_ney(trusted):
     return squares
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0, 20 * quality.SCORE_BYTES])
 def test_perplexities(spark, limit):
     docs, labels, rows = docs_and_labels(spark)
     trusted_ids = labels.filter("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")

@@ -373,3 +373,21 @@ def test_best_fit_takes_the_tightest_bin():
         assert bin_ == want
         bins.append(100) if not fits else None
         bins[want] -= size
+
+
+def test_a_window_of_very_many_items(spark):
+    """Boilerplate that 100,000 items share, quoted by many documents: items are listed once for a set of windows."""
+    import time
+
+    shared = "please answer the following question with a single word only now"
+    bench = spark.range(100_000).select(F.col("id").alias("item_id"), F.concat(F.lit(f"{shared} q"), F.col("id").cast("string")).alias("text"))
+    texts = [f"say {shared} twice {shared}", "nothing of it here at all", *[f"{shared} {k}" for k in range(60)]]
+    want = hashlib.sha256(",".join(sorted(map(str, range(100_000)))).encode()).hexdigest()
+    windows = decontam.Windows([(k, f"{shared} q{k}") for k in range(100_000)], 10)
+    start = time.time()
+    told = [t for _, _, t, _ in decontam._block(windows, texts)]
+    assert time.time() - start < 5 and told[0] == (100_000, want) == told[5] and told[1] == (0, decontam.EMPTY)
+    for limit in (1 << 30, 0):
+        got = {r.doc_id: r for r in decontam.scan(documents(spark, texts, False), bench, broadcast_bytes=limit).collect()}
+        assert (got[0].n_hit, got[0].n_items, got[0].items_sha256) == (22, 100_000, want) and not got[1].contaminated
+        assert got[7].n_items == 100_000 and got[7].n_hit == 11

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,14 +33,36 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Bytes of a batch that goes to a Python worker at a time; documents are long, so Spark's own limit makes workers and executors large.
+BATCH_BYTES, SPARKS_OWN = 2 << 20, str(64 << 20)
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of BATCH_BYTES for what is run inside, where the session has Spark's own limit, which it has again afterwards."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    if was.rstrip("b") != SPARKS_OWN:
+        yield
+        return
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+        if spark.conf.get(key) != was:
+            spark.conf.set(key, was)
+
+
 def saved(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read back.
+    """``df`` written once as Parquet in the shared folder, in small batches, and read back.
 
     Cuts the lineage: a lost executor costs no recomputation of what lies before. The files go when
     the application ends, or by deleted() where ``path`` was given.
     """
     path = path or shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -49,18 +72,6 @@ def deleted(spark: SparkSession, path: str) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
-#: Bytes of a batch that goes to a Python worker at a time; documents are long, so Spark's own limit makes workers and executors large.
-BATCH_BYTES, SPARKS_OWN = 2 << 20, str(64 << 20)
-
-
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, its session's Arrow batches bounded to BATCH_BYTES where the session has Spark's own limit."""
-    key, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
-    if spark.conf.get(key).rstrip("b") == SPARKS_OWN:
-        spark.conf.set(key, str(BATCH_BYTES))
-    return df
-
-
 def ascii_lower(c):
     """A-Z lower-cased, nothing else. lower() does the same, and faster, where all is ASCII."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, bounded_batches, saved
+from .common import BROADCAST_BYTES, attach, saved
 
 #: Bytes that stay in words: digits, letters in lower case and all that is not ASCII.
 WORD_BYTES = bytes(
@@ -93,30 +93,78 @@ class Windows:
         own, sizes = np.repeat(np.arange(len(items)), np.diff(self.words.at)), np.minimum(np.diff(self.words.at), n)
         self.by_length = {}
         self.words.start, self.words.end = self.words.start.astype(np.int32), self.words.end.astype(np.int32)
+        lists, known = [], 0  # windows' items one after another, and how many windows there are
         for size in np.unique(sizes[sizes > 0]).tolist():
             at, hashes = self.words.rolled(size)
             mine = sizes[own[at]] == size
-            at, hashes = at[mine], hashes[mine]
-            order = np.argsort(hashes, kind="stable")
-            self.by_length[size] = hashes[order], at[order].astype(np.int32), own[at[order]].astype(np.int32)
+            at, hashes, items_ = at[mine], hashes[mine], own[at[mine]].astype(np.int32)
+            order = np.lexsort((items_, hashes))
+            at, hashes, items_ = at[order], hashes[order], items_[order]
+            window = np.cumsum(np.concatenate(([0], hashes[1:] != hashes[:-1]))) if len(hashes) else np.zeros(0, np.int64)
+            window = self._told_apart(at, window, size)
+            order = np.lexsort((items_, window))
+            at, hashes, items_, window = at[order], hashes[order], items_[order], window[order]
+            new = np.concatenate(([True], window[1:] != window[:-1])) if len(window) else np.zeros(0, bool)
+            once = new | np.concatenate(([True], items_[1:] != items_[:-1])) if len(window) else new
+            by_hash = np.argsort(hashes[new], kind="stable")
+            rank = np.empty(len(by_hash), np.int64)
+            rank[by_hash] = np.arange(len(by_hash))
+            lists.append((rank[np.cumsum(new)[once] - 1] + known, items_[once]))
+            self.by_length[size] = hashes[new][by_hash], at[new][by_hash].astype(np.int32), known
+            known += int(new.sum())
+        windows = np.concatenate([w for w, _ in lists]) if lists else np.zeros(0, np.int64)
+        owners = np.concatenate([o for _, o in lists]) if lists else np.zeros(0, np.int32)
+        self.owners = owners[np.argsort(windows, kind="stable")]
+        self.owners_at = np.concatenate(([0], np.cumsum(np.bincount(windows, minlength=known)))).astype(np.int64)
+        self.digests: dict = {}
         del self.words.hash  # the windows' hashes are made
 
+    def _told_apart(self, at: np.ndarray, window: np.ndarray, size: int) -> np.ndarray:
+        """``window`` numbers runs of one hash; windows of other words than a run's first get numbers of their own."""
+        first = at[np.flatnonzero(np.concatenate(([True], window[1:] != window[:-1])))] if len(at) else at
+        odd = [k for k in np.flatnonzero(at != first[window]).tolist() if self.words.window(at[k], size) != self.words.window(first[window[k]], size)]
+        if not odd:
+            return window
+        out, numbers = window.copy(), {}
+        for k in odd:
+            out[k] = numbers.setdefault((int(window[k]), self.words.window(at[k], size)), len(first) + len(numbers))
+        return out
+
     def hits(self, docs: Words) -> tuple[np.ndarray, list[tuple[int, int]]]:
-        """The words that lie in a window, and (place, item) of each occurrence."""
+        """The words that lie in a window, and (place, item) of each item of each occurrence."""
+        hit, found = self.met(docs)
+        return hit, [(k, int(o)) for k, w in found for o in self.owners[self.owners_at[w] : self.owners_at[w + 1]]]
+
+    def met(self, docs: Words) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """The words that lie in a window, and (place, window) of each occurrence."""
         hit, found = np.zeros(len(docs.hash), bool), []
-        for size, (hashes, places, owners) in self.by_length.items():
+        for size, (hashes, places, before) in self.by_length.items():
             at, rolled = docs.rolled(size)
             low, high = np.searchsorted(hashes, rolled), np.searchsorted(hashes, rolled, "right")
             some = np.flatnonzero(high > low)
             for k, a, b in zip(at[some].tolist(), low[some].tolist(), high[some].tolist()):
-                window, last = docs.window(k, size), None
-                for e in range(a, b):
-                    if self.words.window(places[e], size) == window and owners[e] != last:
+                window = docs.window(k, size)
+                for e in range(a, b):  # more than one only where windows share a hash
+                    if self.words.window(places[e], size) == window:
                         hit[k : k + size] = True
-                        last = owners[e]
-                        found.append((k, int(last)))
+                        found.append((k, before + e))
+                        break
         return hit, found
 
+    def told(self, windows: set) -> tuple[int, str]:
+        """How many items have any of the windows, and the digest of their ids. Kept, as documents share what they quote."""
+        key = tuple(sorted(windows))
+        if key not in self.digests:
+            if len(self.digests) >= KEPT_DIGESTS:
+                self.digests.clear()
+            owners = np.unique(np.concatenate([self.owners[self.owners_at[w] : self.owners_at[w + 1]] for w in key]))
+            self.digests[key] = _digest({self.ids[o] for o in owners.tolist()})
+        return self.digests[key]
+
+
+#: Sets of windows of which a task keeps the items' digest.
+KEPT_DIGESTS = 10_000
+
 
 def _digest(items: set) -> tuple[int, str]:
     ids = sorted({i for i in items if i is not None})
@@ -134,15 +182,15 @@ def _blocks(batches, text: int):
 
 
 def _block(windows: Windows, texts: list):
-    """For each text: words, hit words, items, and spans in words (start, end) that windows cover."""
+    """For each text: words, hit words, items and their digest, and which words windows cover."""
     words = Words(texts)
-    hit, found = windows.hits(words)
+    hit, found = windows.met(words)
     items: list[set] = [set() for _ in texts]
-    for k, item in found:
-        items[int(np.searchsorted(words.at, k, "right")) - 1].add(windows.ids[item])
+    for k, window in found:
+        items[int(np.searchsorted(words.at, k, "right")) - 1].add(window)
     for k, (a, b) in enumerate(zip(words.at.tolist(), words.at[1:].tolist())):
         mine = hit[a:b]
-        yield b - a, int(mine.sum()), items[k], mine
+        yield b - a, int(mine.sum()), windows.told(items[k]) if items[k] else (0, EMPTY), mine
 
 
 def scan(
@@ -175,8 +223,8 @@ def scan(
         windows = held.value
         for part in _blocks(batches, 1):
             rows = [
-                (words, hits, *_digest(items), _runs(mine) if hits else [])
-                for words, hits, items, mine in _block(windows, part.column(1).to_pylist())
+                (words, hits, *told, _runs(mine) if hits else [])
+                for words, hits, told, mine in _block(windows, part.column(1).to_pylist())
             ]
             w, h, k, sha, spans = zip(*rows)
             yield pa.RecordBatch.from_arrays(
@@ -192,7 +240,7 @@ def scan(
                 names=NAMES,
             )
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return saved(docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA), "scanned")
 
 
 SPANS_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -243,9 +291,10 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
 
 def _scan_by_join(docs: DataFrame, bench: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """The same without a broadcast of windows: those that a bitmap lets through meet the benchmark's by hash and words. A row
-    is told by a number of its own, so copies and empty texts share no key; Spark splits a window that very many documents hold."""
-    each = _item_windows(bench, n)
-    windows = saved(each.groupBy("size", "h", "words").agg(F.collect_set("item").alias("items")), "windows")
+    is told by a number of its own, so copies and empty texts share no key. An occurrence gets its window's number; items are
+    put together once for each set of windows that documents have."""
+    each = saved(_item_windows(bench, n), "item_windows")
+    windows = saved(each.select("size", "h", "words").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
     lengths = [r[0] for r in windows.select("size").distinct().orderBy("size").collect()]  # at most n values
     held = docs.sparkSession.sparkContext.broadcast(_bitmap(windows))
 
@@ -274,18 +323,28 @@ def _scan_by_join(docs: DataFrame, bench: DataFrame, n: int, id_col: str, text_c
                     rows[text], none, none, at - words.at[text], [size] * len(at), hashes.view(np.int64), [words.window(k, size) for k in at.tolist()]
                 )
 
-    plain = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     table = saved(plain.mapInArrow(run, "row long, doc_id long, n_words long, pos long, size int, h long, words binary"), "windows_met")
-    found = table.filter("pos is not null").select("row", "pos", "size", "h", "words").join(windows, ["size", "h", "words"])
-    per_row = found.groupBy("row").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("size") - 1)))).alias("at"),
-        F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+    met = table.filter("pos is not null").select("row", "pos", "size", "h", "words")
+    uses = met.groupBy("size", "h", "words").agg(F.count("*").alias("n"))
+    found = attach(met, saved(windows.join(uses, ["size", "h", "words"]), "windows_used"), ["size", "h", "words"])
+    per_row = saved(
+        found.groupBy("row").agg(
+            F.array_distinct(F.flatten(F.collect_list(F.sequence("pos", F.col("pos") + F.col("size") - 1)))).alias("at"),
+            F.array_sort(F.collect_set("window")).alias("windows"),
+        ),
+        "rows_met",
     )
+    sets = per_row.select("windows").distinct().withColumn("window", F.explode("windows"))
+    used = windows.join(each, ["size", "h", "words"]).select("window", "item").distinct()
+    items = F.collect_set("item")
+    told = sets.join(used, "window").groupBy("windows").agg(F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(F.array_sort(items), ","), 256).alias("items_sha256"))
+    per_row = per_row.join(told, "windows", "left")
     runs = per_row.withColumn("p", F.array_sort("at")).select(
         "row",
         F.size("p").cast("long").alias("n_hit"),
-        F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
+        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", F.lit(EMPTY)).alias("items_sha256"),
         F.filter("p", lambda x, i: (i == 0) | (F.get("p", i - 1) != x - 1)).alias("a"),
         F.filter("p", lambda x, i: F.coalesce(F.get("p", i + 1) != x + 1, F.lit(True))).alias("b"),
     )

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import pii_labels
-from .common import bounded_batches
+from .common import saved
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *KINDS)
@@ -364,7 +364,8 @@ def find(
                     names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
                 )
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
+    found = docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
         run,
         "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string",
     )
+    return saved(found, "personal_data")

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, bounded_batches, saved
+from .common import BROADCAST_BYTES, saved
 
 ORDER = 5
 BITS, IN_LO = 21, 3  # bits of a code point, and code points in lo
@@ -72,12 +72,13 @@ def _distinct(hi, lo, n):
     return hi[at], lo[at], np.bincount(back, n, len(at)).astype(np.int64)
 
 
+def _gram_rows(*columns):
+    return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hi", "lo", "n"])
+
+
 def _count(batches):
     """Grams of all texts with their number in counted ones, summed within the task while they are few enough to hold."""
 
-    def out(*columns):
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=["hi", "lo", "n"])
-
     held: list = []
     for part in _cut(batches):
         hi, lo, n = _grams(part.column(0).to_pylist())
@@ -85,9 +86,9 @@ def _count(batches):
         if sum(len(x[0]) for x in held) > HELD_GRAMS:
             held = [_distinct(*(np.concatenate(x) for x in zip(*held)))]
             if len(held[0][0]) > HELD_GRAMS // 2:
-                yield out(*held.pop())
+                yield _gram_rows(*held.pop())
     if held:
-        yield out(*_distinct(*(np.concatenate(x) for x in zip(*held))))
+        yield _gram_rows(*_distinct(*(np.concatenate(x) for x in zip(*held))))
 
 
 def _discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -199,8 +200,42 @@ def _score_by_broadcast(rows: DataFrame, scores: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, RESULT)
 
 
-def _score_by_block(rows: DataFrame, scores: DataFrame) -> DataFrame:
-    """Without a broadcast: each block of texts asks for its own distinct grams and is met by them."""
+def _uncounted(batches):
+    """Without a model: the symbols of each text, of which none costs anything."""
+    for part in _cut(batches):
+        _, _, n = _grams(part.column(0).to_pylist())
+        yield _rows(part, n, np.zeros(len(n)))
+
+
+def _frequent(rows: DataFrame, scores: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` grams that most blocks of texts hold, as sorted hashes, and their scores: what blocks need not ask for."""
+
+    def held(batches):
+        each: list = []
+        for part in _cut(batches):
+            hi, lo, _ = _grams(part.column(0).to_pylist())
+            each.append(_distinct(hi, lo, np.ones(len(hi), np.int64))[:2])
+            each[-1] = (*each[-1], np.ones(len(each[-1][0]), np.int64))
+            if sum(len(x[0]) for x in each) > HELD_GRAMS:
+                each = [_distinct(*(np.concatenate(x) for x in zip(*each)))]
+                if len(each[0][0]) > HELD_GRAMS // 2:
+                    yield _gram_rows(*each.pop())
+        if each:
+            yield _gram_rows(*_distinct(*(np.concatenate(x) for x in zip(*each))))
+
+    often = rows.select("text").mapInArrow(held, "hi long, lo long, n long").groupBy("hi", "lo").agg(F.sum("n").alias("n"))
+    top = often.filter("n > 1").orderBy(F.desc("n"), "hi", "lo").limit(most)
+    table = saved(top.join(scores, ["hi", "lo"]).select("hi", "lo", F.col("logp").cast("float")), "frequent_grams").toArrow()  # bounded
+    hi, lo, logp = (table.column(c).to_numpy() for c in table.column_names)
+    keys = _hashed(hi.astype(np.uint64), lo.astype(np.uint64))
+    order = np.argsort(keys)
+    return keys[order], logp[order]
+
+
+def _score_by_block(rows: DataFrame, scores: DataFrame, most: int) -> DataFrame:
+    """Beyond what is broadcast: each block of texts asks for its own distinct grams and is met by them. The ``most`` most frequent
+    grams are broadcast all the same, so that no gram is asked for by very many blocks, and a block asks for few."""
+    hot = rows.sparkSession.sparkContext.broadcast(_frequent(rows, scores, most))
     fields = [("text", pa.string()), ("counted", pa.bool_()), ("doc_id", pa.int64()), ("lang", pa.string()), ("text_hash", pa.int64()), ("part", pa.int32())]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct(fields))]
     names = ["block", "hi", "lo", "rows"]
@@ -211,6 +246,11 @@ def _score_by_block(rows: DataFrame, scores: DataFrame) -> DataFrame:
             block = (task << 32) + k
             hi, lo, _ = _grams(part.column(0).to_pylist())
             hi, lo, _ = _distinct(hi, lo, np.zeros(len(hi), np.int64))
+            keys = hot.value[0]
+            if len(keys):
+                hashes = _hashed(hi, lo)
+                rare = keys[np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)] != hashes
+                hi, lo = hi[rare], lo[rare]
             whole = [[block], [None], [None], [part.to_pylist()]]
             for columns in (whole, [[block] * len(hi), hi.astype(np.int64), lo.astype(np.int64), [None] * len(hi)]):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
@@ -222,8 +262,10 @@ def _score_by_block(rows: DataFrame, scores: DataFrame) -> DataFrame:
 
     def score(left, right):
         keys = _hashed(right.column("hi").to_numpy().astype(np.uint64), right.column("lo").to_numpy().astype(np.uint64))
+        keys = np.concatenate([keys, hot.value[0]])
+        logp = np.concatenate([right.column("logp").to_numpy().astype(np.float32), hot.value[1].astype(np.float32)])
         order = np.argsort(keys)
-        keys, logp = keys[order], right.column("logp").to_numpy().astype(np.float32)[order]
+        keys, logp = keys[order], logp[order]
         out = []
         for r in left.column("rows").to_pylist():
             part = pa.RecordBatch.from_pylist(r, schema=pa.schema(fields))
@@ -241,7 +283,7 @@ def perplexities(
     marks = trusted_ids.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("_t")).distinct()
     if 8 * marks.count() <= broadcast_bytes:
         marks = F.broadcast(marks)
-    plain = bounded_batches(docs).select(
+    plain = docs.select(
         F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).alias("lang"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
     )
@@ -253,10 +295,12 @@ def perplexities(
     )
     counted = rows.select("text", "counted").mapInArrow(_count, "hi long, lo long, n long")
     grams = saved(counted.groupBy("hi", "lo").agg(F.sum("n").alias("n")), "grams")
+    if grams.filter("n > 0").isEmpty():  # no model: every symbol is as likely as any other, which is certain
+        return rows.mapInArrow(_uncounted, RESULT)
     scores = saved(gram_scores(grams), "scores")
     if SCORE_BYTES * scores.count() <= broadcast_bytes:
         return _score_by_broadcast(rows, scores)
-    return _score_by_block(rows, scores)
+    return _score_by_block(rows, scores, broadcast_bytes // SCORE_BYTES)
 
 
 def assess(

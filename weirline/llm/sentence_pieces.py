@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches
+from .common import saved
 
 SPACE = "▁"
 LONGEST = 48  # characters of a word that goes through the matrices; longer ones go through a heap one by one
@@ -303,7 +303,7 @@ def encode(
             flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(ends, flat)], names=["doc_id", "ids"])
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, ids array<int>"
     )
 
@@ -317,7 +317,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
             texts = model.decode([x or [] for x in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return bounded_batches(encoded).select(F.col(id_col).cast("long"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(
+    return encoded.select(F.col(id_col).cast("long"), F.col(ids_col).cast("array<int>").alias("ids")).mapInArrow(
         run, "doc_id long, text string"
     )
 
@@ -346,6 +346,7 @@ def round_trip(
                 names=["doc_id", "n_tokens", "ids_crc32", "lossless"],
             )
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
+    done = docs.select(F.col(id_col).cast("long"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long, ids_crc32 long, lossless boolean"
     )
+    return saved(done, "round_trip")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, attach, bounded_batches, deleted, saved, shared_path
+from .common import BROADCAST_BYTES, attach, deleted, saved, shared_path, small_batches
 
 CHUNK = 1 << 16
 #: Members of a bucket up to which its pairs are verified one by one.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 names=["doc_id", "fp"],
             )
 
-    return bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, fp long"
     )
 
@@ -254,7 +254,7 @@ def near_copies(
     stand for their component: the smallest id, null ids last, and its smallest text_hash. Rows that repeat both
     are marked alike. component_id is as in near_duplicates(), as are nulls and empty tables.
     """
-    spark = bounded_batches(docs).sparkSession
+    spark = docs.sparkSession
     hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), hashed.alias("text_hash"), F.col(text_col).alias("text"))
 
@@ -265,7 +265,8 @@ def near_copies(
 
     sampled = source.filter(F.pmod("text_hash", F.lit(SAMPLED)) == 0).select("text").mapInArrow(sample, "token long")
     often = sampled.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
-    top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()  # bounded
+    with small_batches(spark):
+        top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()  # bounded
     frequent = spark.sparkContext.broadcast(np.sort(top["token"].to_numpy(np.int64)))
 
     def run(batches):

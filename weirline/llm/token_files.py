@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, bounded_batches
+from .common import BROADCAST_BYTES, small_batches
 
 BLOCK = 1 << 22  # ids in a block
 STRETCHES, LEAST_STEPS = 4096, 1024  # stretches of a block, and ids that each has at least in a large one
@@ -438,7 +438,7 @@ def write(
     An empty table gives a file without chunks.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = bounded_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     # the text's hash only breaks ties between rows of one id
     spread = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
     ordered = spread.sortWithinPartitions("doc_id", "tie").select("doc_id", "text", F.spark_partition_id().alias("part"))
@@ -468,7 +468,8 @@ def write(
         if raw:
             yield row()
 
-    ordered.mapInArrow(run, FILE).write.parquet(path)
+    with small_batches(docs.sparkSession):
+        ordered.mapInArrow(run, FILE).write.parquet(path)
 
 
 def read(files: DataFrame) -> DataFrame:
