@@ -25,7 +25,9 @@ SPACE = "▁"
 LONGEST = 48  # characters of a word that goes through the matrices; longer ones go through a heap one by one
 WORDS = 1 << 15
 NONE = np.iinfo(np.int32).max
-A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
+A_INT, B_INT, C_INT, MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, (1 << 64) - 1
+A, B, C = (np.uint64(x) for x in (A_INT, B_INT, C_INT))
+PLACE_BITS = 13  # symbols of a long word are counted by stretches of 2**13
 BLOCK_ROWS, BLOCK_BYTES = 300, 1 << 20
 
 
@@ -120,6 +122,14 @@ def skipped(key: np.ndarray, place, merged, limit: np.uint64) -> np.ndarray:
         return mixed(x) < limit
 
 
+def plain_skipped(key: int, place: int, merged: int, limit: int) -> bool:
+    """skipped() for one candidate, in Python's integers."""
+    x = (key + (merged << 20) * A_INT + place * C_INT) & MASK
+    x = (x ^ x >> 30) * B_INT & MASK
+    x = (x ^ x >> 27) * C_INT & MASK
+    return x ^ x >> 31 < limit
+
+
 def _matrix_words(pieces: Pieces, s: np.ndarray, key: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray]:
     """Agendas of words of one length (rows of ``s``): their symbols at the end, and how many each has."""
     words, width = s.shape
@@ -164,44 +174,38 @@ def _matrix_words(pieces: Pieces, s: np.ndarray, key: np.ndarray, limit: np.uint
 def heap_word(pieces: Pieces, symbols: list[int], key: int, limit: int) -> list[int]:
     """The same agenda for one word of any length, by a heap; places are counted in symbols as they then stand."""
     n = len(symbols)
+    pairs, push, pop = pieces.pairs, heapq.heappush, heapq.heappop
     s, after, before = list(symbols), [*range(1, n), -1], list(range(-1, n - 1))
-    fenwick = [0] * (n + 1)  # dead symbols, for a symbol's place among the living
+    alive = bytearray(b"\1") * n
+    gone = [0] * ((n >> PLACE_BITS) + 1)  # dead symbols of each stretch, for a symbol's place among the living
 
     def dead_before(i):
-        total = 0
-        while i:
-            total += fenwick[i]
-            i &= i - 1
-        return total
+        stretch = i >> PLACE_BITS
+        return sum(gone[:stretch]) + alive.count(0, stretch << PLACE_BITS, i)
 
     agenda, stamp = [], [0] * n
 
     def add(i):
         if i >= 0 and after[i] >= 0:
-            found = pieces.pairs.get(s[i] << 32 | s[after[i]])
+            found = pairs.get(s[i] << 32 | s[after[i]])
             if found:
-                heapq.heappush(agenda, (found[0], i, stamp[i], stamp[after[i]], found[1]))
+                push(agenda, (found[0], i, stamp[i], stamp[after[i]], found[1]))
 
-    alive = [True] * n
     for i in range(n - 1):
         add(i)
     while agenda:
-        _, i, a, b, new = heapq.heappop(agenda)
+        _, i, a, b, new = pop(agenda)
         if not alive[i] or stamp[i] != a or after[i] < 0 or stamp[after[i]] != b:
             continue
-        place = i - dead_before(i)
-        if skipped(np.array([key], np.uint64), place, new, np.uint64(limit))[0]:
+        if limit and plain_skipped(key, i - dead_before(i), new, limit):
             continue
         j = after[i]
-        s[i], alive[j], after[i] = new, False, after[j]
+        s[i], alive[j], after[i] = new, 0, after[j]
         if after[j] >= 0:
             before[after[j]] = i
         stamp[i] += 1
         stamp[j] += 1
-        k = j + 1
-        while k <= n:
-            fenwick[k] += 1
-            k += k & -k
+        gone[j >> PLACE_BITS] += 1
         add(before[i])
         add(i)
     return [s[i] for i in range(n) if alive[i]]
