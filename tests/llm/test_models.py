@@ -141,6 +141,46 @@ def test_secret_forest_on_held_out_lines(spark):
     assert found + lost > 80 and found >= 0.85 * (found + lost) and found >= 0.85 * (found + wrong), n
 
 
+#: Lines of other forms, apart from those that the forest is fitted on, by form.
+FORMS = {
+    "short": ["password: {s:word12}", "my password: {s:word14}", "pass={s:word12}", "admin_password = '{s:word10}'"],
+    "signs": ["pw={s:sign20}", "DB_PASS={s:sign16}", 'credentials: password="{s:sign14}"', "secret={s:sign12}"],
+    "urls": ["amqp://worker:{s:sign16}@queue.example.com/jobs", "https://api.example.net/v1/items?limit=10&api_key={s:mixed32}", "sftp://loader:{s:word14}@data.example.org/"],
+    "hooks": ["https://hooks.example.org/services/T{n:digits8}/B{n:digits8}/{s:mixed24}"],
+    "keys": ["key={s:hex32}", "secret_key: {s:hex64}", "Authorization: Bearer {s:sign32}"],
+    "none": ["Remark: {n:digits10} was ordered", "state=completed", "password: must be changed", "subject: yesterday's minutes", "file=/tmp/output.txt", "colour: #ffeedd;", "when: 2024-02-29T10:00",
+             "token = next(tokens)", "user: caroline", "ratio=16:9,scale=2", "ref: {n:uuid}", "Basic questions remain", "title: Foreword", "weight=12.5kg", "checked: nothing."],
+}
+
+
+def test_secrets_of_many_forms(spark):
+    """Found by form: at least three in four of each, and at most one in twenty of what is none."""
+    for form, templates in FORMS.items():
+        lines = secret_labels.lines(templates, 12, f"held out {form}")
+        df = spark.createDataFrame([(k, text) for k, (text, _) in enumerate(lines)], "doc_id long, text string")
+        found = {}
+        for r in secret_scan.scan(df).collect():
+            found.setdefault(r.doc_id, []).append(r.candidate)
+        if form == "none":
+            assert len(found) <= len(lines) / 20, found
+        else:
+            hit = sum(any(s in c or c in s for s in secrets for c in found.get(k, [])) for k, (_, secrets) in enumerate(lines))
+            assert hit >= 0.75 * len(lines), (form, hit, len(lines))
+
+
+def test_assigned_values_are_whole(spark):
+    texts = {
+        "password: hunter2hunter2": ["hunter2hunter2"], "pw=Tr0ub4dor&3xtra!longpass": ["Tr0ub4dor&3xtra!longpass"], 'p = "a1!b2@c3"###': ["a1!b2@c3"],
+        "redis://:p@ss!w0rd9@h:1/0": ["p@ss!w0rd9"], "http://x/y?a=1&pw=s3cr3t!&z=2": ["s3cr3t!"], '{"a":"x1!y2@z3","b":2}': ["x1!y2@z3"], "Bearer abc$def%1": ["abc$def%1"],
+        "k='open": [], "k='opened!": ["opened!"], "no value here": [], "key=abcdefghijklmnopqrst": [], "": [], "x=12345": [], "a:=b!c!d!e": ["b!c!d!e"],
+    }
+    df = spark.createDataFrame([*enumerate(texts), (None, None)], "doc_id long, text string").withColumns({n: F.lit("x") for n in ("word", "found", "x", "candidate")})
+    got = {}
+    for r in secret_scan.assigned(df).collect():
+        got.setdefault(r.doc_id, []).append(r.candidate)
+    assert {t: sorted(got.get(k, [])) for k, t in enumerate(texts)} == {t: sorted(v) for t, v in texts.items()}
+
+
 def brute_candidates(text):
     """(word, run) of every run of key characters, word by word and character by character."""
     out = []

@@ -12,7 +12,7 @@ import re
 
 LINES = """
 token = "{s:hex40}"
-the token = "{s:hex40}" was left here
+a reader of the log will find "{s:hex40}" behind access_token: twice
 auth_token: '{s:hex32}'
 export AWS_SECRET_ACCESS_KEY={s:b64_40}
 aws_access_key_id = {s:akia}
@@ -79,9 +79,9 @@ def test_returns_an_error_when_the_token_has_expired(self):
 the internationalisationandlocalisation of the counterrevolutionaries
 Donaudampfschifffahrtsgesellschaft und Rechtsschutzversicherungsgesellschaften
 anticonstitutionnellement, electroencefalografistas
-onthatherenedtioning theandtherforthisthing withthatioarentha
-eresndtionble.thoronst.oreawhshthing
-ENTHERHAWHATHANDTHE einerbekeitungsch
+thequickbrownfoxjumpsoverthelazydog thisisonlyatestofthehashtag
+never.again.without.mentioning.the.source and/or/neither/nor/either
+SUPERCALIFRAGILISTIC kindergartenbetreuungsgutschein
 phone 0049-30-1234567890123456 and account 1234567890123456789
 order 20231102-000000123456789 shipped
 version 1.2.3-beta.20231102.123456789
@@ -105,8 +105,73 @@ node_modules/.cache/babel-loader/{n:hex64}.json
 latitude=52.5200065999999&longitude=13.404953999999
 Content-Type: application/x-www-form-urlencoded;charset=utf-8
 Licensed-under-the-Apache-License/Version-2.0/http://www.apache.org/licenses/LICENSE-2.0
+password: {s:word14}
+password = "{s:sign12}"
+pw={s:sign20}
+pwd={s:word10};
+"db_password": "{s:sign14}",
+user: reader, pass: {s:word12}
+mysql -u root --password={s:sign12} inventory
+PGPASSWORD='{s:sign16}' psql -h db.example.org
+login: admin password: {s:word10}
+passphrase: {s:sign24}
+<add key="AdminPassword" value="{s:sign14}" />
+redis://:{s:sign16}@cache.example.net:6379/0
+ftp://backup:{s:word12}@files.example.com/incoming
+Authorization: Bearer {s:sign32}
+Authorization: Basic {s:b64_28}
+https://hooks.example.com/services/T{n:digits8}/B{n:digits8}/{s:mixed24}
+https://chat.example.net/api/webhooks/{n:digits18}/{s:mixed60}
+key={s:hex32}
+smtp_pass = {s:word12}
+PIN code: {s:digits8} for the safe
+secret: {s:sign12}
+wifi password is: {s:word12}
+root_password: !vault {s:hex40}
+passwd={s:sign10}&remember=1
+password: required, at least {n:digits2} characters
+password = os.environ["DB_PASSWORD"]
+password: ********
+password=<hidden>
+password: string
+token: null
+token: undefined,
+secret = input("secret: ")
+pass: see the wiki
+user: administrator
+name: "Wilhelmine"
+title: Introduction
+status=completed
+Note: nothing was changed.
+version: 12.4.1
+date=2023-11-02
+time: 10:15:30
+color: #a1b2c3
+size=1024x768
+path=/var/log/messages
+charset=utf-8
+level=warning
+Subject: minutes of yesterday's meeting
+width: 100%;
+ratio: 16:9
+price: $1,299.00
+phone: +49-30-1234567
+mail: reader@example.org
+author: O'Brien & Sons
+he said: "Nevertheless!"
+Warning: deprecated!
+isbn: 978-3-16-148410-0
+id={n:digits8}
+count: {n:digits10}
+session={n:uuid}
+build={n:hex8}
+Bearer of good news
+Basic knowledge helps
 """.strip().split("\n")
 
+#: What people make passwords of, and the signs in them.
+CHOSEN = ("summer", "hunter", "dragon", "monkey", "football", "welcome", "secret", "orange", "winter", "charlie", "letmein", "master", "shadow", "sunshine", "tiger")
+SIGNS = "!@#$%^&*+?~"
 SLOT = re.compile(r"\{([sn]):(\w+)\}")
 
 
@@ -125,6 +190,15 @@ def filled(form: str, key: str) -> str:
         return plain[:n]
     if name == "digits":
         return str(int.from_bytes(raw[:16], "big"))[:n]
+    if name == "word":  # a word or two, digits and perhaps a sign, as people choose them
+        pick = int.from_bytes(raw[:8], "big")
+        words = [CHOSEN[pick % len(CHOSEN)], CHOSEN[pick // 97 % len(CHOSEN)]]
+        out = words[0].capitalize() if pick & 1 else words[0]
+        out += str(pick // 7 % 10000) + ("!" if pick & 2 else "") + words[1]
+        return out[:n] if len(out) >= n else out + plain[: n - len(out)]
+    if name == "sign":  # letters, digits and signs
+        letters = [SIGNS[b % len(SIGNS)] if b % 5 == 0 else plain[k % len(plain)] for k, b in enumerate(raw)]
+        return "".join(letters)[:n]
     if name == "uuid":
         h = raw.hex()
         return "-".join((h[:8], h[8:12], h[12:16], h[16:20], h[20:32]))
