@@ -349,3 +349,14 @@ def test_tables_transposed_in_one_pass(spark, tmp_path):
                 if f == f"t{k}" and n in schemas[f"T_t{k}"]:
                     want.setdefault(g, dict.fromkeys(schemas[f"T_t{k}"], ""))[n] = v or ""
             assert sorted(rows(out[f"T_t{k}"]), key=str) == sorted(((g, *r.values()) for g, r in want.items()), key=str)
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_kept_rows_of_a_hot_group(spark, monkeypatch, limit):
+    monkeypatch.setattr(aggregates, "BROADCAST_BYTES", limit)
+    df = spark.range(6000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("k"), F.lit("2").alias("v"))
+    out = aggregates.aggregate(df, ["k"], [Op("keep", ["v"]), Op("sum", ["v"])])
+    got = {(r[0], r[2]): r[3] for r in out.groupBy(*out.columns).count().collect()}
+    assert got[("hot", 8000.0)] == 4000 and got[(None, 2000.0)] == 1000 and len(got) == 1002 and sum(got.values()) == 6000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("Window" not in plan) and (limit == 0 or "SortMergeJoin" not in plan)

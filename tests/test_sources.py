@@ -237,3 +237,32 @@ def test_width_of_rows_with_quotes(spark, tmp_path):
     assert {"a,b", 'x "y, z"'} <= {r.c0.strip() for r in out.collect()}
     (tmp_path / "r.csv").write_text('"a|b"|"c"\n' + '"' + "x|" * 50_000 + '"|y\n')
     assert files.scan_csv_schemaless(spark, f"file://{tmp_path}/r.csv", "|").columns == ["c0", "c1"]
+
+
+def test_ranges_of_a_skewed_key():
+    keys = [5] * 6000 + list(range(1000)) + [10**12 + 7 * k for k in range(3000)] + [-(10**9)]
+    asked = []
+
+    def ask(a, z, width):
+        asked.append(a)
+        out = {}
+        for k in keys:
+            if a <= k < z:
+                out[(k - a) // width] = out.get((k - a) // width, 0) + 1
+        return out
+
+    got = files.balanced_ranges(ask, min(keys), max(keys), len(keys), 20)
+    assert all(a < z <= b for (a, z, _), (b, _, _) in zip(got, got[1:])) and sum(n for *_, n in got) == len(keys) and len(asked) < 60
+    assert all(n == sum(a <= k < z for k in keys) for a, z, n in got)
+    assert [n for a, z, n in got if n > 501] == [6001] and len(got) < 40
+
+
+def test_jdbc_keys_that_are_null_or_missing(spark):
+    url = "jdbc:derby:memory:keys;create=true"
+    rows = [(k, None if k % 3 == 0 else k % 5 * 10**9) for k in range(300)]
+    spark.createDataFrame(rows, "a long, k long").write.format("jdbc").options(url=url, dbtable="t_keys").mode("overwrite").save()
+    got = files.jdbc_by_key(spark, url, "SELECT * FROM t_keys", '"k"', 4)
+    assert sorted(map(tuple, got.collect())) == rows and got.rdd.getNumPartitions() >= 4
+    none = files.jdbc_by_key(spark, url, 'SELECT * FROM t_keys WHERE "a" < 0', '"k"', 4)
+    assert none.count() == 0 and none.columns == ["a", "k"]
+    assert files.jdbc_by_key(spark, url, 'SELECT * FROM t_keys WHERE "k" IS NULL', '"k"', 4).count() == 100

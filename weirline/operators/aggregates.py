@@ -14,7 +14,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..plans.scratch import written
 from .columns import chosen
+from .sizes import BROADCAST_BYTES, payload
 
 OPERATIONS = ("sum", "avg", "max", "min", "count", "keep")
 
@@ -88,9 +90,11 @@ def aggregate(
         rows = df.select(*shown, *(k for k in kept if k not in shown), *(F.col(k).alias(f"_key{i}") for i, k in enumerate(names)))
         if not values:
             return rows.drop(*(f"_key{i}" for i in range(len(names))))
-        totals = df.groupBy(*(F.col(k).alias(f"_of{i}") for i, k in enumerate(names))).agg(*(v.alias(f"_value{j}") for j, (_, v) in enumerate(values)))
-        if names:  # summed before the shuffle and joined back, so that no group has to be in one task
-            joined = rows.join(totals, [F.col(f"_key{i}").eqNullSafe(F.col(f"_of{i}")) for i in range(len(names))])
+        totals = df.groupBy(*(F.col(k).alias(f"_of{i}") for i, k in enumerate(names))).agg(
+            *(v.alias(f"_value{j}") for j, (_, v) in enumerate(values)), F.count(F.lit(1)).alias("_n")
+        )
+        if names:
+            joined = _joined_back(rows, written(totals, "totals"), len(names)).drop("_n")
         else:
             joined = rows.join(F.broadcast(totals), F.lit(True))
         first = rows.columns[: len(rows.columns) - len(names)]
@@ -100,6 +104,22 @@ def aggregate(
     return grouped.drop(*(k for k in names if k in hide))
 
 
+#: A group with more than this share of the rows is hot.
+HOT_SHARE = 256
+
+
+def _joined_back(rows: DataFrame, totals: DataFrame, keys: int) -> DataFrame:
+    """``rows`` with their groups' ``totals``, written ones. Small totals are broadcast, and rows stay where they are; beyond, the totals of hot
+    groups are, of which there are fewer than HOT_SHARE, and only the other rows are shuffled. So no task has a whole hot group."""
+    same = [F.col(f"_key{i}").eqNullSafe(F.col(f"_of{i}")) for i in range(keys)]
+    if payload(totals) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(totals), same)
+    limit = max(1000, (totals.agg(F.sum("_n")).first()[0] or 0) // HOT_SHARE)
+    hot = F.broadcast(totals.filter(F.col("_n") > limit))
+    cold = rows.join(hot.select(*(f"_of{i}" for i in range(keys))), same, "left_anti").join(totals.filter(F.col("_n") <= limit), same)
+    return cold.unionByName(rows.join(hot, same))
+
+
 def aggregate_tables(tables: dict[str, DataFrame], plans: dict[str, dict]) -> dict[str, DataFrame]:
     """Independent aggregates: for each result its source table (``table``) and aggregate() arguments."""
     return {new: aggregate(tables[p["table"]], **{k: v for k, v in p.items() if k != "table"}) for new, p in plans.items()}

@@ -294,11 +294,61 @@ def first_line_values(spark: SparkSession, path, delimiter: str = ",") -> DataFr
 
 def jdbc_extract(spark: SparkSession, url: str, queries: dict[str, str], fetchsize: int = 1000, **options) -> dict[str, DataFrame]:
     """The result of each SELECT on a JDBC source, by name. ``options`` may name partitionColumn, bounds and numPartitions for
-    reads in parallel; otherwise each result comes through one task."""
+    reads in parallel; otherwise each result comes through one task. jdbc_by_key() finds the bounds itself."""
     reader = spark.read.format("jdbc").option("url", url).option("fetchsize", fetchsize).options(**options)
     return {name: reader.option("query", q).load() for name, q in queries.items()}
 
 
+#: Ranges into which one that holds too many rows is cut at a time.
+CUTS = 64
+
+
+def balanced_ranges(ask, low: int, high: int, rows: int, parts: int) -> list[tuple[int, int, int]]:
+    """(from, to, rows) of half-open ranges of a whole-number key, in order, that hold about ``rows / parts`` each.
+
+    ``ask`` gives the rows of each of the equal cuts of a range, (from, width) -> {cut: rows}. Only ranges with too many are cut further,
+    down to single keys; a key with more than its share is a range of its own. Small neighbours are put together.
+    """
+    most = max(1, -(-rows // parts))
+    done, todo = [], [(low, high + 1, rows)]
+    while todo:
+        a, z, n = todo.pop()
+        if n <= most or z - a == 1:
+            done.append((a, z, n))
+            continue
+        width = max(1, -(-(z - a) // CUTS))
+        todo += [(a + k * width, min(z, a + (k + 1) * width), m) for k, m in ask(a, z, width).items() if m]
+    out: list[tuple[int, int, int]] = []
+    for a, z, n in sorted(done):
+        if out and out[-1][2] + n <= most:
+            out[-1] = (out[-1][0], z, out[-1][2] + n)
+        else:
+            out.append((a, z, n))
+    return out
+
+
+def jdbc_by_key(spark: SparkSession, url: str, query: str, key: str, parts: int, fetchsize: int = 1000, **options) -> DataFrame:
+    """The result of a SELECT on a JDBC source, read in about ``parts`` tasks of like size.
+
+    ``key`` is a column of whole numbers in the result, as the database writes it, and need not be even: how its values are spread
+    is asked of the database, in counts of ranges and of ranges within those that hold too many. Each row comes once; rows
+    without a key come in a task of their own, as do all rows of a key with more than a task's share.
+    """
+    def ask(sql: str) -> list:
+        return spark.read.format("jdbc").option("url", url).options(**options).option("query", sql).load().collect()
+
+    low, high, n, keyed = ask(f"SELECT MIN({key}) AS a, MAX({key}) AS z, COUNT(*) AS n, COUNT({key}) AS k FROM ({query}) q")[0]
+
+    def counts(a: int, z: int, width: int) -> dict[int, int]:
+        cut = f"SELECT FLOOR((CAST({key} AS BIGINT) - {a}) / {width}) AS b FROM ({query}) q WHERE {key} >= {a} AND {key} < {z}"
+        return {int(b): int(m) for b, m in ask(f"SELECT b, COUNT(*) AS n FROM ({cut}) c GROUP BY b")}
+
+    ranges = balanced_ranges(counts, int(low), int(high), int(keyed), parts) if keyed else []
+    where = [f"{key} >= {a} AND {key} < {z}" for a, z, _ in ranges] + ([f"{key} IS NULL"] if n > keyed else [])
+    properties = {"fetchsize": str(fetchsize), **{k: str(v) for k, v in options.items()}}
+    return spark.read.jdbc(url, f"({query}) q", predicates=where or ["1 = 0"], properties=properties)
+
+
 def generate_rows(spark: SparkSession, schema: T.StructType, n: int, seed: int = 0) -> DataFrame:
     """n random rows for a schema: text string0-9, numbers 0-9 or d.d, the current time."""
     def value(k, f):
