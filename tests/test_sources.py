@@ -266,3 +266,67 @@ def test_jdbc_keys_that_are_null_or_missing(spark):
     none = files.jdbc_by_key(spark, url, 'SELECT * FROM t_keys WHERE "a" < 0', '"k"', 4)
     assert none.count() == 0 and none.columns == ["a", "k"]
     assert files.jdbc_by_key(spark, url, 'SELECT * FROM t_keys WHERE "k" IS NULL', '"k"', 4).count() == 100
+
+
+class Pipe:
+    """A stream that can't go back, so that sizes follow the data."""
+
+    def __init__(self, path):
+        self.f = open(path, "wb")
+
+    def write(self, b):
+        return self.f.write(b)
+
+    def flush(self):
+        self.f.flush()
+
+
+def test_zip_members_in_splits(spark, tmp_path):
+    import io
+    import random
+
+    rng, want = random.Random(1), {}
+
+    def filled(z, archive, names):
+        for k, name in enumerate(names):
+            body = rng.randbytes(rng.randrange(5000)) if k % 2 else (f"line {name}\n" * rng.randrange(400)).encode()
+            z.writestr(name, body)
+            want[archive, name] = body
+
+    with zipfile.ZipFile(tmp_path / "a b.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        filled(z, "a b.zip", [f"d/m{k}.txt" for k in range(60)] + ["é.txt", "empty.bin"])
+        z.writestr("d/", b"")
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        filled(z, "none", [f"in{k}" for k in range(10)])
+    with zipfile.ZipFile(tmp_path / "nested.jar", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("before", b"x")
+        z.writestr("in.zip", inner.getvalue())
+        z.writestr("after PK", b"PK\x03\x04 is no member")
+    want = {k: v for k, v in want.items() if k[0] != "none"}
+    want |= {("nested.jar", "before"): b"x", ("nested.jar", "in.zip"): inner.getvalue(), ("nested.jar", "after PK"): b"PK\x03\x04 is no member"}
+    pipe = Pipe(tmp_path / "piped.zip")
+    with zipfile.ZipFile(pipe, "w", zipfile.ZIP_DEFLATED) as z:
+        filled(z, "piped.zip", [f"p{k}" for k in range(20)])
+    pipe.f.close()
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000b")
+    try:
+        rows = files.unpack_zip_members(spark, str(tmp_path), chunk_bytes=1000).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    got = {}
+    for r in sorted(rows, key=lambda r: r.part):
+        assert len(r.content) <= 1000
+        got[r.archive, r.member] = got.get((r.archive, r.member), b"") + bytes(r.content)
+    assert got == want
+    assert files.unpack_zip_members(spark, f"{tmp_path}/piped.zip", "p1*", prefix=True).select("member").distinct().count() == 11
+
+
+def test_damaged_zip_members_are_errors(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "x.zip", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("m", b"hello world")
+    raw = (tmp_path / "x.zip").read_bytes().replace(b"hello", b"hellO", 1)
+    (tmp_path / "x.zip").write_bytes(raw)
+    with pytest.raises(Exception, match="m is damaged"):
+        files.unpack_zip_members(spark, f"{tmp_path}/x.zip").count()

@@ -216,6 +216,31 @@ def unpack_archives(spark, d):
     return members.select("member", F.size(F.split(F.col("content").cast("string"), "\n")).cast("long").alias("n"))
 
 
+@query("""SELECT 'm' || o_orderkey % 40 || '.csv' AS member, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1""")
+def unpack_zip_members(spark, d):
+    """Orders in zip files, each with many members, read member by member from the files."""
+    path = scratch_path(spark, "zips")
+
+    def archive(frame):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        raw = io.BytesIO()
+        with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as z:
+            for m, rows in frame.groupby("m"):
+                z.writestr(f"m{m}.csv", "\n".join(rows["line"]))
+        return pd.DataFrame({"a": [int(frame["a"].iloc[0])], "raw": [raw.getvalue()]})
+
+    lines = t(spark, d, "orders").select((F.col("o_orderkey") % 40).alias("m"), (F.col("o_orderkey") % 4).alias("a"), F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("line"))
+    files_of = lines.groupBy("a").applyInPandas(archive, "a int, raw binary")
+    files_of.select("a", F.col("raw").cast("string").alias("value")).write.partitionBy("a").text(path)  # a file is its bytes and a line end
+    members = files.unpack_zip_members(spark, path, "*.csv")
+    each = members.select("member", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line"))
+    return each.groupBy("member").agg(F.count("*").alias("n"), F.sum(F.split("line", ",")[0].cast("long")).alias("keys"))
+
+
 @query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey > 0")
 def jdbc_extract(spark, d):
     """Here the database is Derby in the driver's JVM, so this one runs in local mode only; elsewhere the URL names a server."""

@@ -5,9 +5,14 @@ from __future__ import annotations
 import fnmatch
 import io
 import re
+import struct
 import tarfile
 import zipfile
+import zlib
+from typing import NamedTuple
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -106,7 +111,7 @@ def _numbered(spark: SparkSession, path, end: str = "\n") -> tuple[DataFrame, Da
     """
     lines = spark.read.text(path, lineSep=end).select(
         F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_id"), F.regexp_replace("value", "\r$", "").alias("value"),
+        F.monotonically_increasing_id().alias("_id"), (F.regexp_replace("value", "\r$", "") if end == "\n" else F.col("value")).alias("value"),
     )
     stretches = lines.groupBy("key", "_start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy("key").orderBy("_start")
@@ -274,6 +279,123 @@ def unpacked(archives: DataFrame, member_glob: str | None = None, prefix: bool =
     return archives.select("path", "content").mapInPandas(run, "archive string, member string, content binary")
 
 
+#: What a member of a zip file begins with, and its header behind that.
+_SIGNATURE, _HEADER = "PK\x03\x04", struct.Struct("<HHHHHIIIHH")
+#: Bytes of a member's content in a row.
+CHUNK_BYTES = 32 << 20
+
+
+class _Member(NamedTuple):
+    name: str
+    method: int
+    crc: int | None
+    begin: int
+    size: int | None
+
+
+def _header(raw: bytes) -> _Member | None:
+    """The header of a member behind its signature: where its data begin, and their size and checksum unless they follow the data."""
+    if len(raw) < _HEADER.size:
+        return None
+    _, flags, method, _, _, crc, size, _, n, m = _HEADER.unpack_from(raw)
+    begin = _HEADER.size + n + m
+    if len(raw) < begin:
+        return None
+    name, extra = raw[_HEADER.size : _HEADER.size + n].decode("utf-8" if flags & 0x800 else "cp437", "replace"), raw[_HEADER.size + n : begin]
+    if flags & 1:
+        raise ValueError(f"{name} is encrypted")
+    while len(extra) >= 4:  # sizes beyond 32 bits
+        kind, length = struct.unpack_from("<HH", extra)
+        if kind == 1 and size == 0xFFFFFFFF and length >= 16:
+            size = struct.unpack_from("<Q", extra, 12)[0]
+        extra = extra[4 + length :]
+    later = bool(flags & 8)
+    return _Member(name, method, None if later else crc, begin, None if later else size)
+
+
+def _contents(member: _Member, raw: bytes, chunk: int):
+    """The member's content in chunks; an error if it isn't whole."""
+    crc, sent = 0, False
+    if member.method == 0:
+        if member.size is None:
+            raise ValueError(f"{member.name} is stored without its size")
+        data = memoryview(raw)[member.begin : member.begin + member.size]
+        if len(data) < member.size:
+            raise ValueError(f"{member.name} is cut off")
+        pieces, want = (bytes(data[k : k + chunk]) for k in range(0, len(data), chunk)), member.crc
+        for piece in pieces:
+            crc, sent = zlib.crc32(piece, crc), True
+            yield piece
+    elif member.method == 8:
+        inflate, data = zlib.decompressobj(-15), raw[member.begin :] if member.size is None else raw[member.begin : member.begin + member.size]
+        while not inflate.eof:
+            piece = inflate.decompress(data, chunk)
+            data = inflate.unconsumed_tail
+            if not piece and not inflate.eof:
+                raise ValueError(f"{member.name} is cut off")
+            if piece:
+                crc, sent = zlib.crc32(piece, crc), True
+                yield piece
+        after = inflate.unused_data
+        want = member.crc if member.crc is not None else struct.unpack_from("<I", after, 4 if after[:4] == b"PK\x07\x08" else 0)[0]
+    else:
+        raise ValueError(f"{member.name} is packed by method {member.method}")
+    if crc != want:
+        raise ValueError(f"{member.name} is damaged")
+    if not sent:
+        yield b""
+
+
+def unpack_zip_members(spark: SparkSession, path, member_glob: str | None = None, prefix: bool = False, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(archive, member, part, content) of the members of zip and jar files of any size, each content in parts of at most ``chunk_bytes``.
+
+    Files are read in splits, cut where the signature of a member stands, so that the members of one archive go to many tasks; no file
+    is ever one row. A signature within a member's data, as in an archive that is stored in another, is told by
+    the offsets: what lies inside a member is put back into it. Checksums are verified. Tar files, which can't be cut so, are left to
+    unpack_archives(). Encrypted members and methods other than storing and deflating are errors.
+    """
+    records = _numbered(spark, path, _SIGNATURE)[0].select("key", "pos", F.col("value").cast("binary").alias("raw"))
+    sized = carried(records, "key", "pos", "end", (F.octet_length("raw") + len(_SIGNATURE)).cast("long"), last=False)
+    sized = sized.withColumn("at", F.col("end") - F.octet_length("raw") - len(_SIGNATURE))
+
+    def long_ones(batches):
+        for b in batches:
+            rows = []
+            for key, at, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                m = _header(raw.as_buffer().to_pybytes())
+                if m is not None and m.size is not None and m.begin + m.size > len(raw.as_buffer()):
+                    rows.append((key, at, at + m.begin + m.size))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64()))], names=["file", "first", "behind"])
+
+    members = sized.filter("pos > 0")
+    inner = written(members.select("key", "at", "raw").mapInArrow(long_ones, "file string, first long, behind long"), "zip_members")
+    if inner.isEmpty():
+        whole = members.select("key", "at", "raw")
+    else:
+        # records that begin inside a longer member are its data; the outermost counts
+        within = (F.col("key") == F.col("file")) & (F.col("at") >= F.col("first")) & (F.col("at") < F.col("behind"))
+        owned = members.join(small(inner), within, "left").groupBy("key", "at").agg(F.min("first").alias("owner"), F.first("raw").alias("raw"))
+        parts = owned.withColumn("owner", F.coalesce("owner", "at")).groupBy("key", F.col("owner").alias("at")).agg(F.array_sort(F.collect_list(F.struct(F.col("at").alias("a"), "raw"))).alias("p"))
+        sign = F.lit(_SIGNATURE).cast("binary")
+        joined = F.aggregate(F.slice("p", F.lit(2), F.size("p")), F.col("p")[0]["raw"], lambda whole, x: F.concat(whole, sign, x["raw"]))
+        whole = parts.select("key", "at", joined.alias("raw"))
+
+    def run(batches):
+        for b in batches:
+            for key, raw in zip(b.column(0).to_pylist(), b.column(2)):
+                raw, base = raw.as_buffer().to_pybytes(), key.rsplit("/", 1)[-1]
+                m = _header(raw)
+                if m is None or m.name.endswith("/") or not (member_glob is None or fnmatch.fnmatch(m.name, member_glob)):
+                    continue
+                for k, piece in enumerate(_contents(m, raw, chunk_bytes)):
+                    columns = [[unquote(base)], [f"{unquote(base)}.{m.name}" if prefix else m.name], [k], [piece]]
+                    kinds = [pa.string(), pa.string(), pa.int32(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["archive", "member", "part", "content"])
+
+    return whole.mapInArrow(run, "archive string, member string, part int, content binary")
+
+
 def file_head_tail(spark: SparkSession, path, head: int, tail: int) -> DataFrame:
     """(key, headlines, taillines): the first and the last lines of each file, the newest of the last ones first."""
     lines, sizes = _numbered(spark, path)
