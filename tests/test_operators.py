@@ -360,3 +360,13 @@ def test_kept_rows_of_a_hot_group(spark, monkeypatch, limit):
     assert got[("hot", 8000.0)] == 4000 and got[(None, 2000.0)] == 1000 and len(got) == 1002 and sum(got.values()) == 6000
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert ("Window" not in plan) and (limit == 0 or "SortMergeJoin" not in plan)
+
+
+def test_prefixes_of_any_length(spark):
+    codes = spark.createDataFrame([("4",), ("49",), ("4930",), ("4930123456",), ("7",), ("",), (None,), ("49",)], "code string")
+    numbers = spark.createDataFrame([("4930123456789",), ("498",), ("7",), ("8",), ("",), (None,), ("4",)], "n string")
+    short = {r.n: r.cc for r in merging.prefix_lookup_join(numbers, codes, "n", longest=None).collect()}
+    long = {r.n: r.cc for r in merging.prefix_lookup_join(numbers, codes, "n", longest=None, shortest_wins=False).collect()}
+    assert short == {"4930123456789": "4", "498": "4", "7": "7", "8": None, "": None, None: None, "4": "4"}
+    assert long == {**short, "4930123456789": "4930123456", "498": "49"}
+    assert merging.prefix_lookup_join(numbers, codes.limit(0), "n").filter("cc is not null").count() == 0

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from .aggregates import Op, aggregate
 from .columns import chosen
-from .sizes import small
+from ..plans.scratch import written
+from .sizes import BROADCAST_BYTES, payload, small
 
 
 @dataclass
@@ -95,15 +96,22 @@ def lookup_join(df: DataFrame, mapping: DataFrame, on: str, key: str, value: str
     return out.withColumn(name, F.coalesce(name, F.lit(default))) if default is not None else out
 
 
-def prefix_lookup_join(df: DataFrame, codes: DataFrame, number: str, code: str = "code", name: str = "cc", longest: int = 4) -> DataFrame:
-    """Adds the shortest prefix of 1 to ``longest`` characters of a number that is in the code table; null if none is."""
-    known = small(codes.select(F.col(code).cast("string").alias("_code")).distinct())
-    out = df
-    for n in range(1, longest + 1):
+def prefix_lookup_join(
+    df: DataFrame, codes: DataFrame, number: str, code: str = "code", name: str = "cc", longest: int | None = 4, shortest_wins: bool = True
+) -> DataFrame:
+    """Adds the shortest (or longest) prefix of a number that is in the code table; null if none is. Codes of more than ``longest``
+    characters don't count (None: all do). A join for each length that codes have, one pass over the rows while codes are broadcast."""
+    text = F.col(code).cast("string")
+    known = written(codes.filter(F.char_length(text) > 0).select(text.alias("_code"), F.char_length(text).alias("_n")).distinct(), "codes")
+    lengths = sorted(r[0] for r in known.select("_n").distinct().collect() if longest is None or r[0] <= longest)  # few, whatever the table
+    whole, out = payload(known) <= BROADCAST_BYTES, df
+    for n in lengths:
+        mine = known.filter(F.col("_n") == n).select(F.col("_code").alias(f"_p{n}"))
         prefix = F.when(F.char_length(number) >= n, F.substring(number, 1, n))
-        out = out.join(known.withColumnRenamed("_code", f"_p{n}"), prefix == F.col(f"_p{n}"), "left")
-    found = F.coalesce(*(F.col(f"_p{n}") for n in range(1, longest + 1)))
-    return out.withColumn(name, found).drop(*(f"_p{n}" for n in range(1, longest + 1)))
+        out = out.join(F.broadcast(mine) if whole else small(mine), prefix == F.col(f"_p{n}"), "left")
+    order = lengths if shortest_wins else lengths[::-1]
+    found = F.coalesce(*(F.col(f"_p{n}") for n in order), F.lit(None).cast("string"))
+    return out.withColumn(name, found).drop(*(f"_p{n}" for n in lengths))
 
 
 def composite_prefix_lookup(df: DataFrame, codes: DataFrame, areas: DataFrame, number: str, name: str = "place") -> DataFrame:

@@ -407,11 +407,19 @@ def file_head_tail(spark: SparkSession, path, head: int, tail: int) -> DataFrame
 
 
 def first_line_values(spark: SparkSession, path, delimiter: str = ",") -> DataFrame:
-    """(values): the fields of the first line of the first file by name, one row that can be broadcast to every other."""
-    rows = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("key"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id"), "value"
-    )
-    return rows.orderBy("key", "start", "id").limit(1).select(F.split("value", re.escape(delimiter)).alias("values"))
+    """(values): the fields of the first line of the first file by name that has one, one row that can be broadcast to every other.
+    Files are listed, and of one file its first split is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter("length > 0")
+    first = listed.select(F.min("path")).first()[0]
+    if first is None:
+        return spark.createDataFrame([], "values array<string>")
+    lines = spark.read.text(_escaped(first)).filter(F.col("_metadata.file_block_start") == 0)
+    return lines.limit(1).select(F.split("value", re.escape(delimiter)).alias("values"))
+
+
+def _escaped(path: str) -> str:
+    """A path in which nothing is a pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
 def jdbc_extract(spark: SparkSession, url: str, queries: dict[str, str], fetchsize: int = 1000, **options) -> dict[str, DataFrame]:
