@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -88,22 +89,33 @@ def _blocks(rows: DataFrame, of: str, size: int) -> DataFrame:
     return _packed(spread.withColumn(of, block), of)
 
 
+#: Tasks that add up the sums of all others before one adds up theirs.
+SUMMING = 64
+
+
 def _gram(rows: DataFrame, dim: int) -> np.ndarray:
-    """Sum of outer products: dim * dim numbers, whatever the rows."""
+    """Sum of outer products: dim * dim numbers, whatever the rows. Sums travel as bytes and are added up in a tree, as a stream."""
 
-    def run(frames):
+    def products(frames):
         total = np.zeros((dim, dim))
         for f in frames:
             if len(f):
                 v = np.array(f["v"].tolist(), np.float64)
                 total += v.T @ v
-        yield pd.DataFrame({"i": np.repeat(np.arange(dim), dim), "j": np.tile(np.arange(dim), dim), "g": total.ravel()})
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "g": [total.tobytes()]})
 
-    parts = rows.filter(F.col("dim") == dim).select("v").mapInPandas(run, "i long, j long, g double")
-    out = np.zeros((dim, dim))
-    for i, j, g in parts.groupBy("i", "j").agg(F.sum("g")).collect():
-        out[i, j] = g
-    return out
+    def sums(frames):
+        total, part = np.zeros(dim * dim), 0
+        for f in frames:
+            for part, g in zip(f["part"], f["g"]):
+                total += np.frombuffer(g)
+        yield pd.DataFrame({"part": [part], "g": [total.tobytes()]})
+
+    schema = "part long, g binary"
+    parts = rows.filter(F.col("dim") == dim).select("v").mapInPandas(products, schema)
+    few = parts.repartition(SUMMING, "part").mapInPandas(sums, schema)
+    whole = few.coalesce(1).mapInPandas(sums, schema).collect()
+    return np.frombuffer(bytes(whole[0]["g"])).reshape(dim, dim) if whole else np.zeros((dim, dim))
 
 
 class Queries:
@@ -149,14 +161,21 @@ class Queries:
         """Keeps the best k of each query of the group, ties to the smaller id, and raises its threshold."""
         scores = np.where((self.ids[g][:, None] == cid[None, :]) | (scores < self.least[g][:, None]), -np.inf, scores)
         some = np.flatnonzero((scores > -np.inf).any(axis=1))
-        for r in some.tolist():
-            row = g.start + r
-            new = np.flatnonzero(scores[r] > -np.inf)
-            all_scores = np.concatenate([self.scores[row], scores[r, new]])
-            all_ids = np.concatenate([self.found[row], cid[new]])
-            best = np.lexsort((all_ids, -all_scores))[: self.k]
-            self.scores[row], self.found[row] = all_scores[best], all_ids[best]
-            self.least[row] = max(self.least[row], all_scores[best[-1]])
+        if not len(some):
+            return
+        row, k = g.start + some, self.k
+        every = np.concatenate([self.scores[row], scores[some]], axis=1)
+        ids = np.concatenate([self.found[row], np.broadcast_to(cid, (len(some), len(cid)))], axis=1)
+        last = -np.partition(-every, k - 1, axis=1)[:, k - 1]  # the k-th best
+        r, c = np.nonzero((every >= last[:, None]) & (every > -np.inf))
+        order = np.lexsort((ids[r, c], -every[r, c], r))
+        r, c = r[order], c[order]
+        place = np.arange(len(r)) - np.searchsorted(r, r)
+        best = place < k
+        kept_scores, kept_ids = np.full((len(some), k), -np.inf), np.full((len(some), k), -1, np.int64)
+        kept_scores[r[best], place[best]], kept_ids[r[best], place[best]] = every[r[best], c[best]], ids[r[best], c[best]]
+        self.scores[row], self.found[row] = kept_scores, kept_ids
+        self.least[row] = np.maximum(self.least[row], last)
 
     def rows(self) -> pd.DataFrame:
         at, place = np.nonzero(self.scores > -np.inf)
@@ -231,7 +250,9 @@ def top_k(
             for q in own:
                 yield q.rows()
 
-        scored = blocks.select("dim", "ids", "m", "longest").mapInPandas(search, found)
+        # as many tasks as run at once: each gives up to k rows for every query, and carries its thresholds from block to block
+        tasks = max(1, table.sparkSession.sparkContext.defaultParallelism)
+        scored = blocks.select("dim", "ids", "m", "longest").coalesce(tasks).mapInPandas(search, found)
     else:
         scored = _by_grid(blocks, ready, q_bytes, axes, k, found)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
