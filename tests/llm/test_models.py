@@ -351,3 +351,14 @@ def test_digits_that_are_not_ascii_are_no_addresses(spark):
     for found in ("10.2.3.²", "1.2.3.٤", "", "a.b.c.d", "1.2.3.0256", "1.2.3.12345"):
         assert not pii._holds("ip", found)
     assert pii._holds("ip", "1.2.3." + "0" * 5000 + "7") and (got[6].n_ip, got[0].n_ip) == (1, 0)
+
+
+def test_the_forest_goes_to_tasks_after_an_observation(spark):
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 3
+    assert not secret_scan.fit(secret_scan.labelled_findings(spark, secret_labels.lines(times=2))).hasSummary
+    df = spark.createDataFrame([(1, f'token = "{hashlib.sha1(b"o").hexdigest()}"')], "doc_id long, text string")
+    assert secret_scan.scan(df).count() == 1

@@ -183,7 +183,8 @@ def fit(labelled: DataFrame, most_labelled: int = 20_000, trees: int = 24, depth
     rows = with_features(labelled).select(*FEATURES, F.col("label").cast("double").alias("label"))
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows).coalesce(1)
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=11, subsamplingRate=0.8)
-    return forest.fit(vectors.select("features", "label"))
+    # a copy has no training summary, which would bring the session along to the tasks
+    return forest.fit(vectors.select("features", "label")).copy()
 
 
 def scan(
