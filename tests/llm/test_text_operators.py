@@ -295,6 +295,37 @@ def test_near_copies_of_one_text_keep_every_link(spark, monkeypatch):
     assert [got[k] for k in range(len(texts))] == want
 
 
+def test_pages_of_one_template_do_not_meet(spark, monkeypatch):
+    """Pages that share five sixths of their shingles, of many lengths, some of them near copies: links as by brute force, and
+    few of the pages are compared."""
+    import random
+
+    monkeypatch.setattr(simhash, "TOGETHER", 20)
+    monkeypatch.setattr(simhash, "SAMPLED", 2)
+    rng, seen, meetings = random.Random(7), [], simhash._meetings
+
+    def spy(members, similarity):
+        seen.append((members.count(), meetings(members, similarity)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(simhash, "_meetings", spy)
+    template = [f"t{k}" for k in range(400)]
+    texts = []
+    for k in range(150):
+        shared = 240 + k % 160 if k % 3 else 300
+        own = [f"own{rng.randrange(10**9)}" for _ in range(shared // 6 + k % 5)]
+        texts.append(" ".join(own + template[:shared]))
+        if k % 10 == 0:
+            texts.append(" ".join(own[: -k // 10 or None] + template[: shared - k // 4]))
+    want = near_copy_groups(texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(documents(spark, texts)).collect()}
+    assert [got[k] for k in range(len(texts))] == want and 100 < len(set(want)) < len(texts)
+    crowded = simhash.near_copies(documents(spark, [" ".join([f"u{k}x{j}" for j in range(60)] + template[:300]) for k in range(150)]))
+    assert crowded.select("component_id").distinct().count() == 150
+    members, met = seen[-1]
+    assert members > 150 and met.count() == 0
+
+
 def test_sharding(spark):
     import random
 

@@ -175,6 +175,8 @@ SAMPLED, FREQUENT, MOST_FREQUENT = 32, 3, 1_000_000
 #: Texts of which a task holds the sets at a time.
 ROWS = 250
 SLACK = 1e-6
+#: Members of a bucket, in parts, from which it is cut by sizes and reaches; cells to a size's growth by 5 / 4 and to a reach of once the size.
+CELLED, SIZE_CELLS, REACH_CELLS = 4, 2, 8
 
 
 def gram_set(text: str | None, shingle: int = 5) -> np.ndarray:
@@ -188,13 +190,15 @@ def gram_set(text: str | None, shingle: int = 5) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
 
 
-def _prefix(grams: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
-    """The first shingles of a set in one order for all sets: two sets that are similar enough share one of them."""
+def _prefix(grams: np.ndarray, frequent: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set in one order for all sets: two sets that are similar enough share one of them. Those that are
+    ``frequent`` (sorted) go last, by ``rank``, the others by hash."""
     length = len(grams) - math.ceil(similarity * len(grams) - SLACK) + 1 if len(grams) else 0
     if not len(frequent) or not length:
         return grams[:length]
-    last = frequent[np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)] == grams
-    return np.concatenate([grams[~last], grams[last]])[:length]
+    at = np.minimum(np.searchsorted(frequent, grams), len(frequent) - 1)
+    last = frequent[at] == grams
+    return np.concatenate([grams[~last], grams[last][np.argsort(rank[at[last]])]])[:length]
 
 
 def _forest(similarity: float):
@@ -245,11 +249,15 @@ def near_copies(
     a Jaccard similarity of at least ``similarity``. Exact, but for collisions of 64-bit hashes.
 
     In any one order of all shingles, two such sets share one of their first ``n - ceil(similarity * n)
-    + 1`` (prefix filter). The order is by hash, shingles that a sample shows as frequent last. Sets
+    + 1`` (prefix filter). The order is by hash, shingles that a sample shows as frequent last, the most frequent at the end. Sets
     that share a prefix shingle are compared whole: pair by pair in small buckets. A large bucket is cut into parts
-    and every two parts meet in a task, which returns a spanning forest of its similar pairs. First,
+    and parts meet in a task, which returns a spanning forest of its similar pairs. First,
     its parts alone link what they can; buckets that are of one component by then are done.
 
+    A pair need only be found by the first shingle that it shares in that order. What lies before that shingle in either set
+    is not shared, so the shingle's place in a set bounds how large its partners may be there, its reach. Pairs
+    out of reach, in size or by place, are not compared, and parts of a large bucket that are out of each other's reach do not meet.
+
     text_hash is the XXH64 of the text (null counts as empty). ``kept`` marks the rows with the id and text that
     stand for their component: the smallest id, null ids last, and its smallest text_hash. Rows that repeat both
     are marked alike. component_id is as in near_duplicates(), as are nulls and empty tables.
@@ -267,7 +275,9 @@ def near_copies(
     often = sampled.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT)
     with small_batches(spark):
         top = often.orderBy(F.desc("n"), "token").limit(MOST_FREQUENT).select("token").toPandas()  # bounded
-    frequent = spark.sparkContext.broadcast(np.sort(top["token"].to_numpy(np.int64)))
+    tokens = top["token"].to_numpy(np.int64)
+    order = np.argsort(tokens)
+    frequent = spark.sparkContext.broadcast((tokens[order], (len(tokens) - order).astype(np.int32)))
 
     def run(batches):
         task, row = TaskContext.get().partitionId() << 33, 0
@@ -277,7 +287,7 @@ def near_copies(
                 pa.array(np.arange(row, row + len(b)) + task),
                 pa.array([xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) for s in sets], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_prefix(s, frequent.value, similarity) for s in sets], pa.list_(pa.int64())),
+                pa.array([_prefix(s, *frequent.value, similarity) for s in sets], pa.list_(pa.int64())),
             ]
             row += len(b)
             yield pa.RecordBatch.from_arrays(
@@ -294,27 +304,34 @@ def near_copies(
     chosen = reps.select("row")
     chosen = F.broadcast(chosen) if ROW_BYTES * reps.count() <= BROADCAST_BYTES else chosen
     some = fps.select("row", "fp", "size", "prefix").join(chosen, "row", "left_semi")
-    rows = some.select("fp", "size", F.explode("prefix").alias("token"))
+    rows = some.select("fp", "size", F.posexplode("prefix").alias("at", "token"))
     buckets = rows.groupBy("token").agg(F.count("*").alias("m"), F.sum("size").alias("total")).filter("m > 1")
     shared = saved(rows.join(saved(buckets, "buckets"), "token"), "shared")
 
     small = shared.filter(F.col("m") <= PAIRED_SETS)
-    a, b = (small.select("token", F.col("fp").alias(x), F.col("size").alias(f"n{x}")) for x in "ab")
+    a, b = (small.select("token", F.col("fp").alias(x), F.col("size").alias(f"n{x}"), F.col("at").alias(f"at{x}")) for x in "ab")
+    enough = similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - SLACK
     fits = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - SLACK
     met = a.join(b, "token").filter((F.col("a") < F.col("b")) & fits)
-    # what two sets share beyond their prefixes is at most the rest of one; what shares a crowded bucket is met there anyway
-    enough = similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - SLACK
-    rest = F.ceil(similarity * F.greatest("na", "nb") - SLACK) - 1
-    counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-    pairs = saved(counted.filter(F.col("common") + rest >= enough).drop("common"), "pairs")
+    # what two sets share is at most the rest of one from the first shingle that they share
+    left = F.max(F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")))
+    counted = met.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"), left.alias("left")).filter(F.col("left") >= enough)
     crowded = shared.filter(F.col("m") > PAIRED_SETS)
+    is_crowded = not crowded.isEmpty()
+    # nor more than the small and crowded buckets that both are in and what lies beyond a prefix
+    rest = F.ceil(similarity * F.greatest("na", "nb") - SLACK) - 1
+    if is_crowded:
+        times = saved(crowded.groupBy("fp").agg(F.count("*").alias("times")), "times")
+        counted = counted.join(times.toDF("a", "ta"), "a", "left").join(times.toDF("b", "tb"), "b", "left")
+        rest = rest + F.least(F.coalesce("ta", F.lit(0)), F.coalesce("tb", F.lit(0)))
+    pairs = saved(counted.filter(F.col("common") + rest >= enough).select("a", "b", "na", "nb"), "pairs")
 
     needed = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(crowded.select("fp")).distinct()
     held = _sets(source, saved(needed.join(reps, "fp").select("fp", "first"), "needed"), shingle)
 
     both = pairs.join(held.toDF("a", "ga"), "a").join(held.toDF("b", "gb"), "b")
     edges = saved(both.filter(F.size(F.array_intersect("ga", "gb")) >= enough).select("a", "b"), "near")
-    if not crowded.isEmpty():
+    if is_crowded:
         edges = edges.unionByName(_crowded_links(crowded, held, edges, similarity)).distinct()
     found = _with_components(
         fps.select("doc_id", "text_hash", "fp"), reps.select("fp", "first_id", "first", "n"), edges,
@@ -344,7 +361,7 @@ def _sets(source: DataFrame, needed: DataFrame, shingle: int) -> DataFrame:
 def _crowded_links(crowded: DataFrame, held: DataFrame, edges: DataFrame, similarity: float) -> DataFrame:
     """Links that connect, together with ``edges``, what all similar pairs within the large buckets connect."""
     parts = F.ceil(F.greatest(F.col("m") / TOGETHER, F.col("total") / PART_GRAMS))
-    placed = crowded.select("token", "fp", "m", parts.alias("parts")).withColumn(
+    placed = crowded.select("token", "fp", "m", "total", "size", "at", parts.alias("parts")).withColumn(
         "part", F.pmod(F.xxhash64("fp", "token"), F.col("parts"))
     )
     own = placed.groupBy("fp").agg(F.slice(F.array_sort(F.collect_list(F.struct("token", "part"))), 1, 2).alias("own"))
@@ -354,16 +371,44 @@ def _crowded_links(crowded: DataFrame, held: DataFrame, edges: DataFrame, simila
     roots = components(edges.unionByName(first))
     rooted = placed.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     alike = rooted.groupBy("token").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.first("m").alias("m"), F.bit_xor("fp").alias("members")
+        F.min("root").alias("low"), F.max("root").alias("high"), F.first("m").alias("m"), F.bit_xor("fp").alias("members"), F.sum("at").alias("at")
     )
-    # buckets of several components, one of those with the same members
-    left = saved(alike.filter("low < high").groupBy("m", "members").agg(F.min("token").alias("token")), "left")
-    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda k: (k != F.col("part")) | (F.col("parts") == 1))
-    again = placed.join(left.select("token"), "token").select("token", "fp", "part", F.explode(others).alias("other"))
-    meetings = again.select("fp", "token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    second = meetings.join(held, "fp").groupBy("token", "i", "j").applyInPandas(forest, "a long, b long")
+    # buckets of several components; of those with the same members the one whose shingle is first
+    left = alike.filter("low < high").groupBy("m", "members").agg(F.min_by("token", F.struct("at", "token")).alias("token"))
+    again = placed.drop("parts", "part").join(saved(left.select("token"), "left"), "token")
+    second = _meetings(again, similarity).join(held, "fp").groupBy("token", "i", "j").applyInPandas(forest, "a long, b long")
     return first.unionByName(saved(second, "forest"))
 
 
+def _meetings(members: DataFrame, similarity: float) -> DataFrame:
+    """(fp, token, i, j): where the members (token, fp, m, total, size, at) of large buckets meet, so that any two within reach do.
+
+    A member's partners in a bucket are at most ``reach`` in size. Large buckets are cut into cells of like size and like reach, and cells
+    into parts by hash; the parts of two cells meet if the smallest of each is within the largest reach of the other. Cells of a
+    bucket are few, whatever its members.
+    """
+    members = members.withColumn("reach", F.floor((1 + similarity) / similarity * (F.col("size") - F.col("at")) + SLACK) - F.col("size"))
+    celled = (F.col("m") > CELLED * TOGETHER) | (F.col("total") > CELLED * PART_GRAMS)
+    by_size = F.floor(F.log(F.col("size").cast("double")) * (SIZE_CELLS / math.log(1.25)))
+    by_reach = F.floor(F.col("reach") * REACH_CELLS / F.col("size"))
+    placed = saved(members.withColumn("cell", F.when(celled, by_size * 4 * REACH_CELLS + by_reach).otherwise(0)), "members")
+    cells = placed.groupBy("token", "cell").agg(
+        F.min("size").alias("low"), F.max("reach").alias("high"), F.count("*").alias("n"), F.sum("size").alias("grams")
+    )
+    cells = cells.withColumn("parts", F.ceil(F.greatest(F.col("n") / TOGETHER, F.col("grams") / PART_GRAMS)))
+    cells = saved(cells, "cells")
+    one = cells.select("token", "cell", *(F.col(c).alias(f"own_{c}") for c in ("low", "high", "n", "parts")))
+    other = cells.select("token", F.col("cell").alias("other"), "low", "high", "parts")
+    near = one.join(other, "token").filter((F.col("own_low") <= F.col("high")) & (F.col("low") <= F.col("own_high")))
+    near = saved(near.filter("cell != other or own_n > 1").select("token", "cell", "own_parts", "other", "parts"), "near_cells")
+    near = F.broadcast(near) if 2 * ROW_BYTES * near.count() <= BROADCAST_BYTES else near
+    own = F.pmod(F.xxhash64("fp", "token"), F.col("own_parts"))
+    met = placed.select("token", "cell", "fp").join(near, ["token", "cell"]).withColumn("part", own)
+    met = met.select("fp", "token", "cell", "other", "part", "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("with"))
+    met = met.filter((F.col("cell") != F.col("other")) | (F.col("part") != F.col("with")) | (F.col("parts") == 1))
+    here, there = (F.shiftleft(F.col(c).cast("long"), 32) + F.col(p) for c, p in (("cell", "part"), ("other", "with")))
+    return met.select("fp", "token", F.least(here, there).alias("i"), F.greatest(here, there).alias("j"))
+
+
 def hex16(c):
     return F.lower(F.lpad(F.hex(c), 16, "0"))
