@@ -323,7 +323,7 @@ def test_pages_of_one_template_do_not_meet(spark, monkeypatch):
     crowded = simhash.near_copies(documents(spark, [" ".join([f"u{k}x{j}" for j in range(60)] + template[:300]) for k in range(150)]))
     assert crowded.select("component_id").distinct().count() == 150
     members, met = seen[-1]
-    assert members > 150 and met.count() == 0
+    assert members >= 150 and met.count() == 0
 
 
 def test_sharding(spark):
