@@ -17,7 +17,7 @@ from ..sources import files, sinks
 from ..streaming import logs
 from . import registry
 from .queries_tables import t, timed
-from .scratch import scratch_path
+from .scratch import database, scratch_path, written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -255,17 +255,15 @@ def jdbc_extract(spark, d):
   ELSE CAST(o_orderkey AS BIGINT) * 100003 END AS id, true AS balanced FROM orders""")
 def jdbc_by_key(spark, d):
     """Orders read from a database by a key of which half the rows have one of seven values, some none, and the others lie far apart."""
-    url, name = "jdbc:derby:memory:weirline;create=true", "orders_" + scratch_path(spark, "x").rsplit("-", 1)[1]
     k = F.col("o_orderkey")
     key = F.when(k % 50 == 0, None).when(k % 2 == 0, (k % 7).cast("long")).otherwise(k.cast("long") * 100003)
-    t(spark, d, "orders").select(k.alias("k"), F.col("o_custkey").alias("cust"), key.alias("id")).write.format("jdbc").options(url=url, dbtable=name).save()
-    rows = files.jdbc_by_key(spark, url, f"SELECT * FROM {name}", '"id"', 16)
-    per = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))
+    url = database(t(spark, d, "orders").select(k.alias("k"), F.col("o_custkey").alias("cust"), key.alias("id")), "orders_copy")
+    read = files.jdbc_by_key(spark, url, 'SELECT * FROM "orders_copy"', '"id"', 16)
+    rows = written(read.withColumn("p", F.spark_partition_id()), "by_key")  # the database is read once
+    per = rows.groupBy("p").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids"))
     share = rows.count() / 16
     balanced = per.filter((F.col("n") > 1.2 * share) & (F.col("ids") > 1)).isEmpty() and per.count() >= 10
-    path = scratch_path(spark, "by_key")
-    rows.withColumn("balanced", F.lit(balanced)).write.parquet(path)
-    return spark.read.parquet(path)
+    return rows.drop("p").withColumn("balanced", F.lit(balanced))
 
 
 @query("""SELECT o_orderstatus AS status, 'part-' AS filename, 'o_orderstatus=' || o_orderstatus AS folder, 'b7' AS batchid, count(*) AS n
