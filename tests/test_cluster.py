@@ -41,3 +41,9 @@ def test_database_of_odd_texts(spark):
     url = scratch.database(spark.createDataFrame(rows, "k long, v string"), "odd")
     got = spark.read.format("jdbc").option("url", url).option("query", 'SELECT "k", "v" FROM "odd"').load()
     assert sorted(map(tuple, got.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_jdbc_extract_where_executors_are_apart(spark, tmp_path):
+    spark.range(50).selectExpr("id c_custkey", "concat('n', id) c_name", "id % 5 c_nationkey").write.parquet(f"{tmp_path}/sf/customer.parquet")
+    got = on_cluster("jdbc_extract", f"{tmp_path}/sf", tmp_path)
+    assert sorted(got) == [(k, f"n{k}") for k in range(50) if k % 5]

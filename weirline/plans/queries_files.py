@@ -243,12 +243,9 @@ def unpack_zip_members(spark, d):
 
 @query("SELECT c_custkey, c_name FROM customer WHERE c_nationkey > 0")
 def jdbc_extract(spark, d):
-    """Here the database is Derby in the driver's JVM, so this one runs in local mode only; elsewhere the URL names a server."""
-    url = "jdbc:derby:memory:weirline;create=true"
-    t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey").write.format("jdbc").options(url=url, dbtable="customer_copy", createTableColumnTypes="c_name varchar(40)").mode("overwrite").save()
-    select = "SELECT c_custkey, c_name FROM customer_copy WHERE c_nationkey > 0"
-    found = files.jdbc_extract(spark, url, {"customers": select.replace("c_custkey", '"c_custkey"').replace("c_name", '"c_name"').replace("c_nationkey", '"c_nationkey"')})
-    return found["customers"]
+    url = database(t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey"), "customer_copy")
+    select = 'SELECT "c_custkey", "c_name" FROM "customer_copy" WHERE "c_nationkey" > 0'
+    return files.jdbc_extract(spark, url, {"customers": select})["customers"]
 
 
 @query("""SELECT o_orderkey AS k, o_custkey AS cust, CASE WHEN o_orderkey % 50 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN o_orderkey % 7
