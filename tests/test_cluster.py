@@ -4,7 +4,7 @@ import sys
 
 from pyspark.sql import functions as F
 
-from weirline.plans import scratch
+from weirline.plans import queries_tables, scratch
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 #: Runs a query where executors have JVMs of their own; prints its sorted rows.
@@ -36,6 +36,23 @@ def test_jdbc_by_key_where_executors_are_apart(spark, tmp_path):
     assert sorted(r[:3] for r in got) == [(k, k + 7, key(k)) for k in range(400)]
 
 
+def test_sorted_places_whatever_the_parts(spark, tmp_path):
+    """Ranges are cut by a sample; places must not come from two of them."""
+    names = F.concat(F.lit("t"), F.col("id") % 3)
+    rows = spark.range(40_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(F.hash("id") % 1000 + 10**6).alias("ts"), names.alias("event_type"))
+    rows.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        out = queries_tables.sort_statements(spark, str(tmp_path))
+        got = sorted(map(tuple, out.select("place", "event_id").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    want = [r.event_id for r in rows.orderBy("ts", "event_type", "event_id").collect()]
+    assert got == [(k, e) for k, e in enumerate(want, 1)]
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()  # sorted once, before
+
+
 def test_database_of_odd_texts(spark):
     rows = [(1, ' "a", b\n c '), (2, None), (None, "ü,")]
     url = scratch.database(spark.createDataFrame(rows, "k long, v string"), "odd")

@@ -9,6 +9,7 @@ from ..functions import dates, text
 from ..operators import aggregates, columns, merging, routing, schema
 from ..operators.aggregates import Op
 from . import registry
+from .scratch import written
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -467,7 +468,8 @@ def sort_statements(spark, d):
         F.col("ts").alias("at"), F.col("event_type").alias("tablename"), F.col("event_id").alias("version"), F.lit(0).alias("n"),
         F.concat(F.lit("ALTER TABLE `"), "event_type", F.lit("` ADD COLUMNS (`c"), "event_id", F.lit("` bigint)")).alias("statement"),
     )
-    ordered = schema.sort_statements(changes).withColumn("id", F.monotonically_increasing_id())
+    # written, as a table sorted twice may be cut into other parts the second time
+    ordered = written(schema.sort_statements(changes).withColumn("id", F.monotonically_increasing_id()), "sorted")
     # the number of a row of a sorted table: its place in its part and what the parts before hold
     parts = ordered.withColumn("part", F.shiftright("id", 33)).withColumn("own", F.col("id").bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = parts.groupBy("part").count()
