@@ -44,12 +44,14 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; of rows that repeat an id and a text one stays.
 
-    This is the SimHash stage by another method: at a similarity of 0.8 fingerprints differ in more bits than blocks of them can
-    tell, so sets of five-word shingles are joined and compared whole."""
+    SimHash comes first: documents whose fingerprints differ in at most two bits. At a similarity of 0.8 fingerprints differ in more
+    bits than blocks of them can tell, so pairs whose sets of five-word shingles are as similar as that follow from a join of those
+    sets. What either finds goes; the smallest of all that are linked, by whichever, stands in both."""
+    alike = saved(simhash.near_duplicate_rows(docs), "near_duplicates")
     groups = saved(simhash.near_copies(docs), "near_copies")
     keys = {"doc_id": docs["doc_id"], "text_hash": _text_hash(docs)}
     repeated = groups.filter("kept").groupBy("doc_id", "text_hash").count().filter("count > 1")
-    rest = _without(docs, groups.filter("not kept"), keys)
+    rest = _without(docs, alike.filter("not kept").unionByName(groups.filter("not kept")), keys)
     if repeated.isEmpty():
         return rest
     marked = repeated.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
@@ -73,7 +75,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", keep_quality),
     ("line dedup", drop_common_lines),
-    ("near-dedup by shingles, for SimHash", drop_near_copies),
+    ("SimHash near-dedup, then by shingles", drop_near_copies),
     ("benchmark decontamination", drop_contaminated),
     ("SentencePiece encoding", encode),
 ]

@@ -234,3 +234,12 @@ def test_pipeline_stages(spark, tmp_path):
     assert sorted(r.doc_id for r in out.collect()) == [*range(40), 80] and out.filter("not lossless").count() == 0
     empty = docs.limit(0)
     assert all(f(spark, empty, sf).count() == 0 for _, f in corpus_pipeline.STAGES)
+
+
+def test_pipeline_drops_what_fingerprints_link(spark, tmp_path):
+    """Texts of one fingerprint, as what they repeat outweighs the rest, whose sets of shingles differ."""
+    texts = [f"{'alpha beta gamma ' * 200}{' '.join(f'{c}{k}' for k in range(20))}" for c in "xyz"] + ["quite another text of its own"]
+    rows = [(3, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2]), (None, texts[0]), (4, texts[3]), (4, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.drop_near_copies(spark, docs, f"file://{tmp_path}").collect()
+    assert sorted(map(tuple, got)) == [(1, texts[1]), (4, texts[3])]

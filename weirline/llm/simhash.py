@@ -153,6 +153,27 @@ def near_duplicates(
     return found.select("doc_id", "fp", "component_id")
 
 
+def near_duplicate_rows(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2
+) -> DataFrame:
+    """(doc_id, text_hash, component_id, kept) for every row of ``docs``: the components of near_duplicates(), and the rows that stand
+    for them, as near_copies() marks them."""
+
+    def run(batches):
+        for b in batches:
+            fps = pa.array([fingerprint(t, shingle) for t in b.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), fps], names=["doc_id", "text_hash", "fp"])
+
+    hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), hashed.alias("text_hash"), F.col(text_col).alias("text"))
+    fps = saved(source.mapInArrow(run, "doc_id long, text_hash long, fp long"), "fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")
+    reps = saved(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.min(own).alias("first"), F.count("*").alias("n")), "reps")
+    found = _with_components(fps, reps, links(reps, distance), {"component_id": "first_id", "stands": "first"})
+    kept = F.col("doc_id").eqNullSafe(F.col("stands.doc_id")) & (F.col("text_hash") == F.col("stands.text_hash"))
+    return found.select("doc_id", "text_hash", "component_id", kept.alias("kept"))
+
+
 def _with_components(fps: DataFrame, reps: DataFrame, edges: DataFrame, least: dict[str, str]) -> DataFrame:
     """``fps`` with new columns, each the smallest value of a column of all representatives that ``edges`` connect."""
     joined = components(edges).join(reps, "fp")
