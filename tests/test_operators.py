@@ -370,3 +370,25 @@ def test_prefixes_of_any_length(spark):
     assert short == {"4930123456789": "4", "498": "4", "7": "7", "8": None, "": None, None: None, "4": "4"}
     assert long == {**short, "4930123456789": "4930123456", "498": "49"}
     assert merging.prefix_lookup_join(numbers, codes.limit(0), "n").filter("cc is not null").count() == 0
+
+
+def test_documents_of_one_shape_are_parsed_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    values = ["1", "0.5", "-.5", "", " 7 ", "abc", "it's", "5\">12", "=\"12\"", "1234567890123456789", "123456789012345678", "ü1", "٣", "a\x01b", "]]", "k=\" d=\" c", "&amp;", "<b>", "<!-- <a>5</a> -->"]
+
+    def element(depth):
+        name, quote = rng.choice("abc"), rng.choice("\"'")
+        attribute = f" {rng.choice('de')}{rng.choice(['=', '= '])}{quote}{rng.choice(values)}{quote}" if rng.random() < 0.5 else ""
+        body = "".join(element(depth - 1) if depth and rng.random() < 0.5 else rng.choice(values) for _ in range(rng.randrange(4)))
+        return f"<{name}{attribute}>{body}</{name}>"
+
+    for _ in range(4000):
+        text, want, got = element(2), {}, {}
+        schema._facts(text, want)
+        for shape in schema._shapes(pa.array([text, None])):
+            schema._facts(shape, got)
+        assert got == want, text
+    docs = pa.array([f"<o id='{k}'><n>{k / 2}</n><s>text {k}</s></o>" for k in range(1000)])
+    assert len(schema._shapes(docs)) == 1

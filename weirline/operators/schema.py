@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 from xml.parsers import expat
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -281,20 +282,49 @@ def _facts(xml: str, facts: dict) -> None:
         facts[path] = max(old[0], kind), old[1] or repeated
 
 
+#: Characters of a text that is plain: allowed in XML, of no meaning in it, and no quote.
+_PLAIN = r"[ !#-%(-;=?-~\t\n\r\x{80}-\x{D7FF}]"
+#: A start tag up to its end: without attributes, or behind the quote of the last one.
+_START = r"""(<[A-Za-z_][^<>"'/&\s]*|<[A-Za-z_][^<>&]*["'])>"""
+#: Texts of elements and values of attributes, and what takes their place, of one kind with them. A value has no = in it, so that what is
+#: between two quotes is one.
+_WHOLE_TEXT, _NUMBER_TEXT, _WORD_TEXT = r"-?[0-9]{1,18}", r"-?[0-9]*[.][0-9]+", r"%s*[A-Za-z]%s*"
+_KINDS = [(_WHOLE_TEXT, "0"), (_NUMBER_TEXT, "0.0"), (_WORD_TEXT % (_PLAIN, _PLAIN), "x")]
+_VALUES = [*_KINDS[:2], (_WORD_TEXT % ((_PLAIN.replace("=", ""),) * 2), "x")]
+_ALIKE = [(f"{_START}{look}</", rf"\1>{short}</") for look, short in _KINDS]
+_ALIKE += [(f"={q}{look}{q}", f"={q}{short}{q}") for q in "\"'" for look, short in _VALUES]
+#: Shapes of documents that a task remembers, and the length up to which it does.
+SHAPES, SHAPE_CHARS = 20_000, 4_000
+
+
+def _shapes(texts):
+    """The distinct documents of an Arrow column with values shortened to one of their kind: what _facts() tells of them stays. Documents
+    with declarations, comments or character data are left as they are."""
+    texts = pc.unique(texts.cast(pa.large_string()).drop_null())
+    marked = pc.or_(pc.match_substring(texts, "<!"), pc.match_substring(texts, "<?"))
+    plain = texts.filter(pc.invert(marked))
+    for pattern, short in _ALIKE:
+        plain = pc.replace_substring_regex(plain, pattern, short)
+    return [*texts.filter(marked).to_pylist(), *pc.unique(plain).to_pylist()]
+
+
 def discover_xml_schema(df: DataFrame, xml: str) -> T.StructType:
     """The nested schema of all XML documents of a column, fields by name.
 
-    Tasks read the documents and give each path once with the kind of its values (whole number, number, text) and
+    Tasks read the documents, those that differ in nothing but values of one kind once (_shapes()), and give each path once with the kind of its values (whole number, number, text) and
     whether it repeats; what reaches the driver is as many rows as the schema has paths. Attributes begin with _,
     text beside attributes or elements is _VALUE. Nulls and documents that aren't well formed say nothing; an
     empty table has an empty schema.
     """
     def run(batches):
         facts: dict = {}
+        seen: set = set()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                if text is not None:
+            for text in _shapes(b.column(0)):
+                if text not in seen:
                     _facts(text, facts)
+                    if len(seen) < SHAPES and len(text) <= SHAPE_CHARS:
+                        seen.add(text)
         names = ["path", "kind", "repeated"]
         columns = [[list(p) for p in facts], [k for k, _ in facts.values()], [r for _, r in facts.values()]]
         kinds = [pa.list_(pa.string()), pa.int32(), pa.bool_()]
