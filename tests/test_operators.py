@@ -392,3 +392,16 @@ def test_documents_of_one_shape_are_parsed_once(spark, monkeypatch):
         assert got == want, text
     docs = pa.array([f"<o id='{k}'><n>{k / 2}</n><s>text {k}</s></o>" for k in range(1000)])
     assert len(schema._shapes(docs)) == 1
+
+
+def test_groups_together(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("k"), "id")
+
+    def ranked(frame):
+        assert list(frame.columns) == ["k", "id"]
+        return frame.assign(place=frame.groupby("k", dropna=False)["id"].rank().astype("int64"), groups=frame["k"].nunique(dropna=False))
+
+    got = registry.map_groups(df, ["k"], ranked, "k long, id long, place long, groups long", together=10_000).collect()
+    assert sorted((r.id, r.place) for r in got) == [(k, k // 7 + 1) for k in range(1000)] and {r.groups for r in got} == {7}
+    split = registry.map_groups(df, ["k"], ranked, "k long, id long, place long, groups long", together=300).collect()
+    assert sorted((r.id, r.place) for r in split) == sorted((r.id, r.place) for r in got)

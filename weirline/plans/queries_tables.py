@@ -682,8 +682,8 @@ def custom_row_function(spark, d):
 @query("""SELECT o_custkey, o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS place FROM orders""")
 def custom_group_function(spark, d):
     def ranked(frame):
-        frame["place"] = frame["o_totalprice"].rank(method="min").astype("int64")
+        frame["place"] = frame.groupby("o_custkey", dropna=False)["o_totalprice"].rank(method="min").astype("int64")
         return frame[["o_custkey", "o_orderkey", "place"]]
 
     rows = t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return registry.map_groups(rows, ["o_custkey"], ranked, "o_custkey long, o_orderkey long, place long")
+    return registry.map_groups(rows, ["o_custkey"], ranked, "o_custkey long, o_orderkey long, place long", together=100_000)

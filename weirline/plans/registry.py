@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import select_expansion
@@ -57,6 +58,13 @@ def map_rows(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(fn, schema)
 
 
-def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema: str) -> DataFrame:
-    """Group to many rows: ``fn`` takes a group's pandas frame and gives one. A group is held by one task."""
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+def map_groups(df: DataFrame, keys: list[str], fn: Callable, schema: str, together: int | None = None) -> DataFrame:
+    """Group to many rows: ``fn`` takes a group's pandas frame and gives one. A group is held by one task.
+
+    Where groups are many and small, a frame for each costs far more than what is done with it: with ``together`` ``fn`` takes a frame
+    of many whole groups, about so many rows, and groups it itself."""
+    if together is None:
+        return df.groupBy(*keys).applyInPandas(fn, schema)
+    buckets = max(1, -(-df.count() // together))
+    parted = df.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    return parted.groupBy("_bucket").applyInPandas(lambda frame: fn(frame.drop(columns="_bucket")), schema)
