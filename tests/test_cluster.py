@@ -5,6 +5,7 @@ import sys
 from pyspark.sql import functions as F
 
 from weirline.plans import queries_tables, scratch
+from weirline.sources import sinks
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 #: Runs a query where executors have JVMs of their own; prints its sorted rows.
@@ -64,3 +65,14 @@ def test_jdbc_extract_where_executors_are_apart(spark, tmp_path):
     spark.range(50).selectExpr("id c_custkey", "concat('n', id) c_name", "id % 5 c_nationkey").write.parquet(f"{tmp_path}/sf/customer.parquet")
     got = on_cluster("jdbc_extract", f"{tmp_path}/sf", tmp_path)
     assert sorted(got) == [(k, f"n{k}") for k in range(50) if k % 5]
+
+
+def test_merged_lines_are_sorted_without_their_paths(spark, tmp_path, monkeypatch):
+    for name in ("b", "a", "c d"):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{name}.txt").write_text("".join(f"{name}{k}\n" for k in range(50)))
+    sorted_, repartition = [], type(spark.range(0)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(0)), "repartitionByRange", lambda df, *by: sorted_.append(df.dtypes) or repartition(df, *by))
+    got = sinks.merge_small_files(spark, f"{tmp_path}/in", f"{tmp_path}/out", 1)
+    assert [r[0] for r in got.collect()] == [f"{name}{k}" for name in ("a", "b", "c d") for k in range(50)]
+    assert [c for c, kind in sorted_[0] if kind == "string"] == ["value"]

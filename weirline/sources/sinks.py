@@ -5,6 +5,7 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -167,22 +168,24 @@ MERGED_BYTES = 256 << 20
 def merge_small_files(spark: SparkSession, path, out: str, files: int | None = None, container: bool = False, limit: int | None = None) -> DataFrame:
     """Many small text files in few: their lines one after another by file name, or as Parquet rows (name, body). The number of
     files follows from the input's bytes where it isn't given. ``limit``: the first so many files by name."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    source = F.col("_metadata.file_path").alias("_path")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(source, "length")
     if files is None:
         files = max(1, -(-(listed.agg(F.sum("length")).first()[0] or 0) // MERGED_BYTES))
-    source = F.col("_metadata.file_path").alias("_path")
+    # a file's place by name stands for its name and path in rows that are sorted, which may be shorter than those
+    places = listed.select("_path", F.row_number().over(W.orderBy(F.element_at(F.split("_path", "/"), -1), "_path")).alias("_place"))
+    if limit is not None:
+        places = places.filter(F.col("_place") <= limit)
     if container:
         rows = spark.read.text(path, wholetext=True).select(source, F.col("_metadata.file_name").alias("name"), F.col("value").alias("body"))
-        order = ["name", "_path"]
+        order = ["_place"]
     else:
         rows = spark.read.text(path).select(
-            source, F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), "value"
+            source, F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_id"), "value"
         )
-        order = ["name", "_path", "_start", "_id"]
-    if limit is not None:
-        first = listed.select("path").orderBy(F.element_at(F.split("path", "/"), -1), "path").limit(limit)
-        rows = rows.join(small(first.select(F.col("path").alias("_path"))), "_path", "left_semi")
-    few = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_path", "_start", "_id")
+        order = ["_place", "_start", "_id"]
+    rows = rows.join(small(places), "_path").drop("_path")
+    few = rows.repartitionByRange(files, *order).sortWithinPartitions(*order).drop("_place", "_start", "_id")
     if container:
         few.write.mode("overwrite").parquet(out)
         return spark.read.schema("name string, body string").parquet(out)
