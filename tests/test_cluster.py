@@ -4,8 +4,8 @@ import sys
 
 from pyspark.sql import functions as F
 
-from weirline.plans import queries_tables, scratch
-from weirline.sources import sinks
+from weirline.plans import queries_files, queries_tables, scratch
+from weirline.sources import files, sinks
 
 HERE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 #: Runs a query where executors have JVMs of their own; prints its sorted rows.
@@ -67,6 +67,16 @@ def test_jdbc_extract_where_executors_are_apart(spark, tmp_path):
     assert sorted(got) == [(k, f"n{k}") for k in range(50) if k % 5]
 
 
+def test_archives_grow_in_number(spark, tmp_path, monkeypatch):
+    orders = spark.range(200_000).selectExpr("id o_orderkey", "id o_custkey", "'F' o_orderstatus")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    read, unpack = [], files.unpack_zip_members
+    monkeypatch.setattr(files, "unpack_zip_members", lambda spark, path, *rest: read.append(path) or unpack(spark, path, *rest))
+    got = {r.member: r.n for r in queries_files.unpack_zip_members(spark, str(tmp_path)).collect()}
+    assert got == {f"m{k}.csv": 5000 for k in range(40)}
+    assert len([n for n in os.listdir(read[0].removeprefix("file:")) if n.startswith("a=")]) == 5
+
+
 def test_merged_lines_are_sorted_without_their_paths(spark, tmp_path, monkeypatch):
     for name in ("b", "a", "c d"):
         (tmp_path / "in").mkdir(exist_ok=True)

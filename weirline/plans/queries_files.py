@@ -233,8 +233,8 @@ def unpack_zip_members(spark, d):
                 z.writestr(f"m{m}.csv", "\n".join(rows["line"]))
         return pd.DataFrame({"a": [int(frame["a"].iloc[0])], "raw": [raw.getvalue()]})
 
-    lines = t(spark, d, "orders").select((F.col("o_orderkey") % 40).alias("m"), (F.col("o_orderkey") % 4).alias("a"), F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("line"))
-    files_of = lines.groupBy("a").applyInPandas(archive, "a int, raw binary")
+    lines = t(spark, d, "orders").select((F.col("o_orderkey") % 40).alias("m"), F.floor(F.col("o_orderkey") / 40_000).alias("a"), F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("line"))
+    files_of = lines.groupBy("a").applyInPandas(archive, "a long, raw binary")  # archives grow in number, not in size
     files_of.select("a", F.col("raw").cast("string").alias("value")).write.partitionBy("a").text(path)  # a file is its bytes and a line end
     members = files.unpack_zip_members(spark, path, "*.csv")
     each = members.select("member", F.explode(F.split(F.col("content").cast("string"), "\n")).alias("line"))
