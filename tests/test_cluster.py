@@ -4,6 +4,7 @@ import sys
 
 from pyspark.sql import functions as F
 
+from weirline.operators import reshape
 from weirline.plans import queries_files, queries_tables, scratch
 from weirline.sources import files, sinks
 
@@ -77,6 +78,15 @@ def test_archives_grow_in_number(spark, tmp_path, monkeypatch):
     assert len([n for n in os.listdir(read[0].removeprefix("file:")) if n.startswith("a=")]) == 5
 
 
+def test_xml_tables_are_parsed_once(spark, tmp_path, monkeypatch):
+    spark.range(200).selectExpr("id o_orderkey", "id o_custkey", "'F' o_orderstatus").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(500).selectExpr("id % 100 l_orderkey", "id l_partkey", "id % 7 l_linenumber", "'R' l_returnflag").write.parquet(f"{tmp_path}/lineitem.parquet")
+    parsed, parse = [], reshape.xml_records
+    monkeypatch.setattr(reshape, "xml_records", lambda *args: parsed.append(1) or parse(*args))
+    assert queries_files.xml_tables(spark, str(tmp_path)).groupBy("tablename").count().orderBy("tablename").collect() == [("heads", 100), ("items", 500)]
+    assert len(parsed) == 1
+
+
 def test_merged_lines_are_sorted_without_their_paths(spark, tmp_path, monkeypatch):
     for name in ("b", "a", "c d"):
         (tmp_path / "in").mkdir(exist_ok=True)

@@ -635,12 +635,12 @@ def xml_tables(spark, d):
     items = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.collect_list(_item()), "").alias("items"))
     o = t(spark, d, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"))
     head = F.concat(F.lit("<head status='"), "o_orderstatus", F.lit("'><cust>"), F.col("o_custkey").cast("string"), F.lit("</cust><who><cust>"), F.col("o_custkey").cast("string"), F.lit("</cust></who></head>"))
-    docs = o.select(F.concat(F.lit("<o>"), head, F.lit("<list>"), "items", F.lit("</list></o>")).alias("xml"))
+    docs = written(o.select(F.concat(F.lit("<o>"), head, F.lit("<list>"), "items", F.lit("</list></o>")).alias("xml")), "xml_docs")
     found = schema.discover_xml_schema(docs, "xml")
     tables = reshape.xml_tables(docs, "xml", found, {
         "items": reshape.XmlTable("list.item", associate={"status": "head._status"}, keep="flag <> 'N'"),
         "heads": reshape.XmlTable("head", raw=("head.who",), set_values={"cust": "cast(cust as bigint)"}),
-    })
+    }, scratch_path(spark, "xml"))
     items = tables["items"].select(F.lit("items").alias("tablename"), "status", F.col("_Attri_no").alias("no"), F.col("part").cast("string").alias("rest"))
     heads = tables["heads"].select(F.lit("heads").alias("tablename"), F.col("_Attri_status").alias("status"), F.col("cust").alias("no"), F.regexp_extract("who", "<cust>.*?</cust>", 0).alias("rest"))
     return items.unionByName(heads)
