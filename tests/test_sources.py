@@ -230,6 +230,25 @@ def test_xml_rows_know_what_they_lie_in(spark, tmp_path):
     assert inferred.filter("id = 'C' and _no = 399 and _VALUE = 'v399'").count() == 1
 
 
+def test_xml_rows_of_cut_files_are_whole(spark, tmp_path):
+    body = [f"<r no='{k}'><!-- <r no='0'> {'c' * (k % 50)} --><![CDATA[<a{k}>]]>x{'<r/>' if k % 7 == 0 else ''}<?p </r>?></r>" for k in range(300)]
+    long = "<r no='300'>" + "y<g/>" * 2000 + "</r>"  # over many splits
+    (tmp_path / "a.xml").write_text("<all>" + "".join(f"<f id='&#65;{k // 100}'>\n" * (k % 100 == 0) + x + "</f>" * (k % 100 == 99) for k, x in enumerate(body)) + f"<f id='L'><f>{long}</f>{long}</f></all>")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        rows = files.scan_xml_rows(spark, f"file://{tmp_path}/a.xml", "r", "f", ["id"], "_no int, _VALUE string, g array<string>").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sorted((r._no, r.id) for r in rows if r._no < 300) == [(k, f"A{k // 100}") for k in range(300)]
+    assert all(f"<a{r._no}>" in r._VALUE for r in rows if r._no < 300)
+    assert sorted((r.id or "", len(r.g)) for r in rows if r._no == 300) == [("", 2000), ("L", 2000)]
+    # an uncut file's rows go nowhere but to the parser
+    (tmp_path / "b.xml").write_text("<f id='B'>" + "".join(body) + "</f>")
+    whole = files.scan_xml_rows(spark, f"file://{tmp_path}/b.xml", "r", "f", ["id"], "_no int, _VALUE string")
+    assert "Exchange" not in whole._jdf.queryExecution().executedPlan().toString() and whole.filter("id = 'B'").count() == 300
+
+
 def test_width_of_rows_with_quotes(spark, tmp_path):
     (tmp_path / "q.csv").write_text('"a,b",c\n"x ""y, z"" ",\'d,e\'\n 1 , "2,3,4,5,6" \na"b,c"d\n')
     out = files.scan_csv_schemaless(spark, f"file://{tmp_path}/q.csv")

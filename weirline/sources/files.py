@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import json
 import re
 import struct
 import tarfile
@@ -21,10 +22,11 @@ from pyspark.sql import types as T
 from ..functions.dates import parsed
 from ..functions.text import glob_match
 from ..operators.columns import drop_trailing_delimiter
-from ..operators.routing import carried, carried_all
+from ..operators.routing import carried
 from ..operators.schema import discover_xml_schema
 from ..operators.sizes import small
 from ..plans.scratch import written
+from . import xml_rows
 
 
 def scan_keyed_text(spark: SparkSession, path) -> DataFrame:
@@ -143,74 +145,28 @@ def scan_xml_elements(spark: SparkSession, path, row_tag: str, schema: str | T.S
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-#: A tag from behind its < up to its >, which may stand in a quoted value before; possessive, as tags may be long.
-_TAG = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
-
-
-def _visible(tokens: DataFrame) -> DataFrame:
-    """``tokens`` without what lies in comments and character data that hold a <."""
-    opens = F.startswith("value", F.lit("!--")) & ~F.contains("value", F.lit("-->"))
-    opens = opens | (F.startswith("value", F.lit("![CDATA[")) & ~F.contains("value", F.lit("]]>")))
-    closes = F.contains("value", F.lit("-->")) | F.contains("value", F.lit("]]>"))
-    plain = ~F.startswith("value", F.lit("!"))
-    marks = tokens.filter(opens | (closes & plain)).select("key", "pos", opens.alias("_opens"))
-    if marks.filter("_opens").isEmpty():
-        return tokens.filter(plain)
-    before = F.lag("_opens", 1, False).over(W.partitionBy("key").orderBy("pos"))
-    ends = marks.select(F.col("key").alias("_key"), F.col("pos").alias("_pos"), before.alias("_within"))
-    known = tokens.join(ends, (F.col("key") == F.col("_key")) & (F.col("pos") == F.col("_pos")), "left").drop("_key", "_pos")
-    inside = carried(known, "key", "pos", "_inside", F.when(opens, 1).when(closes & plain, 0), last=True)
-    return inside.filter(plain & (F.coalesce("_inside", F.lit(0)) == 0) & ~F.coalesce("_within", F.lit(False))).drop("_inside", "_within")
-
-
 def scan_xml_rows(spark: SparkSession, path, row_tag: str, outer_tag: str, attributes: list[str], schema: str | T.StructType | None = None) -> DataFrame:
     """As scan_xml_elements, with attributes of the innermost ``outer_tag`` element that a row lies in.
 
-    Files are read as the pieces between one < and the next, so a tag may begin and end on any line, and a file may hold any number
-    of enclosing elements, also within each other. What is open where a stretch of pieces begins is carried from the
-    stretches before it. An attribute that the element lacks, or any of a row outside, is null. A row within a row is
-    part of it. Without a schema it is inferred from the rows.
+    Files are read in splits, and a task cuts the rows out of a split as it reads it, so a tag may begin and end on any line, and a
+    file may hold any number of enclosing elements, also within each other. Files of several splits are read once more before, for
+    what is open where a split begins; of rows that lie in several, the parts are put together. An attribute that the element
+    lacks, or any of a row outside, is null. A row within a row is part of it. Without a schema it is inferred from the rows.
     """
-    tokens = _visible(written(_numbered(spark, path, "<")[0].filter("pos > 0"), "xml"))
-    tag = F.regexp_extract("value", _TAG, 1)
-    alone = F.endswith(tag, F.lit("/"))
-
-    def turns(name):
-        """1 where an element opens, -1 where it closes, 0 where it is empty, else null."""
-        return F.when(F.col("value").rlike(f"^{re.escape(name)}[\\s/>]"), F.when(alone, 0).otherwise(1)).when(F.col("value").rlike(f"^/{re.escape(name)}\\s*>"), -1)
-
-    turned = tokens.select("key", "pos", "value", turns(row_tag).alias("row"), turns(outer_tag).alias("outer"))
-    events = turned.filter("row is not null or outer is not null").withColumn("value", tag)
-    depths = {"row_depth": (F.coalesce("row", F.lit(0)), False), "depth": (F.coalesce("outer", F.lit(0)), False)}
-    events = written(carried_all(events, "key", "pos", depths), "xml_depths")
-    # an element is the innermost at its depth from its tag to its end, so the last one opened at a row's depth is the row's
-    events = events.withColumn("at", F.concat_ws("#", "depth", "key"))
-    events = carried(events, "at", "pos", "around", F.when(F.col("outer") == 1, F.col("value")), last=True)
-    first = (F.col("row") == 1) & (F.col("row_depth") == 1) | (F.col("row") == 0) & (F.col("row_depth") == 0)
-    last = (F.col("row") <= 0) & (F.col("row_depth") == 0)
-    ends = events.filter(first | last).select(
-        F.col("key").alias("_key"), F.col("pos").alias("_pos"), first.alias("_first"), last.alias("_last"), F.when(F.col("depth") > 0, F.col("around")).alias("_around")
-    )
-    ends = small(written(ends, "xml_ends"))
-    placed = tokens.join(ends, (F.col("key") == F.col("_key")) & (F.col("pos") == F.col("_pos")), "left").drop("_key", "_pos")
-    # the row that a piece lies in: the last one opened, unless it has closed
-    edges = {"_row": (F.when(F.col("_first"), F.col("pos")), True), "_shut": (F.when(F.col("_last"), F.col("pos")), True)}
-    shut = carried_all(placed, "key", "pos", edges)
-    inside = shut.filter(F.col("_row").isNotNull() & ((F.col("_shut") < F.col("_row")) | F.col("_shut").isNull() | F.col("_last")))
-    text = F.when(F.col("_last"), F.concat(tag, F.lit(">"))).otherwise(F.col("value"))  # without what follows the row
-    whole = F.transform(F.array_sort(F.collect_list(F.struct("pos", text.alias("value")))), lambda p: p["value"])
-    rows = inside.groupBy("key", "_row").agg(F.concat(F.lit("<"), F.array_join(whole, "<")).alias("_xml"), F.max("_around").alias("_around"))
-    schema = discover_xml_schema(rows, "_xml") if schema is None else schema
-
-    def attribute(name):
-        pattern = rf"""\s{re.escape(name)}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-        value = F.concat(F.regexp_extract("_around", pattern, 1), F.regexp_extract("_around", pattern, 2))
-        for coded, plain in _ENTITIES:
-            value = F.replace(value, F.lit(coded), F.lit(plain))
-        return F.when(F.col("_around").rlike(pattern), value).alias(name)
-
-    return rows.select(F.from_xml("_xml", schema).alias("_r"), *map(attribute, attributes)).select("_r.*", *(f"`{a}`" for a in attributes))
+    meta, tags = (lambda name: F.col(f"_metadata.{name}")), (row_tag, outer_tag, attributes)
+    pieces = spark.read.text(path, lineSep="<").select(meta("file_path").alias("key"), meta("file_block_start").alias("start"), "value", (meta("file_block_length") < meta("file_size")).alias("cut"))
+    begins = pieces.filter("cut").drop("cut").mapInArrow(xml_rows.summaries(*tags), xml_rows.SUMMARY).groupBy("key").applyInPandas(xml_rows.states, xml_rows.STATE)
+    known = {(r["key"], r["start"]): r["state"] for r in begins.filter("start > 0").collect()}  # as few as splits
+    rows = pieces.drop("cut").mapInArrow(xml_rows.rows(*tags, known), xml_rows.ROW)
+    if any(json.loads(state)["depth"] for state in known.values()):
+        rows = written(rows, "xml_rows")
+        text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "xml"))), lambda p: p["xml"]), "")
+        around = F.max(F.when(F.col("start") == F.col("opened"), F.col("around")))
+        parts = rows.filter("opened is not null").groupBy("key", "opened").agg(text.alias("xml"), around.alias("around"))
+        rows = rows.filter("opened is null").select("xml", "around").unionByName(parts.select("xml", "around"))
+    schema = discover_xml_schema(rows, "xml") if schema is None else schema
+    values = [F.col("around")[k].alias(a) for k, a in enumerate(attributes)]
+    return rows.select(F.from_xml("xml", schema).alias("_r"), *values).select("_r.*", *(f"`{a}`" for a in attributes))
 
 
 def sections(lines: DataFrame, header: str, footer: str | None = None, file: str = "key", pos: str = "pos", line: str = "value") -> DataFrame:
