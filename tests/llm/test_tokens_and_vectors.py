@@ -79,6 +79,17 @@ def test_coder_renews_and_halves(monkeypatch):
     assert (tf.decode_ids(tf.encode_ids(ids)) == ids).all()
 
 
+def test_order_0_finds_ids_without_searching_all():
+    """Ids by slot come from a table and few steps, as the search gives them; a block of 4 million ids takes few steps."""
+    model, rng = tf.Model(50_000, 1), np.random.default_rng(5)
+    for counts in (model.counts, rng.zipf(1.3, 50_000) % 9_000 + 1, np.where(np.arange(50_000) == 7, 1 << 20, 1)):
+        model.counts = counts.astype(np.int64)
+        model._renew()
+        slots = np.concatenate([rng.integers(0, model.total, 20_000), model.sums[:-1], model.sums[1:] - 1])
+        assert (model.ids_at(slots) == np.searchsorted(model.sums, slots, "right") - 1).all()
+    assert -(-tf.BLOCK // min(tf.STRETCHES, tf.BLOCK // tf.LEAST_STEPS)) <= 512
+
+
 def test_coder_beats_static_order_0_and_deflate():
     """On the ids of real texts."""
     texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import BROADCAST_BYTES, small_batches
 
 BLOCK = 1 << 22  # ids in a block
-STRETCHES, LEAST_STEPS = 4096, 1024  # stretches of a block, and ids that each has at least in a large one
+STRETCHES, LEAST_STEPS = 8192, 512  # stretches of a block, and ids that each has at least in a large one
 CHUNK_IDS = 1 << 23  # ids after which a chunk ends with its document
 SLOTS = 20  # bits of order 2's table
 RENEW = 32  # steps between renewals of the probabilities, fewer in the first of them
@@ -48,9 +48,9 @@ HEAD = np.dtype([("n", "<u4"), ("crc", "<u4"), ("stretches", "<u4"), ("ids", "<u
 
 #: A logistic in fixed point, out of 2**16, for -2048 to 2047 in units of 1/256.
 SQUASH = np.array([min(MOST, max(LEAST, round(65536 / (1 + math.exp(-d / 256))))) for d in range(-2048, 2048)], np.int64)
-#: Trust after a right and after a wrong guess.
-TRUSTED = np.minimum(np.arange(16) + 1, 15).astype(np.int32)
-DOUBTED = np.maximum(np.arange(16) - 1, 0).astype(np.int32)
+MOST_TRUST = 15
+#: Bits of the table of where order 0's slots lie, and ids that are tried from there one after another.
+PLACES, TRIED = 16, 4
 
 
 def _stretch(p):
@@ -93,7 +93,7 @@ class Model:
     def _renew(self):
         """Order 0's sums, and for each state the mixed probabilities as the coder takes them."""
         self.sums = np.concatenate(([0], np.cumsum(self.counts)))
-        self.total = int(self.sums[-1])
+        self.total, self.places = int(self.sums[-1]), None
         self.share = sum((self.counts > self.total >> s).astype(np.int32) for s in SHARES)
         hit, second, other = (x.reshape(16, 16, 2, 8) for x in self.seen)
         n = hit + second + other
@@ -121,20 +121,36 @@ class Model:
         # numpy takes and puts by its own index type much faster
         self.at, self.own = ((mixed >> 7) & np.int32((1 << SLOTS) - 1)).astype(np.intp), self.one.astype(np.intp)
         x, y = self.tables[1].take(self.at), self.tables[0].take(self.own)
-        self.a, self.b, self.trust = x >> 4, y >> 4, (x & 15, y & 15)
+        self.entries, self.a, self.b, self.trust = (x, y), x >> 4, y >> 4, (x & 15, y & 15)
         agree = self.a == self.b
         self.state = ((((self.trust[0] << 4) | self.trust[1]) << 1 | agree) << 3 | self.share.take(self.a)).astype(np.intp)
 
+    def ids_at(self, slots: np.ndarray) -> np.ndarray:
+        """Order 0's ids at some of its slots: a table names an id near below, from where few steps lead to most."""
+        if self.places is None:
+            self.shift = max(0, self.total.bit_length() - PLACES)
+            self.places = np.searchsorted(self.sums, np.arange(0, self.total, 1 << self.shift), "right") - 1
+        ids = self.places.take(slots >> self.shift)
+        below = np.flatnonzero(self.sums.take(ids + 1) <= slots)
+        for _ in range(TRIED):
+            if not len(below):
+                return ids
+            ids[below] = now = ids[below] + 1
+            below = below[self.sums.take(now + 1) <= slots[below]]
+        ids[below] = np.searchsorted(self.sums, slots[below], "right") - 1
+        return ids
+
     def update(self, ids: np.ndarray, cases: np.ndarray, others: np.ndarray):
         self.cases[self.t % RENEW] = cases
         if len(others):
             self.others.append(others)
-        for table, at, guess, trust in (
-            (self.tables[0], self.own, self.b, self.trust[1]),
-            (self.tables[1], self.at, self.a, self.trust[0]),
+        new = ids << 4 | 1
+        for table, at, entry, guess, trust in (
+            (self.tables[0], self.own, self.entries[1], self.b, self.trust[1]),
+            (self.tables[1], self.at, self.entries[0], self.a, self.trust[0]),
         ):
-            wrong = np.where(trust < 2, ids << 4 | 1, guess << 4 | DOUBTED.take(trust))
-            table[at] = np.where(guess == ids, guess << 4 | TRUSTED.take(trust), wrong)
+            # an entry's last bits are its trust: one more where it was right, else one less, or the id that came in its place
+            table[at] = np.where(guess == ids, entry + (trust < MOST_TRUST), np.where(trust < 2, new, entry - 1))
         self.two, self.one = self.one, ids
         self.t += 1
         early = self.t < RENEW and self.t & (self.t - 1) == 0
@@ -244,8 +260,7 @@ def _encode_block(ids: np.ndarray) -> bytes:
         others = np.flatnonzero(~(hit | second))
         values = now[others].astype(np.intp)
         if len(others):
-            first = model.sums.take(values)
-            coder.put(others, first, model.sums.take(values + 1) - first, model.total)
+            coder.put(others, model.sums.take(values), model.counts.take(values), model.total)
         model.update(now, cases, values)
     words, sizes = coder.finish()
     known, sizes = zlib.compress(np.packbits(occurs).tobytes()), zlib.compress(sizes.tobytes())
@@ -268,9 +283,8 @@ def _decode_block(head, known: bytes, sizes: bytes, words: np.ndarray) -> np.nda
         now = np.where(miss, model.b, model.a)
         values = others = np.flatnonzero(other)
         if len(others):
-            values = np.searchsorted(model.sums, coder.slots(others, model.total), "right") - 1
-            first = model.sums.take(values)
-            coder.take(others, first, model.sums.take(values + 1) - first)
+            values = model.ids_at(coder.slots(others, model.total))
+            coder.take(others, model.sums.take(values), model.counts.take(values))
             now[others] = values
         out[t] = now
         model.update(now, cases, values)
